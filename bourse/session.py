@@ -31,6 +31,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "bours
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF}.items():
         builder = builder.config(k, v)
