@@ -1,2 +1,131 @@
-STREAM_QUERIES = {}
-STREAM_ORACLE = {}
+"""Registered streaming queries: the driver tables replayed as file streams.
+
+Rows are landed in time order as parquet slices under the shared checkpoint
+folder, read back with ``readStream`` (``availableNow``), run through the
+streaming jobs, and the sink output is returned as a DataFrame.  Their oracle
+is the batch SQL of the same computation.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bourse import schemas
+from bourse.plans import oracle
+from bourse.plans.catalog import dec6, m1_orders, m3_trades, ntz
+from bourse.session import scratch_path
+from bourse.sources.tables import M1_SLIDE, M1_WINDOW, M3_SLIDE, M3_WINDOW
+from bourse.streaming.jobs import profit_top_stream, run_matcher, run_ranking, sma_top_stream
+
+SLICES = 4
+
+
+def land_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, name: str, slices: int = SLICES) -> str:
+    """Write ``df`` as ``slices`` consecutive time ranges, oldest first, so file arrival follows event time."""
+    base = scratch_path(spark, name)
+    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
+    step = (hi - lo) / slices
+    for i in range(slices):
+        start, end = lo + step * i, lo + step * (i + 1)
+        cond = (F.col(time_col) >= F.lit(start)) & (
+            (F.col(time_col) < F.lit(end)) if i < slices - 1 else F.col(time_col) <= F.lit(hi)
+        )
+        df.where(cond).write.parquet(f"{base}/in/s{i:03d}")
+    return base
+
+
+def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame) -> None:
+    """One marker order far past the last event: it moves the watermark so every real window closes.
+
+    It sits alone in its own book (a sell with no buyer), so it never shows in any output.
+    """
+    last = orders.agg(F.max("order_time").alias("t"))
+    marker = last.select(
+        F.lit("end-of-stream").alias("order_id"),
+        F.lit("end-of-stream").alias("instrument"),
+        F.lit("Sell").alias("buy_sell"),
+        F.lit(1.0).alias("price"),
+        F.lit(1).alias("volume"),
+        (F.col("t") + F.expr("INTERVAL 400 DAYS")).alias("expiry"),
+        (F.col("t") + F.expr("INTERVAL 200 DAYS")).alias("order_time"),
+        (F.col("t") + F.expr("INTERVAL 200 DAYS")).alias("initial_order_time"),
+    )
+    marker.write.parquet(f"{base}/in/zz-end")
+
+
+def _stream(spark: SparkSession, base: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(f"{base}/in/*")
+
+
+def _matcher_run(spark: SparkSession, sf_dir: str) -> str:
+    orders = m1_orders(spark, sf_dir)
+    base = land_in_time_order(spark, orders, "order_time", "s-orders")
+    _end_of_stream(spark, base, orders)
+    q = run_matcher(
+        _stream(spark, base, schemas.ORDER),
+        out_dir=f"{base}/out",
+        checkpoint=f"{base}/checkpoint",
+        window=M1_WINDOW,
+        slide=M1_SLIDE,
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    return base
+
+
+def s_match_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _matcher_run(spark, sf_dir)
+    t = spark.read.parquet(f"{base}/out/trades").drop("batch_id")
+    return ntz(t, "w_start", "w_end", "execution_time")
+
+
+def s_remaining_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _matcher_run(spark, sf_dir)
+    r = spark.read.parquet(f"{base}/out/remaining").drop("batch_id")
+    return ntz(r, "w_start", "w_end", "order_time", "initial_order_time", "expiry")
+
+
+def _ranking_run(spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    trades = m3_trades(spark, sf_dir)
+    base = land_in_time_order(spark, trades, "execution_time", "s-trades")
+    ranking = build(_stream(spark, base, schemas.TRADE))
+    q = run_ranking(ranking, "snapshot", checkpoint=f"{base}/checkpoint", path=f"{base}/out",
+                    trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def s_sma_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _ranking_run(spark, sf_dir, lambda t: sma_top_stream(t, M3_WINDOW, M3_SLIDE))
+    return dec6(ntz(out, "w_start_time", "w_end_time"), "sma_price")
+
+
+def s_profit_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _ranking_run(spark, sf_dir, lambda t: profit_top_stream(t, M3_WINDOW, M3_SLIDE))
+    return dec6(ntz(out, "w_start_time", "w_end_time"), "profit", "closing_sma_price", "opening_sma_price")
+
+
+STREAM_QUERIES = {
+    "s_match_append": s_match_append,
+    "s_remaining_append": s_remaining_append,
+    "s_sma_complete": s_sma_complete,
+    "s_profit_complete": s_profit_complete,
+}
+
+
+def _stream_oracle() -> dict[str, str]:
+    q = oracle.oracle_queries()
+    m3 = oracle._with(oracle.M3_TRADES)
+    return {
+        "s_match_append": q["q_match_trades"],
+        "s_remaining_append": q["q_remaining"],
+        "s_sma_complete": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
+ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
+        "s_profit_complete": m3 + f"""SELECT * FROM ({oracle._profit_sql('t3', '15 DAY', '30 DAY')})
+ORDER BY w_start_time DESC, profit DESC NULLS LAST, instrument LIMIT 1""",
+    }
+
+
+STREAM_ORACLE = _stream_oracle()
+
