@@ -221,3 +221,12 @@ def match_orders(
         F.col("s_expiry").alias("expiry"),
     )
     return Match(trades, buy_rest.unionByName(sell_rest))
+
+
+def reference_view(match: Match) -> Match:
+    """The reference's flat output shape: trades and leftovers without the window columns.
+
+    Rows of one order in two overlapping windows become indistinguishable here,
+    which is why ``match_orders`` keeps the window by default.
+    """
+    return Match(match.trades.drop("w_start", "w_end"), match.remaining.drop("w_start", "w_end"))

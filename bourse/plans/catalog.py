@@ -18,6 +18,8 @@ from bourse.operators.book import assign_windows, order_book, price_ladder
 from bourse.operators.matching import match_orders
 from bourse.operators.orders import carry_forward, live, split_sides, union_orders, validate
 from bourse import schemas
+from bourse.session import scratch_path
+from bourse.sources.files import read_bulk_orders, read_instruments
 from bourse.sources.tables import (
     M1_SLIDE,
     M1_WINDOW,
@@ -106,6 +108,17 @@ def _m2(spark, sf_dir):
     return validate(orders, inst, M2_AS_OF)
 
 
+def q_validate_csv(spark, sf_dir):
+    """Validation fed through the CSV sources: bulk orders and instruments are landed as CSV files
+    (under the shared checkpoint folder) and read back with the declared schemas."""
+    base = scratch_path(spark, "csv")
+    orders = orders_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    orders.select(*[f.name for f in schemas.BULK_ORDER.fields]).write.option("header", True).csv(f"{base}/orders")
+    instruments_from_parts(read_table(spark, sf_dir, "part")).write.option("header", True).csv(f"{base}/instruments")
+    acc, _ = validate(read_bulk_orders(spark, f"{base}/orders"), read_instruments(spark, f"{base}/instruments"), M2_AS_OF)
+    return ntz(acc, "expiry", "order_time", "initial_order_time")
+
+
 def q_validate_accept(spark, sf_dir):
     acc, _ = _m2(spark, sf_dir)
     return ntz(acc, "expiry", "order_time", "initial_order_time")
@@ -211,6 +224,7 @@ BATCH_QUERIES = {
     "q_message_key": q_message_key,
     "q_validate_accept": q_validate_accept,
     "q_validate_reject": q_validate_reject,
+    "q_validate_csv": q_validate_csv,
     "q_live_orders": q_live_orders,
     "q_order_book": q_order_book,
     "q_price_ladder": q_price_ladder,

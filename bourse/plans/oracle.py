@@ -182,6 +182,7 @@ SELECT order_id, instrument, price, volume, expiry, buy_sell,
        strftime(expiry, '%Y-%m-%d %H:%M:%S') AS expiry_text,
        TIMESTAMP '1995-06-17 00:00:00' AS order_time, TIMESTAMP '1995-06-17 00:00:00' AS initial_order_time
 FROM v2 WHERE reject_reason IS NULL"""
+    q["q_validate_csv"] = q["q_validate_accept"]
     q["q_validate_reject"] = _with(M2_ORDERS) + """
 SELECT order_id, instrument, buy_sell, reject_reason FROM v2 WHERE reject_reason IS NOT NULL"""
     q["q_live_orders"] = _with(M1_ORDERS, M1_GOOD, M1_WINDOWED) + """
