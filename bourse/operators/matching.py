@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.functions.columns import BUY, SELL, time_literal_or_col
+from bourse.plans.skew import ROWS_PER_TASK, ranked_within_groups, salted_join
 
 GROUP = ["w_start", "w_end", "instrument"]
 # arrival order inside a book; ``uid`` separates otherwise identical copies
@@ -51,6 +52,9 @@ ARRIVAL = ["order_time", "order_id", "price", "volume", "expiry", "initial_order
 ORDER_BODY = ["order_id", "buy_sell", "price", "volume", "expiry", "order_time", "initial_order_time", "uid"]
 
 WINDOW_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+# Books with more orders than this rank their price ladder across many tasks
+# (range partitioning) instead of one window task per book.
+LADDER_ROWS_PER_TASK = 2_000_000
 
 
 class Match(NamedTuple):
@@ -87,17 +91,26 @@ def prepare_book_orders(orders_w: DataFrame, as_of="window_end", stable_ids: boo
     return o
 
 
-def _price_ladder_ranks(buys: DataFrame, sells: DataFrame) -> DataFrame:
-    """Per book and price level: sell price index ``d``, buy prefix count ``c``, levels count ``n_sell_levels``."""
+def _price_ladder_ranks(buys: DataFrame, sells: DataFrame, distributed: bool, parts: int) -> DataFrame:
+    """Per book and price level: sell price index ``d``, buy prefix count ``c``, levels count ``n_sell_levels``.
+
+    One row per distinct price level (pre-aggregated before any shuffle).  For
+    ordinary books a window per book ranks the levels; with ``distributed`` the
+    levels are range-partitioned so a book with a huge ladder spans many tasks.
+    """
     levels = (
         sells.select(*GROUP, F.col("s_price").alias("price"), F.lit(1).alias("is_sell"))
         .unionByName(buys.select(*GROUP, F.col("b_price").alias("price"), F.lit(0).alias("is_sell")))
         .distinct()
     )
     # sells before buys at an equal price: a buy at price p is eligible for sells at p
-    up_to = Window.partitionBy(*GROUP).orderBy(F.col("price"), F.col("is_sell").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    order = [F.col("price").asc(), F.col("is_sell").desc()]
+    if distributed:
+        r = ranked_within_groups(levels, GROUP, order, "is_sell", parts)
+        return r.select(
+            *GROUP, "price", "is_sell", F.col("run_sum").alias("n_at_or_below"), F.col("group_sum").alias("n_sell_levels")
+        )
+    up_to = Window.partitionBy(*GROUP).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*GROUP)
     return levels.select(
         *GROUP,
@@ -118,6 +131,8 @@ def match_orders(
     as_of="window_end",
     exec_time=None,
     stable_ids: bool = True,
+    hot_rows: int = ROWS_PER_TASK,
+    ladder_rows: int = LADDER_ROWS_PER_TASK,
 ) -> Match:
     """Match the books of ``orders_w`` (ORDER rows with ``w_start``/``w_end``).
 
@@ -129,13 +144,36 @@ def match_orders(
 
     Returns ``Match(trades, remaining)``; both keep ``w_start``/``w_end`` so
     copies of a trade in overlapping sliding windows can be told apart.
+
+    ``hot_rows``: join keys (a price level, a block) with more rows than this
+    are salted over several tasks.  ``ladder_rows``: books with more orders
+    than this rank their price ladder with range partitioning.
     """
     spark = orders_w.sparkSession
     o = prepare_book_orders(orders_w, as_of, stable_ids)
     buys = _prefixed(o.where(F.col("buy_sell") == BUY), "b_")
     sells = _prefixed(o.where(F.col("buy_sell") == SELL), "s_")
 
-    ladder = _price_ladder_ranks(buys, sells)
+    # one small job: K = largest buy volume (how many sells of a block can
+    # matter), and the largest book (picks the ladder strategy)
+    stats = (
+        o.groupBy(*GROUP)
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("buy_sell") == BUY, F.col("volume"))).alias("k"))
+        .agg(F.max("n").alias("n"), F.max("k").alias("k"))
+        .first()
+    )
+    k = stats.k or 0
+    if k > int(spark.conf.get(WINDOW_GROUP_LIMIT_CONF, "1000")):
+        spark.conf.set(WINDOW_GROUP_LIMIT_CONF, str(k))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    biggest_book = stats.n or 0
+    ladder = _price_ladder_ranks(buys, sells, biggest_book > ladder_rows, parts)
+
+    def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str) -> DataFrame:
+        # every join key lies inside one book, so no key can be hot unless a book is
+        if biggest_book > hot_rows:
+            return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows)
+        return big.join(small, keys)
     sell_levels = ladder.where("is_sell = 1").select(
         *GROUP,
         F.col("price").alias("s_price"),
@@ -146,14 +184,9 @@ def match_orders(
         *GROUP, F.col("price").alias("b_price"), F.col("n_at_or_below").alias("c"), "n_sell_levels"
     )
 
-    # K: largest volume any buy can want = how many sells of a block may matter
-    k = buys.agg(F.max("b_volume")).first()[0] or 0
-    if k > int(spark.conf.get(WINDOW_GROUP_LIMIT_CONF, "1000")):
-        spark.conf.set(WINDOW_GROUP_LIMIT_CONF, str(k))
-
     s_arrival = [F.col("s_" + c) for c in ARRIVAL]
     sell_nodes = (
-        sells.join(sell_levels, GROUP + ["s_price"])
+        join(sells, sell_levels, GROUP + ["s_price"], "s_uid")
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .withColumn("node", F.expr("shiftright(d, lvl)"))
         .where(F.col("node") < F.expr("shiftright(n_sell_levels, lvl)"))
@@ -164,7 +197,7 @@ def match_orders(
     ).where(F.col("rk") <= F.lit(k))
 
     buy_nodes = (
-        buys.join(buy_levels, GROUP + ["b_price"])
+        join(buys, buy_levels, GROUP + ["b_price"], "b_uid")
         .where(F.col("c") > 0)
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .where(F.expr("shiftright(c, lvl) & 1") == 1)
@@ -172,7 +205,8 @@ def match_orders(
         .select(*GROUP, "lvl", "node", *[F.col("b_" + c) for c in ORDER_BODY])
     )
 
-    cand = buy_nodes.join(block_top, GROUP + ["lvl", "node"]).where(F.col("rk") <= F.col("b_volume"))
+    # a block near the top of a big book is wanted by many buys: salted join
+    cand = join(buy_nodes, block_top, GROUP + ["lvl", "node"], "b_uid").where(F.col("rk") <= F.col("b_volume"))
     before = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival).rowsBetween(Window.unboundedPreceding, -1)
     cand = cand.withColumn("prev", F.coalesce(F.sum("s_volume").over(before), F.lit(0)))
     hits = cand.where(F.col("prev") < F.col("b_volume")).withColumn(
