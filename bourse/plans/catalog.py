@@ -18,7 +18,7 @@ from bourse.operators.book import assign_windows, order_book, price_ladder
 from bourse.operators.matching import match_orders
 from bourse.operators.orders import carry_forward, live, split_sides, union_orders, validate
 from bourse import schemas
-from bourse.session import scratch_path
+from bourse.session import prepare, scratch_path
 from bourse.sources.files import read_bulk_orders, read_instruments
 from bourse.sources.tables import (
     M1_SLIDE,
@@ -48,7 +48,7 @@ def dec6(df: DataFrame, *cols: str) -> DataFrame:
 # ---------- shared inputs ----------
 
 def m1_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders_from_events(read_table(spark, sf_dir, "events"))
+    return orders_from_events(read_table(prepare(spark), sf_dir, "events"))
 
 
 def m1_good_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def m1_match(spark: SparkSession, sf_dir: str):
 
 
 def m3_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trades_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    return trades_from_lineitem(read_table(prepare(spark), sf_dir, "lineitem"))
 
 
 # ---------- codec ----------
@@ -103,6 +103,7 @@ def q_message_key(spark, sf_dir):
 # ---------- intake ----------
 
 def _m2(spark, sf_dir):
+    prepare(spark)
     orders = orders_from_lineitem(read_table(spark, sf_dir, "lineitem"))
     inst = instruments_from_parts(read_table(spark, sf_dir, "part"))
     return validate(orders, inst, M2_AS_OF)
@@ -111,7 +112,7 @@ def _m2(spark, sf_dir):
 def q_validate_csv(spark, sf_dir):
     """Validation fed through the CSV sources: bulk orders and instruments are landed as CSV files
     (under the shared checkpoint folder) and read back with the declared schemas."""
-    base = scratch_path(spark, "csv")
+    base = scratch_path(prepare(spark), "csv")
     orders = orders_from_lineitem(read_table(spark, sf_dir, "lineitem"))
     orders.select(*[f.name for f in schemas.BULK_ORDER.fields]).write.option("header", True).csv(f"{base}/orders")
     instruments_from_parts(read_table(spark, sf_dir, "part")).write.option("header", True).csv(f"{base}/instruments")

@@ -32,6 +32,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "bours
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF}.items():
         builder = builder.config(k, v)
@@ -41,6 +42,15 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "bours
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make a caller's session fit the library: UTC session time, a checkpoint folder."""
+    for k, v in REQUIRED_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    shared_dir(spark)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
