@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bourse import schemas
-from bourse.functions.codec import encode_wire_orders, quarantine
+from bourse.functions.codec import encode, encode_wire_orders, quarantine
 from bourse.functions.columns import (
     DEFAULT_SLIDE,
     DEFAULT_WATERMARK,
@@ -27,7 +27,11 @@ from bourse.functions.columns import (
 from bourse.operators.analytics import profit, sma, top_n
 from bourse.operators.matching import match_orders
 from bourse.operators.orders import carry_forward
-from bourse.streaming.sinks import start
+from bourse.streaming.sinks import start, write_kafka
+
+# message keys of the two matcher outputs (as the reference keys them)
+TRADE_KEY = ["buy_order_id", "sell_order_id", "execution_time"]
+REMAINING_KEY = ["order_id", "order_time"]
 
 # Copies of one order are released as one state row with a count.  Counts up
 # to this size are expanded in place; larger ones are split into chunks that
@@ -87,6 +91,7 @@ def run_matcher(
     watermark: str = DEFAULT_WATERMARK,
     as_of="window_end",
     reorder_dir: str | None = None,
+    kafka: dict | None = None,
     trigger: dict | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
@@ -97,7 +102,9 @@ def run_matcher(
     ``{out_dir}/trades/batch_id=N`` and ``{out_dir}/remaining/batch_id=N``
     (parquet, overwritten if a batch is retried, so the write is idempotent).
     With ``reorder_dir`` the leftovers are also written as order messages
-    (JSON lines) for the re-order stream, closing the feedback loop.
+    (JSON lines) for the re-order stream, closing the feedback loop.  With
+    ``kafka={"options": {...}, "trades_topic": ..., "reorder_topic": ...}``
+    both outputs are also published as key/value JSON messages.
     """
     good, _ = quarantine(orders)
     released = release_closed_books(good, window, slide, watermark)
@@ -107,11 +114,16 @@ def run_matcher(
         m.trades.write.mode("overwrite").parquet(f"{out_dir}/trades/batch_id={batch_id}")
         rem_path = f"{out_dir}/remaining/batch_id={batch_id}"
         m.remaining.write.mode("overwrite").parquet(rem_path)
-        if reorder_dir:
+        if reorder_dir or kafka:
             rem = batch.sparkSession.read.parquet(rem_path)
+        if reorder_dir:
             encode_wire_orders(carry_forward(rem)).select("value").write.mode("overwrite").text(
                 f"{reorder_dir}/batch_{batch_id}"
             )
+        if kafka:
+            trades = batch.sparkSession.read.parquet(f"{out_dir}/trades/batch_id={batch_id}")
+            write_kafka(encode(trades, TRADE_KEY), kafka["trades_topic"], kafka["options"])
+            write_kafka(encode(rem, REMAINING_KEY), kafka["reorder_topic"], kafka["options"])
 
     return start(
         released,

@@ -52,3 +52,8 @@ def start(
     for k, v in options.items():
         w = w.option(k, v)
     return w.start()
+
+
+def write_kafka(envelope: DataFrame, topic: str, options: dict[str, str]) -> None:
+    """Batch write of a ``key``/``value`` frame to a Kafka topic (e.g. inside ``foreachBatch``)."""
+    envelope.write.format("kafka").options(**options).option("topic", topic).save()

@@ -160,3 +160,9 @@ def test_skew_paths_give_the_same_result(spark):
         got_t, got_r, _ = _run(spark, orders, hot_rows=3, ladder_rows=0)
         assert _close(got_t, want_t), f"trades differ for seed {seed}"
         assert _close(got_r, want_r), f"leftovers differ for seed {seed}"
+
+
+def test_as_of_now_expires_history(spark):
+    orders = [order("b1", "Buy", 10, 5, 0), order("s1", "Sell", 8, 3, 1)]
+    m = match_orders(assign_windows(frame(spark, orders), window="1 hour", slide="1 hour"), as_of="now")
+    assert m.trades.count() == 0 and m.remaining.count() == 0
