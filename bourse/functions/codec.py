@@ -19,20 +19,15 @@ def decode(df: DataFrame, schema: StructType, value_col: str = "value") -> DataF
 def decode_wire_orders(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Decode order messages into the ORDER record.
 
-    Epoch seconds become timestamps, the expiry text is read in the session
-    time zone.  A missing initial_order_time falls back to order_time.
+    Times are read as timestamps, which accepts both encodings in use: integer
+    epoch seconds and 'yyyy-MM-dd HH:mm:ss' text from the order producer, ISO
+    text from re-emitted leftovers (text in the session time zone).  A missing
+    initial_order_time falls back to order_time.
     """
-    w = decode(df, schemas.ORDER_WIRE, value_col)
-    order_time = F.timestamp_seconds("order_time")
+    w = decode(df, schemas.ORDER, value_col)
     return w.select(
-        "order_id",
-        "instrument",
-        "buy_sell",
-        "price",
-        "volume",
-        F.to_timestamp("expiry", WIRE_TIME_FORMAT).alias("expiry"),
-        order_time.alias("order_time"),
-        F.coalesce(F.timestamp_seconds("initial_order_time"), order_time).alias("initial_order_time"),
+        *[c for c in schemas.ORDER_COLS if c != "initial_order_time"],
+        F.coalesce("initial_order_time", "order_time").alias("initial_order_time"),
     )
 
 

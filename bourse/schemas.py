@@ -3,7 +3,6 @@
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -28,19 +27,6 @@ ORDER = _s(
     ("initial_order_time", TimestampType()),
 )
 
-# The order as it travels on the wire (JSON): expiry as 'yyyy-MM-dd HH:mm:ss'
-# text, order_time / initial_order_time as integer epoch seconds.
-ORDER_WIRE = _s(
-    ("order_id", StringType()),
-    ("instrument", StringType()),
-    ("price", DoubleType()),
-    ("volume", IntegerType()),
-    ("expiry", StringType()),
-    ("buy_sell", StringType()),
-    ("order_time", LongType()),
-    ("initial_order_time", LongType()),
-)
-
 TRADE = _s(
     ("instrument", StringType()),
     ("buy_order_id", StringType()),

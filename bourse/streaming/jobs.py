@@ -31,7 +31,6 @@ from bourse.streaming.sinks import start, write_kafka
 
 # message keys of the two matcher outputs (as the reference keys them)
 TRADE_KEY = ["buy_order_id", "sell_order_id", "execution_time"]
-REMAINING_KEY = ["order_id", "order_time"]
 
 # Copies of one order are released as one state row with a count.  Counts up
 # to this size are expanded in place; larger ones are split into chunks that
@@ -123,7 +122,7 @@ def run_matcher(
         if kafka:
             trades = batch.sparkSession.read.parquet(f"{out_dir}/trades/batch_id={batch_id}")
             write_kafka(encode(trades, TRADE_KEY), kafka["trades_topic"], kafka["options"])
-            write_kafka(encode(rem, REMAINING_KEY), kafka["reorder_topic"], kafka["options"])
+            write_kafka(encode_wire_orders(carry_forward(rem)), kafka["reorder_topic"], kafka["options"])
 
     return start(
         released,

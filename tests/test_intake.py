@@ -88,3 +88,14 @@ def test_carry_forward_union(spark):
     assert c.order_time == T0 and c.initial_order_time == T0 - dt.timedelta(hours=1) and c.volume == 1
     u = union_orders(frame(spark, [order("b1", "Buy", 10, 5)]), carry_forward(rem))
     assert u.count() == 2 and u.columns == schemas.ORDER_COLS
+
+
+def test_decode_accepts_iso_reorder_messages(spark):
+    from bourse.functions import encode
+
+    rem = spark.createDataFrame(
+        [("A", "s2", 1, 9.0, "Sell", T0, T0 - dt.timedelta(hours=1), T0 + dt.timedelta(hours=2))], schemas.REMAINING
+    )
+    back = decode_wire_orders(encode(rem, ["order_id", "order_time"])).first()
+    assert back.order_time == T0 and back.initial_order_time == T0 - dt.timedelta(hours=1)
+    assert back.expiry == T0 + dt.timedelta(hours=2) and back.volume == 1 and back.buy_sell == "Sell"
