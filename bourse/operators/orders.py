@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bourse import schemas
 from bourse.functions.columns import BUY, SELL, WIRE_TIME_FORMAT, round_price, time_literal_or_col
-from bourse.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from bourse.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS, lookup_join
 
 ORDER_FIELDS = ["order_id", "instrument", "price", "volume", "expiry", "buy_sell"]
 
@@ -40,8 +40,8 @@ def validate(
     expiry both as a timestamp and as wire text ``expiry_text``.
     """
     as_of_col = time_literal_or_col(as_of)
-    market = bounded_broadcast(_market(instruments), broadcast_max_rows)
-    j = orders.join(market, "instrument", "left")
+    spread = F.xxhash64("order_id", "price", "volume", "expiry", "buy_sell")
+    j = lookup_join(orders, _market(instruments), ["instrument"], spread, "left", broadcast_max_rows)
     unit = round_price(F.try_divide(F.col("price"), F.col("volume")))
     market_unit = round_price(F.try_divide(F.col("_mkt_price"), F.col("_mkt_volume")))
     malformed = (

@@ -19,3 +19,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def lookup_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: list[str],
+    spread,
+    how: str = "left",
+    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Join a large fact side to a lookup table with at most a few rows per key.
+
+    Broadcast the lookup side when its size is checked to be small; otherwise
+    a salted shuffle join, so a hot key of ``big`` is spread over tasks.
+    """
+    from bourse.plans.skew import salted_join
+
+    n = small.limit(max_broadcast_rows + 1).count()
+    if n <= max_broadcast_rows:
+        return big.join(F.broadcast(small), keys, how)
+    return salted_join(big, small, keys, spread, how=how)

@@ -99,3 +99,14 @@ def test_decode_accepts_iso_reorder_messages(spark):
     back = decode_wire_orders(encode(rem, ["order_id", "order_time"])).first()
     assert back.order_time == T0 and back.initial_order_time == T0 - dt.timedelta(hours=1)
     assert back.expiry == T0 + dt.timedelta(hours=2) and back.volume == 1 and back.buy_sell == "Sell"
+
+
+def test_validation_without_broadcast_matches(spark):
+    inst = spark.createDataFrame([("A", 100.0, 10, None), ("B", 5.0, 1, None)], schemas.INSTRUMENT)
+    as_of = dt.datetime(2024, 1, 1, 12, 0, 0)
+    later = as_of + dt.timedelta(hours=1)
+    rows = [(f"o{i}", "A" if i % 3 else "Z", 90.0 + i, 10, later, "Buy") for i in range(30)]
+    orders = spark.createDataFrame(rows, schemas.BULK_ORDER)
+    a1, r1 = validate(orders, inst, as_of)
+    a2, r2 = validate(orders, inst, as_of, broadcast_max_rows=1)  # forces the salted shuffle join
+    assert sorted(a1.collect()) == sorted(a2.collect()) and sorted(r1.collect()) == sorted(r2.collect())
