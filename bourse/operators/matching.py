@@ -149,8 +149,18 @@ def match_orders(
     are salted over several tasks.  ``ladder_rows``: books with more orders
     than this rank their price ladder with range partitioning.
     """
-    spark = orders_w.sparkSession
-    o = prepare_book_orders(orders_w, as_of, stable_ids)
+    return match_prepared(prepare_book_orders(orders_w, as_of, stable_ids), as_of, exec_time, hot_rows, ladder_rows)
+
+
+def match_prepared(
+    o: DataFrame,
+    as_of="window_end",
+    exec_time=None,
+    hot_rows: int = ROWS_PER_TASK,
+    ladder_rows: int = LADDER_ROWS_PER_TASK,
+) -> Match:
+    """``match_orders`` on the output of ``prepare_book_orders`` (live orders with ids)."""
+    spark = o.sparkSession
     buys = _prefixed(o.where(F.col("buy_sell") == BUY), "b_")
     sells = _prefixed(o.where(F.col("buy_sell") == SELL), "s_")
 

@@ -25,7 +25,7 @@ from bourse.functions.columns import (
     SMA_TOP_N,
 )
 from bourse.operators.analytics import profit, sma, top_n
-from bourse.operators.matching import match_orders
+from bourse.operators.matching import match_prepared, prepare_book_orders
 from bourse.operators.orders import carry_forward
 from bourse.streaming.sinks import start, write_kafka
 
@@ -74,11 +74,18 @@ def expand_copies(df: DataFrame, count_col: str = "copies", chunk: int = COPY_CH
 
 
 def match_released(released: DataFrame, as_of="window_end"):
-    """Batch matcher over a micro-batch of released books."""
+    """Batch matcher over a micro-batch of released books, or None if no book closed.
+
+    The micro-batch is materialized once (the matcher's id checkpoint), so the
+    stateful part of the streaming plan is not executed again by later actions.
+    """
     orders_w = expand_copies(released).select(
         F.col("window.start").alias("w_start"), F.col("window.end").alias("w_end"), *schemas.ORDER_COLS
     )
-    return match_orders(orders_w, as_of=as_of)
+    prepared = prepare_book_orders(orders_w, as_of)
+    if prepared.isEmpty():
+        return None
+    return match_prepared(prepared, as_of=as_of)
 
 
 def run_matcher(
@@ -110,6 +117,8 @@ def run_matcher(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         m = match_released(batch, as_of)
+        if m is None:  # no window closed in this micro-batch
+            return
         m.trades.write.mode("overwrite").parquet(f"{out_dir}/trades/batch_id={batch_id}")
         rem_path = f"{out_dir}/remaining/batch_id={batch_id}"
         m.remaining.write.mode("overwrite").parquet(rem_path)
