@@ -184,6 +184,7 @@ def match_prepared(
         if biggest_book > hot_rows:
             return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows)
         return big.join(small, keys)
+
     sell_levels = ladder.where("is_sell = 1").select(
         *GROUP,
         F.col("price").alias("s_price"),

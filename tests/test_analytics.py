@@ -18,7 +18,7 @@ def _trades(spark):
     return spark.createDataFrame(rows, schemas.TRADE)
 
 
-def test_g8_top4_spills_into_older_window(spark):
+def test_g8_top_n_spills_into_older_window(spark):
     s = sma(_trades(spark), "10 minutes", "10 minutes")
     got = [(r.instrument, r.sma_price, r.w_start_time.minute) for r in top_n(s, 4, "sma_price").collect()]
     # unweighted by volume: B newest = (9 + 1) / 2
