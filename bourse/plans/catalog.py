@@ -145,6 +145,7 @@ def q_order_book(spark, sf_dir):
         "w_start",
         "w_end",
         "instrument",
+        "page",
         "n_orders",
         F.array_join(F.transform("book", lambda e: e["order_id"]), ",").alias("order_ids"),
         F.aggregate("book", F.lit(0).cast("bigint"), lambda acc, e: acc + e["volume"]).alias("book_volume"),

@@ -189,11 +189,16 @@ SELECT order_id, instrument, buy_sell, reject_reason FROM v2 WHERE reject_reason
 SELECT w_start, w_end, instrument, order_id, buy_sell, price, volume, expiry
 FROM ow WHERE expiry > w_end AND buy_sell IN ('Buy', 'Sell')"""
     q["q_order_book"] = _with(M1_ORDERS, M1_GOOD, M1_WINDOWED) + """
-SELECT w_start, w_end, instrument, COUNT(*) AS n_orders,
+SELECT w_start, w_end, instrument, page, COUNT(*) AS n_orders,
        string_agg(order_id, ',' ORDER BY order_time, order_id, price, volume, buy_sell, expiry, initial_order_time)
          AS order_ids,
        CAST(SUM(volume) AS BIGINT) AS book_volume
-FROM ow GROUP BY w_start, w_end, instrument"""
+FROM (
+  SELECT *, CAST((row_number() OVER (PARTITION BY w_start, w_end, instrument
+                  ORDER BY order_time, order_id, price, volume, buy_sell, expiry, initial_order_time) - 1)
+                 // 10000 AS BIGINT) AS page
+  FROM ow
+) GROUP BY w_start, w_end, instrument, page"""
     q["q_price_ladder"] = _with(M1_ORDERS, M1_GOOD, M1_WINDOWED) + """
 SELECT w_start, w_end, instrument, buy_sell, price, CAST(SUM(volume) AS BIGINT) AS total_volume, COUNT(*) AS n_orders
 FROM ow GROUP BY w_start, w_end, instrument, buy_sell, price"""

@@ -110,3 +110,15 @@ def test_validation_without_broadcast_matches(spark):
     a1, r1 = validate(orders, inst, as_of)
     a2, r2 = validate(orders, inst, as_of, broadcast_max_rows=1)  # forces the salted shuffle join
     assert sorted(a1.collect()) == sorted(a2.collect()) and sorted(r1.collect()) == sorted(r2.collect())
+
+
+def test_order_book_pages(spark):
+    from bourse.operators import order_book
+
+    orders = [order(f"o{i}", "Buy" if i % 2 else "Sell", 10 + i, 1, t=i) for i in range(7)]
+    w = assign_windows(frame(spark, orders), window="1 hour", slide="1 hour")
+    one = order_book(w).collect()
+    assert len(one) == 1 and [e.order_id for e in one[0].book] == [f"o{i}" for i in range(7)]
+    pages = sorted(order_book(w, page_size=3).collect(), key=lambda r: r.page)
+    assert [r.page for r in pages] == [0, 1, 2] and [r.n_orders for r in pages] == [3, 3, 1]
+    assert [e.order_id for r in pages for e in r.book] == [f"o{i}" for i in range(7)]
