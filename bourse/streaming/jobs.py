@@ -25,7 +25,7 @@ from bourse.functions.columns import (
     SMA_TOP_N,
 )
 from bourse.operators.analytics import profit, sma, top_n
-from bourse.operators.matching import match_prepared, prepare_book_orders
+from bourse.operators.matching import match_orders, match_prepared, prepare_book_orders
 from bourse.operators.orders import carry_forward
 from bourse.streaming.sinks import start, write_kafka
 
@@ -88,6 +88,41 @@ def match_released(released: DataFrame, as_of="window_end"):
     return match_prepared(prepared, as_of=as_of)
 
 
+def _books_touched(batch: DataFrame, out_dir: str, batch_id: int) -> DataFrame | None:
+    """Update mode: every order seen so far of the books that changed in this micro-batch.
+
+    New or changed orders of the batch are landed once (``staging``), appended
+    to an order table partitioned by window start (``books``), and the changed
+    books are read back from the window partitions they live in.  A retried
+    batch appends the same rows again; taking the largest copy count per order
+    makes that harmless.
+    """
+    spark = batch.sparkSession
+    rows = batch.select(
+        F.unix_seconds(F.col("window.start")).alias("w_key"),
+        F.col("window.start").alias("w_start"),
+        F.col("window.end").alias("w_end"),
+        *schemas.ORDER_COLS,
+        "copies",
+    )
+    stage = f"{out_dir}/staging/batch_id={batch_id}"
+    rows.write.mode("overwrite").parquet(stage)
+    new = spark.read.parquet(stage)
+    keys = [r.w_key for r in new.select("w_key").distinct().collect()]  # windows touched: a short list
+    if not keys:
+        return None
+    new.write.mode("append").partitionBy("w_key").parquet(f"{out_dir}/books")
+    touched = new.select("w_start", "w_end", "instrument").distinct()
+    seen = (
+        spark.read.parquet(f"{out_dir}/books")
+        .where(F.col("w_key").isin(keys))
+        .join(touched, ["w_start", "w_end", "instrument"], "left_semi")
+        .groupBy("w_start", "w_end", *schemas.ORDER_COLS)
+        .agg(F.max("copies").alias("copies"))
+    )
+    return expand_copies(seen)
+
+
 def run_matcher(
     orders: DataFrame,
     out_dir: str,
@@ -96,6 +131,7 @@ def run_matcher(
     slide: str = DEFAULT_SLIDE,
     watermark: str = DEFAULT_WATERMARK,
     as_of="window_end",
+    emit: str = "on_close",
     reorder_dir: str | None = None,
     kafka: dict | None = None,
     trigger: dict | None = None,
@@ -111,13 +147,25 @@ def run_matcher(
     (JSON lines) for the re-order stream, closing the feedback loop.  With
     ``kafka={"options": {...}, "trades_topic": ..., "reorder_topic": ...}``
     both outputs are also published as key/value JSON messages.
+
+    ``emit="on_close"`` (default): each book is matched once, when the
+    watermark passes its window end.  ``emit="on_update"``: every micro-batch
+    re-matches, in full, each book that received orders in that batch (still
+    open books included), as the reference's update output mode does; the
+    orders seen so far are kept in ``{out_dir}/books`` partitioned by window.
     """
+    if emit not in ("on_close", "on_update"):
+        raise ValueError(f"emit must be 'on_close' or 'on_update', not {emit!r}")
     good, _ = quarantine(orders)
     released = release_closed_books(good, window, slide, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        m = match_released(batch, as_of)
-        if m is None:  # no window closed in this micro-batch
+        if emit == "on_update":
+            books = _books_touched(batch, out_dir, batch_id)
+            m = None if books is None else match_orders(books, as_of=as_of)
+        else:
+            m = match_released(batch, as_of)
+        if m is None:  # no book to (re)match in this micro-batch
             return
         m.trades.write.mode("overwrite").parquet(f"{out_dir}/trades/batch_id={batch_id}")
         rem_path = f"{out_dir}/remaining/batch_id={batch_id}"
@@ -137,7 +185,7 @@ def run_matcher(
         released,
         "foreach_batch",
         checkpoint=checkpoint,
-        output_mode="append",
+        output_mode="update" if emit == "on_update" else "append",
         foreach_batch=write_batch,
         trigger=trigger,
         query_name=query_name,

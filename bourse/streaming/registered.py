@@ -54,26 +54,36 @@ def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame) -> None:
     marker.write.parquet(f"{base}/in/zz-end")
 
 
-def _stream(spark: SparkSession, base: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(f"{base}/in/*")
+def _stream(spark: SparkSession, base: str, schema, files_per_batch: int = 16) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{base}/in/*")
 
 
-def _matcher_run(spark: SparkSession, sf_dir: str) -> str:
+def _matcher_run(spark: SparkSession, sf_dir: str, emit: str = "on_close", files_per_batch: int = 16) -> str:
     orders = m1_orders(spark, sf_dir)
     base = land_in_time_order(spark, orders, "order_time", "s-orders")
     _end_of_stream(spark, base, orders)
     q = run_matcher(
-        _stream(spark, base, schemas.ORDER),
+        _stream(spark, base, schemas.ORDER, files_per_batch),
         out_dir=f"{base}/out",
         checkpoint=f"{base}/checkpoint",
         window=M1_WINDOW,
         slide=M1_SLIDE,
+        emit=emit,
         trigger={"availableNow": True},
     )
     q.awaitTermination()
     return base
 
 
+def s_match_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode: books are re-matched whenever they change; the last emission of each book is final."""
+    base = _matcher_run(spark, sf_dir, emit="on_update", files_per_batch=2)
+    book = ["w_start", "w_end", "instrument"]
+    last = spark.read.parquet(f"{base}/out/staging").groupBy(*book).agg(F.max("batch_id").alias("batch_id"))
+    t = spark.read.parquet(f"{base}/out/trades").join(last, book + ["batch_id"], "left_semi").drop("batch_id")
+    return ntz(t, "w_start", "w_end", "execution_time")
+
+
 def s_match_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _matcher_run(spark, sf_dir)
     t = spark.read.parquet(f"{base}/out/trades").drop("batch_id")
@@ -109,6 +119,7 @@ def s_profit_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "s_match_append": s_match_append,
     "s_remaining_append": s_remaining_append,
+    "s_match_update": s_match_update,
     "s_sma_complete": s_sma_complete,
     "s_profit_complete": s_profit_complete,
 }
@@ -120,6 +131,7 @@ def _stream_oracle() -> dict[str, str]:
     return {
         "s_match_append": q["q_match_trades"],
         "s_remaining_append": q["q_remaining"],
+        "s_match_update": q["q_match_trades"],
         "s_sma_complete": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
 ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
         "s_profit_complete": m3 + f"""SELECT * FROM ({oracle._profit_sql('t3', '15 DAY', '30 DAY')})
