@@ -220,3 +220,25 @@ def run_ranking(
         ranking, fmt, checkpoint=checkpoint, output_mode="complete", path=path, trigger=trigger,
         query_name=query_name, **options,
     )
+
+
+def closed_window_averages(
+    trades: DataFrame,
+    measure: str = "sma",
+    window: str = DEFAULT_WINDOW,
+    slide: str = DEFAULT_SLIDE,
+    watermark: str = DEFAULT_WATERMARK,
+) -> DataFrame:
+    """SMA or profit rows of windows the watermark has closed (append mode; bounded state).
+
+    The bounded counterpart of the complete-mode rankings: each window is
+    emitted once, when final, and its state is dropped.  Write it to a table
+    and rank with ``top_n(spark.read.parquet(path), n, ...)``.
+    """
+    t = trades.withWatermark("execution_time", watermark)
+    return sma(t, window, slide) if measure == "sma" else profit(t, window, slide)
+
+
+def run_closed_windows(agg: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append closed-window rows to a parquet table at ``path`` (exactly once via the file sink log)."""
+    return start(agg, "parquet", checkpoint=checkpoint, output_mode="append", path=path, trigger=trigger)

@@ -16,7 +16,16 @@ from bourse.plans import oracle
 from bourse.plans.catalog import dec6, m1_orders, m3_trades, ntz
 from bourse.session import scratch_path
 from bourse.sources.tables import M1_SLIDE, M1_WINDOW, M3_SLIDE, M3_WINDOW
-from bourse.streaming.jobs import profit_top_stream, run_matcher, run_ranking, sma_top_stream
+from bourse.functions.columns import SMA_TOP_N
+from bourse.operators.analytics import top_n
+from bourse.streaming.jobs import (
+    closed_window_averages,
+    profit_top_stream,
+    run_closed_windows,
+    run_matcher,
+    run_ranking,
+    sma_top_stream,
+)
 
 SLICES = 4
 
@@ -106,6 +115,22 @@ def _ranking_run(spark: SparkSession, sf_dir: str, build) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def s_sma_closed_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded-state SMA: closed windows appended to a table, top 4 read from the table."""
+    trades = m3_trades(spark, sf_dir)
+    base = land_in_time_order(spark, trades, "execution_time", "s-closed")
+    last = trades.agg(F.max("execution_time").alias("t")).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.TRADE.fields if f.name != "execution_time"],
+        (F.col("t") + F.expr("INTERVAL 400 DAYS")).alias("execution_time"),
+    ).select(*schemas.TRADE_COLS)
+    last.write.parquet(f"{base}/in/zz-end")  # end-of-stream marker: closes every real window
+    agg = closed_window_averages(_stream(spark, base, schemas.TRADE), "sma", M3_WINDOW, M3_SLIDE, "1 day")
+    q = run_closed_windows(agg, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    table = spark.read.parquet(f"{base}/out")
+    return dec6(ntz(top_n(table, SMA_TOP_N, "sma_price"), "w_start_time", "w_end_time"), "sma_price")
+
+
 def s_sma_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _ranking_run(spark, sf_dir, lambda t: sma_top_stream(t, M3_WINDOW, M3_SLIDE))
     return dec6(ntz(out, "w_start_time", "w_end_time"), "sma_price")
@@ -121,6 +146,7 @@ STREAM_QUERIES = {
     "s_remaining_append": s_remaining_append,
     "s_match_update": s_match_update,
     "s_sma_complete": s_sma_complete,
+    "s_sma_closed_top": s_sma_closed_top,
     "s_profit_complete": s_profit_complete,
 }
 
@@ -133,6 +159,8 @@ def _stream_oracle() -> dict[str, str]:
         "s_remaining_append": q["q_remaining"],
         "s_match_update": q["q_match_trades"],
         "s_sma_complete": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
+ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
+        "s_sma_closed_top": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
 ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
         "s_profit_complete": m3 + f"""SELECT * FROM ({oracle._profit_sql('t3', '15 DAY', '30 DAY')})
 ORDER BY w_start_time DESC, profit DESC NULLS LAST, instrument LIMIT 1""",
