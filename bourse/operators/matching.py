@@ -121,6 +121,32 @@ def _price_ladder_ranks(buys: DataFrame, sells: DataFrame, distributed: bool, pa
     )
 
 
+def _ranks_in_one_pass(o: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Price ladder ranks for books that fit one task: a single window over each book's orders.
+
+    Orders sorted by (price, sells first); a sell whose price differs from the
+    previous row's starts a new sell price level; the running count of level
+    starts is ``d + 1`` on a sell row and ``c`` on a buy row.
+    """
+    is_sell = (F.col("buy_sell") == SELL).cast("int")
+    by_price = Window.partitionBy(*GROUP).orderBy(F.col("price"), F.col("_is_sell").desc(), F.col("uid"))
+    prev_price = F.lag("price").over(by_price)
+    starts = (F.col("_is_sell") == 1) & (prev_price.isNull() | (prev_price != F.col("price")))
+    ranked = (
+        o.withColumn("_is_sell", is_sell)
+        .withColumn("_start", starts.cast("int"))
+        .withColumn("_n", F.sum("_start").over(by_price.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("n_sell_levels", F.sum("_start").over(Window.partitionBy(*GROUP)))
+    )
+    sells = ranked.where(F.col("_is_sell") == 1).select(
+        *GROUP, *[F.col(c).alias("s_" + c) for c in ORDER_BODY], (F.col("_n") - 1).alias("d"), "n_sell_levels"
+    )
+    buys = ranked.where(F.col("_is_sell") == 0).select(
+        *GROUP, *[F.col(c).alias("b_" + c) for c in ORDER_BODY], F.col("_n").alias("c"), "n_sell_levels"
+    )
+    return sells, buys
+
+
 def _levels(n_sell_levels: Column) -> Column:
     # number of dyadic levels = bit length of the number of sell price levels
     return F.sequence(F.lit(0), F.length(F.bin(n_sell_levels)) - 1)
@@ -177,7 +203,6 @@ def match_prepared(
         spark.conf.set(WINDOW_GROUP_LIMIT_CONF, str(k))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     biggest_book = stats.n or 0
-    ladder = _price_ladder_ranks(buys, sells, biggest_book > ladder_rows, parts)
 
     def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str) -> DataFrame:
         # every join key lies inside one book, so no key can be hot unless a book is
@@ -185,19 +210,22 @@ def match_prepared(
             return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows)
         return big.join(small, keys)
 
-    sell_levels = ladder.where("is_sell = 1").select(
-        *GROUP,
-        F.col("price").alias("s_price"),
-        (F.col("n_at_or_below") - 1).alias("d"),
-        "n_sell_levels",
-    )
-    buy_levels = ladder.where("is_sell = 0").select(
-        *GROUP, F.col("price").alias("b_price"), F.col("n_at_or_below").alias("c"), "n_sell_levels"
-    )
+    if biggest_book > ladder_rows:
+        ladder = _price_ladder_ranks(buys, sells, True, parts)
+        sell_levels = ladder.where("is_sell = 1").select(
+            *GROUP, F.col("price").alias("s_price"), (F.col("n_at_or_below") - 1).alias("d"), "n_sell_levels"
+        )
+        buy_levels = ladder.where("is_sell = 0").select(
+            *GROUP, F.col("price").alias("b_price"), F.col("n_at_or_below").alias("c"), "n_sell_levels"
+        )
+        sells_d = join(sells, sell_levels, GROUP + ["s_price"], "s_uid")
+        buys_c = join(buys, buy_levels, GROUP + ["b_price"], "b_uid")
+    else:
+        sells_d, buys_c = _ranks_in_one_pass(o)
 
     s_arrival = [F.col("s_" + c) for c in ARRIVAL]
     sell_nodes = (
-        join(sells, sell_levels, GROUP + ["s_price"], "s_uid")
+        sells_d
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .withColumn("node", F.expr("shiftright(d, lvl)"))
         .where(F.col("node") < F.expr("shiftright(n_sell_levels, lvl)"))
@@ -208,7 +236,7 @@ def match_prepared(
     ).where(F.col("rk") <= F.lit(k))
 
     buy_nodes = (
-        join(buys, buy_levels, GROUP + ["b_price"], "b_uid")
+        buys_c
         .where(F.col("c") > 0)
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .where(F.expr("shiftright(c, lvl) & 1") == 1)
