@@ -52,9 +52,11 @@ ARRIVAL = ["order_time", "order_id", "price", "volume", "expiry", "initial_order
 ORDER_BODY = ["order_id", "buy_sell", "price", "volume", "expiry", "order_time", "initial_order_time", "uid"]
 
 WINDOW_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-# Books with more orders than this rank their price ladder across many tasks
+# Books up to this many orders are matched one book per task (one shuffle of
+# the orders); beyond it every step is spread across tasks: price ladder by
+# range partitioning, salted joins, shuffles on finer keys.
 # (range partitioning) instead of one window task per book.
-LADDER_ROWS_PER_TASK = 2_000_000
+LADDER_ROWS_PER_TASK = 1_000_000
 
 
 class Match(NamedTuple):
