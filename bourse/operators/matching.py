@@ -55,7 +55,6 @@ WINDOW_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Books up to this many orders are matched one book per task (one shuffle of
 # the orders); beyond it every step is spread across tasks: price ladder by
 # range partitioning, salted joins, shuffles on finer keys.
-# (range partitioning) instead of one window task per book.
 LADDER_ROWS_PER_TASK = 1_000_000
 
 
