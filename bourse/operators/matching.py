@@ -52,9 +52,12 @@ ARRIVAL = ["order_time", "order_id", "price", "volume", "expiry", "initial_order
 ORDER_BODY = ["order_id", "buy_sell", "price", "volume", "expiry", "order_time", "initial_order_time", "uid"]
 
 WINDOW_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-# Books up to this many orders are matched one book per task (one shuffle of
-# the orders); beyond it every step is spread across tasks: price ladder by
-# range partitioning, salted joins, shuffles on finer keys.
+# Books up to this many orders are matched one book per task: a single shuffle
+# of the orders by book, every later step reuses it.  Larger books are spread:
+# each step shuffles on finer keys (price level, tree block, buy).
+BOOK_ROWS_PER_TASK = 50_000
+# Books with more orders than this also rank their price ladder by range
+# partitioning instead of one window task per book.
 LADDER_ROWS_PER_TASK = 1_000_000
 
 
@@ -160,6 +163,7 @@ def match_orders(
     stable_ids: bool = True,
     hot_rows: int = ROWS_PER_TASK,
     ladder_rows: int = LADDER_ROWS_PER_TASK,
+    book_rows: int = BOOK_ROWS_PER_TASK,
 ) -> Match:
     """Match the books of ``orders_w`` (ORDER rows with ``w_start``/``w_end``).
 
@@ -172,11 +176,13 @@ def match_orders(
     Returns ``Match(trades, remaining)``; both keep ``w_start``/``w_end`` so
     copies of a trade in overlapping sliding windows can be told apart.
 
-    ``hot_rows``: join keys (a price level, a block) with more rows than this
-    are salted over several tasks.  ``ladder_rows``: books with more orders
-    than this rank their price ladder with range partitioning.
+    ``book_rows``: books up to this size are matched one book per task.
+    ``ladder_rows``: books with more orders than this rank their price ladder
+    with range partitioning.  ``hot_rows``: join keys (a price level, a block)
+    with more rows than this are salted over several tasks.
     """
-    return match_prepared(prepare_book_orders(orders_w, as_of, stable_ids), as_of, exec_time, hot_rows, ladder_rows)
+    o = prepare_book_orders(orders_w, as_of, stable_ids)
+    return match_prepared(o, as_of, exec_time, hot_rows, ladder_rows, book_rows)
 
 
 def match_prepared(
@@ -185,6 +191,7 @@ def match_prepared(
     exec_time=None,
     hot_rows: int = ROWS_PER_TASK,
     ladder_rows: int = LADDER_ROWS_PER_TASK,
+    book_rows: int = BOOK_ROWS_PER_TASK,
 ) -> Match:
     """``match_orders`` on the output of ``prepare_book_orders`` (live orders with ids)."""
     spark = o.sparkSession
@@ -211,8 +218,8 @@ def match_prepared(
             return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows)
         return big.join(small, keys)
 
-    if biggest_book > ladder_rows:
-        ladder = _price_ladder_ranks(buys, sells, True, parts)
+    if biggest_book > book_rows:
+        ladder = _price_ladder_ranks(buys, sells, biggest_book > ladder_rows, parts)
         sell_levels = ladder.where("is_sell = 1").select(
             *GROUP, F.col("price").alias("s_price"), (F.col("n_at_or_below") - 1).alias("d"), "n_sell_levels"
         )
@@ -247,8 +254,10 @@ def match_prepared(
 
     # a block near the top of a big book is wanted by many buys: salted join
     cand = join(buy_nodes, block_top, GROUP + ["lvl", "node"], "b_uid").where(F.col("rk") <= F.col("b_volume"))
-    before = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival).rowsBetween(Window.unboundedPreceding, -1)
-    cand = cand.withColumn("prev", F.coalesce(F.sum("s_volume").over(before), F.lit(0)))
+    per_buy = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival)
+    cand = cand.withColumn(
+        "prev", F.coalesce(F.sum("s_volume").over(per_buy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).withColumn("is_last", F.lead(F.lit(1)).over(per_buy).isNull())
     hits = cand.where(F.col("prev") < F.col("b_volume")).withColumn(
         "want", (F.col("b_volume") - F.col("prev")).cast("int")
     ).withColumn("trade_volume", F.least(F.col("s_volume"), F.col("want")))
@@ -268,22 +277,25 @@ def match_prepared(
     )
 
     stamp = _as_of_col(as_of).cast("timestamp")
-    filled = hits.groupBy(*GROUP, "b_uid").agg(F.sum("trade_volume").alias("filled"))
-    buy_rest = (
-        buys.join(filled, GROUP + ["b_uid"], "left")
-        .withColumn("rest", F.col("b_volume") - F.coalesce(F.col("filled"), F.lit(0)))
-        .where(F.col("rest") > 0)
-        .select(
+
+    def buy_rest(df: DataFrame, rest: Column) -> DataFrame:
+        return df.select(
             *GROUP,
             F.col("b_order_id").alias("order_id"),
-            F.col("rest").cast("int").alias("volume"),
+            rest.cast("int").alias("volume"),
             F.col("b_price").alias("price"),
             F.lit(BUY).alias("buy_sell"),
             stamp.alias("order_time"),
             F.col("b_initial_order_time").alias("initial_order_time"),
             F.col("b_expiry").alias("expiry"),
         )
+
+    # a buy's last candidate shows what it still wants; a buy with no sell
+    # price level at or below its own (c = 0) has no candidate and keeps it all
+    unfilled = buy_rest(
+        hits.where(F.col("is_last") & (F.col("want") > F.col("s_volume"))), F.col("want") - F.col("s_volume")
     )
+    unmatched = buy_rest(buys_c.where(F.col("c") == 0), F.col("b_volume"))
     sell_rest = hits.where(F.col("s_volume") > F.col("trade_volume")).select(
         *GROUP,
         F.col("s_order_id").alias("order_id"),
@@ -294,7 +306,7 @@ def match_prepared(
         F.col("s_initial_order_time").alias("initial_order_time"),
         F.col("s_expiry").alias("expiry"),
     )
-    return Match(trades, buy_rest.unionByName(sell_rest))
+    return Match(trades, unfilled.unionByName(unmatched).unionByName(sell_rest))
 
 
 def reference_view(match: Match) -> Match:

@@ -150,14 +150,15 @@ def test_plan_has_no_pair_join(spark):
 
 
 def test_skew_paths_give_the_same_result(spark):
-    """Force salted joins on every key with more than 3 rows and the range-partitioned ladder."""
-    for seed, kw in [
-        (21, dict(n_books=3, max_orders=300, price_levels=5)),
-        (22, dict(n_books=5, max_orders=120, copies=0.2)),
+    """Force the spread paths: finer-keyed shuffles, range-partitioned ladder, salted joins."""
+    for seed, kw, paths in [
+        (21, dict(n_books=3, max_orders=300, price_levels=5), dict(book_rows=0, ladder_rows=0, hot_rows=3)),
+        (22, dict(n_books=5, max_orders=120, copies=0.2), dict(book_rows=0, ladder_rows=0, hot_rows=3)),
+        (23, dict(n_books=6, max_orders=150), dict(book_rows=0)),
     ]:
         orders = _random_books(seed, **kw)
         want_t, want_r = _expected(orders)
-        got_t, got_r, _ = _run(spark, orders, hot_rows=3, ladder_rows=0)
+        got_t, got_r, _ = _run(spark, orders, **paths)
         assert _close(got_t, want_t), f"trades differ for seed {seed}"
         assert _close(got_r, want_r), f"leftovers differ for seed {seed}"
 
