@@ -57,3 +57,18 @@ def start(
 def write_kafka(envelope: DataFrame, topic: str, options: dict[str, str]) -> None:
     """Batch write of a ``key``/``value`` frame to a Kafka topic (e.g. inside ``foreachBatch``)."""
     envelope.write.format("kafka").options(**options).option("topic", topic).save()
+
+
+def publish_orders(accepted: DataFrame, path: str | None = None, kafka: dict | None = None) -> None:
+    """Order ingest: validated orders as key/value order messages.
+
+    ``path``: JSON-lines files (one message per line) for a file-stream
+    landing folder; ``kafka={"options": {...}, "topic": ...}``: a Kafka topic.
+    """
+    from bourse.functions.codec import encode_wire_orders
+
+    env = encode_wire_orders(accepted)
+    if path:
+        env.select("value").write.mode("append").text(path)
+    if kafka:
+        write_kafka(env, kafka["topic"], kafka["options"])
