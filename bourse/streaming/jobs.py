@@ -1,12 +1,17 @@
-"""Streaming jobs: order matching on closed windows, and live SMA / profit rankings.
+"""Streaming jobs: order matching, live SMA / profit rankings, closed-window analytics.
 
-Matching needs every order of a book, so a book is matched once, when the
-watermark passes its window end.  Until then each order waits in Spark's
+Matching needs every order of a book.  By default a book is matched once, when
+the watermark passes its window end: until then each order waits in Spark's
 state store as its own state row (keyed by window and the order itself), so a
 hot book is spread over all state partitions instead of sitting in one row.
 When the window closes the aggregation releases the book's orders in append
 mode and ``foreachBatch`` runs the batch matcher on them: one code path for
-batch and stream, no Python in the data path.
+batch and stream, no Python in the data path.  In update mode
+(``emit="on_update"``) each micro-batch re-matches the books that changed,
+reading their orders from a window-partitioned order table.
+
+Rankings run in complete mode (state for every window, as the reference); the
+closed-window variant keeps bounded state and appends final windows to a table.
 """
 
 from __future__ import annotations
