@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -69,3 +70,28 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (landing files, sink tables, stream checkpoints)."""
     return f"{shared_dir(spark)}/bourse/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, streaming: bool = False) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of order data.
+
+    Shuffle partitions are sized so a partition is about ``partition_bytes``
+    after the sliding-window expansion (each order sits in ``window/slide``
+    books, 2 by default); AQE coalesces small ones and splits skewed join
+    partitions at run time.  Streaming state goes to RocksDB, which spills to
+    local disk instead of holding all state on the JVM heap; note that a
+    stream's shuffle partition count is fixed by its checkpoint.
+    """
+    parts = max(200, math.ceil(2 * input_bytes / partition_bytes))
+    conf = {
+        **REQUIRED_CONF,
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+    if streaming:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+    return conf

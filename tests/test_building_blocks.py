@@ -87,3 +87,12 @@ def test_feedback_loop_writes_reorders(spark):
     assert [(r.order_id, r.volume, r.buy_sell) for r in re] == [("b1", 2, "Buy")]
     # re-entered at the window end, first arrival kept
     assert re[0].order_time.hour == 23 and re[0].initial_order_time.minute == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from bourse.session import scale_conf
+
+    c = scale_conf(100 << 40, streaming=True)  # 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == 2 * (100 << 40) // (256 << 20)
+    assert c["spark.sql.session.timeZone"] == "UTC" and "RocksDB" in c["spark.sql.streaming.stateStore.providerClass"]
+    assert int(scale_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200
