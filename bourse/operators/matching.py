@@ -179,8 +179,8 @@ def match_orders(
     ``stable_ids``: checkpoint the id-stamped orders (default).  It may be
     turned off when ``orders_w`` comes straight from a file scan with no
     shuffle before it: the ids are then recomputed identically in every
-    branch of the plan and after a lost executor, and the extra write of the
-    order set is saved.
+    branch of the plan and after a lost executor (the input is then read and
+    parsed again by each job instead of written once).
     ``book_rows``: books up to this size are matched one book per task.
     ``ladder_rows``: books with more orders than this rank their price ladder
     with range partitioning.  ``hot_rows``: join keys (a price level, a block)
