@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bourse import schemas
-from bourse.functions.columns import BUY, SELL, WIRE_TIME_FORMAT, message_key
+from bourse.functions.columns import BUY, REORDER_KEY, SELL, WIRE_TIME_FORMAT, message_key
 
 
 def decode(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
@@ -49,7 +49,7 @@ def encode_wire_orders(orders: DataFrame) -> DataFrame:
         F.unix_timestamp("order_time").alias("order_time"),
         F.unix_timestamp("initial_order_time").alias("initial_order_time"),
     )
-    return encode(wire, ["order_id", "order_time"])
+    return encode(wire, REORDER_KEY)
 
 
 REQUIRED_ORDER_FIELDS = ["order_id", "instrument", "buy_sell", "price", "volume", "expiry", "order_time"]

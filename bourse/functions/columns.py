@@ -16,6 +16,8 @@ DEFAULT_SLIDE = "5 minutes"
 DEFAULT_WATERMARK = "10 minutes"
 SMA_TOP_N = 4
 PROFIT_TOP_N = 1
+TRADE_KEY = ["buy_order_id", "sell_order_id", "execution_time"]
+REORDER_KEY = ["order_id", "order_time"]
 # ---- end of fixed values ----
 
 

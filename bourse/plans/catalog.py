@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourse.functions.codec import decode, decode_wire_orders, encode, encode_wire_orders, quarantine
-from bourse.functions.columns import PROFIT_TOP_N, SMA_TOP_N, message_key, order_id_expr
+from bourse.functions.columns import PROFIT_TOP_N, SMA_TOP_N, TRADE_KEY, message_key, order_id_expr
 from bourse.operators.analytics import profit, sma, top_n
 from bourse.operators.book import assign_windows, order_book, price_ladder
-from bourse.operators.matching import match_orders
+from bourse.operators.matching import match_orders, reference_view
 from bourse.operators.orders import carry_forward, live, split_sides, union_orders, validate
 from bourse import schemas
 from bourse.session import prepare, scratch_path
@@ -168,6 +168,18 @@ def q_remaining(spark, sf_dir):
     return ntz(rem, "w_start", "w_end", "order_time", "initial_order_time", "expiry")
 
 
+def q_trade_keys(spark, sf_dir):
+    """Trades in the reference's flat shape (no window columns) with their message keys."""
+    flat = reference_view(m1_match(spark, sf_dir)).trades
+    return flat.select(
+        "instrument",
+        "buy_order_id",
+        "sell_order_id",
+        "trade_volume",
+        message_key(*TRADE_KEY).alias("trade_key"),
+    )
+
+
 def q_carry_forward(spark, sf_dir):
     carried = carry_forward(m1_match(spark, sf_dir).remaining)
     return ntz(carried, "expiry", "order_time", "initial_order_time")
@@ -232,6 +244,7 @@ BATCH_QUERIES = {
     "q_price_ladder": q_price_ladder,
     "q_match_trades": q_match_trades,
     "q_remaining": q_remaining,
+    "q_trade_keys": q_trade_keys,
     "q_carry_forward": q_carry_forward,
     "q_union_orders": q_union_orders,
     "q_sma": q_sma,

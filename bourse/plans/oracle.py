@@ -204,6 +204,10 @@ SELECT w_start, w_end, instrument, buy_sell, price, CAST(SUM(volume) AS BIGINT)
 FROM ow GROUP BY w_start, w_end, instrument, buy_sell, price"""
     q["q_match_trades"] = m + "SELECT * FROM trades"
     q["q_remaining"] = m + "SELECT * FROM remaining"
+    q["q_trade_keys"] = m + """
+SELECT instrument, buy_order_id, sell_order_id, trade_volume,
+       buy_order_id || '_' || sell_order_id || '_' || CAST(execution_time AS VARCHAR) AS trade_key
+FROM trades"""
     q["q_carry_forward"] = m + """
 SELECT order_id, instrument, buy_sell, price, volume, expiry, order_time, initial_order_time FROM remaining"""
     q["q_union_orders"] = m + """

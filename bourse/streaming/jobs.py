@@ -28,15 +28,13 @@ from bourse.functions.columns import (
     DEFAULT_WINDOW,
     PROFIT_TOP_N,
     SMA_TOP_N,
+    TRADE_KEY,
 )
 from bourse.operators.analytics import profit, sma, top_n
 from bourse.operators.matching import match_orders, match_prepared, prepare_book_orders
 from bourse.operators.orders import carry_forward
 from bourse.streaming.sinks import start, write_kafka
 
-# message keys of the two matcher outputs (as the reference keys them)
-TRADE_KEY = ["buy_order_id", "sell_order_id", "execution_time"]
-
 # Copies of one order are released as one state row with a count.  Counts up
 # to this size are expanded in place; larger ones are split into chunks that
 # are spread over the cluster first, so no task expands a huge copy group.
