@@ -61,6 +61,8 @@ def reject_reason() -> Column:
     for name in REQUIRED_ORDER_FIELDS:
         cond = F.col(name).isNull()
         expr = F.when(cond, F.lit(f"missing_{name}")) if expr is None else expr.when(cond, F.lit(f"missing_{name}"))
+    # NaN sorts above every number in Spark, so a NaN price would look eligible
+    expr = expr.when(F.isnan("price"), F.lit("invalid_price"))
     expr = expr.when(F.col("volume") <= 0, F.lit("non_positive_volume"))
     expr = expr.when(~F.col("buy_sell").isin(BUY, SELL), F.lit("unknown_side"))
     return expr

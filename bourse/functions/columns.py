@@ -32,7 +32,7 @@ def unit_price(price="price", volume="volume") -> Column:
 
 def round_price(x) -> Column:
     """Round to cents, half up, over decimal(18,6) so ties do not depend on binary doubles."""
-    return F.round(_c(x).cast("decimal(18,6)"), 2)
+    return F.round(_c(x).try_cast("decimal(18,6)"), 2)
 
 
 def message_key(*cols) -> Column:

@@ -31,7 +31,7 @@ def validate(
     """Check incoming orders against the instrument table; the first failing rule wins.
 
     Rules, in order: ``invalid_instrument`` (no listing), ``malformed`` (null
-    price/volume/expiry or volume <= 0), ``expired`` (as_of after expiry; equal
+    or NaN price, null volume/expiry, volume <= 0), ``expired`` (as_of after expiry; equal
     passes), ``below_market`` (unit price rounded to cents below the market unit
     price; applies to buys and sells alike).
 
@@ -45,7 +45,11 @@ def validate(
     unit = round_price(F.try_divide(F.col("price"), F.col("volume")))
     market_unit = round_price(F.try_divide(F.col("_mkt_price"), F.col("_mkt_volume")))
     malformed = (
-        F.col("price").isNull() | F.col("volume").isNull() | F.col("expiry").isNull() | (F.col("volume") <= 0)
+        F.col("price").isNull()
+        | F.isnan("price")
+        | F.col("volume").isNull()
+        | F.col("expiry").isNull()
+        | (F.col("volume") <= 0)
     )
     reason = (
         F.when(F.col("_mkt_price").isNull(), F.lit("invalid_instrument"))

@@ -27,7 +27,7 @@ good AS (
   SELECT * FROM m1
   WHERE order_id IS NOT NULL AND instrument IS NOT NULL AND buy_sell IS NOT NULL AND price IS NOT NULL
     AND volume IS NOT NULL AND expiry IS NOT NULL AND order_time IS NOT NULL
-    AND volume > 0 AND buy_sell IN ('Buy', 'Sell')
+    AND NOT isnan(price) AND volume > 0 AND buy_sell IN ('Buy', 'Sell')
 )"""
 
 # sliding window 1 day every 12 hours (epoch-aligned): each order lands in two windows
@@ -146,7 +146,8 @@ inst AS (
 v2 AS (
   SELECT o2.*, CASE
       WHEN inst.mkt_price IS NULL THEN 'invalid_instrument'
-      WHEN o2.price IS NULL OR o2.volume IS NULL OR o2.expiry IS NULL OR o2.volume <= 0 THEN 'malformed'
+      WHEN o2.price IS NULL OR isnan(o2.price) OR o2.volume IS NULL OR o2.expiry IS NULL OR o2.volume <= 0
+        THEN 'malformed'
       WHEN TIMESTAMP '1995-06-17 00:00:00' > o2.expiry THEN 'expired'
       WHEN round(CAST(o2.price / o2.volume AS DECIMAL(18,6)), 2)
            < round(CAST(inst.mkt_price / inst.mkt_volume AS DECIMAL(18,6)), 2) THEN 'below_market'

@@ -122,3 +122,13 @@ def test_order_book_pages(spark):
     pages = sorted(order_book(w, page_size=3).collect(), key=lambda r: r.page)
     assert [r.page for r in pages] == [0, 1, 2] and [r.n_orders for r in pages] == [3, 3, 1]
     assert [e.order_id for r in pages for e in r.book] == [f"o{i}" for i in range(7)]
+
+
+def test_nan_price_is_rejected(spark):
+    o = spark.createDataFrame([tuple(order("n", "Sell", float("nan"), 1))], schemas.ORDER)
+    good, bad = quarantine(o)
+    assert good.count() == 0 and bad.first().reject_reason == "invalid_price"
+    inst = spark.createDataFrame([("A", 1.0, 1, None)], schemas.INSTRUMENT)
+    bulk = spark.createDataFrame([("n", "A", float("nan"), 1, T0, "Buy")], schemas.BULK_ORDER)
+    _, rej = validate(bulk, inst, T0 - dt.timedelta(hours=1))
+    assert rej.first().reject_reason == "malformed"
