@@ -197,8 +197,13 @@ def match_prepared(
     hot_rows: int = ROWS_PER_TASK,
     ladder_rows: int = LADDER_ROWS_PER_TASK,
     book_rows: int = BOOK_ROWS_PER_TASK,
+    materialize: bool = False,
 ) -> Match:
-    """``match_orders`` on the output of ``prepare_book_orders`` (live orders with ids)."""
+    """``match_orders`` on the output of ``prepare_book_orders`` (live orders with ids).
+
+    ``materialize``: checkpoint the matched rows once, so writing both outputs
+    does not run the matching twice.
+    """
     spark = o.sparkSession
     buys = _prefixed(o.where(F.col("buy_sell") == BUY), "b_")
     sells = _prefixed(o.where(F.col("buy_sell") == SELL), "s_")
@@ -266,6 +271,8 @@ def match_prepared(
     hits = cand.where(F.col("prev") < F.col("b_volume")).withColumn(
         "want", (F.col("b_volume") - F.col("prev")).cast("int")
     ).withColumn("trade_volume", F.least(F.col("s_volume"), F.col("want")))
+    if materialize:
+        hits = hits.checkpoint(eager=True)
 
     if exec_time is None:
         exec_col = F.greatest(F.col("b_order_time"), F.col("s_order_time"))

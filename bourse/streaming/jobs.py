@@ -88,7 +88,8 @@ def match_released(released: DataFrame, as_of="window_end"):
     prepared = prepare_book_orders(orders_w, as_of)
     if prepared.isEmpty():
         return None
-    return match_prepared(prepared, as_of=as_of)
+    # both outputs are written, so the matched rows are materialized once
+    return match_prepared(prepared, as_of=as_of, materialize=True)
 
 
 def _books_touched(batch: DataFrame, out_dir: str, batch_id: int) -> DataFrame | None:
