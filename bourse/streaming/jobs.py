@@ -31,7 +31,7 @@ from bourse.functions.columns import (
     TRADE_KEY,
 )
 from bourse.operators.analytics import profit, sma, top_n
-from bourse.operators.matching import match_orders, match_prepared, prepare_book_orders
+from bourse.operators.matching import match_prepared, prepare_book_orders
 from bourse.operators.orders import carry_forward
 from bourse.streaming.sinks import start, write_kafka
 
@@ -166,7 +166,7 @@ def run_matcher(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if emit == "on_update":
             books = _books_touched(batch, out_dir, batch_id)
-            m = None if books is None else match_orders(books, as_of=as_of)
+            m = None if books is None else match_prepared(prepare_book_orders(books, as_of), as_of, materialize=True)
         else:
             m = match_released(batch, as_of)
         if m is None:  # no book to (re)match in this micro-batch
