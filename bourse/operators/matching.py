@@ -290,35 +290,27 @@ def match_prepared(
 
     stamp = _as_of_col(as_of).cast("timestamp")
 
-    def buy_rest(df: DataFrame, rest: Column) -> DataFrame:
-        return df.select(
-            *GROUP,
-            F.col("b_order_id").alias("order_id"),
-            rest.cast("int").alias("volume"),
-            F.col("b_price").alias("price"),
-            F.lit(BUY).alias("buy_sell"),
+    def rest(side: str, p: str, volume: Column) -> Column:
+        return F.struct(
+            F.col(p + "order_id").alias("order_id"),
+            volume.cast("int").alias("volume"),
+            F.col(p + "price").alias("price"),
+            F.lit(side).alias("buy_sell"),
             stamp.alias("order_time"),
-            F.col("b_initial_order_time").alias("initial_order_time"),
-            F.col("b_expiry").alias("expiry"),
+            F.col(p + "initial_order_time").alias("initial_order_time"),
+            F.col(p + "expiry").alias("expiry"),
         )
 
-    # a buy's last candidate shows what it still wants; a buy with no sell
-    # price level at or below its own (c = 0) has no candidate and keeps it all
-    unfilled = buy_rest(
-        hits.where(F.col("is_last") & (F.col("want") > F.col("s_volume"))), F.col("want") - F.col("s_volume")
+    # one pass over the matched rows: each row may leave the sell's unmatched
+    # rest, and a buy's last candidate shows what the buy still wants
+    sell_left = F.when(F.col("s_volume") > F.col("trade_volume"), rest(SELL, "s_", F.col("s_volume") - F.col("trade_volume")))
+    buy_left = F.when(
+        F.col("is_last") & (F.col("want") > F.col("s_volume")), rest(BUY, "b_", F.col("want") - F.col("s_volume"))
     )
-    unmatched = buy_rest(buys_c.where(F.col("c") == 0), F.col("b_volume"))
-    sell_rest = hits.where(F.col("s_volume") > F.col("trade_volume")).select(
-        *GROUP,
-        F.col("s_order_id").alias("order_id"),
-        (F.col("s_volume") - F.col("trade_volume")).cast("int").alias("volume"),
-        F.col("s_price").alias("price"),
-        F.lit(SELL).alias("buy_sell"),
-        stamp.alias("order_time"),
-        F.col("s_initial_order_time").alias("initial_order_time"),
-        F.col("s_expiry").alias("expiry"),
-    )
-    return Match(trades, unfilled.unionByName(unmatched).unionByName(sell_rest))
+    from_hits = hits.select(*GROUP, F.inline(F.array_compact(F.array(sell_left, buy_left))))
+    # a buy with no sell price level at or below its own (c = 0) has no candidate and keeps it all
+    unmatched = buys_c.where(F.col("c") == 0).select(*GROUP, F.inline(F.array(rest(BUY, "b_", F.col("b_volume")))))
+    return Match(trades, from_hits.unionByName(unmatched))
 
 
 def reference_view(match: Match) -> Match:
