@@ -26,11 +26,14 @@ price prefix: the sells priced at or below the buy.  So:
 3. Per block, only its first ``K`` sells by arrival are kept (``K`` = largest
    buy volume, an exact bound).  Spark computes this top-K per block with a
    partial limit before the shuffle, so a hot book or price level never
-   lands whole in one task.
-4. Each buy joins its blocks, keeps the block entries ranked below its own
-   volume, and takes a running sum over these candidates in arrival order.
-   Every sell that can trade (and every sell before it) is among the
-   candidates, so the running sum is the exact volume taken so far.
+   lands whole in one task.  Of those, a sell whose earlier block mates
+   already bring ``K`` units is dropped too.
+4. Each buy joins its blocks and keeps the entries whose earlier block mates
+   bring less than its own volume: all of a block is eligible for the buy, so
+   a sell behind ``V`` units of its block is never reached.  A running sum
+   over these candidates in arrival order follows.  Every sell that can trade
+   (and every sell before it) is among the candidates, and any dropped sell
+   sits behind kept ones worth at least ``V``, so the running sum is exact.
 
 Work is ``O((buys * V + sells) * log(price levels))`` rows instead of
 ``buys * sells`` per book.
@@ -249,9 +252,19 @@ def match_prepared(
         .where(F.col("node") < F.expr("shiftright(n_sell_levels, lvl)"))
         .drop("d", "n_sell_levels")
     )
-    block_top = sell_nodes.withColumn(
-        "rk", F.row_number().over(Window.partitionBy(*GROUP, "lvl", "node").orderBy(*s_arrival))
-    ).where(F.col("rk") <= F.lit(k))
+    in_block = Window.partitionBy(*GROUP, "lvl", "node").orderBy(*s_arrival)
+    # rank cut first (planned as a partial limit before the shuffle), then the
+    # volume cut: a sell whose block predecessors already bring K units is
+    # never reached by any buy
+    block_top = (
+        sell_nodes.withColumn("rk", F.row_number().over(in_block))
+        .where(F.col("rk") <= F.lit(k))
+        .withColumn(
+            "block_prev",
+            F.coalesce(F.sum("s_volume").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        )
+        .where(F.col("block_prev") < F.lit(k))
+    )
 
     buy_nodes = (
         buys_c
@@ -263,7 +276,8 @@ def match_prepared(
     )
 
     # a block near the top of a big book is wanted by many buys: salted join
-    cand = join(buy_nodes, block_top, GROUP + ["lvl", "node"], "b_uid").where(F.col("rk") <= F.col("b_volume"))
+    # only sells whose earlier block mates bring less than the buy's volume can be reached
+    cand = join(buy_nodes, block_top, GROUP + ["lvl", "node"], "b_uid").where(F.col("block_prev") < F.col("b_volume"))
     per_buy = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival)
     cand = cand.withColumn(
         "prev", F.coalesce(F.sum("s_volume").over(per_buy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
