@@ -167,6 +167,7 @@ def match_orders(
     hot_rows: int = ROWS_PER_TASK,
     ladder_rows: int = LADDER_ROWS_PER_TASK,
     book_rows: int = BOOK_ROWS_PER_TASK,
+    materialize: bool = False,
 ) -> Match:
     """Match the books of ``orders_w`` (ORDER rows with ``w_start``/``w_end``).
 
@@ -184,13 +185,15 @@ def match_orders(
     shuffle before it: the ids are then recomputed identically in every
     branch of the plan and after a lost executor (the input is then read and
     parsed again by each job instead of written once).
+    ``materialize``: checkpoint the matched rows once; use it when both
+    outputs are written, so the matching does not run twice.
     ``book_rows``: books up to this size are matched one book per task.
     ``ladder_rows``: books with more orders than this rank their price ladder
     with range partitioning.  ``hot_rows``: join keys (a price level, a block)
     with more rows than this are salted over several tasks.
     """
     o = prepare_book_orders(orders_w, as_of, stable_ids)
-    return match_prepared(o, as_of, exec_time, hot_rows, ladder_rows, book_rows)
+    return match_prepared(o, as_of, exec_time, hot_rows, ladder_rows, book_rows, materialize)
 
 
 def match_prepared(

@@ -167,3 +167,10 @@ def test_as_of_now_expires_history(spark):
     orders = [order("b1", "Buy", 10, 5, 0), order("s1", "Sell", 8, 3, 1)]
     m = match_orders(assign_windows(frame(spark, orders), window="1 hour", slide="1 hour"), as_of="now")
     assert m.trades.count() == 0 and m.remaining.count() == 0
+
+
+def test_materialized_match_equals_lazy(spark):
+    orders = _random_books(31, n_books=5, max_orders=60)
+    lazy_t, lazy_r, _ = _run(spark, orders)
+    mat_t, mat_r, _ = _run(spark, orders, materialize=True)
+    assert _close(lazy_t, mat_t) and _close(lazy_r, mat_r)
