@@ -96,3 +96,12 @@ def test_scale_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 2 * (100 << 40) // (256 << 20)
     assert c["spark.sql.session.timeZone"] == "UTC" and "RocksDB" in c["spark.sql.streaming.stateStore.providerClass"]
     assert int(scale_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_console_sink_runs(spark):
+    base = scratch_path(spark, "t-console")
+    frame(spark, [order("b1", "Buy", 10, 5)]).write.parquet(f"{base}/in/s000")
+    q = start(_stream(spark, base, schemas.ORDER).select("order_id", "volume"), "console",
+              checkpoint=f"{base}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None and sum(p["numInputRows"] for p in q.recentProgress) == 1
