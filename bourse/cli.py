@@ -92,6 +92,8 @@ def parser() -> argparse.ArgumentParser:
     sm.add_argument("--as-of", default="window_end", help="'window_end' or 'now'")
     sm.add_argument("--out", required=True)
     sm.add_argument("--reorder-dir")
+    sm.add_argument("--trades-topic", help="also publish trades to this Kafka topic")
+    sm.add_argument("--reorder-topic", help="also publish leftovers as order messages to this Kafka topic")
 
     for name, n in (("stream-sma", SMA_TOP_N), ("stream-profit", PROFIT_TOP_N)):
         r = sub.add_parser(name)
@@ -125,9 +127,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
         orders = decode_wire_orders(_message_stream(spark, args))
         if args.reorder_dir and not args.topic:
             orders = orders.unionByName(json_dir_stream(spark, f"{args.reorder_dir}/*"))
+        kafka = None
+        if args.trades_topic and args.reorder_topic:
+            kafka = {"options": _kafka(args), "trades_topic": args.trades_topic, "reorder_topic": args.reorder_topic}
         return run_matcher(
             orders, args.out, args.checkpoint, args.window, args.slide, args.watermark,
-            as_of=args.as_of, emit=args.emit, reorder_dir=args.reorder_dir, trigger=trigger,
+            as_of=args.as_of, emit=args.emit, reorder_dir=args.reorder_dir, kafka=kafka, trigger=trigger,
         )
     trades = decode(_message_stream(spark, args), schemas.TRADE)
     ranking = (sma_top_stream if args.job == "stream-sma" else profit_top_stream)(trades, args.window, args.slide, args.top)
