@@ -131,8 +131,14 @@ def test_invariants(spark):
     assert t.where("trade_volume < 1").count() == 0
     # no buy overfilled: filled <= volume
     vol = {o.order_id: o.volume for o in orders if o.buy_sell == "Buy"}
-    for r in t.groupBy("buy_order_id").agg(F.sum("trade_volume").alias("f")).collect():
-        assert r.f <= vol[r.buy_order_id]
+    filled = {r.buy_order_id: r.f for r in t.groupBy("buy_order_id").agg(F.sum("trade_volume").alias("f")).collect()}
+    for oid, f in filled.items():
+        assert f <= vol[oid]
+    # filled + leftover = volume, for every live buy
+    left = {r.order_id: r.volume for r in m.remaining.where("buy_sell = 'Buy'").collect()}
+    live = {o.order_id for o in orders if o.buy_sell == "Buy" and o.expiry > T0 + dt.timedelta(hours=1)}
+    for oid in live:
+        assert filled.get(oid, 0) + left.get(oid, 0) == vol[oid]
 
 
 def test_plan_has_no_pair_join(spark):
