@@ -127,3 +127,39 @@ def test_g7_update_mode_rematches_changed_books(spark):
         per_batch.setdefault(r.batch_id, set()).add((r.w_start.strftime("%H:%M"), r.buy_order_id, r.sell_order_id))
     assert per_batch[0] == {("21:55", "b1", "s1"), ("22:00", "b1", "s1")}
     assert per_batch[1] == {(w, "b1", s) for w in ("21:55", "22:00") for s in ("s1", "s2")}
+
+
+def test_feedback_loop_reenters_leftovers(spark):
+    """Leftovers written to the re-order folder come back through the second source of the same stream."""
+    base = scratch_path(spark, "t-loop2")
+    day = dt.timedelta(days=1)
+    carry_at = T0 + 2 * day  # leftovers re-enter at this time (the matcher's as_of)
+    b1 = order("b1", "Buy", 10, 5, 0, expiry=T0 + 5 * day)
+    s1 = order("s1", "Sell", 8, 3, 10, expiry=T0 + 5 * day)
+    mark1 = order("m1", "Sell", 1, 1, instrument="M", expiry=T0 + 5 * day)._replace(
+        order_time=T0 + day, initial_order_time=T0 + day)
+    os.makedirs(f"{base}/reorders/none", exist_ok=True)
+    _land_json(f"{base}/in", [[b1, s1, mark1]])
+
+    def run():
+        orders = json_dir_stream(spark, f"{base}/in").unionByName(json_dir_stream(spark, f"{base}/reorders/*"))
+        q = run_matcher(orders, out_dir=f"{base}/out", checkpoint=f"{base}/ckpt", window="1 hour", slide="1 hour",
+                        as_of=carry_at, reorder_dir=f"{base}/reorders", trigger=AVAILABLE_NOW)
+        q.awaitTermination()
+
+    run()
+    first = spark.read.parquet(f"{base}/out/trades").collect()
+    assert [(r.buy_order_id, r.sell_order_id, r.trade_volume) for r in first] == [("b1", "s1", 3)]
+    # next session: a new sell arrives after the carried buy, and a later order closes its window
+    s2 = order("s2", "Sell", 3, 1, expiry=T0 + 5 * day)._replace(
+        order_time=carry_at + dt.timedelta(minutes=5), initial_order_time=carry_at + dt.timedelta(minutes=5))
+    mark2 = mark1._replace(order_id="m2", order_time=T0 + 3 * day, initial_order_time=T0 + 3 * day)
+    path = f"{base}/in/part-{9:03d}.json"
+    with open(path, "w") as fh:
+        fh.write("\n".join(_wire(o) for o in [s2, mark2]) + "\n")
+    run()
+    trades = spark.read.parquet(f"{base}/out/trades").where("sell_order_id = 's2'").collect()
+    # the carried buy keeps its total price 10 for its remaining 2 units: 10 / 2 per unit
+    assert [(r.buy_order_id, r.trade_volume, r.per_volume_buy_price) for r in trades] == [("b1", 1, 5.0)]
+    rest = spark.read.parquet(f"{base}/out/remaining").where("order_id = 'b1' AND volume = 1").collect()
+    assert len(rest) == 1 and rest[0].initial_order_time == T0
