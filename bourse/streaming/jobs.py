@@ -112,14 +112,15 @@ def _books_touched(batch: DataFrame, out_dir: str, batch_id: int) -> DataFrame |
     stage = f"{out_dir}/staging/batch_id={batch_id}"
     rows.write.mode("overwrite").parquet(stage)
     new = spark.read.parquet(stage)
-    keys = [r.w_key for r in new.select("w_key").distinct().collect()]  # windows touched: a short list
-    if not keys:
+    lo, hi = new.agg(F.min("w_key"), F.max("w_key")).first()
+    if lo is None:
         return None
     new.write.mode("append").partitionBy("w_key").parquet(f"{out_dir}/books")
     touched = new.select("w_start", "w_end", "instrument").distinct()
     seen = (
         spark.read.parquet(f"{out_dir}/books")
-        .where(F.col("w_key").isin(keys))
+        # partition pruning: only the window range this batch touched is read
+        .where(F.col("w_key").between(lo, hi))
         .join(touched, ["w_start", "w_end", "instrument"], "left_semi")
         .groupBy("w_start", "w_end", *schemas.ORDER_COLS)
         .agg(F.max("copies").alias("copies"))
