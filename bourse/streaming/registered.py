@@ -44,7 +44,7 @@ def land_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, name:
     return base
 
 
-def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame) -> None:
+def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame, name: str = "zz-end", days: int = 200) -> None:
     """One marker order far past the last event: it moves the watermark so every real window closes.
 
     It sits alone in its own book (a sell with no buyer), so it never shows in any output.
@@ -57,10 +57,10 @@ def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame) -> None:
         F.lit(1.0).alias("price"),
         F.lit(1).alias("volume"),
         (F.col("t") + F.expr("INTERVAL 400 DAYS")).alias("expiry"),
-        (F.col("t") + F.expr("INTERVAL 200 DAYS")).alias("order_time"),
-        (F.col("t") + F.expr("INTERVAL 200 DAYS")).alias("initial_order_time"),
+        (F.col("t") + F.expr(f"INTERVAL {days} DAYS")).alias("order_time"),
+        (F.col("t") + F.expr(f"INTERVAL {days} DAYS")).alias("initial_order_time"),
     )
-    marker.write.parquet(f"{base}/in/zz-end")
+    marker.write.parquet(f"{base}/in/{name}")
 
 
 def _stream(spark: SparkSession, base: str, schema, files_per_batch: int = 16) -> DataFrame:
@@ -84,6 +84,32 @@ def _matcher_run(spark: SparkSession, sf_dir: str, emit: str = "on_close", files
     return base
 
 
+def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late data: after every window has closed, the oldest slice arrives again under new ids.
+
+    One marker batch sits between the watermark jump and the late rows (Spark
+    applies a moved watermark from the batch after next), so every late row is
+    dropped and the trades equal the batch result.
+    """
+    orders = m1_orders(spark, sf_dir)
+    base = land_in_time_order(spark, orders, "order_time", "s-late")
+    _end_of_stream(spark, base, orders)
+    _end_of_stream(spark, base, orders, name="zz-end-2", days=201)
+    first = spark.read.parquet(f"{base}/in/s000")
+    first.withColumn("order_id", F.concat(F.lit("late-"), "order_id")).write.parquet(f"{base}/in/zzz-late")
+    q = run_matcher(
+        _stream(spark, base, schemas.ORDER, files_per_batch=1),
+        out_dir=f"{base}/out",
+        checkpoint=f"{base}/checkpoint",
+        window=M1_WINDOW,
+        slide=M1_SLIDE,
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    t = spark.read.parquet(f"{base}/out/trades").drop("batch_id")
+    return ntz(t, "w_start", "w_end", "execution_time")
+
+
 def s_match_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode: books are re-matched whenever they change; the last emission of each book is final."""
     base = _matcher_run(spark, sf_dir, emit="on_update", files_per_batch=2)
@@ -145,6 +171,7 @@ STREAM_QUERIES = {
     "s_match_append": s_match_append,
     "s_remaining_append": s_remaining_append,
     "s_match_update": s_match_update,
+    "s_late_drop": s_late_drop,
     "s_sma_complete": s_sma_complete,
     "s_sma_closed_top": s_sma_closed_top,
     "s_profit_complete": s_profit_complete,
@@ -158,6 +185,7 @@ def _stream_oracle() -> dict[str, str]:
         "s_match_append": q["q_match_trades"],
         "s_remaining_append": q["q_remaining"],
         "s_match_update": q["q_match_trades"],
+        "s_late_drop": q["q_match_trades"],
         "s_sma_complete": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
 ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
         "s_sma_closed_top": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
