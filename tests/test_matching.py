@@ -180,3 +180,11 @@ def test_materialized_match_equals_lazy(spark):
     lazy_t, lazy_r, _ = _run(spark, orders)
     mat_t, mat_r, _ = _run(spark, orders, materialize=True)
     assert _close(lazy_t, mat_t) and _close(lazy_r, mat_r)
+
+
+def test_large_buy_volume_above_group_limit_threshold(spark):
+    orders = [order("big", "Buy", 1e6, 5000, 0)] + [order(f"s{i:03d}", "Sell", 100.0 + i, 60, 1 + i) for i in range(100)]
+    want_t, want_r = _expected(orders)
+    got_t, got_r, _ = _run(spark, orders)
+    assert len(got_t) == 84 and sum(t[4] for t in got_t) == 5000
+    assert _close(got_t, want_t) and _close(got_r, want_r)
