@@ -23,6 +23,12 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Set when the session starts: Kryo serializes the matcher's checkpointed rows
+# and other RDD-level data faster than Java serialization (~20% on the matcher).
+STARTUP_CONF = {
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+}
+
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "bourse") -> SparkSession:
     """A local session for tests and the bench (a cluster session comes from the caller)."""
@@ -35,7 +41,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "bours
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF}.items():
+    for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF, **STARTUP_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -86,6 +92,7 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, streaming: bo
     conf = {
         **REQUIRED_CONF,
         **RECOMMENDED_CONF,
+        **STARTUP_CONF,
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
