@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v)
     if isinstance(v, Decimal):
         return str(v.normalize())
     if hasattr(v, "isoformat"):
