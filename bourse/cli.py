@@ -106,7 +106,15 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None):
-    args = parser().parse_args(argv)
+    ap = parser()
+    args = ap.parse_args(argv)
+    if args.job.startswith("stream"):
+        if not (args.input or args.topic):
+            ap.error("give --input (landing folder) or --topic")
+        if args.topic and not args.bootstrap:
+            ap.error("--topic needs --bootstrap")
+        if getattr(args, "sink", None) == "snapshot" and not args.out:
+            ap.error("--sink snapshot needs --out")
     spark = prepare(spark or SparkSession.builder.appName(f"bourse-{args.job}").getOrCreate())
     trigger = {"availableNow": True} if getattr(args, "trigger", None) == "available-now" else None
 
