@@ -55,9 +55,9 @@ ARRIVAL = ["order_time", "order_id", "price", "volume", "expiry", "initial_order
 ORDER_BODY = ["order_id", "buy_sell", "price", "volume", "expiry", "order_time", "initial_order_time", "uid"]
 
 WINDOW_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-# Books up to this many orders are matched one book per task: a single shuffle
-# of the orders by book, every later step reuses it.  Larger books are spread:
-# each step shuffles on finer keys (price level, tree block, buy).
+# Books up to this many orders get their price ranks from one window over the
+# book's orders.  Larger books rank distinct price levels and join them back on
+# (book, price), so no step holds a whole book in one task.
 BOOK_ROWS_PER_TASK = 50_000
 # Books with more orders than this also rank their price ladder by range
 # partitioning instead of one window task per book.
@@ -187,7 +187,8 @@ def match_orders(
     parsed again by each job instead of written once).
     ``materialize``: checkpoint the matched rows once; use it when both
     outputs are written, so the matching does not run twice.
-    ``book_rows``: books up to this size are matched one book per task.
+    ``book_rows``: books up to this size get their price ranks from one
+    window over the book's orders.
     ``ladder_rows``: books with more orders than this rank their price ladder
     with range partitioning.  ``hot_rows``: join keys (a price level, a block)
     with more rows than this are salted over several tasks.
