@@ -41,8 +41,16 @@ def ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def dec6(df: DataFrame, *cols: str) -> DataFrame:
-    """Averages to 6 decimals: float sums differ in the last bits with summation order."""
-    return df.select(*[F.col(c).cast("decimal(18,6)").alias(c) if c in cols else F.col(c) for c in df.columns])
+    """Averages to 6 decimals, half up.
+
+    Float sums differ in the last bits with summation order; rounding to 9
+    decimals first absorbs that, so an average lying exactly half-way at the
+    6th decimal rounds the same way whatever the order of the sum.
+    """
+    def r6(c: str):
+        return F.col(c).cast("decimal(18,9)").cast("decimal(18,6)").alias(c)
+
+    return df.select(*[r6(c) if c in cols else F.col(c) for c in df.columns])
 
 
 # ---------- shared inputs ----------

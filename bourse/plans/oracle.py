@@ -111,8 +111,8 @@ FROM (
 
 
 def _r6(expr: str) -> str:
-    """Round a double to 6 decimals half-up on its shortest text form (how Spark casts a double to decimal)."""
-    return f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL(18,6))"
+    """Round a double half-up to 9 then 6 decimals, from its shortest text form (as Spark casts doubles)."""
+    return f"CAST(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(18,9)) AS DECIMAL(18,6))"
 
 
 def _sma_sql(src: str, slide: str, size: str) -> str:
