@@ -105,3 +105,13 @@ def test_console_sink_runs(spark):
               checkpoint=f"{base}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
     assert q.exception() is None and sum(p["numInputRows"] for p in q.recentProgress) == 1
+
+
+def test_salted_left_join_keeps_unmatched_rows(spark):
+    big = spark.range(1000).select((F.col("id") % 4).alias("k"), F.col("id"))  # key 3 has no match
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, v string")
+    plain = sorted(big.join(small, ["k"], "left").collect())
+    salted = sorted(
+        salted_join(big, small, ["k"], F.col("id"), how="left", rows_per_task=50).select("k", "id", "v").collect()
+    )
+    assert plain == salted and sum(1 for r in salted if r.v is None) == 250
