@@ -34,3 +34,24 @@ def test_cli_validate_then_stream(spark):
     q.awaitTermination()
     t = spark.read.parquet(f"{base}/m/trades").collect()
     assert sorted((r.buy_order_id, r.sell_order_id) for r in t) == [("b1", "s1")]
+
+
+def test_cli_stream_sma_snapshot(spark):
+    from bourse.functions import encode
+
+    base = scratch_path(spark, "t-cli3")
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    trades = spark.createDataFrame(
+        [
+            ("A", "b1", 5.0, "s1", 4.0, 1, t0 + dt.timedelta(minutes=1)),
+            ("B", "b2", 7.0, "s2", 1.0, 1, t0 + dt.timedelta(minutes=2)),
+            ("A", "b3", 3.0, "s3", 2.0, 1, t0 + dt.timedelta(minutes=11)),
+        ],
+        schemas.TRADE,
+    )
+    encode(trades, ["buy_order_id", "sell_order_id", "execution_time"]).select("value").write.text(f"{base}/trades")
+    q = run(["stream-sma", "--input", f"{base}/trades", "--checkpoint", f"{base}/ck", "--sink", "snapshot",
+             "--out", f"{base}/top", "--window", "10 minutes", "--slide", "10 minutes", "--trigger", "available-now"], spark)
+    q.awaitTermination()
+    got = [(r.instrument, r.sma_price, r.w_start_time.minute) for r in spark.read.parquet(f"{base}/top").collect()]
+    assert sorted(got, key=lambda x: (-x[2], -x[1])) == [("A", 3.0, 10), ("B", 7.0, 0), ("A", 5.0, 0)]
