@@ -45,3 +45,13 @@ def write_blobs(df: DataFrame, column: str, path: str, last_byte: str) -> None:
     """
     cut = F.expr(f"substring(`{column}`, 1, octet_length(`{column}`) - 1)")
     df.select(cut.cast("string").alias("value")).write.option("lineSep", last_byte).mode("error").text(path)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it many times."""
+    return F.transform(F.array(value), body)[0]
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """A checkpointed table, marked for broadcast only if it was counted to hold at most ``max_rows`` rows."""
+    return F.broadcast(df) if df.count() <= max_rows else df
