@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam
+from bourse.llm import decontam, mixing
 from bourse.llm.common import table
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
 from bourse.session import shared_dir
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_dir(spark)
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_dir(spark)
     found = simhash_components(table(spark, sf_dir, "documents"), k=4, max_bits=4)
@@ -30,11 +35,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op2_mix_sources": mixing.oracle(),
     "op8_winnowing_decontamination": decontam.oracle(window=10),
 }
