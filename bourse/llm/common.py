@@ -36,7 +36,7 @@ def text_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def write_blobs(df: DataFrame, column: str, path: str, last_byte: str) -> None:
+def write_blobs(df: DataFrame, column: str, path: str, last_byte: str, one_per_file: bool = False) -> None:
     """Write binary values as raw files through Spark's own committed text writer.
 
     The writer ends each value with ``last_byte``, so values are handed over
@@ -44,7 +44,8 @@ def write_blobs(df: DataFrame, column: str, path: str, last_byte: str) -> None:
     writer gives the output commit: a lost or repeated task leaves no partial file.
     """
     cut = F.expr(f"substring(`{column}`, 1, octet_length(`{column}`) - 1)")
-    df.select(cut.cast("string").alias("value")).write.option("lineSep", last_byte).mode("error").text(path)
+    writer = df.select(cut.cast("string").alias("value")).write.option("lineSep", last_byte).mode("error")
+    (writer.option("maxRecordsPerFile", 1) if one_per_file else writer).text(path)
 
 
 def let(value: Column, body) -> Column:

@@ -25,7 +25,7 @@ TOPICS = (
     ("contact", "@[a-z0-9-]+[.]|https?://"),
 )
 # Target shares are the present shares to these powers (then made to sum to 1): below 1 lifts what is rare.
-TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+TEMPER = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 SWEEPS = 8
 BROADCAST_ROWS = 200_000
 WORD = r"[^\x20\x09-\x0D]+"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam, mixing
+from bourse.llm import decontam, mixing, wavelet
 from bourse.llm.common import table
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
@@ -24,6 +24,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_dir(spark)
+    return wavelet.token_table(table(spark, sf_dir, "documents"), wavelet.tokenizer_file("word_bpe_49k.json"), end_id=1)
+
+
 def op8_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_dir(spark)
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -37,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_wavelet_tokens": op4_wavelet_tokens,
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
