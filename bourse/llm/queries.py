@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam, mixing, wavelet
+from bourse.llm import decontam, mixing, warc, wavelet
 from bourse.llm.common import table
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
-from bourse.session import shared_dir
+from bourse.session import scratch_path, shared_dir
+
+
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_dir(spark)
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_round_trip": op1_warc_round_trip,
     "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_wavelet_tokens": op4_wavelet_tokens,
@@ -48,6 +56,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op1_warc_round_trip": warc.oracle(),
     "op2_mix_sources": mixing.oracle(),
     "op8_winnowing_decontamination": decontam.oracle(window=10),
 }
