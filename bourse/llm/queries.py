@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam, mixing, secret_scan, warc, wavelet
+from bourse.llm import decontam, html_text, mixing, secret_scan, warc, wavelet
 from bourse.llm.common import table
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
@@ -36,6 +36,10 @@ def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_table(table(spark, sf_dir, "documents"), wavelet.tokenizer_file("word_bpe_49k.json"), end_id=1)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_dir(spark)
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
@@ -56,6 +60,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_wavelet_tokens": op4_wavelet_tokens,
+    "op5_html_text": op5_html_text,
     "op7_secret_scan": op7_secret_scan,
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op10_quality_rules": op10_quality_rules,
