@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam, html_text, mixing, secret_scan, warc, wavelet
+from bourse.llm import decontam, html_text, mixing, secret_scan, toxicity, warc, wavelet
 from bourse.llm.common import table
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
@@ -40,6 +40,12 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_dir(spark)
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_dir(spark)
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
@@ -61,6 +67,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_wavelet_tokens": op4_wavelet_tokens,
     "op5_html_text": op5_html_text,
+    "op6_toxicity_nnpu": op6_toxicity_nnpu,
     "op7_secret_scan": op7_secret_scan,
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op10_quality_rules": op10_quality_rules,
