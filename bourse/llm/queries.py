@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam, html_text, mixing, secret_scan, toxicity, warc, wavelet
+from bourse.llm import decontam, html_text, lm, mixing, secret_scan, toxicity, warc, wavelet
 from bourse.llm.common import table
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
@@ -57,6 +57,11 @@ def op8_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("key")
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_dir(spark)
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity_nnpu": op6_toxicity_nnpu,
     "op7_secret_scan": op7_secret_scan,
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
+    "op9_lm_scores": op9_lm_scores,
     "op10_quality_rules": op10_quality_rules,
 }
 

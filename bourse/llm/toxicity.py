@@ -65,7 +65,7 @@ def select_features(positive: list[set[str]], unlabelled: list[set[str]], prior:
     return sorted(gain, key=lambda f: (-gain[f], f))[:most]
 
 
-def fit_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = STEPS, rate: float = 0.1, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = STEPS, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear classifier that minimises the non-negative risk (Adam, whole batches)."""
     prior = min(max(prior, 1e-4), 0.999)
     w = np.zeros(x_p.shape[1] + 1)
