@@ -39,8 +39,8 @@ VOCABULARY = 1000
 COMMON_WORDS = 1 << 17  # looked up without a join
 WIDTH = 24
 ROUNDS = 2
-NOISE = 64
-MINIBATCH = 4096
+NOISE = 128
+MINIBATCH = 1024
 RATE = 0.02
 SMOOTH = 0.1
 WORDS_AT_ONCE = 1 << 20
