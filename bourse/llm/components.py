@@ -10,8 +10,9 @@ def components(links: DataFrame, src: str, dst: str, max_rounds: int = 64) -> Da
     """``node, label``: every node of an undirected link table and the smallest node it reaches.
 
     Each round gives every node the smallest neighbour below itself as parent,
-    follows parents twice, and replaces links by links between parents.  Links
-    inside one parent vanish, so the table shrinks until none is left.  All
+    follows parents to their roots, and replaces links by links between roots.
+    Every node with a link joins another one, so at least half of the nodes
+    vanish in a round.  All
     state lives in checkpointed tables; the driver only sees counts.  Nodes
     must not be null; self-links and repeated links are allowed.
     """
@@ -23,10 +24,16 @@ def components(links: DataFrame, src: str, dst: str, max_rounds: int = 64) -> Da
             return labels
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         parent = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p"))
-        for _jump in range(2):
-            up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-            parent = parent.join(up, "p", "left").select("u", F.coalesce("pp", "p").alias("p"))
+        # every u has a row, and every parent is some u
         parent = parent.checkpoint()
+        while True:  # to the roots: 16 steps up become one, until nothing moves
+            start = parent
+            for _jump in range(4):
+                up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+                parent = parent.join(up, "p").select("u", F.col("pp").alias("p"))
+            parent = parent.checkpoint()
+            if start.exceptAll(parent).isEmpty():
+                break
         labels = (
             labels.join(parent, labels["label"] == parent["u"], "left")
             .select("node", F.coalesce("p", "label").alias("label"))
