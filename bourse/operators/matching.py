@@ -23,20 +23,20 @@ price prefix: the sells priced at or below the buy.  So:
 2. Dyadic nodes.  Level ``l`` groups sell price indexes into blocks of
    ``2**l``.  The prefix ``[0, c)`` is the union of one block per set bit of
    ``c`` (at most ``log2`` of the number of price levels).
-3. Per block, only its first ``K`` sells by arrival are kept (``K`` = largest
-   buy volume, an exact bound).  Spark computes this top-K per block with a
-   partial limit before the shuffle, so a hot book or price level never
-   lands whole in one task.  Of those, a sell whose earlier block mates
-   already bring ``K`` units is dropped too.
-4. Each buy joins its blocks and keeps the entries whose earlier block mates
-   bring less than its own volume: all of a block is eligible for the buy, so
+3. Buys fall into volume classes, class ``j`` up to ``2**j``.  Of a block,
+   class ``j`` needs the entries whose earlier block mates bring less than
+   ``2**j`` units: at most ``2**j`` entries.  They are listed once for each
+   class that has buys in the book.  While all volumes are small, a rank cut
+   that Spark plans as a partial limit before the shuffle comes first.
+4. Each buy joins its blocks by its class and keeps the entries whose earlier
+   block mates bring less than its own volume: all of a block is eligible for the buy, so
    a sell behind ``V`` units of its block is never reached.  A running sum
    over these candidates in arrival order follows.  Every sell that can trade
    (and every sell before it) is among the candidates, and any dropped sell
    sits behind kept ones worth at least ``V``, so the running sum is exact.
 
-Work is ``O((buys * V + sells) * log(price levels))`` rows instead of
-``buys * sells`` per book.
+Work is ``O((sum of buy volumes + sells) * log(price levels))`` rows at most,
+instead of ``buys * sells`` per book; a large buy costs what it needs itself.
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bourse.functions.codec import reject_reason
 from bourse.functions.columns import BUY, SELL, time_literal_or_col
 from bourse.plans.skew import ROWS_PER_TASK, ranked_within_groups, salted_join
 
@@ -83,6 +84,7 @@ def prepare_book_orders(orders_w: DataFrame, as_of="window_end", stable_ids: boo
     """Live orders of each book with a row identity ``uid``.
 
     ``orders_w`` carries ``w_start``/``w_end`` (see ``book.assign_windows``).
+    Rows that ``quarantine`` would reject take no part, whatever the book's size.
     The identity is taken once and the rows are checkpointed to the shared
     checkpoint folder, so every branch of the plan (trades, leftovers) and any
     recomputation after a lost executor see the same ids.
@@ -91,7 +93,9 @@ def prepare_book_orders(orders_w: DataFrame, as_of="window_end", stable_ids: boo
         orders_w = orders_w.select(
             F.col("window.start").alias("w_start"), F.col("window.end").alias("w_end"), "*"
         ).drop("window")
-    o = orders_w.where(F.col("expiry") > _as_of_col(as_of)).where(F.col("buy_sell").isin(BUY, SELL))
+    # the matcher's exactness rests on these rules (no null keys or prices, volumes of 1 or more)
+    o = orders_w.where(reject_reason().isNull()).where(F.col("expiry") > _as_of_col(as_of))
+    o = o.withColumn("initial_order_time", F.coalesce("initial_order_time", "order_time"))
     o = o.select(*GROUP, *[c for c in ORDER_BODY if c != "uid"]).withColumn("uid", F.monotonically_increasing_id())
     if stable_ids:
         o = o.checkpoint(eager=True)
@@ -154,6 +158,11 @@ def _ranks_in_one_pass(o: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sells, buys
 
 
+def _volume_class(volume: str) -> Column:
+    """The smallest j with volume <= 2^j."""
+    return F.when(F.col(volume) <= 1, 0).otherwise(F.length(F.bin(F.col(volume) - 1))).cast("int")
+
+
 def _levels(n_sell_levels: Column) -> Column:
     # number of dyadic levels = bit length of the number of sell price levels
     return F.sequence(F.lit(0), F.length(F.bin(n_sell_levels)) - 1)
@@ -215,8 +224,7 @@ def match_prepared(
     buys = _prefixed(o.where(F.col("buy_sell") == BUY), "b_")
     sells = _prefixed(o.where(F.col("buy_sell") == SELL), "s_")
 
-    # one small job: K = largest buy volume (how many sells of a block can
-    # matter), and the largest book (picks the ladder strategy)
+    # one small job: the largest buy volume and the largest book (picks the ladder strategy)
     stats = (
         o.groupBy(*GROUP)
         .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("buy_sell") == BUY, F.col("volume"))).alias("k"))
@@ -224,8 +232,6 @@ def match_prepared(
         .first()
     )
     k = stats.k or 0
-    if k > int(spark.conf.get(WINDOW_GROUP_LIMIT_CONF, "1000")):
-        spark.conf.set(WINDOW_GROUP_LIMIT_CONF, str(k))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     biggest_book = stats.n or 0
 
@@ -248,27 +254,38 @@ def match_prepared(
     else:
         sells_d, buys_c = _ranks_in_one_pass(o)
 
+    # a buy of volume V has class j, the smallest with V <= 2^j.  Only block entries with fewer than
+    # 2^j units before them can matter to it, so it is joined to those alone; what large buys need
+    # is paid for by large buys
+    classes = buys.groupBy(*GROUP).agg(F.collect_set(_volume_class("b_volume")).alias("classes"))
+
     s_arrival = [F.col("s_" + c) for c in ARRIVAL]
     sell_nodes = (
-        sells_d
+        join(sells_d, classes, GROUP, "s_uid")
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .withColumn("node", F.expr("shiftright(d, lvl)"))
         .where(F.col("node") < F.expr("shiftright(n_sell_levels, lvl)"))
         .drop("d", "n_sell_levels")
     )
-    in_block = Window.partitionBy(*GROUP, "lvl", "node").orderBy(*s_arrival)
-    # rank cut first (planned as a partial limit before the shuffle), then the
-    # volume cut: a sell whose block predecessors already bring K units is
-    # never reached by any buy
-    block_top = (
-        sell_nodes.withColumn("rk", F.row_number().over(in_block))
-        .where(F.col("rk") <= F.lit(k))
-        .withColumn(
+    block = GROUP + ["lvl", "node"]
+    if biggest_book > ladder_rows:
+        # the top block of a huge book is summed across tasks
+        ranked = ranked_within_groups(sell_nodes, block, s_arrival, "s_volume", parts)
+        block_sums = ranked.withColumn("block_prev", F.col("run_sum") - F.col("s_volume")).drop("run_sum", "group_sum")
+    else:
+        in_block = Window.partitionBy(*block).orderBy(*s_arrival)
+        cut = sell_nodes
+        if k <= int(spark.conf.get(WINDOW_GROUP_LIMIT_CONF, "1000")):
+            # a rank cut that is planned as a partial limit before the shuffle: each sell brings a unit at least
+            cut = cut.withColumn("rk", F.row_number().over(in_block)).where(F.col("rk") <= F.lit(k)).drop("rk")
+        block_sums = cut.withColumn(
             "block_prev",
             F.coalesce(F.sum("s_volume").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         )
-        .where(F.col("block_prev") < F.lit(k))
-    )
+    # at most 2^j entries of a block are in class j
+    block_top = block_sums.withColumn(
+        "cls", F.explode(F.expr("filter(classes, j -> shiftleft(1L, j) > block_prev)"))
+    ).drop("classes")
 
     buy_nodes = (
         buys_c
@@ -276,16 +293,27 @@ def match_prepared(
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .where(F.expr("shiftright(c, lvl) & 1") == 1)
         .withColumn("node", F.expr("shiftright(c, lvl) - 1"))
-        .select(*GROUP, "lvl", "node", *[F.col("b_" + c) for c in ORDER_BODY])
+        .select(*GROUP, "lvl", "node", _volume_class("b_volume").alias("cls"), *[F.col("b_" + c) for c in ORDER_BODY])
     )
 
     # a block near the top of a big book is wanted by many buys: salted join
     # only sells whose earlier block mates bring less than the buy's volume can be reached
-    cand = join(buy_nodes, block_top, GROUP + ["lvl", "node"], "b_uid").where(F.col("block_prev") < F.col("b_volume"))
+    cand = join(buy_nodes, block_top, block + ["cls"], "b_uid").where(F.col("block_prev") < F.col("b_volume"))
     per_buy = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival)
-    cand = cand.withColumn(
-        "prev", F.coalesce(F.sum("s_volume").over(per_buy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("is_last", F.lead(F.lit(1)).over(per_buy).isNull())
+
+    def in_one_task(c: DataFrame) -> DataFrame:
+        return c.withColumn(
+            "prev", F.coalesce(F.sum("s_volume").over(per_buy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ).withColumn("is_last", F.lead(F.lit(1)).over(per_buy).isNull())
+
+    if biggest_book > hot_rows and k > hot_rows:
+        # a buy that may take more than hot_rows sells is summed across tasks
+        large = ranked_within_groups(cand.where(F.col("b_volume") > hot_rows), GROUP + ["b_uid"], s_arrival, "s_volume", parts)
+        large = large.withColumn("prev", F.col("run_sum") - F.col("s_volume"))
+        large = large.withColumn("is_last", F.col("run_sum") == F.col("group_sum")).drop("run_sum", "group_sum")
+        cand = in_one_task(cand.where(F.col("b_volume") <= hot_rows)).unionByName(large)
+    else:
+        cand = in_one_task(cand)
     hits = cand.where(F.col("prev") < F.col("b_volume")).withColumn(
         "want", (F.col("b_volume") - F.col("prev")).cast("int")
     ).withColumn("trade_volume", F.least(F.col("s_volume"), F.col("want")))

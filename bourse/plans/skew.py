@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bourse.plans.sizing import bounded_broadcast
+
 # A key with more rows than this on the big side of a join is split over
 # ceil(rows / ROWS_PER_TASK) tasks.
 ROWS_PER_TASK = 1 << 20
@@ -23,15 +25,14 @@ def salted_join(
     Keys holding more than ``rows_per_task`` rows of ``big`` are hot: their big
     rows are spread over ``ceil(rows / rows_per_task)`` salts by ``spread`` (a
     per-row value such as a row id), and their small rows are copied once per
-    salt.  Other keys join unchanged.  The hot-key table is broadcast; it has
-    at most ``rows(big) / rows_per_task`` rows, which bounds its size.
+    salt.  Other keys join unchanged.  The hot-key table, at most
+    ``rows(big) / rows_per_task`` rows, is broadcast only after its rows were counted.
     """
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(
-        counts.where(F.col("_n") > rows_per_task).select(
-            *keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_salts")
-        )
+    hot = counts.where(F.col("_n") > rows_per_task).select(
+        *keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_salts")
     )
+    hot = bounded_broadcast(hot.checkpoint())
     big_s = (
         big.join(hot, keys, "left")
         .withColumn(
@@ -83,8 +84,12 @@ def ranked_within_groups(
         ).alias("_offset"),
         F.sum("_slice").over(Window.partitionBy(*group)).alias("group_sum"),
     )
+    # null-safe: a null in a group column is a group like any other
+    right = offsets.select(*[F.col(c).alias("_r_" + c) for c in [*group, "_pid"]], "_offset", "group_sum")
+    same = [F.col(c).eqNullSafe(F.col("_r_" + c)) for c in [*group, "_pid"]]
     return (
-        local.join(offsets, group + ["_pid"])
+        local.join(right, same)
+        .drop(*["_r_" + c for c in [*group, "_pid"]])
         .withColumn("run_sum", F.col("_offset") + F.col("_local"))
         .drop("_pid", "_local", "_offset")
     )
