@@ -31,10 +31,22 @@ def decode_wire_orders(df: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+# ISO-8601 with the whole fraction; Spark's own default stops at milliseconds.
+ISO_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def encode(df: DataFrame, key_cols: list[str] | None) -> DataFrame:
-    """``key`` = parts joined by '_' (null if a part is null); ``value`` = ``to_json(struct(*))``."""
+    """``key`` = parts joined by '_' (null if a part is null); ``value`` = ``to_json(struct(*))``, times in full precision."""
     key = message_key(*key_cols) if key_cols else F.lit(None).cast("string")
-    return df.select(key.alias("key"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    return df.select(key.alias("key"), F.to_json(F.struct(*[F.col(c) for c in df.columns]), ISO_TIME).alias("value"))
+
+
+def encode_reorders(orders: DataFrame) -> DataFrame:
+    """Leftovers -> re-order envelope: key ``<order_id>_<order_time>``, JSON value with ISO times in full precision.
+
+    A leftover keeps its arrival rank and its expiry to the microsecond when it comes back.
+    """
+    return encode(orders.select(*schemas.ORDER_COLS), REORDER_KEY)
 
 
 def encode_wire_orders(orders: DataFrame) -> DataFrame:

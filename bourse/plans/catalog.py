@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourse.functions.codec import decode, decode_wire_orders, encode, encode_wire_orders, quarantine
+from bourse.functions.codec import decode, decode_wire_orders, encode, encode_reorders, encode_wire_orders, quarantine
 from bourse.functions.columns import PROFIT_TOP_N, SMA_TOP_N, TRADE_KEY, message_key, order_id_expr
 from bourse.operators.analytics import profit, sma, top_n
 from bourse.operators.book import assign_windows, order_book, price_ladder
@@ -171,6 +171,57 @@ def q_match_trades(spark, sf_dir):
     return ntz(m1_match(spark, sf_dir).trades, "w_start", "w_end", "execution_time")
 
 
+def q_match_ladder(spark, sf_dir):
+    """The tier of books beyond one task, forced: price levels ranked across tasks and joined back."""
+    m = match_orders(m1_good_windowed(spark, sf_dir), book_rows=0, ladder_rows=0)
+    return ntz(m.trades, "w_start", "w_end", "execution_time")
+
+
+def q_match_salted(spark, sf_dir):
+    """The tier of hot keys, forced: salted joins and sums across tasks for large buys."""
+    m = match_orders(m1_good_windowed(spark, sf_dir), book_rows=0, ladder_rows=0, hot_rows=16)
+    return ntz(m.trades, "w_start", "w_end", "execution_time")
+
+
+def q_match_whale(spark, sf_dir):
+    """M1 and, per instrument, one buy that wants far more than its book holds."""
+    orders = m1_orders(spark, sf_dir)
+    last = orders.groupBy("instrument").agg(F.max("order_time").alias("order_time"))
+    whales = last.select(
+        F.concat(F.lit("whale-"), "instrument").alias("order_id"), "instrument", F.lit("Buy").alias("buy_sell"),
+        F.lit(1_000_000.0).alias("price"), F.lit(50_000_000).alias("volume"),
+        (F.col("order_time") + F.expr("INTERVAL 30 HOURS")).alias("expiry"), "order_time",
+        F.col("order_time").alias("initial_order_time"),
+    )
+    good, _ = quarantine(orders.unionByName(whales))
+    m = match_orders(assign_windows(good, "order_time", M1_WINDOW, M1_SLIDE))
+    return ntz(m.trades, "w_start", "w_end", "execution_time")
+
+
+def q_match_explode(spark, sf_dir):
+    """Trades in the reference's flat shape."""
+    return ntz(reference_view(m1_match(spark, sf_dir)).trades, "execution_time")
+
+
+def q_reorder_wire(spark, sf_dir):
+    """Leftovers as re-order messages, key and value text."""
+    return encode_reorders(carry_forward(m1_match(spark, sf_dir).remaining))
+
+
+def q_order_book_paged(spark, sf_dir):
+    """Books beyond one page (here of 16 entries), with every entry's fields."""
+    book = order_book(m1_good_windowed(spark, sf_dir), page_size=16)
+    entry = F.transform(
+        "book",
+        lambda e: F.concat_ws(
+            "/", e["order_id"], F.round(e["price"] * 100).cast("long").cast("string"), e["volume"].cast("string"),
+            e["buy_sell"], F.unix_seconds(e["expiry"]).cast("string"),
+        ),
+    )
+    out = book.select("w_start", "w_end", "instrument", "page", "n_orders", F.array_join(entry, ",").alias("entries"))
+    return ntz(out, "w_start", "w_end")
+
+
 def q_remaining(spark, sf_dir):
     rem = m1_match(spark, sf_dir).remaining
     return ntz(rem, "w_start", "w_end", "order_time", "initial_order_time", "expiry")
@@ -203,28 +254,33 @@ def q_union_orders(spark, sf_dir):
 # ---------- analytics ----------
 
 def _sma_m1(spark, sf_dir):
-    return dec6(ntz(sma(m1_match(spark, sf_dir).trades, M1_WINDOW, M1_SLIDE), "w_start_time", "w_end_time"), "sma_price")
+    return sma(m1_match(spark, sf_dir).trades, M1_WINDOW, M1_SLIDE)
 
 
 def _profit_m1(spark, sf_dir):
-    p = profit(m1_match(spark, sf_dir).trades, M1_WINDOW, M1_SLIDE)
-    return dec6(ntz(p, "w_start_time", "w_end_time"), "profit", "closing_sma_price", "opening_sma_price")
+    return profit(m1_match(spark, sf_dir).trades, M1_WINDOW, M1_SLIDE)
+
+
+def _shown(df):
+    """Rounded for comparison, after any ranking."""
+    measures = [c for c in ("sma_price", "profit", "closing_sma_price", "opening_sma_price") if c in df.columns]
+    return dec6(ntz(df, "w_start_time", "w_end_time"), *measures)
 
 
 def q_sma(spark, sf_dir):
-    return _sma_m1(spark, sf_dir)
+    return _shown(_sma_m1(spark, sf_dir))
 
 
 def q_sma_top(spark, sf_dir):
-    return top_n(_sma_m1(spark, sf_dir), SMA_TOP_N, "sma_price")
+    return _shown(top_n(_sma_m1(spark, sf_dir), SMA_TOP_N, "sma_price"))
 
 
 def q_profit(spark, sf_dir):
-    return _profit_m1(spark, sf_dir)
+    return _shown(_profit_m1(spark, sf_dir))
 
 
 def q_profit_top(spark, sf_dir):
-    return top_n(_profit_m1(spark, sf_dir), PROFIT_TOP_N, "profit")
+    return _shown(top_n(_profit_m1(spark, sf_dir), PROFIT_TOP_N, "profit"))
 
 
 def q_sma_lineitem(spark, sf_dir):
@@ -233,9 +289,7 @@ def q_sma_lineitem(spark, sf_dir):
 
 
 def q_profit_lineitem_top(spark, sf_dir):
-    p = profit(m3_trades(spark, sf_dir), M3_WINDOW, M3_SLIDE)
-    p = dec6(ntz(p, "w_start_time", "w_end_time"), "profit", "closing_sma_price", "opening_sma_price")
-    return top_n(p, 10, "profit")
+    return _shown(top_n(profit(m3_trades(spark, sf_dir), M3_WINDOW, M3_SLIDE), 10, "profit"))
 
 
 BATCH_QUERIES = {
@@ -251,6 +305,12 @@ BATCH_QUERIES = {
     "q_order_book": q_order_book,
     "q_price_ladder": q_price_ladder,
     "q_match_trades": q_match_trades,
+    "q_match_ladder": q_match_ladder,
+    "q_match_salted": q_match_salted,
+    "q_match_whale": q_match_whale,
+    "q_match_explode": q_match_explode,
+    "q_order_book_paged": q_order_book_paged,
+    "q_reorder_wire": q_reorder_wire,
     "q_remaining": q_remaining,
     "q_trade_keys": q_trade_keys,
     "q_carry_forward": q_carry_forward,

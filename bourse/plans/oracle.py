@@ -30,6 +30,15 @@ good AS (
     AND NOT isnan(price) AND volume > 0 AND buy_sell IN ('Buy', 'Sell')
 )"""
 
+# M1 and one order per instrument that wants far more than its book holds
+M1_WHALES = M1_ORDERS.replace("m1 AS (", "m0 AS (") + """,
+m1 AS (
+  SELECT * FROM m0 UNION ALL
+  SELECT 'whale-' || instrument, -1 - row_number() OVER (ORDER BY instrument), instrument, 'Buy', 1000000.0, 50000000,
+         max(order_time) + INTERVAL 30 HOUR, max(order_time), max(order_time)
+  FROM m0 GROUP BY instrument
+)"""
+
 # sliding window 1 day every 12 hours (epoch-aligned): each order lands in two windows
 M1_WINDOWED = """
 ow AS (
@@ -134,14 +143,14 @@ FROM ({_sliding(src, 'execution_time', slide, size, 2)}) GROUP BY instrument, w_
 M2_ORDERS = """
 o2 AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
-         CAST(l_partkey AS VARCHAR) AS instrument,
+         CAST(l_partkey AS VARCHAR) || CASE WHEN l_linenumber = 7 THEN '-X' ELSE '' END AS instrument,
          CASE WHEN l_linenumber % 2 = 1 THEN 'Buy' ELSE 'Sell' END AS buy_sell,
          l_extendedprice AS price, CAST(l_quantity AS INTEGER) AS volume, l_shipdate AS expiry
   FROM lineitem
 ),
 inst AS (
   SELECT CAST(p_partkey AS VARCHAR) AS instrument, min_by(p_retailprice, p_retailprice) AS mkt_price, 1 AS mkt_volume
-  FROM part WHERE NOT starts_with(p_type, 'PROMO') GROUP BY 1
+  FROM part GROUP BY 1
 ),
 v2 AS (
   SELECT o2.*, CASE
@@ -218,11 +227,38 @@ SELECT order_id, instrument, buy_sell, price, volume, expiry, order_time, initia
     sma_m1 = _sma_sql("trades", "12 HOUR", "1 DAY")
     profit_m1 = _profit_sql("trades", "12 HOUR", "1 DAY")
     q["q_sma"] = m + sma_m1
-    q["q_sma_top"] = m + f"SELECT * FROM ({sma_m1}) ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4"
+    # ranked on the averages themselves, rounded afterwards
+    q["q_sma_top"] = m + sma_m1 + " ORDER BY w_start_time DESC, AVG(per_volume_buy_price) DESC NULLS LAST, instrument LIMIT 4"
     q["q_profit"] = m + profit_m1
-    q["q_profit_top"] = m + f"SELECT * FROM ({profit_m1}) ORDER BY w_start_time DESC, profit DESC NULLS LAST, instrument LIMIT 1"
+    by_profit = "ORDER BY w_start_time DESC, AVG(per_volume_buy_price) - AVG(per_volume_sell_price) DESC NULLS LAST, instrument"
+    q["q_profit_top"] = m + f"{profit_m1} {by_profit} LIMIT 1"
     q["q_sma_lineitem"] = _with(M3_TRADES) + _sma_sql("t3", "15 DAY", "30 DAY")
     p3 = _profit_sql("t3", "15 DAY", "30 DAY")
-    q["q_profit_lineitem_top"] = _with(M3_TRADES) + f"""
-SELECT * FROM ({p3}) ORDER BY w_start_time DESC, profit DESC NULLS LAST, instrument LIMIT 10"""
+    q["q_profit_lineitem_top"] = _with(M3_TRADES) + f"{p3} {by_profit} LIMIT 10"
+    # every tier of the matcher gives the trades of the plain rule
+    q["q_match_ladder"] = q["q_match_trades"]
+    q["q_match_salted"] = q["q_match_trades"]
+    q["q_match_whale"] = _with(M1_WHALES, M1_GOOD, M1_WINDOWED, M1_MATCH) + "SELECT * FROM trades"
+    q["q_match_explode"] = m + """
+SELECT instrument, buy_order_id, sell_order_id, trade_volume, per_volume_buy_price, per_volume_sell_price, execution_time
+FROM trades"""
+    q["q_order_book_paged"] = _with(M1_ORDERS, M1_GOOD, M1_WINDOWED) + """
+SELECT w_start, w_end, instrument, page, COUNT(*) AS n_orders,
+       string_agg(order_id || '/' || CAST(CAST(round(price * 100) AS BIGINT) AS VARCHAR) || '/' || CAST(volume AS VARCHAR) || '/'
+                  || buy_sell || '/' || CAST(CAST(floor(epoch(expiry)) AS BIGINT) AS VARCHAR),
+                  ',' ORDER BY order_time, order_id, price, volume, buy_sell, expiry, initial_order_time) AS entries
+FROM (
+  SELECT *, CAST((row_number() OVER (PARTITION BY w_start, w_end, instrument
+                  ORDER BY order_time, order_id, price, volume, buy_sell, expiry, initial_order_time) - 1)
+                 // 16 AS BIGINT) AS page
+  FROM ow
+) GROUP BY w_start, w_end, instrument, page"""
+    iso = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"
+    q["q_reorder_wire"] = m + f"""
+SELECT order_id || '_' || CAST(order_time AS VARCHAR) AS key,
+       '{{"order_id":"' || order_id || '","instrument":"' || instrument || '","buy_sell":"' || buy_sell || '","price":'
+       || CAST(price AS VARCHAR) || ',"volume":' || CAST(volume AS VARCHAR) || ',"expiry":"' || {iso.format('expiry')}
+       || '","order_time":"' || {iso.format('order_time')} || '","initial_order_time":"' || {iso.format('initial_order_time')}
+       || '"}}' AS value
+FROM remaining"""
     return q

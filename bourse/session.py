@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -61,12 +62,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and only read here.  Where it is
-    unset (a bare local test session) a private temporary folder is used.
+    On a cluster this is set by the deployment and only read here; without it a
+    cluster session is refused, since a machine-local folder would lose files.
+    A bare local session (tests) gets a private temporary folder.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="bourse-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
@@ -78,6 +82,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/bourse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file is there, asked through Spark's file systems."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, streaming: bool = False) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of order data.
 
@@ -96,6 +107,8 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, streaming: bo
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        # streams checkpoint every micro-batch of orders: drop what no plan refers to any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if streaming:
         conf["spark.sql.streaming.stateStore.providerClass"] = (

@@ -50,12 +50,13 @@ def orders_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """M2 orders: one order per line item on instrument ``l_partkey``.
 
     Total price = extended price, volume = quantity, expiry = ship date; odd
-    line numbers buy, even ones sell.
+    line numbers buy, even ones sell.  Seventh lines name a share class that is
+    not listed (``<l_partkey>-X``), so unknown instruments exist.
     """
     ship = F.col("l_shipdate").cast("timestamp")
     return lineitem.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_id"),
-        F.col("l_partkey").cast("string").alias("instrument"),
+        F.concat(F.col("l_partkey").cast("string"), F.when(F.col("l_linenumber") == 7, "-X").otherwise("")).alias("instrument"),
         F.when(F.col("l_linenumber") % 2 == 1, F.lit(BUY)).otherwise(F.lit(SELL)).alias("buy_sell"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("int").alias("volume"),
@@ -64,11 +65,8 @@ def orders_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def instruments_from_parts(part: DataFrame) -> DataFrame:
-    """M2 instruments: a part is listed with its retail price for one unit.
-
-    Parts of the PROMO types are not listed, so orders on them are invalid.
-    """
-    return part.where(~F.col("p_type").startswith("PROMO")).select(
+    """M2 instruments: every part is listed with its retail price for one unit."""
+    return part.select(
         F.col("p_partkey").cast("string").alias("instrument"),
         F.col("p_retailprice").alias("price"),
         F.lit(1).cast("int").alias("volume"),

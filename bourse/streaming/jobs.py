@@ -16,12 +16,12 @@ closed-window variant keeps bounded state and appends final windows to a table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bourse import schemas
-from bourse.functions.codec import encode, encode_wire_orders, quarantine
+from bourse.functions.codec import encode, encode_reorders, quarantine
 from bourse.functions.columns import (
     DEFAULT_SLIDE,
     DEFAULT_WATERMARK,
@@ -33,6 +33,7 @@ from bourse.functions.columns import (
 from bourse.operators.analytics import profit, sma, top_n
 from bourse.operators.matching import match_prepared, prepare_book_orders
 from bourse.operators.orders import carry_forward
+from bourse.session import path_exists
 from bourse.streaming.sinks import start, write_kafka
 
 # Copies of one order are released as one state row with a count.  Counts up
@@ -60,6 +61,20 @@ def release_closed_books(
     return w.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
 
 
+# Windows of one micro-batch that are pruned one by one in update mode.
+MAX_WINDOW_KEYS = 1000
+
+
+def last_emission(spark: SparkSession, out_dir: str, output: str = "trades") -> DataFrame:
+    """Update mode: the rows of each book's last emission, for readers of ``{out_dir}/trades`` or ``remaining``.
+
+    ``{out_dir}/emitted`` lists the books of every micro-batch, also those that came out without rows.
+    """
+    book = ["w_start", "w_end", "instrument"]
+    last = spark.read.parquet(f"{out_dir}/emitted").groupBy(*book).agg(F.max("batch_id").alias("batch_id"))
+    return spark.read.parquet(f"{out_dir}/{output}").join(last, book + ["batch_id"], "left_semi").drop("batch_id")
+
+
 def expand_copies(df: DataFrame, count_col: str = "copies", chunk: int = COPY_CHUNK) -> DataFrame:
     """Turn (row, count) back into ``count`` rows without one task expanding a huge count."""
     rest = [c for c in df.columns if c != count_col]
@@ -117,10 +132,12 @@ def _books_touched(batch: DataFrame, out_dir: str, batch_id: int) -> DataFrame |
         return None
     new.write.mode("append").partitionBy("w_key").parquet(f"{out_dir}/books")
     touched = new.select("w_start", "w_end", "instrument").distinct()
+    keys = [r.w_key for r in new.select("w_key").distinct().limit(MAX_WINDOW_KEYS + 1).collect()]
+    # partition pruning: exactly the windows this batch touched, or their range if they are very many
+    pruned = F.col("w_key").isin(keys) if len(keys) <= MAX_WINDOW_KEYS else F.col("w_key").between(lo, hi)
     seen = (
         spark.read.parquet(f"{out_dir}/books")
-        # partition pruning: only the window range this batch touched is read
-        .where(F.col("w_key").between(lo, hi))
+        .where(pruned)
         .join(touched, ["w_start", "w_end", "instrument"], "left_semi")
         .groupBy("w_start", "w_end", *schemas.ORDER_COLS)
         .agg(F.max("copies").alias("copies"))
@@ -145,7 +162,8 @@ def run_matcher(
     """Match a decoded order stream; write trades and leftovers per micro-batch.
 
     ``orders``: streaming ORDER rows (new orders, optionally unioned with the
-    re-order stream).  Bad rows are filtered by the quarantine rules.  Output:
+    re-order stream).  Bad rows are filtered by the quarantine rules;
+    ``run_rejects`` on the same stream keeps them.  Output:
     ``{out_dir}/trades/batch_id=N`` and ``{out_dir}/remaining/batch_id=N``
     (parquet, overwritten if a batch is retried, so the write is idempotent).
     With ``reorder_dir`` the leftovers are also written as order messages
@@ -168,6 +186,10 @@ def run_matcher(
         if emit == "on_update":
             books = _books_touched(batch, out_dir, batch_id)
             m = None if books is None else match_prepared(prepare_book_orders(books, as_of), as_of, materialize=True)
+            if m is not None:
+                staged = batch.sparkSession.read.parquet(f"{out_dir}/staging/batch_id={batch_id}")
+                books_out = staged.select("w_start", "w_end", "instrument").distinct()
+                books_out.write.mode("overwrite").parquet(f"{out_dir}/emitted/batch_id={batch_id}")
         else:
             m = match_released(batch, as_of)
         if m is None:  # no book to (re)match in this micro-batch
@@ -178,13 +200,14 @@ def run_matcher(
         if reorder_dir or kafka:
             rem = batch.sparkSession.read.parquet(rem_path)
         if reorder_dir:
-            encode_wire_orders(carry_forward(rem)).select("value").write.mode("overwrite").text(
-                f"{reorder_dir}/batch_{batch_id}"
-            )
+            # a retried batch must not show its leftovers again under new file names
+            target = f"{reorder_dir}/batch_{batch_id}"
+            if not path_exists(batch.sparkSession, f"{target}/_SUCCESS"):
+                encode_reorders(carry_forward(rem)).select("value").write.mode("overwrite").text(target)
         if kafka:
             trades = batch.sparkSession.read.parquet(f"{out_dir}/trades/batch_id={batch_id}")
             write_kafka(encode(trades, TRADE_KEY), kafka["trades_topic"], kafka["options"])
-            write_kafka(encode_wire_orders(carry_forward(rem)), kafka["reorder_topic"], kafka["options"])
+            write_kafka(encode_reorders(carry_forward(rem)), kafka["reorder_topic"], kafka["options"])
 
     return start(
         released,
@@ -197,6 +220,22 @@ def run_matcher(
     )
 
 
+def run_rejects(
+    orders: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, query_name: str | None = None
+) -> StreamingQuery:
+    """Append the rows that the quarantine rejects, with their ``reject_reason``, to a table (exactly once)."""
+    _, bad = quarantine(orders)
+    return start(bad, "parquet", checkpoint=checkpoint, output_mode="append", path=path, trigger=trigger, query_name=query_name)
+
+
+RANKING_KEY = ["instrument", "w_start_time", "w_end_time"]
+
+
+def ranking_messages(ranking: DataFrame) -> DataFrame:
+    """Ranking rows as messages: key ``<instrument>_<window start>_<window end>``, JSON value."""
+    return encode(ranking, RANKING_KEY)
+
+
 def sma_top_stream(
     trades: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE, n: int = SMA_TOP_N
 ) -> DataFrame:
@@ -220,7 +259,12 @@ def run_ranking(
     query_name: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start a ranking stream in complete mode (console / memory / kafka / a parquet snapshot at ``path``)."""
+    """Start a ranking stream in complete mode (console / memory / kafka / a parquet snapshot at ``path``).
+
+    For ``kafka`` (pass ``topic`` and the ``kafka.*`` options) rows become key/value messages.
+    """
+    if fmt == "kafka" and "value" not in ranking.columns:
+        ranking = ranking_messages(ranking)
     return start(
         ranking, fmt, checkpoint=checkpoint, output_mode="complete", path=path, trigger=trigger,
         query_name=query_name, **options,

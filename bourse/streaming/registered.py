@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 from bourse import schemas
 from bourse.plans import oracle
 from bourse.plans.catalog import dec6, m1_orders, m3_trades, ntz
+from bourse.functions.codec import encode_wire_orders
 from bourse.session import scratch_path
+from bourse.sources.files import json_dir_stream
 from bourse.sources.tables import M1_SLIDE, M1_WINDOW, M3_SLIDE, M3_WINDOW
 from bourse.functions.columns import SMA_TOP_N
 from bourse.operators.analytics import top_n
 from bourse.streaming.jobs import (
     closed_window_averages,
+    last_emission,
     profit_top_stream,
+    ranking_messages,
     run_closed_windows,
     run_matcher,
     run_ranking,
+    run_rejects,
     sma_top_stream,
 )
 
@@ -113,12 +118,61 @@ def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s_match_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode: books are re-matched whenever they change; the last emission of each book is final."""
     base = _matcher_run(spark, sf_dir, emit="on_update", files_per_batch=2)
-    book = ["w_start", "w_end", "instrument"]
-    last = spark.read.parquet(f"{base}/out/staging").groupBy(*book).agg(F.max("batch_id").alias("batch_id"))
-    t = spark.read.parquet(f"{base}/out/trades").join(last, book + ["batch_id"], "left_semi").drop("batch_id")
+    return ntz(last_emission(spark, f"{base}/out"), "w_start", "w_end", "execution_time")
+
+
+def s_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of an order stream that the quarantine rejects."""
+    base = land_in_time_order(spark, m1_orders(spark, sf_dir), "order_time", "s-rejects")
+    q = run_rejects(_stream(spark, base, schemas.ORDER), f"{base}/rejected", f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.schema("order_id string, instrument string, buy_sell string, volume int, reject_reason string")
+    return out.parquet(f"{base}/rejected")
+
+
+def s_wire_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages as JSON lines, read as a file stream, decoded and matched; times have whole seconds on that wire."""
+    orders = m1_orders(spark, sf_dir)
+    base = land_in_time_order(spark, orders, "order_time", "s-wire")
+    _end_of_stream(spark, base, orders)
+    for part in [f"s{i:03d}" for i in range(SLICES)] + ["zz-end"]:
+        encode_wire_orders(spark.read.parquet(f"{base}/in/{part}")).select("value").write.text(f"{base}/wire/{part}")
+    q = run_matcher(
+        json_dir_stream(spark, f"{base}/wire/*"),
+        out_dir=f"{base}/out",
+        checkpoint=f"{base}/checkpoint",
+        window=M1_WINDOW,
+        slide=M1_SLIDE,
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    t = spark.read.parquet(f"{base}/out/trades").drop("batch_id")
     return ntz(t, "w_start", "w_end", "execution_time")
 
 
+def _ranking_messages(spark: SparkSession, sf_dir: str, build, schema: str) -> DataFrame:
+    out = _ranking_run(spark, sf_dir, lambda t: ranking_messages(build(t, M3_WINDOW, M3_SLIDE)))
+    rows = out.select("key", F.from_json("value", schema).alias("r")).select("key", "r.*")
+    measures = [c for c in rows.columns if c.endswith(("price", "profit"))]
+    return dec6(ntz(rows, "w_start_time", "w_end_time"), *measures)
+
+
+def s_sma_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SMA ranking as key/value messages, read back."""
+    return _ranking_messages(
+        spark, sf_dir, sma_top_stream, "instrument string, sma_price double, w_start_time timestamp, w_end_time timestamp"
+    )
+
+
+def s_profit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profit ranking as key/value messages, read back."""
+    return _ranking_messages(
+        spark, sf_dir, profit_top_stream,
+        "instrument string, profit double, closing_sma_price double, opening_sma_price double, "
+        "w_start_time timestamp, w_end_time timestamp",
+    )
+
+
 def s_match_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _matcher_run(spark, sf_dir)
     t = spark.read.parquet(f"{base}/out/trades").drop("batch_id")
@@ -172,6 +226,10 @@ STREAM_QUERIES = {
     "s_remaining_append": s_remaining_append,
     "s_match_update": s_match_update,
     "s_late_drop": s_late_drop,
+    "s_rejects": s_rejects,
+    "s_wire_match": s_wire_match,
+    "s_sma_messages": s_sma_messages,
+    "s_profit_messages": s_profit_messages,
     "s_sma_complete": s_sma_complete,
     "s_sma_closed_top": s_sma_closed_top,
     "s_profit_complete": s_profit_complete,
@@ -181,7 +239,18 @@ STREAM_QUERIES = {
 def _stream_oracle() -> dict[str, str]:
     q = oracle.oracle_queries()
     m3 = oracle._with(oracle.M3_TRADES)
+    key = "instrument || '_' || CAST(w_start_time AS VARCHAR) || '_' || CAST(w_end_time AS VARCHAR) AS key"
+    # the wire of new orders has whole seconds
+    seconds = "date_trunc('second', ts)"
+    wire = oracle.M1_ORDERS.replace("ts + to_hours", f"{seconds} + to_hours").replace(
+        "ts AS order_time", f"{seconds} AS order_time").replace("ts AS initial_order_time", f"{seconds} AS initial_order_time")
     return {
+        "s_rejects": q["q_quarantine"],
+        "s_wire_match": oracle._with(wire, oracle.M1_GOOD, oracle.M1_WINDOWED, oracle.M1_MATCH) + "SELECT * FROM trades",
+        "s_sma_messages": m3 + f"""SELECT {key}, * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
+ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
+        "s_profit_messages": m3 + f"""SELECT {key}, * FROM ({oracle._profit_sql('t3', '15 DAY', '30 DAY')})
+ORDER BY w_start_time DESC, profit DESC NULLS LAST, instrument LIMIT 1""",
         "s_match_append": q["q_match_trades"],
         "s_remaining_append": q["q_remaining"],
         "s_match_update": q["q_match_trades"],
