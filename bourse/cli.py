@@ -23,7 +23,7 @@ from bourse.operators.orders import validate
 from bourse.session import prepare
 from bourse.sources.files import json_dir_stream, read_bulk_orders, read_instruments
 from bourse.sources.kafka import kafka_options, kafka_stream
-from bourse.streaming.jobs import profit_top_stream, run_matcher, run_ranking, sma_top_stream
+from bourse.streaming.jobs import profit_top_stream, run_matcher, run_ranking, run_rejects, sma_top_stream
 from bourse.streaming.sinks import publish_orders
 
 
@@ -66,6 +66,7 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--trigger", choices=["continuous-batches", "available-now"], default="continuous-batches")
+    p.add_argument("--interval", help="start a micro-batch every such time, e.g. '5 seconds'")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -100,7 +101,8 @@ def parser() -> argparse.ArgumentParser:
         _stream_args(r)
         _window_args(r)
         r.add_argument("--top", type=int, default=n)
-        r.add_argument("--sink", choices=["console", "snapshot", "memory"], default="console")
+        r.add_argument("--sink", choices=["console", "snapshot", "memory", "kafka"], default="console")
+        r.add_argument("--out-topic", help="topic of the kafka sink")
         r.add_argument("--out", help="snapshot folder")
     return ap
 
@@ -115,8 +117,14 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
             ap.error("--topic needs --bootstrap")
         if getattr(args, "sink", None) == "snapshot" and not args.out:
             ap.error("--sink snapshot needs --out")
+        if getattr(args, "sink", None) == "kafka" and not (args.out_topic and args.bootstrap):
+            ap.error("--sink kafka needs --out-topic and --bootstrap")
+        if (getattr(args, "trades_topic", None) or getattr(args, "reorder_topic", None)) and not args.bootstrap:
+            ap.error("publishing to a topic needs --bootstrap")
     spark = prepare(spark or SparkSession.builder.appName(f"bourse-{args.job}").getOrCreate())
     trigger = {"availableNow": True} if getattr(args, "trigger", None) == "available-now" else None
+    if trigger is None and getattr(args, "interval", None):
+        trigger = {"processingTime": args.interval}
 
     if args.job == "match":
         good, bad = quarantine(_read_orders(spark, args.orders, args.format))
@@ -133,22 +141,26 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
         return None
     if args.job == "stream-match":
         orders = decode_wire_orders(_message_stream(spark, args))
-        if args.reorder_dir and not args.topic:
+        if args.reorder_dir:
             orders = orders.unionByName(json_dir_stream(spark, f"{args.reorder_dir}/*"))
         kafka = None
-        if args.trades_topic and args.reorder_topic:
+        if args.trades_topic or args.reorder_topic:
             kafka = {"options": _kafka(args), "trades_topic": args.trades_topic, "reorder_topic": args.reorder_topic}
+        run_rejects(orders, f"{args.out}/rejected", f"{args.checkpoint}-rejected", trigger=trigger)
         return run_matcher(
             orders, args.out, args.checkpoint, args.window, args.slide, args.watermark,
             as_of=args.as_of, emit=args.emit, reorder_dir=args.reorder_dir, kafka=kafka, trigger=trigger,
         )
     trades = decode(_message_stream(spark, args), schemas.TRADE)
     ranking = (sma_top_stream if args.job == "stream-sma" else profit_top_stream)(trades, args.window, args.slide, args.top)
+    options = {**_kafka(args), "topic": args.out_topic} if args.sink == "kafka" else {}
     return run_ranking(ranking, args.sink, args.checkpoint, path=args.out, trigger=trigger,
-                       query_name=args.job.replace("-", "_"))
+                       query_name=args.job.replace("-", "_"), **options)
 
 
 def main() -> None:
     q = run()
     if q is not None:
         q.awaitTermination()
+        for other in q.sparkSession.streams.active:  # the rejects of an availableNow run may still be on their way
+            other.awaitTermination()

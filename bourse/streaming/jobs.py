@@ -206,8 +206,10 @@ def run_matcher(
                 encode_reorders(carry_forward(rem)).select("value").write.mode("overwrite").text(target)
         if kafka:
             trades = batch.sparkSession.read.parquet(f"{out_dir}/trades/batch_id={batch_id}")
-            write_kafka(encode(trades, TRADE_KEY), kafka["trades_topic"], kafka["options"])
-            write_kafka(encode_reorders(carry_forward(rem)), kafka["reorder_topic"], kafka["options"])
+            if kafka.get("trades_topic"):
+                write_kafka(encode(trades, TRADE_KEY), kafka["trades_topic"], kafka["options"])
+            if kafka.get("reorder_topic"):
+                write_kafka(encode_reorders(carry_forward(rem)), kafka["reorder_topic"], kafka["options"])
 
     return start(
         released,

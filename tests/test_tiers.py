@@ -1,0 +1,80 @@
+"""Every execution path of the matcher and the book gives the same rows, also on rows that the rules reject."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from bourse import schemas
+from bourse.functions.codec import decode_wire_orders, encode_reorders
+from bourse.operators.book import assign_windows, order_book
+from bourse.operators.matching import match_orders
+from bourse.session import scale_conf, shared_dir
+
+T0 = dt.datetime(2024, 1, 1, 10, 0, 0, 345678)
+LATE = dt.datetime(2024, 1, 3, 0, 0, 0, 700001)
+
+
+def _orders(spark, rows):
+    full = [(i, ins, side, price, vol, LATE, t, t) for i, ins, side, price, vol, t in rows]
+    return spark.createDataFrame(full, schemas.ORDER)
+
+
+def _t(s):
+    return T0 + dt.timedelta(seconds=s)
+
+
+ROWS = [
+    ("b1", "A", "Buy", 10.0, 5, _t(0)), ("s0", "A", "Sell", None, 3, _t(1)), ("s1", "A", "Sell", 8.0, 3, _t(2)),
+    ("s2", "A", "Sell", float("nan"), 3, _t(3)), ("s3", "A", "Sell", 9.0, 0, _t(4)), ("s4", "A", "Sell", 9.0, 1, _t(5)),
+    ("b2", None, "Buy", 10.0, 5, _t(6)), ("s5", None, "Sell", 8.0, 3, _t(7)), ("x", "A", "buy", 99.0, 1, _t(8)),
+    ("b3", "A", "Buy", 9.5, 50_000_000, _t(9)), ("s6", "B", "Sell", 1.0, 1, _t(10)), ("b4", "A", "Buy", 8.0, 2, None),
+]
+
+
+def test_tiers_agree_on_rows_that_the_rules_reject(spark):
+    books = assign_windows(_orders(spark, ROWS), "order_time", "1 day", "1 day")
+    seen = []
+    for how in ({}, {"book_rows": 0}, {"book_rows": 0, "ladder_rows": 0}, {"book_rows": 0, "ladder_rows": 0, "hot_rows": 1}):
+        m = match_orders(books, as_of=dt.datetime(2024, 1, 2), **how)
+        trades = sorted((r.buy_order_id, r.sell_order_id, r.trade_volume) for r in m.trades.collect())
+        left = sorted((r.order_id, r.volume) for r in m.remaining.collect())
+        seen.append((trades, left))
+    assert seen[0] == ([("b1", "s1", 3), ("b1", "s4", 1), ("b3", "s1", 3), ("b3", "s4", 1)], [("b1", 1), ("b3", 49_999_996)])
+    assert all(s == seen[0] for s in seen)
+
+
+def test_matching_leaves_the_session_as_it_is(spark):
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    match_orders(assign_windows(_orders(spark, ROWS), "order_time", "1 day", "1 day"))
+    assert spark.conf.get(name) == before
+
+
+def test_paged_book_keeps_orders_without_an_instrument(spark):
+    rows = [(f"o{i}", None if i else "A", "Buy", 1.0, 1, _t(i)) for i in range(7)]
+    books = assign_windows(_orders(spark, rows), "order_time", "1 day", "1 day")
+    for size in (100, 3):
+        assert order_book(books, page_size=size).select(F.explode("book")).count() == 7
+
+
+def test_reorders_come_back_to_the_microsecond(spark):
+    orders = _orders(spark, [("b1", "A", "Buy", 10.0, 5, _t(0))])
+    back = decode_wire_orders(encode_reorders(orders)).select(*schemas.ORDER_COLS)
+    assert back.collect() == orders.select(*schemas.ORDER_COLS).collect()
+    assert encode_reorders(orders).first().key == "b1_2024-01-01 10:00:00.345678"
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+    assert scale_conf(1 << 40)["spark.cleaner.referenceTracking.cleanCheckpoints"] == "true"
