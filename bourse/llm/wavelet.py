@@ -293,7 +293,7 @@ def write_shards(
     # a key whose text order is the order of the ids: sign, then 19 digits
     i = F.col("_id")
     order = F.when(i.isNull(), "0").when(
-        i < 0, F.concat(F.lit("1"), F.lpad((i + F.lit(9223372036854775807) + 1).cast("string"), 19, "0"))
+        i < 0, F.concat(F.lit("1"), F.lpad((i - F.lit(-(1 << 63))).cast("string"), 19, "0"))
     ).otherwise(F.concat(F.lit("2"), F.lpad(i.cast("string"), 19, "0")))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     rows = rows.withColumn("_order", F.concat_ws(":", order, row_key("_id", "_text")))

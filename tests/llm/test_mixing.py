@@ -1,0 +1,64 @@
+import collections
+
+import pytest
+from pyspark.sql import functions as F
+
+from bourse.llm import mixing
+from tests.llm.conftest import sentence
+
+
+def _docs(spark):
+    rows = []
+    for i in range(300):
+        source = "big" if i % 3 else f"s{i % 5}"
+        lang = None if i % 11 == 0 else ["en", "de"][i % 7 == 0]
+        text = None if i % 50 == 0 else sentence(i, i % 40) + (" Licensed under X" if i % 6 == 0 else "")
+        rows.append((i, text, lang, source, 0, "clash", 1.0))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, topic string, f double")
+
+
+def test_marginals_meet_their_targets(spark):
+    docs = _docs(spark)
+    rows = mixing.mix(docs, sweeps=40).collect()
+    assert len(rows) == 300
+    for dim in ("source", "lang", "topic"):
+        now, raked = collections.Counter(), collections.Counter()
+        for r in rows:
+            now[r[dim]] += r.n_tokens
+            raked[r[dim]] += r.n_tokens * r.weight
+        want = {k: (n / sum(now.values())) ** mixing.TEMPER[dim] for k, n in now.items()}
+        for k in want:
+            assert raked[k] / sum(raked.values()) == pytest.approx(want[k] / sum(want.values()), rel=1e-3)
+    assert max(r.probability for r in rows) == pytest.approx(1, abs=1e-6) and min(r.probability for r in rows) > 0
+    kept = mixing.mixed_documents(docs, sweeps=40)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rows if r.sampled)
+
+
+def test_equal_to_plain_raking(spark):
+    cells = {("a", "x"): 10.0, ("a", "y"): 30.0, ("b", "x"): 50.0, ("b", "y"): 10.0}
+    df = spark.createDataFrame([(f"={s}", f"={t}", int(n)) for (s, t), n in cells.items()], "s string, t2 string, t long")
+    targets = {
+        "s": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "s string, share double"),
+        "t2": spark.createDataFrame([("x", 0.2), ("y", 0.8)], "t2 string, share double"),
+    }
+    got = {(r.s[1:], r.t2[1:]): r.f for r in mixing.rake(df, ["s", "t2"], targets, {}, 5).collect()}
+    w = dict(cells)
+    for _ in range(5):
+        for at, want in ((0, {"a": 0.5, "b": 0.5}), (1, {"x": 0.2, "y": 0.8})):
+            total = collections.Counter()
+            for k, v in w.items():
+                total[k[at]] += v
+            w = {k: v * want[k[at]] * 100 / total[k[at]] for k, v in w.items()}
+    assert got == pytest.approx({k: w[k] / cells[k] for k in cells})
+
+
+def test_edges(spark, make_docs):
+    assert mixing.mix(make_docs([(1, "x")]).where("false")).count() == 0
+    none = mixing.mix(make_docs([(1, None), (2, ""), (2, "")])).collect()
+    assert [r.n_tokens for r in none] == [0, 0, 0]
+    rows = mixing.mix(make_docs([(None, "a b"), (None, "a b"), (5, sentence(1, 20_000))]), broadcast_rows=0).collect()
+    assert sorted(r.n_tokens for r in rows) == [2, 2, 20_000] and len({r.sampled for r in rows if r.doc_id is None}) == 1
+    some = spark.range(20_000).select(mixing.uniform(F.col("id"), "a").alias("u"), mixing.uniform(F.col("id"), "b").alias("v"))
+    got = some.agg(F.avg("u"), F.avg("v"), F.corr("u", "v"), F.min("u"), F.max("u")).first()
+    assert abs(got[0] - 0.5) < 0.01 and abs(got[1] - 0.5) < 0.01 and abs(got[2]) < 0.02 and got[3] >= 0 and got[4] < 1
