@@ -55,11 +55,30 @@ def test_probabilities_sum_to_one():
     assert share.sum() + (rest + 0.1 * (kinds + 1)) / (table.other_tokens + 0.1 * (table.other_kinds + 1)) == pytest.approx(1)
 
 
-def test_model_beats_the_unigram_on_held_out_texts(spark, make_docs):
-    cycle = ["alpha", "beta", "gamma", "delta", "eps"]
-    pairs = [(i, " ".join(cycle[(i + j) % 5] for j in range(60))) for i in range(300)]
-    rows = [r for r in lm.score_texts(make_docs(pairs), vocabulary=20, width=8, rounds=2).collect() if r.held_out]
-    assert rows and sum(r.score for r in rows) > 0.8 * sum(r.base_score for r in rows)
+def test_noise_contrast_learns_the_order_of_words():
+    cycle = [b"alpha", b"beta", b"gamma", b"delta", b"eps"]
+    texts = [b" ".join(cycle[(i + j) % 5] for j in range(60)) for i in range(50)]
+    ((_, words),) = lm._chunks(texts)
+    at, hashes, lengths = lm._number(words)
+    counts = np.bincount(at)
+    table = lm.Table(hashes, counts, len(texts), int(counts.sum()) + len(texts), len(counts) + 1, 20)
+    token, one, two, starts = lm.sequences(table, at, hashes, lengths)
+    assert starts.tolist() == [61 * i for i in range(50)] and (token[60::61] == table.end).all()
+    assert (one[::61] == table.start).all() and (one[1:61] == token[:60]).all() and (two[2:61] == token[:59]).all()
+    model = lm.LogBilinear.first(table, 8)
+    trainer = lm.Trainer(model, table.unigram, 0, 0.05)
+    before = model.log10(token, one, two).mean()
+    for _ in range(150):
+        trainer.cases(token, one, two)
+    assert model.log10(token, one, two).mean() > 0.4 * before
+
+
+def test_held_out_texts_score_above_the_unigram(spark, make_docs):
+    # two languages: the words before tell which one is next
+    halves = [sentence(1, 150).split(), sentence(2, 150).split()]
+    pairs = [(i, " ".join(halves[i % 2][(i * 7 + j * j) % 150] for j in range(120))) for i in range(400)]
+    rows = [r for r in lm.score_texts(make_docs(pairs), vocabulary=280, width=8, rounds=3).collect() if r.held_out]
+    assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
 def test_empty(spark, make_docs):
