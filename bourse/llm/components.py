@@ -26,13 +26,12 @@ def components(links: DataFrame, src: str, dst: str, max_rounds: int = 64) -> Da
         parent = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p"))
         # every u has a row, and every parent is some u
         parent = parent.checkpoint()
-        while True:  # to the roots: 16 steps up become one, until nothing moves
-            start = parent
-            for _jump in range(4):
-                up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-                parent = parent.join(up, "p").select("u", F.col("pp").alias("p"))
-            parent = parent.checkpoint()
-            if start.exceptAll(parent).isEmpty():
+        while True:  # to the roots: each turn doubles the steps up, until nothing moves
+            up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+            jump = parent.join(up, "p").select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved"))
+            jump = jump.checkpoint()
+            parent = jump.select("u", "p")
+            if jump.where("moved").isEmpty():
                 break
         labels = (
             labels.join(parent, labels["label"] == parent["u"], "left")

@@ -55,15 +55,15 @@ def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame] | None
     ``targets[d]`` has columns d, share; a value that it lacks gets weight 0.
     Dimensions without one are tempered.
     """
-    total = cells.agg(F.sum("t").alias("total"))
+    total = float(cells.agg(F.sum("t")).first()[0] or 0)
     for d in dims:
         if targets and d in targets:
             want = targets[d].select(_value(F.col(d)).alias(d), F.col("share").cast("double").alias("want"))
         else:
             want = cells.groupBy(d).agg(F.sum("t").alias("n"))
             want = want.select(d, F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), temper.get(d, 1.0))).otherwise(0.0).alias("want"))
-        want = want.crossJoin(F.broadcast(want.agg(F.sum("want").alias("all")))).crossJoin(F.broadcast(total))  # one-row sides
-        want = want.select(d, (F.col("want") / F.when(F.col("all") > 0, F.col("all")) * F.col("total")).alias("g_" + d))
+        all_ = want.agg(F.sum("want")).first()[0] or 0.0
+        want = want.select(d, (F.col("want") / all_ * total if all_ > 0 else F.lit(0.0)).alias("g_" + d))
         cells = cells.join(want, d, "left").withColumn("g_" + d, F.coalesce("g_" + d, F.lit(0.0)))
     cells = cells.withColumn("f", F.lit(1.0)).checkpoint()
     for _ in range(sweeps):
@@ -89,12 +89,11 @@ def _with_probability(
     ).withColumns({"_dim_" + d: _value(c) for d, c in dims.items()})
     cells = rows.groupBy(*("_dim_" + d for d in names)).agg(F.sum("_tokens").alias("t")).withColumnsRenamed({"_dim_" + d: d for d in names})
     raked = rake(cells.checkpoint(), names, targets, temper, sweeps)
-    top = raked.where("t > 0").agg(F.max("f").alias("_top"))
-    factors = raked.select(*(F.col(d).alias("_dim_" + d) for d in names), F.col("f").alias("_f")).crossJoin(F.broadcast(top))
-    factors = broadcast_if_small(factors.checkpoint(), broadcast_rows)
-    joined = rows.join(factors, ["_dim_" + d for d in names])
-    p = F.when(F.col("_top") > 0, F.least(F.col("_f") / F.col("_top"), F.lit(1.0))).otherwise(0.0)
-    return joined.withColumn("_p", F.coalesce(p, F.lit(0.0))).drop("_top", *("_dim_" + d for d in names))
+    top = raked.where("t > 0").agg(F.max("f")).first()[0] or 0.0
+    factors = raked.select(*(F.col(d).alias("_dim_" + d) for d in names), F.col("f").alias("_f"))
+    joined = rows.join(broadcast_if_small(factors, broadcast_rows), ["_dim_" + d for d in names])
+    p = F.least(F.col("_f") / top, F.lit(1.0)) if top > 0 else F.lit(0.0)
+    return joined.withColumn("_p", p).drop(*("_dim_" + d for d in names))
 
 
 def _dims(source_col: str, lang_col: str) -> dict[str, Column]:

@@ -20,8 +20,9 @@ Hamming, 2^27 anchors each) 346.  Two blocks pay off when comparisons
 dominate, beyond about 10^8 different fingerprints.
 
 Work per anchor is spread: equal fingerprints are one row, anchors with many
-homes are cut into slices (each slice meets all visitors), and an anchor
-returns a spanning forest of its links instead of all pairs.
+homes are cut into slices (each slice meets all visitors, which stream past
+its homes), and an anchor returns a spanning forest of its links instead of
+all pairs.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from bourse.llm.components import components
 
 SEED = 42
 HOMES_PER_SLICE = 2048
+ROWS_HELD = 1 << 17  # of one anchor's slice at a time
 PAIRS_AT_ONCE = 1 << 21
 
 
@@ -206,6 +208,12 @@ def near_links(fps: DataFrame, max_bits: int = 4, blocks: int = 3) -> DataFrame:
             if batch is not None:  # the last key may go on in the next batch
                 last = (held[0] == held[0][-1]) & (held[3] == held[3][-1])
                 cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+                if len(last) - cut > ROWS_HELD:
+                    # homes come first: they stay, the visitors so far are done
+                    some = [x[cut:] for x in held]
+                    out = _compare(np.zeros(len(some[0])), some[1].view(np.uint64), some[2], max_bits).view(np.int64)
+                    held = [np.concatenate([x[:cut], y[some[2]]]) for x, y in zip(held, some, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
             if cut:
                 # key and slice together tell groups apart: neighbours differ in one of them
                 new = np.r_[True, (held[0][1:cut] != held[0][: cut - 1]) | (held[3][1:cut] != held[3][: cut - 1])]
@@ -225,7 +233,7 @@ def near_links(fps: DataFrame, max_bits: int = 4, blocks: int = 3) -> DataFrame:
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .select("key", "fp", (F.col("home") & (own == F.col("slice"))).alias("home"), "slice")
     )
-    placed = dealt.repartition("key", "slice").sortWithinPartitions("key", "slice")
+    placed = dealt.repartition("key", "slice").sortWithinPartitions("key", "slice", F.desc("home"))
     return placed.mapInArrow(compare, "a long, b long")
 
 

@@ -67,8 +67,9 @@ def test_components_equal_brute_force_also_in_hot_anchors(spark, monkeypatch):
     for f in fps:
         groups.setdefault(root(f), set()).add(f)
     want = {frozenset(g) for g in groups.values() if len(g) > 1}
-    for slices, blocks in ((2048, 3), (4, 3), (2048, 2)):
+    for slices, blocks, held in ((2048, 3, 1 << 17), (4, 3, 8), (2048, 2, 1 << 17)):
         monkeypatch.setattr(simhash, "HOMES_PER_SLICE", slices)
+        monkeypatch.setattr(simhash, "ROWS_HELD", held)
         got = {}
         for f, label in _near(spark, fps, blocks=blocks).items():
             got.setdefault(label, set()).add(f)
