@@ -1,4 +1,5 @@
 from bourse.sources.files import (
+    bulk_order_stream,
     json_dir_stream,
     read_bulk_orders,
     read_instruments,
@@ -14,6 +15,7 @@ from bourse.sources.tables import (
 )
 
 __all__ = [
+    "bulk_order_stream",
     "json_dir_stream",
     "read_bulk_orders",
     "read_instruments",

@@ -33,3 +33,8 @@ def json_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return decode_wire_orders(reader.load(path))
+
+
+def bulk_order_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A landing folder of bulk-order CSV files as a stream; ``validate`` takes it like a batch."""
+    return spark.readStream.schema(schemas.BULK_ORDER).option("header", True).csv(path)

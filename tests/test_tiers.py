@@ -78,3 +78,21 @@ def test_a_cluster_needs_a_shared_folder(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
     assert scale_conf(1 << 40)["spark.cleaner.referenceTracking.cleanCheckpoints"] == "true"
+
+
+def test_bulk_csv_landing_folder_as_a_stream(spark):
+    from bourse.operators.orders import validate
+    from bourse.session import scratch_path
+    from bourse.sources.files import bulk_order_stream
+
+    base = scratch_path(spark, "t-bulk")
+    later = dt.datetime(2024, 1, 5)
+    rows = [("b1", "A", 12.0, 10, later, "Buy"), ("s1", "Z", 11.0, 10, later, "Sell")]
+    spark.createDataFrame(rows, schemas.BULK_ORDER).write.option("header", True).csv(f"{base}/in")
+    listed = spark.createDataFrame([("A", 10.0, 10, None)], schemas.INSTRUMENT)
+    accepted, rejected = validate(bulk_order_stream(spark, f"{base}/in"), listed, dt.datetime(2024, 1, 1))
+    for name, part in (("acc", accepted), ("rej", rejected)):
+        q = part.writeStream.option("checkpointLocation", f"{base}/ck-{name}").trigger(availableNow=True).format("parquet").start(f"{base}/{name}")
+        q.awaitTermination()
+    assert [r.order_id for r in spark.read.parquet(f"{base}/acc").collect()] == ["b1"]
+    assert [r.reject_reason for r in spark.read.parquet(f"{base}/rej").collect()] == ["invalid_instrument"]
