@@ -40,7 +40,9 @@ def validate(
     expiry both as a timestamp and as wire text ``expiry_text``.
     """
     as_of_col = time_literal_or_col(as_of)
-    spread = F.xxhash64("order_id", "price", "volume", "expiry", "buy_sell")
+    # equal orders must spread too; a stream has no row ids
+    row = [] if orders.isStreaming else [F.monotonically_increasing_id()]
+    spread = F.xxhash64("order_id", "price", "volume", "expiry", "buy_sell", *row)
     j = lookup_join(orders, _market(instruments), ["instrument"], spread, "left", broadcast_max_rows)
     unit = round_price(F.try_divide(F.col("price"), F.col("volume")))
     market_unit = round_price(F.try_divide(F.col("_mkt_price"), F.col("_mkt_volume")))

@@ -13,12 +13,11 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  A larger side is returned
-    unmarked, so the join falls back to a shuffle join (and AQE may still turn
-    it into a broadcast once the real size is known).
+    The rows are counted where they lie.  A larger side is returned unmarked,
+    so the join falls back to a shuffle join (and AQE may still turn it into a
+    broadcast once the real size is known).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def lookup_join(
@@ -31,12 +30,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large fact side to a lookup table with at most a few rows per key.
 
-    Broadcast the lookup side when its size is checked to be small; otherwise
-    a salted shuffle join, so a hot key of ``big`` is spread over tasks.
+    The lookup side is computed once (checkpointed) and counted; it is broadcast
+    if it is small, otherwise a salted shuffle join spreads a hot key of ``big``.
     """
     from bourse.plans.skew import salted_join
+    from bourse.session import shared_dir
 
-    n = small.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
+    shared_dir(small.sparkSession)
+    small = small.checkpoint()
+    if small.count() <= max_broadcast_rows:
         return big.join(F.broadcast(small), keys, how)
     return salted_join(big, small, keys, spread, how=how)

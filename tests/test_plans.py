@@ -4,6 +4,7 @@ import contextlib
 import io
 
 from bourse.plans import catalog
+from bourse.sources.tables import instruments_from_parts, read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,9 +23,9 @@ def test_order_scan_prunes_columns(spark):
 
 
 def test_instrument_scan_reads_two_columns(spark):
-    plan = _plan(catalog.q_validate_reject(spark, SF))
-    scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "part.parquet" in line][0]
-    assert "FileScan parquet [p_partkey" in scan and "p_retailprice" in scan and "p_type" not in scan
+    plan = _plan(instruments_from_parts(read_table(spark, SF, "part")))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "ReadSchema: struct<p_partkey:bigint,p_retailprice:" in scan and "p_type" not in scan
 
 
 def test_analytics_scan_reads_four_trade_fields(spark):
