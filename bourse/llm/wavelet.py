@@ -33,7 +33,7 @@ from bourse.session import scratch_path
 MAGIC = b"WVLTMTX1"
 CHUNK_BITS = 1 << 18
 SHARD_TOKENS = 1 << 21
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 CACHED_CHUNKS = 256
 
 
@@ -42,6 +42,7 @@ CACHED_CHUNKS = 256
 # Words made of these characters only are split here as the tokenizer splits them; all others go
 # through the whole tokenizer.  Composed Latin-1 letters stay as they are under its normalisation.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
+MARKS = frozenset([b".", b",", b";", b":", b"!", b"?", b")"])
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
@@ -79,23 +80,35 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         model, letters = self.whole.model, byte_letters()
 
+        four = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
+
+        def packed(ids: list[int]) -> bytes:
+            return b"".join([four[i] for i in ids])
+
         def of_piece(piece: str) -> bytes:
-            shown = "".join(letters[b] for b in piece.encode())
-            ids = [t.id for t in model.tokenize(shown)]
-            return struct.pack(f"<{len(ids)}I", *ids)
+            shown = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
+            return packed([t.id for t in model.tokenize(shown)])
 
         pieces = _Kept(of_piece)
 
         def of_word(word: bytes) -> bytes:
+            # most words are ASCII letters, maybe with one mark behind: no pattern needed
+            if word.isalpha():
+                return pieces[word.decode("ascii").lower()]
+            if word[:-1].isalpha() and word[-1:] in MARKS:
+                return pieces[word[:-1].decode("ascii").lower()] + pieces[word[-1:].decode("ascii")]
             text = word.decode("utf-8", "replace")
             if PLAIN.fullmatch(text):
                 return b"".join(map(pieces.__getitem__, PIECES.findall(text.lower())))
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return packed(self.whole.encode(text, add_special_tokens=False).ids)
 
         self.words = _Kept(of_word)
 
     def encode(self, text: bytes) -> bytes:
+        # The tokenizer lower-cases too; doing it here makes fewer different words.  Not where capitals
+        # keep a special token's name from being one, or carry a combining mark (U+0300 to U+036F).
+        if b"<" not in text and b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
@@ -119,7 +132,7 @@ def encoder(path: str) -> WordEncoder:
 
 def build(ids: np.ndarray, doc_ids: list, lengths: np.ndarray, order: str, bits: int) -> bytes:
     """One shard's file: ``ids`` of documents ``doc_ids`` of ``lengths`` ids each."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     sections: list[bytes] = []
     at = 0
 
@@ -135,13 +148,13 @@ def build(ids: np.ndarray, doc_ids: list, lengths: np.ndarray, order: str, bits:
     header["lengths"] = put(np.asarray(lengths, dtype="<i8").tobytes())
     a = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     for k in range(bits - 1, -1, -1):
-        bit = (a >> a.dtype.type(k)) & a.dtype.type(1)
-        one = bit.astype(bool)
+        one = (a & a.dtype.type(1 << k)) != 0
+        packed = np.packbits(one, bitorder="little")
         ones, chunks = [0], []
-        for lo in range(0, len(a), CHUNK_BITS):
-            part = one[lo : lo + CHUNK_BITS]
-            ones.append(ones[-1] + int(np.count_nonzero(part)))
-            chunks.append(put(np.packbits(part, bitorder="little").tobytes()))
+        for lo in range(0, len(packed), CHUNK_BITS // 8):
+            part = packed[lo : lo + CHUNK_BITS // 8]
+            ones.append(ones[-1] + int(np.bitwise_count(part).sum(dtype=np.int64)))
+            chunks.append(put(part.tobytes()))
         header["planes"].append({"bit": k, "ones": ones, "chunks": chunks})
         a = np.concatenate([a[~one], a[one]])
     head = json.dumps(header).encode()
@@ -232,7 +245,7 @@ class WaveletShard:
         value = np.zeros(self.n, dtype=kind)
         for p in range(self.bits - 1, -1, -1):
             raw = [self._section(c) for c in self.planes[p]["chunks"]]  # every chunk but the last is whole bytes
-            one = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8), bitorder="little", count=self.n).astype(bool)
+            one = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8), bitorder="little", count=self.n).view(bool)
             up = np.empty_like(value)
             up[~one] = value[: self.zeros[p]]
             up[one] = value[self.zeros[p] :] | kind(1 << (self.bits - 1 - p))

@@ -16,6 +16,7 @@ def test_words_encode_as_whole_texts():
         "", "don't I'LL we'Ve it's", "<|endoftext|> x<|startoftext|>y", "café ñ É ÀÈß ÿ Ÿ µ ª º ×÷", "日本語 テスト 123 45a6b", "İstanbul ǅ ﬁ",
         "a\x1cb\x85c \x7f \x00 x", "'s't're'VE'm 'D'll' ''", "emoji 😀😀 ‍", "!!!--##a1b2", "ΣΑΣ σς", "a\r\nb\tc\x0bd\x0ce", "﻿abc",
         "é x́", " ́x", sentence(3, 200).upper(),
+        "J\u030c E\u0301 I\u0307 K\u212a", "<|ENDOFTEXT|> <|EndOfText|> A<B", "\u017fS \u1e9e\u00df",
     ]
     for t in texts:
         want = enc.whole.encode(t, add_special_tokens=False).ids
