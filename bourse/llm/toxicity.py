@@ -127,6 +127,15 @@ def held_out(row_id: Column) -> Column:
     return F.coalesce(F.crc32(row_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def draw_some(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hashes of their id (column i)."""
+    draw = F.xxhash64("i")
+    # hashes are even: about twice as many as asked for lie below the bound, so few go to the sort
+    share = min(1.0, (2 * most + 100) / max(1, rows.count()))
+    near = rows if share == 1 else rows.where(draw < F.lit(int(share * 2**64) - 2**63))
+    return near.orderBy(draw, "i").limit(most)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -151,12 +160,10 @@ def train(
         prior = marks.agg(F.avg("y").alias("p")).first()["p"] or 0.0
     ids = docs.select(F.col(id_col).alias("i")).where(~held_out(F.col("i")) & F.col("i").isNotNull()).distinct()
     marked = ids.join(marks, "i", "left").select("i", F.coalesce(F.col("y") == 1, F.lit(False)).alias("positive"))
-    draw = F.xxhash64("i")
-    some = [
-        marked.where("positive").orderBy(draw, "i").limit(max_positive),
-        marked.withColumn("positive", F.lit(False)).orderBy(draw, "i").limit(max_unlabelled),
-    ]
-    sample = broadcast_if_small(some[0].unionByName(some[1]).checkpoint(), max_positive + max_unlabelled)
+    marked = marked.checkpoint()
+    everything = marked.withColumn("positive", F.lit(False))
+    some = draw_some(marked.where("positive"), max_positive).unionByName(draw_some(everything, max_unlabelled))
+    sample = broadcast_if_small(some.checkpoint(), max_positive + max_unlabelled)
     texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(sample, "i").select("i", "t", "positive")
 
     def run(batches):
