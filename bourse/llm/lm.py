@@ -91,6 +91,18 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("t").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def least_common(counts: DataFrame, most: int) -> int:
+    """A count that at most ``most`` words reach: found on a histogram of eight steps per doubling, not by sorting."""
+    steps = counts.groupBy(F.floor(F.log2("c") * 8).alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c"))
+    least, total = (1 << 63) - 1, 0
+    for r in sorted(steps.collect(), key=lambda r: -r["step"]):  # a few hundred rows
+        total += r["n"]
+        if total > most:
+            break
+        least = r["c"]
+    return least
+
+
 class Table:
     """The commonest words, sorted by hash, and the totals of the training texts."""
 
@@ -295,7 +307,7 @@ def score_texts(
     counts = word_counts(training).checkpoint()
     total = counts.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).first()
     texts = training.count()
-    common = counts.orderBy(F.desc("c"), "h").limit(common_words).toPandas()  # a table of fixed size
+    common = counts.where(F.col("c") >= least_common(counts, common_words)).toPandas()  # at most common_words rows
     table = Table(
         common["h"].to_numpy(np.int64), common["c"].to_numpy(np.int64), texts, (total["c"] or 0) + texts, total["v"] + bool(texts), vocabulary
     )
