@@ -4,10 +4,14 @@ A page is read into a light tree.  What is marked as not being the article
 (menus, adverts, scripts, ...) is set aside.  Every block node gets its
 composite text density: characters per tag, adjusted for the share of link text
 in the node and in the body.  A node's density sum adds the densities of its
-block children.  If the page has ``article`` elements (else ``main``), the one
-with the largest sum is the content.  Elsewhere the node with the largest sum
-is the centre, and the smallest density on the path from it to the body is the
-threshold: the centre is content, and beside the path every branch that reaches it.
+block children.  The node with the largest sum is the centre, and the smallest
+density on the path from it to the body is the threshold: the centre is content,
+and beside the path every branch that reaches it.
+
+Tags do not choose, they check what the sums chose.  A lone ``main`` with its
+share of the text bounds the search.  A centre inside an ``article`` grows to the
+whole article, beside which other articles that reach the threshold stay; a
+centre around articles that hold most of its text shrinks to those.
 """
 
 from __future__ import annotations
@@ -59,6 +63,9 @@ ASIDE_WORDS = frozenset(
     "overlay share sharing social related recommended newsletter subscribe subscription signup login widget widgets pagination pager".split()
 )
 
+MAIN_SHARE = 0.2  # least share of the page's text outside links with which a lone main bounds the search
+ARTICLES_SHARE = 0.5  # least share of the centre's text outside links that articles in it must hold to be the content
+
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WORDS = re.compile("[a-z]+")
@@ -230,24 +237,44 @@ class Page:
             if i:
                 total[up[i]] = total.get(up[i], 0.0) + dense[i]
         sums = {i: total.get(i, dense[i]) for i in blocks}
-        for name in ("article", "main"):
-            own = [i for i in blocks if self.tag[i] == name and chars[i]]
-            if own:
-                # the outermost of the element with the largest sum
-                at = best = max(own, key=lambda i: (sums[i], -i))
-                while at > 0:
-                    at = self.parent[at]
-                    best = at if self.tag[at] == name else best
-                return self._render([best], out)
-        centre = max(blocks, key=lambda i: (sums[i], -i))
+        return self._render(self._content(blocks, dense, sums, up, [c - k for c, k in zip(chars, link_chars, strict=True)]), out)
+
+    def _content(self, blocks: list[int], dense: dict, sums: dict, up: list[int], plain: list[int]) -> list[int]:
+        """The nodes whose text is the content, in order; ``plain`` is the nodes' text outside links."""
+        inside = {name: self._outermost(name) for name in ("article", "main")}
+        mains = {inside["main"][i] for i in blocks if plain[i]} - {-1}
+        top = min(mains) if len(mains) == 1 else 0
+        if top not in dense or plain[top] < MAIN_SHARE * plain[0]:
+            top = 0
+        within = [i for i in blocks if top in (0, inside["main"][i])]
+        centre = max(within, key=lambda i: (sums[i], -i))
         path = [centre]
-        while path[-1] > 0:
+        while path[-1] > top:
             path.append(up[path[-1]])
         body = [i for i in path if i and self.tag[i] not in ("html",)] or [0]
-        threshold = min(dense[i] for i in body)
+        threshold = max(min(dense[i] for i in body), 1e-9)
+        articles = [i for i in within if inside["article"][i] == i and plain[i]]
+        home = inside["article"][centre]
+        if home >= 0:
+            return [i for i in articles if i == home or dense[i] >= threshold] or [home]
+        below = [i for i in articles if centre == 0 or self._is_below(i, centre)]
+        if below and sum(plain[i] for i in below) >= ARTICLES_SHARE * plain[centre]:
+            return below
         on_path = set(path)
-        chosen = [i for i in blocks if i == centre or i not in on_path and up[i] in on_path - {centre} and dense[i] >= max(threshold, 1e-9)]
-        return self._render(chosen, out)
+        return [i for i in within if i == centre or i not in on_path and up[i] in on_path - {centre} and dense[i] >= threshold]
+
+    def _outermost(self, name: str) -> list[int]:
+        """Per node the outermost element of that name around it or itself, else -1."""
+        out = [-1] * len(self.tag)
+        for i in range(1, len(out)):
+            above = out[self.parent[i]]
+            out[i] = above if above >= 0 else i if self.tag[i] == name else -1
+        return out
+
+    def _is_below(self, node: int, top: int) -> bool:
+        while node > top:
+            node = self.parent[node]
+        return node == top
 
     def _render(self, roots: list[int], out: list[bool]) -> str:
         lines: list[str] = []

@@ -44,3 +44,17 @@ def test_rows(spark):
     got = sorted(((str(r.page_id), r.url, r.text, r.n_chars) for r in extract_text(df).collect()), key=str)
     assert got == sorted([("1", "u", "é 😀", 3), ("1", "u", "é 😀", 3), ("2", None, "", 0), ("None", "v", "", 0)], key=str)
     assert extract_text(df.where("false")).count() == 0
+
+
+def test_density_decides_where_articles_are_not_the_story():
+    cards = "".join(f'<article><h3><a href="/{i}">Teaser of another story {i}</a></h3><p>Short words.</p></article>' for i in range(6))
+    story = f"<div><h1>The story</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    want = "\n".join(["The story", *[LONG.strip()] * 3])
+    assert main_text(page(f"{story}<div>{cards}</div>")) == want
+    assert main_text(page(f"<div>{cards}</div>{story}")) == want
+    assert main_text(page(f"<main>{story}<div>{cards}</div></main>")) == want
+    assert main_text(page(f"<main></main>{story}")) == want
+    # a story in several articles; an article of one paragraph in a page of little else
+    parts = "".join(f"<article><h2>Part {i}</h2><p>{LONG}</p><p>{LONG}</p></article>" for i in range(3))
+    assert main_text(page(parts)) == "\n".join(x for i in range(3) for x in (f"Part {i}", LONG.strip(), LONG.strip()))
+    assert main_text(page(f"<div>By a writer</div><article><p>{LONG}</p></article>")) == LONG.strip()
