@@ -56,13 +56,20 @@ ASIDE_TAGS = frozenset(
     "textarea menu dialog fieldset".split()
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-# Words of a class or id (cut at anything but letters) that mark an element as not being the article.
-ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu "
-    "breadcrumb breadcrumbs footer masthead comment comments respond disqus cookie cookies consent gdpr notice notices alert popup modal "
-    "overlay share sharing social related recommended newsletter subscribe subscription signup login widget widgets pagination pager".split()
+# Words of a class or id (cut at anything but letters) that mark an element as not being the article, as long as
+# its text agrees: with the first it is short or mostly links, with the second other text of the page is left.
+LAYOUT_WORDS = frozenset(
+    "banner sidebar nav navbar navigation menu footer masthead notice notices alert social related recommended widget widgets".split()
 )
-
+PURPOSE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion breadcrumb breadcrumbs comment comments respond "
+    "disqus cookie cookies consent gdpr popup modal overlay share sharing newsletter subscribe subscription signup login pagination "
+    "pager".split()
+)
+BY_TAG, BY_LAYOUT, BY_PURPOSE = 1, 2, 3  # why an element is set aside
+SHORT_TEXT = 300  # characters outside links and white space, below which a name of layout is believed
+LINK_SHARE = 0.5  # share of link text above which it is believed too
+REST_SHARE = 0.1  # least share of the page's text outside links that is left when a name of purpose is believed
 MAIN_SHARE = 0.2  # least share of the page's text outside links with which a lone main bounds the search
 ARTICLES_SHARE = 0.5  # least share of the centre's text outside links that articles in it must hold to be the content
 
@@ -71,27 +78,33 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 WORDS = re.compile("[a-z]+")
 
 
-def _is_aside(tag: str, attributes: str) -> bool:
+def _aside(tag: str, attributes: str) -> int:
+    """Why an element is set aside, or 0."""
     if tag in ASIDE_TAGS:
-        return True
+        return BY_TAG
     if tag in ("html", "body", "main") or not attributes.strip():
-        return False
+        return 0
+    by_name = 0
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "hidden" or name == "role" and value in ASIDE_ROLES or name == "aria-hidden" and value == "true":
-            return True
+            return BY_TAG
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id") and not ASIDE_WORDS.isdisjoint(WORDS.findall(value)):
-            return True
-    return False
+            return BY_TAG
+        if name in ("class", "id"):
+            words = WORDS.findall(value)
+            if not PURPOSE_WORDS.isdisjoint(words):
+                by_name = BY_PURPOSE
+            elif not LAYOUT_WORDS.isdisjoint(words):
+                by_name = by_name or BY_LAYOUT
+    return by_name
 
 
 class Page:
     """The tree of a page as parallel lists; a node's children follow it, and ``events`` hold texts and block ends."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.aside = ["#root"], [-1], [False]
+        self.tag, self.parent, self.aside = ["#root"], [-1], [0]
         self.span = [[0, 0]]  # the node's events
         self.events: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block starts or ends
         self._read(html)
@@ -107,7 +120,7 @@ class Page:
         self.tag.append(tag)
         self.parent.append(stack[-1])
         header = tag == "header" and not any(self.tag[i] in ("article", "main") for i in stack)
-        self.aside.append(header or _is_aside(tag, attributes))
+        self.aside.append(BY_TAG if header else _aside(tag, attributes))
         if tag in BLOCK:
             self.events.append((node, None))
         self.span.append([len(self.events), len(self.events)])
@@ -194,20 +207,28 @@ class Page:
             p = self.parent[i]
             holds[p] |= holds[i] and not (self.tag[i] == "article" and self.aside[i])
             paragraphs[p] += paragraphs[i]
-        out = [False] * count
-        for i in range(1, count):
-            inside = holds[i] and self.tag[i] != "article" or self.tag[i] in ("form", "fieldset") and paragraphs[i] >= 3
-            out[i] = out[self.parent[i]] or self.aside[i] and not inside
-        chars, tags, link_chars, link_tags = [0] * count, [0] * count, [0] * count, [0] * count
         in_link = [False] * count
         for i in range(1, count):
             in_link[i] = in_link[self.parent[i]] or self.tag[i] == "a"
+        sizes = [(node, len("".join(text.split()))) for node, text in self.events if text is not None]
+        out = [False] * count
+
+        def set_aside(reasons) -> None:
+            for i in range(1, count):
+                inside = holds[i] and self.tag[i] != "article" or self.tag[i] in ("form", "fieldset") and paragraphs[i] >= 3
+                out[i] = out[self.parent[i]] or self.aside[i] in reasons and not inside
+
+        set_aside({BY_TAG})
+        if any(a > BY_TAG for a in self.aside):
+            self._believe_names(sizes, in_link, out)
+            set_aside({BY_TAG, BY_LAYOUT, BY_PURPOSE})
+        chars, tags, link_chars, link_tags = [0] * count, [0] * count, [0] * count, [0] * count
+        for i in range(1, count):
             if not out[i]:
                 tags[i] = 1
                 link_tags[i] = int(self.tag[i] == "a")
-        for node, text in self.events:
-            if text is not None and not out[node]:
-                size = len("".join(text.split()))
+        for node, size in sizes:
+            if not out[node]:
                 chars[node] += size
                 link_chars[node] += size if in_link[node] else 0
         for i in range(count - 1, 0, -1):
@@ -239,6 +260,22 @@ class Page:
         sums = {i: total.get(i, dense[i]) for i in blocks}
         return self._render(self._content(blocks, dense, sums, up, [c - k for c, k in zip(chars, link_chars, strict=True)]), out)
 
+    def _believe_names(self, sizes: list[tuple[int, int]], in_link: list[bool], out: list[bool]) -> None:
+        """Clear the marks by a name that the text of the element contradicts; ``out`` is set aside for other reasons."""
+        count = len(self.tag)
+        plain, links = [0] * count, [0] * count
+        for node, size in sizes:
+            if not out[node]:
+                (links if in_link[node] else plain)[node] += size
+        for i in range(count - 1, 0, -1):
+            plain[self.parent[i]] += plain[i]
+            links[self.parent[i]] += links[i]
+        for i in range(1, count):
+            if self.aside[i] == BY_LAYOUT and plain[i] >= SHORT_TEXT and links[i] <= LINK_SHARE * (plain[i] + links[i]):
+                self.aside[i] = 0
+            elif self.aside[i] == BY_PURPOSE and plain[i] and plain[0] - plain[i] < REST_SHARE * plain[0]:
+                self.aside[i] = 0
+
     def _content(self, blocks: list[int], dense: dict, sums: dict, up: list[int], plain: list[int]) -> list[int]:
         """The nodes whose text is the content, in order; ``plain`` is the nodes' text outside links."""
         inside = {name: self._outermost(name) for name in ("article", "main")}

@@ -58,3 +58,16 @@ def test_density_decides_where_articles_are_not_the_story():
     parts = "".join(f"<article><h2>Part {i}</h2><p>{LONG}</p><p>{LONG}</p></article>" for i in range(3))
     assert main_text(page(parts)) == "\n".join(x for i in range(3) for x in (f"Part {i}", LONG.strip(), LONG.strip()))
     assert main_text(page(f"<div>By a writer</div><article><p>{LONG}</p></article>")) == LONG.strip()
+
+
+def test_names_are_believed_only_if_the_text_agrees():
+    story = f"<h1>The story</h1><p>{LONG}</p><p>{LONG}</p>"
+    want = "\n".join(["The story", *[LONG.strip()] * 2])
+    links = "".join(f'<li><a href="/{i}">some link text number {i}</a></li>' for i in range(20))
+    side = f'<div class="sidebar"><p>Short words.</p></div><div class="related"><ul>{links}</ul></div><div id="comments">{LONG}</div>'
+    for name in ("content has-sidebar", "page-with-nav", "social-science", "menu-open", "post comments-open cookies-ok"):
+        assert main_text(page(f'<div class="{name}">{story}</div>')) == want
+    for name in ("content has-sidebar", "page-with-nav", "social-science", "menu-open"):
+        assert main_text(page(f'<div class="{name}">{story}{side}</div>')) == want
+    for name in ("notice", "related-work"):
+        assert main_text(page(f'<article>{story}<div class="{name}"><p>{LONG}</p><p>{LONG}</p></div>{side}</article>')) == "\n".join([want, *[LONG.strip()] * 2])
