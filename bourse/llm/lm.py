@@ -3,28 +3,32 @@
 Counting.  Every training text is counted: one row per distinct word, by the
 64-bit hash of its bytes, with its count; the commonest words are told apart by it.
 
-Model.  The ``vocabulary`` commonest tokens have ids of their own, all others
-share one.  From the vectors of the two tokens before, the log-bilinear model
-predicts a vector C1 r(w-1) + C2 r(w-2); the score of a token is its product
-with the token's vector plus the token's bias.  Scores are normalised over the
-ids by one matrix product per batch of different contexts; a shared id's
+Model.  The commonest words that together make up ``cover`` of the training tokens have
+ids of their own, so the vocabulary grows with the corpus; all others share one id.
+From the vectors of the two tokens before, the log-bilinear model
+predicts a vector C1 r(w-1) + C2 r(w-2).  Ids fall into classes of about the square
+root of their number, by falling count: the score of a class is the vector's product
+with the class's vector plus its bias, the score of an id within its class likewise.
+Both are normalised exactly, so a token costs two sums of that root's length.  A shared id's
 probability is dealt to its words by their smoothed counts, so that all words, seen and
 unseen, sum to one.
 
 Training.  Each task goes once over all tokens of its texts: equal (context,
-token) cases are merged with their counts and trained on in minibatches with noise tokens drawn from
-the unigram distribution and shared by the minibatch, so that both directions
-are matrix products.  All tasks start from the same parameters; the results are
+token) cases of a chunk are merged and trained on in minibatches.  Noise classes are
+drawn from the classes' unigram distribution and shared by the minibatch; noise ids are drawn
+per case within its class.  Only touched rows are updated.
+All tasks start from the same parameters; the changes are
 averaged by token counts on the executors, and the next round starts from the average.
-What reaches the driver is one model and the table of the commonest words, both of fixed size.
+What reaches the driver is one model and the table of the commonest words.
 
-Scoring.  Common words are looked up in a fixed-size table that goes with the
+Scoring.  Common words are looked up in a table that goes with the
 tasks.  The other words of a text are joined to the full counts; as the
 commonest are not among them, no key of that join is hot.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -35,11 +39,12 @@ from pyspark.sql import functions as F
 
 from bourse.llm.common import text_bytes
 
-VOCABULARY = 1000
+COVER = 0.9  # share of the training tokens whose words have ids of their own
 COMMON_WORDS = 1 << 17  # looked up without a join
 WIDTH = 24
 ROUNDS = 2
-NOISE = 128
+NOISE = 128  # noise classes of a minibatch
+NOISE_WITHIN = 2  # noise ids of a case within its class
 MINIBATCH = 1024
 RATE = 0.02
 SMOOTH = 0.1
@@ -91,16 +96,24 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("t").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def least_common(counts: DataFrame, most: int) -> int:
-    """A count that at most ``most`` words reach: found on a histogram of eight steps per doubling, not by sorting."""
-    steps = counts.groupBy(F.floor(F.log2("c") * 8).alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c"))
-    least, total = (1 << 63) - 1, 0
-    for r in sorted(steps.collect(), key=lambda r: -r["step"]):  # a few hundred rows
-        total += r["n"]
-        if total > most:
+def least_common(counts: DataFrame, most: int, cover: float = 0.0) -> tuple[int, int]:
+    """A count that at most ``most`` words reach, or so many as make up ``cover`` of all tokens if that are more; and
+    the number of words that make up ``cover``: found on a histogram of eight steps per doubling, not by sorting."""
+    steps = counts.groupBy(F.floor(F.log2("c") * 8).alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("c").alias("c"), F.sum("c").alias("tokens")
+    )
+    steps = sorted(steps.collect(), key=lambda r: -r["step"])  # a few hundred rows
+    want = cover * sum(r["tokens"] for r in steps)
+    least, words, tokens, covering = (1 << 63) - 1, 0, 0, 0
+    for r in steps:
+        short = tokens < want
+        words, tokens = words + r["n"], tokens + r["tokens"]
+        if short:
+            covering = words
+        elif words > most:
             break
         least = r["c"]
-    return least
+    return least, covering
 
 
 class Table:
@@ -155,11 +168,20 @@ def sequences(table: Table, at: np.ndarray, hashes: np.ndarray, lengths: np.ndar
 # --- the model -----------------------------------------------------------------------------------
 
 
+def classes(n: int) -> np.ndarray:
+    """First ids of the classes of ``n`` ids, and ``n``: words in runs by falling count; the end and the shared id alone."""
+    size = max(1, math.isqrt(max(0, n - 2)))
+    return np.r_[np.arange(0, n - 2, size), n - 2, n - 1, n]
+
+
 class LogBilinear:
-    """Vectors ``r`` of the ids and the start, context matrices ``c1`` and ``c2``, biases ``b`` of the ids."""
+    """Vectors ``r`` of the ids and the start, context matrices ``c1`` and ``c2``, biases ``b`` of the ids within their
+    classes, vectors ``q`` and biases ``a`` of the classes."""
 
-    def __init__(self, r, c1, c2, b):
-        self.r, self.c1, self.c2, self.b = r, c1, c2, b
+    def __init__(self, r, c1, c2, b, q, a):
+        self.r, self.c1, self.c2, self.b, self.q, self.a = r, c1, c2, b, q, a
+        self.bounds = classes(len(b))
+        self.of_class = np.repeat(np.arange(len(a)), np.diff(self.bounds))
 
     @classmethod
     def first(cls, table: Table, width: int = WIDTH):
@@ -167,90 +189,147 @@ class LogBilinear:
         n = len(table.unigram)
         near = np.eye(width) * 0.5 + rng.normal(0, 0.05, (width, width))
         far = np.eye(width) * 0.25 + rng.normal(0, 0.05, (width, width))
-        return cls(rng.normal(0, 0.1, (n + 1, width)), near, far, np.log(table.unigram))
+        bounds = classes(n)
+        mass = np.add.reduceat(table.unigram, bounds[:-1])
+        parts = (
+            rng.normal(0, 0.1, (n + 1, width)), near, far, np.log(table.unigram / np.repeat(mass, np.diff(bounds))),
+            rng.normal(0, 0.1, (len(mass), width)), np.log(mass),
+        )
+        return cls(*(p.astype(np.float32) for p in parts))
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.r.ravel(), self.c1.ravel(), self.c2.ravel(), self.b])
+        """All numbers as one table: rows of ids, the start, classes and matrices, each with its bias or 0 behind it."""
+        zero = np.zeros(1 + 2 * len(self.c1), np.float32)
+        bias = np.concatenate([self.b, zero[:1], self.a, zero[1:]])
+        return np.c_[np.concatenate([self.r, self.q, self.c1, self.c2]), bias]
 
     @classmethod
     def of(cls, flat: np.ndarray, n: int, width: int):
-        cuts = np.cumsum([(n + 1) * width, width * width, width * width])
-        r, c1, c2, b = np.split(flat, cuts)
-        return cls(r.reshape(n + 1, width), c1.reshape(width, width), c2.reshape(width, width), b)
+        cuts = np.cumsum([n + 1, len(classes(n)) - 1, width])
+        r, q, c1, c2 = (np.ascontiguousarray(p) for p in np.split(flat[:, :-1].astype(np.float32), cuts))
+        bias = flat[:, -1].astype(np.float32)
+        return cls(r, c1, c2, bias[:n].copy(), q, bias[n + 1 : cuts[1]].copy())
 
     def log10(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Normalised log10 probabilities of ids after their contexts, by matrix products over the different contexts."""
+        """Normalised log10 probabilities of ids after their contexts: of the class, then of the id within it."""
         n = len(self.b)
         pair, at = np.unique(one * (n + 1) + two, return_inverse=True)
-        r, b = self.r.astype(np.float32), self.b.astype(np.float32)
-        near, far = r @ self.c1.astype(np.float32), r @ self.c2.astype(np.float32)
+        near, far = self.r @ self.c1, self.r @ self.c2
         ctx = near[pair // (n + 1)] + far[pair % (n + 1)]
         norm = np.empty(len(pair), dtype=np.float64)
-        out = r[:n].T.copy()
         for low in range(0, len(pair), 8192):
-            s = ctx[low : low + 8192] @ out + b
-            top = s.max(axis=1, keepdims=True)
-            norm[low : low + 8192] = top[:, 0] + np.log(np.exp(s - top).sum(axis=1))
+            norm[low : low + 8192] = _log_sum(ctx[low : low + 8192] @ self.q.T + self.a)
+        kind = self.of_class[token]
         score = np.empty(len(token), dtype=np.float64)
         for low in range(0, len(token), 1 << 17):
             part = slice(low, low + (1 << 17))
-            score[part] = np.einsum("ij,ij->i", ctx[at[part]], r[token[part]]) + b[token[part]]
-        return (score - norm[at]) / np.log(10)
+            score[part] = np.einsum("ij,ij->i", ctx[at[part]], self.q[kind[part]]) + self.a[kind[part]] - norm[at[part]]
+        order = np.argsort(kind, kind="stable")
+        cuts = np.searchsorted(kind[order], np.arange(len(self.a) + 1))
+        for k, (low, high) in enumerate(zip(self.bounds[:-1], self.bounds[1:], strict=True)):
+            if high - low > 1:
+                out, bias = self.r[low:high].T.copy(), self.b[low:high]
+                for x in range(cuts[k], cuts[k + 1], 8192):
+                    rows = order[x : min(x + 8192, cuts[k + 1])]
+                    s = ctx[at[rows]] @ out + bias
+                    score[rows] += s[np.arange(len(rows)), token[rows] - low] - _log_sum(s)
+        return score / np.log(10)
+
+
+def _log_sum(s: np.ndarray) -> np.ndarray:
+    top = s.max(axis=1, keepdims=True)
+    return top[:, 0] + np.log(np.exp(s - top).sum(axis=1))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Trainer:
-    """Adam over minibatches with noise-contrastive estimation."""
+    """Adam over minibatches with noise-contrastive estimation, of the class and of the id within it."""
 
     def __init__(self, model: LogBilinear, unigram: np.ndarray, seed: int, rate: float):
         self.m, self.rng, self.rate = model, np.random.default_rng(seed), rate
-        self.parts = [model.r, model.c1, model.c2, model.b]
+        self.parts = [model.c1, model.c2, model.q, model.a]
         self.mean, self.square = [np.zeros_like(p) for p in self.parts], [np.zeros_like(p) for p in self.parts]
+        self.row_mean, self.row_square = (np.zeros((len(model.r), model.r.shape[1] + 1), np.float32) for _ in range(2))
         self.steps = 0
-        self.noise_cum = np.cumsum(unigram)
-        self.log_noise = np.log(unigram * NOISE)
+        mass = np.add.reduceat(unigram, model.bounds[:-1])
+        self.class_cum, self.cum = np.cumsum(mass), np.cumsum(unigram)
+        self.log_class_noise = np.log(mass * NOISE).astype(np.float32)
+        self.log_noise = np.log(unigram / mass[model.of_class] * NOISE_WITHIN).astype(np.float32)
+        self.below, self.mass = np.r_[0.0, self.cum][model.bounds[:-1]], mass
 
     def cases(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        """Train on all given cases; equal ones are merged and weigh as often as they occur."""
+        """Train on all given tokens, equal cases are merged."""
         n = len(self.m.b) + 1
-        case, count = np.unique((one * n + two) * n + token, return_counts=True)
+        case, where, count = np.unique(one * n + two, return_inverse=True, return_counts=True)
+        # (pair, token) numbered by pair first: three ids of a large vocabulary would not fit 63 bits
+        case, first, count = np.unique(where * n + token, return_index=True, return_counts=True)
         order = self.rng.permutation(len(case))
-        case, count = case[order], count[order].astype(np.float64)
+        at, size = first[order], count[order].astype(np.float32)
         for low in range(0, len(case), MINIBATCH):
-            k = case[low : low + MINIBATCH]
-            self.step(k % n, k // n // n, k // n % n, count[low : low + MINIBATCH])
+            k, weight = at[low : low + MINIBATCH], size[low : low + MINIBATCH]
+            self.step(token[k], one[k], two[k], weight / weight.sum())
 
     def step(self, token, one, two, weight) -> None:
         m = self.m
-        weight = weight / weight.sum()
-        noise = np.minimum(np.searchsorted(self.noise_cum, self.rng.random(NOISE)), len(m.b) - 1)
         r1, r2 = m.r[one], m.r[two]
         ctx = r1 @ m.c1 + r2 @ m.c2
-        data = np.einsum("ij,ij->i", ctx, m.r[token]) + m.b[token] - self.log_noise[token]
-        other = ctx @ m.r[noise].T + m.b[noise] - self.log_noise[noise]
-        d = -weight / (1 + np.exp(np.clip(data, -30, 30)))  # derivative by the data score
-        e = weight[:, None] / (1 + np.exp(-np.clip(other, -30, 30)))
-        d_ctx = d[:, None] * m.r[token] + e @ m.r[noise]
-        g_r = self._scatter(token, d[:, None] * ctx)
-        np.add.at(g_r, noise, e.T @ ctx)
-        g_r += self._scatter(one, d_ctx @ m.c1.T) + self._scatter(two, d_ctx @ m.c2.T)
-        g_b = np.bincount(token, d, len(m.b)) + np.bincount(noise, e.sum(axis=0), len(m.b))
+        # the class
+        kind = m.of_class[token]
+        noise = np.minimum(np.searchsorted(self.class_cum, self.rng.random(NOISE)), len(m.a) - 1)
+        q, q_noise = m.q[kind], m.q[noise]
+        d = -weight * _sigmoid(self.log_class_noise[kind] - np.einsum("ij,ij->i", ctx, q) - m.a[kind])  # derivative by the data score
+        e = weight[:, None] * _sigmoid(ctx @ q_noise.T + (m.a[noise] - self.log_class_noise[noise]))
+        d_ctx = d[:, None] * q + e @ q_noise
+        g_q, g_a = np.zeros_like(m.q), np.bincount(kind, d, len(m.a)) + np.bincount(noise, e.sum(axis=0), len(m.a))
+        np.add.at(g_q, noise, e.T @ ctx)
+        own = d[:, None] * ctx
+        for j in range(g_q.shape[1]):
+            g_q[:, j] += np.bincount(kind, own[:, j], len(g_q))
+        # the id within its class
+        low, high = m.bounds[kind][:, None], m.bounds[kind + 1][:, None]
+        drawn = self.below[kind][:, None] + self.rng.random((len(token), NOISE_WITHIN)) * self.mass[kind][:, None]
+        other = np.clip(np.searchsorted(self.cum, drawn, side="right"), low, high - 1)
+        several = (high - low > 1)[:, 0]
+        r, r_other = m.r[token], m.r[other]
+        d = -weight * several * _sigmoid(self.log_noise[token] - np.einsum("ij,ij->i", ctx, r) - m.b[token])
+        e = (weight * several)[:, None] * _sigmoid(np.matmul(r_other, ctx[:, :, None])[:, :, 0] + m.b[other] - self.log_noise[other])
+        d_ctx += d[:, None] * r + np.matmul(e[:, None, :], r_other)[:, 0]
+        width = ctx.shape[1]
+        ids = np.concatenate([token, other.ravel(), one, two])
+        g = np.zeros((len(ids), width + 1), np.float32)
+        t, o = len(token), len(token) * (1 + NOISE_WITHIN)
+        g[:t, :width], g[:t, width] = d[:, None] * ctx, d
+        g[t:o, :width], g[t:o, width] = (e[:, :, None] * ctx[:, None, :]).reshape(-1, width), e.ravel()
+        g[o : o + t, :width], g[o + t :, :width] = d_ctx @ m.c1.T, d_ctx @ m.c2.T
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        ids, g = ids[starts], np.add.reduceat(g[order], starts, axis=0)
         self.steps += 1
-        for p, g, a, s in zip(self.parts, (g_r, r1.T @ d_ctx, r2.T @ d_ctx, g_b), self.mean, self.square, strict=True):
-            a += 0.1 * (g - a)
-            s += 0.01 * (g * g - s)
-            p -= self.rate * (a / (1 - 0.9**self.steps)) / (np.sqrt(s / (1 - 0.99**self.steps)) + 1e-6)
-
-    def _scatter(self, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        out = np.empty_like(self.m.r)
-        for j in range(rows.shape[1]):
-            out[:, j] = np.bincount(at, rows[:, j], len(out))
-        return out
+        a, s = self.row_mean[ids], self.row_square[ids]
+        step = self._adam(a, s, g)
+        self.row_mean[ids], self.row_square[ids] = a, s
+        m.r[ids] -= step[:, :width]
+        with_bias = ids < len(m.b)  # the start has none
+        m.b[ids[with_bias]] -= step[with_bias, width]
+        for p, g, a, s in zip(self.parts, (r1.T @ d_ctx, r2.T @ d_ctx, g_q, g_a), self.mean, self.square, strict=True):
+            p -= self._adam(a, s, g)
+
+    def _adam(self, a: np.ndarray, s: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """The step along ``g``; running mean ``a`` and mean square ``s`` are brought up to date."""
+        a += 0.1 * (g - a)
+        s += 0.01 * (g * g - s)
+        return (self.rate * (a / (1 - 0.9**self.steps)) / (np.sqrt(s / (1 - 0.99**self.steps)) + 1e-6)).astype(np.float32)
 
 
 def train(rows: DataFrame, table: Table, width: int = WIDTH, rounds: int = ROUNDS, rate: float = RATE) -> LogBilinear:
     """The model after ``rounds`` passes over all of ``rows`` (column t), averaged over the tasks after each."""
     n = len(table.unigram)
     model = LogBilinear.first(table, width)
+    names = [f"x{j}" for j in range(width + 1)]
     for turn in range(rounds):
         start, turn_rate = model.flat(), rate / (1 + turn)
 
@@ -259,22 +338,25 @@ def train(rows: DataFrame, table: Table, width: int = WIDTH, rounds: int = ROUND
             for b in batches:
                 for _, words in _chunks(text_bytes(b, "t")):
                     if trainer is None:
-                        trainer = Trainer(LogBilinear.of(start.copy(), n, width), table.unigram, turn, turn_rate)
+                        trainer = Trainer(LogBilinear.of(start, n, width), table.unigram, turn, turn_rate)
                     token, one, two, _ = sequences(table, *_number(words))
                     trainer.cases(token, one, two)
                     seen += len(token)
             if seen:
-                own = trainer.m.flat()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(own), dtype=np.int32)), pa.array(own * seen), pa.array(np.full(len(own), seen))], ["i", "x", "n"]
-                )
-
-        parts = rows.select("t").mapInArrow(run, "i int, x double, n long")
-        mean = parts.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()  # as many rows as the model has numbers
-        if not mean:
+                change = trainer.m.flat() - start
+                rows = np.flatnonzero(change.any(axis=1))
+                # row -1 holds the task's tokens
+                at = pa.array(np.r_[-1, rows].astype(np.int32))
+                x = [pa.array(np.r_[seen, change[rows, j].astype(np.float64) * seen].astype(np.float32)) for j in range(width + 1)]
+                yield pa.RecordBatch.from_arrays([at, *x], ["i", *names])
+
+        parts = rows.select("t").mapInArrow(run, "i int, " + ", ".join(f"{x} float" for x in names))
+        sums = parts.groupBy("i").agg(*(F.sum(F.col(x).cast("double")).alias(x) for x in names)).toPandas()  # as many rows as the model
+        if not len(sums):
             break
-        flat = start.copy()
-        flat[[r["i"] for r in mean]] = [r["x"] for r in mean]
+        at, x = sums["i"].to_numpy(), sums[names].to_numpy(np.float64)
+        flat = start.astype(np.float64)
+        flat[at[at >= 0]] += x[at >= 0] / x[at < 0, 0].sum()
         model = LogBilinear.of(flat, n, width)
     return model
 
@@ -286,17 +368,19 @@ def score_texts(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: int = VOCABULARY,
+    vocabulary: int | None = None,
     common_words: int = COMMON_WORDS,
     width: int = WIDTH,
     rounds: int = ROUNDS,
+    cover: float = COVER,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``.
 
     ``base_score`` is the smoothed unigram log10 probability, ``score`` the
     model's.  Null and empty texts are an end alone; repeated rows count and
     score each; rows without an id are training rows.  Without training texts
-    every token is unseen.  Other columns are not read.
+    every token is unseen.  ``vocabulary`` words have ids of their own, or as many
+    as make up ``cover`` of the training tokens.  Other columns are not read.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -307,7 +391,9 @@ def score_texts(
     counts = word_counts(training).checkpoint()
     total = counts.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).first()
     texts = training.count()
-    common = counts.where(F.col("c") >= least_common(counts, common_words)).toPandas()  # at most common_words rows
+    least, covering = least_common(counts, common_words, cover if vocabulary is None else 0.0)
+    common = counts.where(F.col("c") >= least).toPandas()  # at most common_words rows, or those with ids
+    vocabulary = covering if vocabulary is None else vocabulary
     table = Table(
         common["h"].to_numpy(np.int64), common["c"].to_numpy(np.int64), texts, (total["c"] or 0) + texts, total["v"] + bool(texts), vocabulary
     )

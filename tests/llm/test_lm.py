@@ -87,3 +87,20 @@ def test_empty(spark, make_docs):
     only = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0][0]
     (r,) = lm.score_texts(make_docs([(only, "a b")])).collect()
     assert r.held_out and r.train_tokens == 0 and r.n_known == 0 and r.n_tokens == 3
+
+
+def test_vocabulary_follows_the_corpus(spark):
+    for n in (50, 3000):
+        # word i of n occurs twice, one word as often as all others
+        counts = spark.createDataFrame([(i, 2) for i in range(n)] + [(-1, 2 * n)], "h long, c long")
+        assert lm.least_common(counts, 10, 0.9) == (2, n + 1) and lm.least_common(counts, 10, 0.5) == (2 * n, 1)
+    n = 2000
+    table = lm.Table(np.arange(n), np.arange(n, 0, -1), 7, 10 * n * n, n + 1, n)
+    model = lm.LogBilinear.first(table, 6)
+    assert max(np.diff(model.bounds)) <= 45 and model.bounds[-1] == n + 2
+    # the words before are seen by the model also if they are rare
+    token = np.array([5, 5])
+    a, b = model.log10(token, np.array([1900, 1901]), np.array([3, 3]))
+    assert a != b
+    ids = np.arange(n + 2)
+    assert (10 ** model.log10(ids, np.full(n + 2, 1900), np.full(n + 2, 3))).sum() == pytest.approx(1, abs=1e-4)
