@@ -14,7 +14,8 @@ probability is dealt to its words by their smoothed counts, so that all words, s
 unseen, sum to one.
 
 Training.  Each task goes once over all tokens of its texts: equal (context,
-token) cases of a chunk are merged and trained on in minibatches.  Noise classes are
+token) cases of a chunk are merged, heavy ones split again, and all are dealt in random order into
+minibatches of equally many tokens, so every token occurrence has the same weight.  Noise classes are
 drawn from the classes' unigram distribution and shared by the minibatch; noise ids are drawn
 per case within its class.  Only touched rows are updated.
 All tasks start from the same parameters; the changes are
@@ -45,7 +46,8 @@ WIDTH = 24
 ROUNDS = 2
 NOISE = 128  # noise classes of a minibatch
 NOISE_WITHIN = 2  # noise ids of a case within its class
-MINIBATCH = 1024
+MINIBATCH = 4096  # tokens
+HEAVIEST = MINIBATCH // 16  # a merged case stands for at most so many tokens
 RATE = 0.02
 SMOOTH = 0.1
 WORDS_AT_ONCE = 1 << 20
@@ -261,16 +263,22 @@ class Trainer:
         self.below, self.mass = np.r_[0.0, self.cum][model.bounds[:-1]], mass
 
     def cases(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        """Train on all given tokens, equal cases are merged."""
+        """Train on all given tokens, each with the same weight; equal cases are merged, but no further than ``HEAVIEST``."""
         n = len(self.m.b) + 1
         case, where, count = np.unique(one * n + two, return_inverse=True, return_counts=True)
         # (pair, token) numbered by pair first: three ids of a large vocabulary would not fit 63 bits
         case, first, count = np.unique(where * n + token, return_index=True, return_counts=True)
-        order = self.rng.permutation(len(case))
-        at, size = first[order], count[order].astype(np.float32)
-        for low in range(0, len(case), MINIBATCH):
-            k, weight = at[low : low + MINIBATCH], size[low : low + MINIBATCH]
-            self.step(token[k], one[k], two[k], weight / weight.sum())
+        pieces = -(-count // HEAVIEST)
+        piece = np.repeat(np.arange(len(case)), pieces)
+        nth = np.arange(len(piece)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        size = np.minimum(HEAVIEST, count[piece] - nth * HEAVIEST)
+        order = self.rng.permutation(len(piece))
+        at, size = first[piece[order]], size[order]
+        batch = (np.cumsum(size) - 1) // MINIBATCH
+        cuts = np.searchsorted(batch, np.arange(batch[-1] + 2 if len(batch) else 1))
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            k = at[low:high]
+            self.step(token[k], one[k], two[k], size[low:high].astype(np.float32) / MINIBATCH)
 
     def step(self, token, one, two, weight) -> None:
         m = self.m

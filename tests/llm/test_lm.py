@@ -104,3 +104,22 @@ def test_vocabulary_follows_the_corpus(spark):
     assert a != b
     ids = np.arange(n + 2)
     assert (10 ** model.log10(ids, np.full(n + 2, 1900), np.full(n + 2, 3))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_every_token_has_the_same_weight():
+    rng = np.random.default_rng(1)
+    table = lm.Table(np.arange(50), np.arange(50, 0, -1), 10, 200_000, 52, 50)
+    trainer = lm.Trainer(lm.LogBilinear.first(table, 4), table.unigram, 0, 0.01)
+    token = np.r_[np.full(20_000, table.other), rng.integers(0, 50, 30_000)]
+    one = np.r_[np.full(20_000, table.other), rng.integers(0, 50, 30_000)]
+    two = np.r_[np.full(20_000, table.other), rng.integers(0, 3, 30_000)]
+    steps = []
+    trainer.step = lambda t, o, w, weight: steps.append((list(zip(t.tolist(), o.tolist(), w.tolist(), strict=True)), weight))
+    trainer.cases(token, one, two)
+    trained = Counter()
+    for cases, weight in steps:
+        assert weight.sum() <= 1 + lm.HEAVIEST / lm.MINIBATCH
+        for case, x in zip(cases, weight.tolist(), strict=True):
+            trained[case] += x * lm.MINIBATCH
+    assert trained == pytest.approx(Counter(zip(token.tolist(), one.tolist(), two.tolist(), strict=True)))
+    assert sum((table.other,) * 3 in cases for cases, _ in steps) > len(steps) // 2
