@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from bourse.llm.common import write_blobs
 
 SPLIT_BYTES = 8 << 20
+FILES = "{part-*,*.warc.gz}"  # written by Spark, or ordinary archives
 LEAST_PAYLOAD = 1000
 MAGIC = b"\x1f\x8b\x08"
 READ_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
-HEADER_BYTES = 1 << 16  # a candidate must show its whole header within this many decoded bytes
+HEADER_BYTES = 1 << 16  # a candidate must show its version line, and here or further on its whole header
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of capture
 
@@ -95,13 +96,16 @@ def parse(data: bytes) -> dict | None:
 
 
 def _shows_header(data: bytes) -> bool:
-    """Whether a gzip member that begins here decodes to a WARC header."""
+    """Whether a gzip member that begins here decodes to a WARC header, or to the start of one that goes on."""
     try:
         start = zlib.decompressobj(31).decompress(data, HEADER_BYTES)
     except zlib.error:
         return False
     top, gap, _ = start.partition(b"\r\n\r\n")
-    return bool(gap) and re.match(rb"WARC/\d+\.\d+\r\n", top) is not None and b"\r\nwarc-type:" in top.lower()
+    if re.match(rb"WARC/\d+\.\d+\r\n", top) is None:
+        return False
+    # a longer header is judged when the whole record is read
+    return not gap or b"\r\nwarc-type:" in top.lower()
 
 
 def scan(file, start: int, end: int) -> Iterator[tuple[int, dict]]:
@@ -155,8 +159,9 @@ def _page_id(urn: str) -> int | None:
     return int(m[1]) if m else None
 
 
-def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """``file, offset, record_type, page_id, url, payload_digest, refers_to, payload`` of every record under ``path``.
+def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, files: str = FILES) -> DataFrame:
+    """``file, offset, record_type, page_id, url, payload_digest, refers_to, payload`` of every record under ``path``,
+    in files whose names match ``files``.
 
     ``payload`` is the HTTP body of a response, null for a revisit;
     ``payload_digest`` is hex SHA-1, taken from the payload where there is one
@@ -203,9 +208,9 @@ def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) ->
         if rows:
             yield batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "length").where("length > 0")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", files).load(path).select("path", "length").where("length > 0")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
-    ranges = files.select("path", "length", F.explode(starts).alias("start"))
+    ranges = found.select("path", "length", F.explode(starts).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + split_bytes, F.col("length")).alias("end"))
     placed = ranges.repartition("path", "start")
     return placed.mapInArrow(

@@ -76,3 +76,12 @@ def test_empty_table(spark):
     path = scratch_path(spark, "t-warc")
     warc.write_warc(_pages(spark, [(1, "u", "x")]).where(F.lit(False)), path)
     assert warc.read_warc(spark, path).count() == 0
+
+
+def test_long_headers_and_ordinary_file_names(spark, tmp_path):
+    rows = [(1, "data:" + "é" * 40_000, "x"), (2, "u2", "y"), (3, "data:" + "".join(chr(0x4E00 + i % 9000) for i in range(60_000)), "z")]
+    _, got = _round(spark, rows)
+    assert [r.page_id for r in got] == [1, 2, 3]
+    (tmp_path / "crawl.warc.gz").write_bytes(b"".join(warc.record(i, u, h.encode(), None, False) for i, u, h in rows))
+    (tmp_path / "notes.txt").write_bytes(b"no records")
+    assert sorted(r.page_id for r in warc.read_warc(spark, str(tmp_path)).collect()) == [1, 2, 3]
