@@ -2,7 +2,8 @@
 
 Documents fall into cells (source, language, topic).  Raking multiplies the
 token weight of every cell, one dimension after the other, by target total /
-current total of its value, until all three marginals meet their targets.  The
+current total of its value, until all three marginals meet their targets; targets
+that contradict each other are reported.  The
 factor of a cell, divided by the largest factor, is the probability with which
 each of its documents is sampled: expected tokens then have exactly the raked
 marginals, and no probability is cut at 1.
@@ -13,6 +14,8 @@ join per dimension, so the number of sources may grow with the corpus.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,9 @@ TOPICS = (
 )
 # Target shares are the present shares to these powers (then made to sum to 1): below 1 lifts what is rare.
 TEMPER = {"source": 0.7, "lang": 0.8, "topic": 0.9}
-SWEEPS = 8
+SWEEPS = 8  # at least, then on until the largest relative error of a marginal is below TOLERANCE
+TOLERANCE = 1e-6
+MOST_SWEEPS = 200
 BROADCAST_ROWS = 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,11 +54,11 @@ def _value(c: Column) -> Column:
     return F.when(c.isNull(), "-").otherwise(F.concat(F.lit("="), c.cast("string")))
 
 
-def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame] | None, temper: dict[str, float], sweeps: int) -> DataFrame:
+def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame] | None, temper: dict[str, float], sweeps: int | None) -> DataFrame:
     """``cells`` (one row per combination of ``dims``, column ``t`` tokens) with the raked factor ``f``.
 
     ``targets[d]`` has columns d, share; a value that it lacks gets weight 0.
-    Dimensions without one are tempered.
+    Dimensions without one are tempered.  ``sweeps`` None goes on until the targets are met.
     """
     total = float(cells.agg(F.sum("t")).first()[0] or 0)
     for d in dims:
@@ -66,18 +71,41 @@ def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame] | None
         want = want.select(d, (F.col("want") / all_ * total if all_ > 0 else F.lit(0.0)).alias("g_" + d))
         cells = cells.join(want, d, "left").withColumn("g_" + d, F.coalesce("g_" + d, F.lit(0.0)))
     cells = cells.withColumn("f", F.lit(1.0)).checkpoint()
-    for _ in range(sweeps):
+    return _sweep(cells, dims, sweeps)
+
+
+def _sweep(cells: DataFrame, dims: list[str], sweeps: int | None) -> DataFrame:
+    """``cells`` with ``f`` raked to the totals g_<dimension>."""
+    errors: list[float] = []
+    for done in range(1, (MOST_SWEEPS if sweeps is None else sweeps) + 1):
         for d in dims:
             now = cells.groupBy(d).agg(F.sum(F.col("t") * F.col("f")).alias("now"))
             cells = cells.join(now, d).withColumn(
                 "f", F.when(F.col("now") > 0, F.col("f") * F.col("g_" + d) / F.col("now")).otherwise(F.col("f"))
             ).drop("now")
         cells = cells.checkpoint()
+        if sweeps is None and done >= SWEEPS:
+            errors.append(_largest_error(cells, dims))
+            if errors[-1] <= TOLERANCE:
+                return cells
+            if len(errors) > 10 and errors[-1] > 0.99 * errors[-11]:
+                break  # the error no longer falls
+    if errors:
+        warnings.warn(f"raking: a marginal misses its target by {errors[-1]:.2g} of it after {done} sweeps; the targets contradict", stacklevel=2)
     return cells
 
 
+def _largest_error(cells: DataFrame, dims: list[str]) -> float:
+    """The largest error of a marginal, relative to its target."""
+    parts = [cells.groupBy(d).agg(F.sum(F.col("t") * F.col("f")).alias("now"), F.max("g_" + d).alias("want")).drop(d) for d in dims]
+    both = parts[0]
+    for x in parts[1:]:
+        both = both.unionByName(x)
+    return both.where("want > 0").agg(F.max(F.abs(F.col("now") - F.col("want")) / F.col("want"))).first()[0] or 0.0
+
+
 def _with_probability(
-    docs: DataFrame, text_col: str, dims: dict[str, Column], targets, temper, sweeps: int, broadcast_rows: int
+    docs: DataFrame, text_col: str, dims: dict[str, Column], targets, temper, sweeps: int | None, broadcast_rows: int
 ) -> DataFrame:
     """``docs`` with columns _topic, _tokens, _f, _p added."""
     names = list(dims)
@@ -90,10 +118,10 @@ def _with_probability(
     cells = rows.groupBy(*("_dim_" + d for d in names)).agg(F.sum("_tokens").alias("t")).withColumnsRenamed({"_dim_" + d: d for d in names})
     raked = rake(cells.checkpoint(), names, targets, temper, sweeps)
     top = raked.where("t > 0").agg(F.max("f")).first()[0] or 0.0
-    factors = raked.select(*(F.col(d).alias("_dim_" + d) for d in names), F.col("f").alias("_f"))
+    raked = raked.withColumn("p", F.least(F.col("f") / top, F.lit(1.0)) if top > 0 else F.lit(0.0))
+    factors = raked.select(*(F.col(d).alias("_dim_" + d) for d in names), F.col("f").alias("_f"), F.col("p").alias("_p"))
     joined = rows.join(broadcast_if_small(factors, broadcast_rows), ["_dim_" + d for d in names])
-    p = F.least(F.col("_f") / top, F.lit(1.0)) if top > 0 else F.lit(0.0)
-    return joined.withColumn("_p", p).drop(*("_dim_" + d for d in names))
+    return joined.drop(*("_dim_" + d for d in names))
 
 
 def _dims(source_col: str, lang_col: str) -> dict[str, Column]:
@@ -108,7 +136,7 @@ def mix(
     lang_col: str = "lang",
     targets: dict[str, DataFrame] | None = None,
     temper: dict[str, float] = TEMPER,
-    sweeps: int = SWEEPS,
+    sweeps: int | None = None,
     seed: str = "mix",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
@@ -143,7 +171,7 @@ def mixed_documents(
     lang_col: str = "lang",
     targets: dict[str, DataFrame] | None = None,
     temper: dict[str, float] = TEMPER,
-    sweeps: int = SWEEPS,
+    sweeps: int | None = None,
     seed: str = "mix",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:

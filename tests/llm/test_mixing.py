@@ -62,3 +62,18 @@ def test_edges(spark, make_docs):
     some = spark.range(20_000).select(mixing.uniform(F.col("id"), "a").alias("u"), mixing.uniform(F.col("id"), "b").alias("v"))
     got = some.agg(F.avg("u"), F.avg("v"), F.corr("u", "v"), F.min("u"), F.max("u")).first()
     assert abs(got[0] - 0.5) < 0.01 and abs(got[1] - 0.5) < 0.01 and abs(got[2]) < 0.02 and got[3] >= 0 and got[4] < 1
+
+
+def test_sweeps_go_on_until_the_targets_are_met(spark):
+    # 20 sources tied to languages but for 2 % strays, one hot
+    cells = [(f"=s{i}", f"=l{j}", (100_000 if i == 0 else 1000 + 37 * i) * (196 if i % 5 == j else 1)) for i in range(20) for j in range(5)]
+    df = spark.createDataFrame(cells, "source string, lang string, t long")
+    rows = mixing.rake(df, ["source", "lang"], None, mixing.TEMPER, None).collect()
+    for d in ("source", "lang"):
+        now = collections.Counter()
+        for r in rows:
+            now[r["g_" + d], r[d]] += r.t * r.f
+        assert all(n == pytest.approx(g, rel=1e-5) for (g, _), n in now.items())
+    bad = spark.createDataFrame([("=a", "=x", 10), ("=b", "=y", 90)], "source string, lang string, t long")
+    with pytest.warns(UserWarning, match="contradict"):
+        mixing.rake(bad, ["source", "lang"], None, mixing.TEMPER, None)
