@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bourse.llm import decontam, html_text, lm, mixing, secret_scan, toxicity, warc, wavelet
 from bourse.llm.common import table
+from bourse.llm.embed_dedup import near_duplicate_vectors
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
 from bourse.session import scratch_path, shared_dir
@@ -66,6 +67,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_dir(spark)
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_mix_sources": op2_mix_sources,
@@ -77,6 +83,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality_rules": op10_quality_rules,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 LLM_ORACLE: dict[str, str] = {
