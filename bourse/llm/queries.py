@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from bourse.llm import decontam, html_text, lm, mixing, secret_scan, toxicity, warc, wavelet
 from bourse.llm.common import table
 from bourse.llm.embed_dedup import near_duplicate_vectors
+from bourse.llm.filter_audit import filter_audit
+from bourse.llm.filter_audit import oracle as audit_oracle
 from bourse.llm.quality import quality_rules
 from bourse.llm.simhash import simhash_components
 from bourse.session import scratch_path, shared_dir
@@ -67,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_dir(spark)
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
@@ -83,6 +89,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality_rules": op10_quality_rules,
+    "op12_filter_audit": op12_filter_audit,
     "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
@@ -91,4 +98,5 @@ LLM_ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.oracle(),
     "op7_secret_scan": secret_scan.oracle(),
     "op8_winnowing_decontamination": decontam.oracle(window=10),
+    "op12_filter_audit": audit_oracle(),
 }
