@@ -27,8 +27,8 @@ def fails(rows):
 
 
 def brute(rows, labels):
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     failed, out, shapley = fails(rows), {}, {}
     for part in {s or "" for _, _, s in rows}:
         mine = [(r[0], f) for r, f in zip(rows, failed) if (r[2] or "") == part]
