@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import decontam, html_text, lm, mixing, secret_scan, toxicity, warc, wavelet
+from bourse.llm import conversation, decontam, html_text, lm, mixing, secret_scan, toxicity, warc, wavelet
 from bourse.llm.common import table
 from bourse.llm.embed_dedup import near_duplicate_vectors
 from bourse.llm.filter_audit import filter_audit
@@ -69,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -89,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing_decontamination": op8_winnowing_decontamination,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_filter_audit": op12_filter_audit,
     "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
@@ -98,5 +103,6 @@ LLM_ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.oracle(),
     "op7_secret_scan": secret_scan.oracle(),
     "op8_winnowing_decontamination": decontam.oracle(window=10),
+    "op11_conversation_repair": conversation.oracle(),
     "op12_filter_audit": audit_oracle(),
 }
