@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 
 from bourse.functions.codec import reject_reason
 from bourse.functions.columns import BUY, SELL, time_literal_or_col
+from bourse.operators.depleting import match_depleting
 from bourse.plans.skew import ROWS_PER_TASK, ranked_within_groups, salted_join
 
 GROUP = ["w_start", "w_end", "instrument"]
@@ -75,7 +76,7 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def _as_of_col(as_of) -> Column:
-    if as_of == "window_end":
+    if isinstance(as_of, str) and as_of == "window_end":
         return F.col("w_end")
     return time_literal_or_col(as_of)
 
@@ -177,6 +178,8 @@ def match_orders(
     ladder_rows: int = LADDER_ROWS_PER_TASK,
     book_rows: int = BOOK_ROWS_PER_TASK,
     materialize: bool = False,
+    policy: str = "independent",
+    reprice: bool = False,
 ) -> Match:
     """Match the books of ``orders_w`` (ORDER rows with ``w_start``/``w_end``).
 
@@ -201,9 +204,13 @@ def match_orders(
     ``ladder_rows``: books with more orders than this rank their price ladder
     with range partitioning.  ``hot_rows``: join keys (a price level, a block)
     with more rows than this are salted over several tasks.
+    ``policy``: ``"independent"`` (default; every buy sees every sell at full volume) or
+    ``"depleting"`` (sold volume is gone, see ``depleting.py``; ids must be stable then).
+    ``reprice``: leftovers carry the share of the total price that their volume is, so their
+    unit price stays; by default they keep the whole total price.
     """
-    o = prepare_book_orders(orders_w, as_of, stable_ids)
-    return match_prepared(o, as_of, exec_time, hot_rows, ladder_rows, book_rows, materialize)
+    o = prepare_book_orders(orders_w, as_of, stable_ids or policy == "depleting")
+    return match_prepared(o, as_of, exec_time, hot_rows, ladder_rows, book_rows, materialize, policy, reprice)
 
 
 def match_prepared(
@@ -214,12 +221,19 @@ def match_prepared(
     ladder_rows: int = LADDER_ROWS_PER_TASK,
     book_rows: int = BOOK_ROWS_PER_TASK,
     materialize: bool = False,
+    policy: str = "independent",
+    reprice: bool = False,
 ) -> Match:
     """``match_orders`` on the output of ``prepare_book_orders`` (live orders with ids).
 
     ``materialize``: checkpoint the matched rows once, so writing both outputs
     does not run the matching twice.
     """
+    if policy == "depleting":
+        when = None if exec_time is None else time_literal_or_col(exec_time)
+        return Match(*match_depleting(o, when, _as_of_col(as_of).cast("timestamp"), reprice=reprice))
+    if policy != "independent":
+        raise ValueError(f"policy must be 'independent' or 'depleting', not {policy!r}")
     spark = o.sparkSession
     buys = _prefixed(o.where(F.col("buy_sell") == BUY), "b_")
     sells = _prefixed(o.where(F.col("buy_sell") == SELL), "s_")
@@ -337,10 +351,11 @@ def match_prepared(
     stamp = _as_of_col(as_of).cast("timestamp")
 
     def rest(side: str, p: str, volume: Column) -> Column:
+        price = F.col(p + "price") * volume / F.col(p + "volume") if reprice else F.col(p + "price")
         return F.struct(
             F.col(p + "order_id").alias("order_id"),
             volume.cast("int").alias("volume"),
-            F.col(p + "price").alias("price"),
+            price.alias("price"),
             F.lit(side).alias("buy_sell"),
             stamp.alias("order_time"),
             F.col(p + "initial_order_time").alias("initial_order_time"),

@@ -77,7 +77,7 @@ def live(orders: DataFrame, as_of="window_end") -> DataFrame:
     ``as_of`` is a column name (``window_end`` = the end of each order's
     window), a Column, a datetime, or ``"now"``.
     """
-    if as_of == "window_end":
+    if isinstance(as_of, str) and as_of == "window_end":
         col = F.col("w_end") if "w_end" in orders.columns else F.col("window.end")
     else:
         col = time_literal_or_col(as_of)

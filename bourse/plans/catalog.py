@@ -198,6 +198,22 @@ def q_match_whale(spark, sf_dir):
     return ntz(m.trades, "w_start", "w_end", "execution_time")
 
 
+def q_match_depleting(spark, sf_dir):
+    """Sold volume is gone: buys in arrival order share the sells."""
+    return ntz(match_orders(m1_good_windowed(spark, sf_dir), policy="depleting").trades, "w_start", "w_end", "execution_time")
+
+
+def q_remaining_depleting(spark, sf_dir):
+    rem = match_orders(m1_good_windowed(spark, sf_dir), policy="depleting").remaining
+    return ntz(rem, "w_start", "w_end", "order_time", "initial_order_time", "expiry")
+
+
+def q_remaining_repriced(spark, sf_dir):
+    """Leftovers whose total price shrinks with their volume."""
+    rem = match_orders(m1_good_windowed(spark, sf_dir), reprice=True).remaining
+    return ntz(rem, "w_start", "w_end", "order_time", "initial_order_time", "expiry")
+
+
 def q_match_explode(spark, sf_dir):
     """Trades in the reference's flat shape."""
     return ntz(reference_view(m1_match(spark, sf_dir)).trades, "execution_time")
@@ -308,6 +324,9 @@ BATCH_QUERIES = {
     "q_match_ladder": q_match_ladder,
     "q_match_salted": q_match_salted,
     "q_match_whale": q_match_whale,
+    "q_match_depleting": q_match_depleting,
+    "q_remaining_depleting": q_remaining_depleting,
+    "q_remaining_repriced": q_remaining_repriced,
     "q_match_explode": q_match_explode,
     "q_order_book_paged": q_order_book_paged,
     "q_reorder_wire": q_reorder_wire,

@@ -87,6 +87,61 @@ remaining AS (
 )"""
 
 
+# sold volume is gone: book by book, buy after buy, with the list of what each sell has left
+M1_DEPLETING = """
+lv AS (SELECT * FROM ow WHERE expiry > w_end),
+q AS (
+  SELECT *, row_number() OVER (PARTITION BY w_start, instrument
+    ORDER BY order_time, order_id, price, volume, expiry, initial_order_time, uid) AS j
+  FROM lv WHERE buy_sell = 'Buy'
+),
+sl AS (
+  SELECT w_start, instrument,
+         list({'id': order_id, 'price': price, 'ot': order_time} ORDER BY order_time, order_id, price, volume, expiry, initial_order_time, uid) AS sells,
+         list(CAST(volume AS BIGINT) ORDER BY order_time, order_id, price, volume, expiry, initial_order_time, uid) AS volumes
+  FROM lv WHERE buy_sell = 'Sell' GROUP BY w_start, instrument
+),
+turns AS (
+  SELECT w_start, instrument, CAST(0 AS BIGINT) AS j, sells, volumes AS had, list_transform(volumes, lambda v: CAST(0 AS BIGINT)) AS taken FROM sl
+  UNION ALL
+  SELECT w_start, instrument, j, sells, had,
+         list_transform(seen, lambda v, i: greatest(0, least(v, wanted - CAST(coalesce(list_sum(seen[1:i - 1]), 0) AS BIGINT)))) AS taken
+  FROM (
+    SELECT w_start, instrument, j, sells, had, wanted,
+           list_transform(had, lambda v, i: CASE WHEN sells[i].price <= price THEN v ELSE 0 END) AS seen
+    FROM (
+      SELECT t.w_start, t.instrument, t.j + 1 AS j, t.sells, q.price, CAST(q.volume AS BIGINT) AS wanted,
+             list_transform(t.had, lambda v, i: v - t.taken[i]) AS had
+      FROM turns t JOIN q ON q.w_start = t.w_start AND q.instrument = t.instrument AND q.j = t.j + 1
+    )
+  )
+),
+cells AS (
+  SELECT w_start, instrument, j, unnest(sells) AS s, unnest(had) AS s_had, unnest(taken) AS tv, unnest(range(1, len(had) + 1)) AS i
+  FROM turns WHERE j > 0
+),
+hits AS (
+  SELECT q.w_start, q.w_end, q.instrument, q.uid AS b_uid, q.order_id AS b_id, q.price AS b_price, q.order_time AS b_ot, s, s_had, c.i,
+         CAST(tv AS INTEGER) AS tv, q.volume - coalesce(sum(tv) OVER (PARTITION BY q.w_start, q.instrument, q.j ORDER BY c.i
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS want
+  FROM cells c JOIN q ON q.w_start = c.w_start AND q.instrument = c.instrument AND q.j = c.j WHERE tv > 0
+),
+trades AS (
+  SELECT w_start, w_end, instrument, b_id AS buy_order_id, b_price / want AS per_volume_buy_price, s.id AS sell_order_id,
+         s.price / s_had AS per_volume_sell_price, tv AS trade_volume, greatest(b_ot, s.ot) AS execution_time
+  FROM hits
+),
+fb AS (SELECT b_uid, w_start, sum(tv) AS done FROM hits GROUP BY ALL),
+fs AS (SELECT w_start, instrument, s.id AS s_id, sum(tv) AS done FROM hits GROUP BY ALL),
+remaining AS (
+  SELECT lv.w_start, lv.w_end, lv.instrument, lv.order_id, CAST(lv.volume - coalesce(fb.done, fs.done, 0) AS INTEGER) AS volume,
+         lv.price, lv.buy_sell, lv.w_end AS order_time, lv.initial_order_time, lv.expiry
+  FROM lv LEFT JOIN fb ON lv.buy_sell = 'Buy' AND fb.b_uid = lv.uid AND fb.w_start = lv.w_start
+    LEFT JOIN fs ON lv.buy_sell = 'Sell' AND fs.s_id = lv.order_id AND fs.w_start = lv.w_start AND fs.instrument = lv.instrument
+  WHERE lv.volume - coalesce(fb.done, fs.done, 0) > 0
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -239,6 +294,12 @@ SELECT order_id, instrument, buy_sell, price, volume, expiry, order_time, initia
     q["q_match_ladder"] = q["q_match_trades"]
     q["q_match_salted"] = q["q_match_trades"]
     q["q_match_whale"] = _with(M1_WHALES, M1_GOOD, M1_WINDOWED, M1_MATCH) + "SELECT * FROM trades"
+    depleting = "WITH RECURSIVE " + ",".join((M1_ORDERS, M1_GOOD, M1_WINDOWED, M1_DEPLETING)) + "\n"
+    q["q_match_depleting"] = depleting + "SELECT * FROM trades"
+    q["q_remaining_depleting"] = depleting + "SELECT * FROM remaining"
+    whole = M1_MATCH.replace("         b.price, 'Buy'", "         b.price * (b.volume - COALESCE(f.filled, 0)) / b.volume AS price, 'Buy'").replace(
+        "s_price, 'Sell'", "s_price * (s_volume - tv) / s_volume, 'Sell'")
+    q["q_remaining_repriced"] = _with(M1_ORDERS, M1_GOOD, M1_WINDOWED, whole) + "SELECT * FROM remaining"
     q["q_match_explode"] = m + """
 SELECT instrument, buy_order_id, sell_order_id, trade_volume, per_volume_buy_price, per_volume_sell_price, execution_time
 FROM trades"""
