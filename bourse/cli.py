@@ -2,15 +2,20 @@
 
   match          batch: orders (parquet/json/csv with the ORDER columns) -> trades + leftovers
   validate       batch: bulk-order CSV + instrument CSV -> accepted order messages + rejects
-  stream-match   stream: order messages (JSON files or Kafka) -> trades + leftovers per batch
+  stream-ingest  stream: bulk-order CSV folder + instrument CSV -> keyed order messages + rejects per batch
+  stream-match   stream: order messages (JSON files or Kafka) -> trades + leftovers + rejects per batch, and metrics
   stream-sma     stream: trade messages -> top-N average buy price (complete mode)
   stream-profit  stream: trade messages -> top-N profit (complete mode)
+  stream-windows stream: trade messages -> SMA and profit of every window, upserted in update mode (two queries)
+
+Streaming jobs are supervised: the first query that fails stops the others and ends the job with its cause.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,10 +26,18 @@ from bourse.operators.book import assign_windows
 from bourse.operators.matching import match_orders
 from bourse.operators.orders import validate
 from bourse.session import prepare
-from bourse.sources.files import json_dir_stream, read_bulk_orders, read_instruments
+from bourse.sources.files import bulk_order_stream, json_dir_stream, read_bulk_orders, read_instruments
 from bourse.sources.kafka import kafka_options, kafka_stream
-from bourse.streaming.jobs import profit_top_stream, run_matcher, run_ranking, run_rejects, sma_top_stream
+from bourse.streaming.jobs import (
+    profit_top_stream,
+    run_ingest,
+    run_matcher,
+    run_ranking,
+    run_window_upserts,
+    sma_top_stream,
+)
 from bourse.streaming.sinks import publish_orders
+from bourse.streaming.supervise import log_progress, supervise
 
 
 def _read_orders(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -55,9 +68,10 @@ def _window_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--slide", default=DEFAULT_SLIDE)
 
 
-def _stream_args(p: argparse.ArgumentParser) -> None:
-    p.add_argument("--input", help="landing folder of JSON-lines messages")
-    p.add_argument("--topic", action="append", help="Kafka topic (repeat to union several)")
+def _stream_args(p: argparse.ArgumentParser, source: bool = True) -> None:
+    if source:
+        p.add_argument("--input", help="landing folder of JSON-lines messages")
+        p.add_argument("--topic", action="append", help="Kafka topic (repeat to union several)")
     p.add_argument("--bootstrap")
     p.add_argument("--security-protocol")
     p.add_argument("--sasl-mechanism")
@@ -85,12 +99,21 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--as-of", help="ISO time; default now")
     v.add_argument("--out", required=True)
 
+    si = sub.add_parser("stream-ingest")
+    _stream_args(si, source=False)
+    si.add_argument("--orders", required=True, help="landing folder of bulk-order CSV files")
+    si.add_argument("--instruments", required=True, help="instrument CSV")
+    si.add_argument("--as-of", help="ISO time; default the time each batch starts")
+    si.add_argument("--out", required=True)
+    si.add_argument("--orders-topic", help="also publish the accepted orders to this Kafka topic")
+
     sm = sub.add_parser("stream-match")
     _stream_args(sm)
     _window_args(sm)
     sm.add_argument("--watermark", default=DEFAULT_WATERMARK)
     sm.add_argument("--emit", choices=["on_close", "on_update"], default="on_close")
     sm.add_argument("--as-of", default="window_end", help="'window_end' or 'now'")
+    sm.add_argument("--policy", choices=["independent", "depleting"], default="independent")
     sm.add_argument("--out", required=True)
     sm.add_argument("--reorder-dir")
     sm.add_argument("--trades-topic", help="also publish trades to this Kafka topic")
@@ -104,13 +127,23 @@ def parser() -> argparse.ArgumentParser:
         r.add_argument("--sink", choices=["console", "snapshot", "memory", "kafka"], default="console")
         r.add_argument("--out-topic", help="topic of the kafka sink")
         r.add_argument("--out", help="snapshot folder")
+
+    w = sub.add_parser("stream-windows")
+    _stream_args(w)
+    _window_args(w)
+    w.add_argument("--watermark", default=DEFAULT_WATERMARK)
+    w.add_argument("--out", required=True)
     return ap
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None):
+    """Run a batch job, or start a streaming job and return its query (a list if it has several)."""
     ap = parser()
     args = ap.parse_args(argv)
-    if args.job.startswith("stream"):
+    if args.job == "stream-ingest":
+        if args.orders_topic and not args.bootstrap:
+            ap.error("publishing to a topic needs --bootstrap")
+    elif args.job.startswith("stream"):
         if not (args.input or args.topic):
             ap.error("give --input (landing folder) or --topic")
         if args.topic and not args.bootstrap:
@@ -139,6 +172,11 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
         publish_orders(acc, path=f"{args.out}/orders")
         rej.write.mode("overwrite").parquet(f"{args.out}/rejected")
         return None
+    if args.job == "stream-ingest":
+        kafka = {"options": _kafka(args), "topic": args.orders_topic} if args.orders_topic else None
+        as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else "now"
+        orders, listed = bulk_order_stream(spark, args.orders), read_instruments(spark, args.instruments)
+        return run_ingest(orders, listed, args.out, args.checkpoint, as_of, kafka=kafka, trigger=trigger)
     if args.job == "stream-match":
         orders = decode_wire_orders(_message_stream(spark, args))
         if args.reorder_dir:
@@ -146,12 +184,21 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
         kafka = None
         if args.trades_topic or args.reorder_topic:
             kafka = {"options": _kafka(args), "trades_topic": args.trades_topic, "reorder_topic": args.reorder_topic}
-        run_rejects(orders, f"{args.out}/rejected", f"{args.checkpoint}-rejected", trigger=trigger)
+        name = f"stream_match_{uuid.uuid4().hex[:8]}"
+        log_progress(spark, f"{args.out}/metrics", name)
         return run_matcher(
             orders, args.out, args.checkpoint, args.window, args.slide, args.watermark,
             as_of=args.as_of, emit=args.emit, reorder_dir=args.reorder_dir, kafka=kafka, trigger=trigger,
-        )
+            query_name=name, policy=args.policy, rejects=f"{args.out}/rejected",
+        )
     trades = decode(_message_stream(spark, args), schemas.TRADE)
+    if args.job == "stream-windows":
+        return [
+            run_window_upserts(
+                trades, f"{args.out}/{measure}", f"{args.checkpoint}/{measure}", measure, args.window, args.slide, args.watermark, trigger=trigger
+            )
+            for measure in ("sma", "profit")
+        ]
     ranking = (sma_top_stream if args.job == "stream-sma" else profit_top_stream)(trades, args.window, args.slide, args.top)
     options = {**_kafka(args), "topic": args.out_topic} if args.sink == "kafka" else {}
     return run_ranking(ranking, args.sink, args.checkpoint, path=args.out, trigger=trigger,
@@ -159,8 +206,6 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
 
 
 def main() -> None:
-    q = run()
-    if q is not None:
-        q.awaitTermination()
-        for other in q.sparkSession.streams.active:  # the rejects of an availableNow run may still be on their way
-            other.awaitTermination()
+    started = run()
+    if started is not None:
+        supervise(SparkSession.active(), started if isinstance(started, list) else [started])

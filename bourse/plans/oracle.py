@@ -220,6 +220,25 @@ v2 AS (
 )"""
 
 
+def feedback_rounds(rounds: int) -> str:
+    """Explicit rounds: the leftovers of a round are the orders of the next; trades of all rounds with their round."""
+    ctes, out = [M1_ORDERS, M1_GOOD], []
+    for r in range(rounds):
+        body = (M1_WINDOWED + "," + M1_MATCH).replace("FROM good)", f"FROM good_{r})")
+        for name in ("ow", "lv", "b", "s", "p", "hits", "trades", "filled", "remaining"):
+            for before, after in ((f"\n{name} AS (", f"\n{name}_{r} AS ("), (f"FROM {name} ", f"FROM {name}_{r} "), (f"JOIN {name} ", f"JOIN {name}_{r} "),
+                                  (f"FROM {name}\n", f"FROM {name}_{r}\n")):
+                body = body.replace(before, after)
+        body = body.replace(f"FROM b_{r} JOIN s_{r} ON", f"FROM b_{r} b JOIN s_{r} s ON").replace(
+            f"FROM b_{r} LEFT JOIN filled_{r} f ON", f"FROM b_{r} b LEFT JOIN filled_{r} f ON")
+        fields = "order_id, instrument, buy_sell, price, volume, expiry, order_time, initial_order_time"
+        good = f"\ngood_{r} AS (SELECT * FROM good)" if r == 0 else (
+            f"\ngood_{r} AS MATERIALIZED (SELECT {fields}, row_number() OVER (ORDER BY {fields}) AS uid FROM remaining_{r - 1})")
+        ctes += [good, body]
+        out.append(f"SELECT *, {r} AS round FROM trades_{r}")
+    return _with(*ctes) + " UNION ALL ".join(out)
+
+
 def oracle_queries() -> dict[str, str]:
     m = _with(*MATCH_CTES)
     q: dict[str, str] = {}

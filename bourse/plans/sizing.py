@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Largest side (rows) shipped to every executor.  Rows of the tables
 # broadcast here are a few dozen bytes, so this stays in the tens of MB.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Tasks that one key of a stream is spread over when its lookup side is too large to broadcast.
+STREAM_SALTS = 16
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -32,6 +34,8 @@ def lookup_join(
 
     The lookup side is computed once (checkpointed) and counted; it is broadcast
     if it is small, otherwise a salted shuffle join spreads a hot key of ``big``.
+    A stream cannot be counted for its hot keys, so there every key is spread over
+    ``STREAM_SALTS`` tasks and every lookup row is copied that often.
     """
     from bourse.plans.skew import salted_join
     from bourse.session import shared_dir
@@ -40,4 +44,9 @@ def lookup_join(
     small = small.checkpoint()
     if small.count() <= max_broadcast_rows:
         return big.join(F.broadcast(small), keys, how)
+    if big.isStreaming:
+        # a seeded draw: a stream has no row ids, and equal rows must spread too
+        big_s = big.withColumn("_salt", F.floor(F.rand(seed=7) * STREAM_SALTS).cast("int"))
+        small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
+        return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
     return salted_join(big, small, keys, spread, how=how)

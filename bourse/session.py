@@ -82,11 +82,50 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/bourse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _place(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, through which Spark itself reads and writes."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file is there, asked through Spark's file systems."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    """Whether a file or folder is there, asked through Spark's file systems."""
+    fs, place = _place(spark, path)
+    return fs.exists(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, place = _place(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(place)) if fs.exists(place) else []
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    fs, place = _place(spark, path)
+    stream = fs.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all: written under a hidden name, then renamed."""
+    folder, name = path.rsplit("/", 1)
+    fs, hidden = _place(spark, f"{folder}/.{name}-{uuid.uuid4().hex[:8]}")
+    stream = fs.create(hidden, True)
+    stream.write(text.encode())
+    stream.close()
+    target = _place(spark, path)[1]
+    if not fs.rename(hidden, target):  # some file systems do not rename onto a file
+        fs.delete(target, False)
+        if not fs.rename(hidden, target):
+            raise OSError(f"cannot write {path}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _place(spark, path)
+    fs.delete(place, True)
 
 
 def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, streaming: bool = False) -> dict[str, str]:

@@ -1,6 +1,7 @@
 from bourse.sources.files import (
     bulk_order_stream,
     json_dir_stream,
+    message_dir_stream,
     read_bulk_orders,
     read_instruments,
     read_wire_orders,
@@ -17,6 +18,7 @@ from bourse.sources.tables import (
 __all__ = [
     "bulk_order_stream",
     "json_dir_stream",
+    "message_dir_stream",
     "read_bulk_orders",
     "read_instruments",
     "read_wire_orders",

@@ -38,3 +38,11 @@ def json_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
 def bulk_order_stream(spark: SparkSession, path: str) -> DataFrame:
     """A landing folder of bulk-order CSV files as a stream; ``validate`` takes it like a batch."""
     return spark.readStream.schema(schemas.BULK_ORDER).option("header", True).csv(path)
+
+
+def message_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of keyed messages (parquet files of ``key`` and ``value``) as a stream, as a topic would give them."""
+    reader = spark.readStream.schema("key string, value string")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path).select("key", "value")

@@ -13,24 +13,40 @@ from pyspark.sql import functions as F
 
 from bourse import schemas
 from bourse.plans import oracle
-from bourse.plans.catalog import dec6, m1_orders, m3_trades, ntz
+from bourse.plans.catalog import M2_AS_OF, dec6, m1_orders, m3_trades, ntz
 from bourse.functions.codec import encode_wire_orders
-from bourse.session import scratch_path
-from bourse.sources.files import json_dir_stream
-from bourse.sources.tables import M1_SLIDE, M1_WINDOW, M3_SLIDE, M3_WINDOW
+from bourse.operators.orders import validate
+from bourse.session import prepare, scratch_path
+from bourse.sources.files import bulk_order_stream, json_dir_stream, message_dir_stream
+from bourse.sources.tables import (
+    M1_SLIDE,
+    M1_WINDOW,
+    M3_SLIDE,
+    M3_WINDOW,
+    instruments_from_parts,
+    orders_from_lineitem,
+    read_table,
+)
 from bourse.functions.columns import SMA_TOP_N
 from bourse.operators.analytics import top_n
 from bourse.streaming.jobs import (
     closed_window_averages,
+    feedback_trades,
     last_emission,
     profit_top_stream,
     ranking_messages,
     run_closed_windows,
+    run_feedback,
+    run_ingest,
     run_matcher,
     run_ranking,
     run_rejects,
+    run_window_upserts,
     sma_top_stream,
+    window_table,
 )
+from bourse.streaming.snapshots import read_snapshot
+from bourse.streaming.supervise import log_progress, read_metrics
 
 SLICES = 4
 
@@ -72,11 +88,16 @@ def _stream(spark: SparkSession, base: str, schema, files_per_batch: int = 16) -
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{base}/in/*")
 
 
-def _matcher_run(spark: SparkSession, sf_dir: str, emit: str = "on_close", files_per_batch: int = 16) -> str:
+def _matcher_run(spark: SparkSession, sf_dir: str, emit: str = "on_close", files_per_batch: int = 16, **how) -> str:
     orders = m1_orders(spark, sf_dir)
     base = land_in_time_order(spark, orders, "order_time", "s-orders")
     _end_of_stream(spark, base, orders)
-    q = run_matcher(
+    _run_match(spark, base, emit, files_per_batch, **how).awaitTermination()
+    return base
+
+
+def _run_match(spark: SparkSession, base: str, emit: str, files_per_batch: int, **how):
+    return run_matcher(
         _stream(spark, base, schemas.ORDER, files_per_batch),
         out_dir=f"{base}/out",
         checkpoint=f"{base}/checkpoint",
@@ -84,9 +105,8 @@ def _matcher_run(spark: SparkSession, sf_dir: str, emit: str = "on_close", files
         slide=M1_SLIDE,
         emit=emit,
         trigger={"availableNow": True},
+        **how,
     )
-    q.awaitTermination()
-    return base
 
 
 def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +114,8 @@ def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One marker batch sits between the watermark jump and the late rows (Spark
     applies a moved watermark from the batch after next), so every late row is
-    dropped and the trades equal the batch result.
+    dropped and the trades equal the batch result.  ``late_rows`` is the number dropped, as
+    the metrics table has it: once for each of an order's two windows.
     """
     orders = m1_orders(spark, sf_dir)
     base = land_in_time_order(spark, orders, "order_time", "s-late")
@@ -102,6 +123,8 @@ def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     _end_of_stream(spark, base, orders, name="zz-end-2", days=201)
     first = spark.read.parquet(f"{base}/in/s000")
     first.withColumn("order_id", F.concat(F.lit("late-"), "order_id")).write.parquet(f"{base}/in/zzz-late")
+    name = f"late-{base.rsplit('-', 1)[-1]}"
+    log = log_progress(spark, f"{base}/metrics", name)
     q = run_matcher(
         _stream(spark, base, schemas.ORDER, files_per_batch=1),
         out_dir=f"{base}/out",
@@ -109,15 +132,18 @@ def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
         window=M1_WINDOW,
         slide=M1_SLIDE,
         trigger={"availableNow": True},
+        query_name=name,
     )
     q.awaitTermination()
-    t = spark.read.parquet(f"{base}/out/trades").drop("batch_id")
+    log.close()
+    dropped = read_metrics(spark, f"{base}/metrics").agg(F.sum("late_rows").alias("late_rows")).first().late_rows
+    t = spark.read.parquet(f"{base}/out/trades").drop("batch_id").withColumn("late_rows", F.lit(dropped))
     return ntz(t, "w_start", "w_end", "execution_time")
 
 
 def s_match_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode: books are re-matched whenever they change; the last emission of each book is final."""
-    base = _matcher_run(spark, sf_dir, emit="on_update", files_per_batch=2)
+    base = _matcher_run(spark, sf_dir, emit="on_update", files_per_batch=2, compact_every=2)
     return ntz(last_emission(spark, f"{base}/out"), "w_start", "w_end", "execution_time")
 
 
@@ -192,7 +218,128 @@ def _ranking_run(spark: SparkSession, sf_dir: str, build) -> DataFrame:
     q = run_ranking(ranking, "snapshot", checkpoint=f"{base}/checkpoint", path=f"{base}/out",
                     trigger={"availableNow": True})
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return read_snapshot(spark, f"{base}/out")
+
+
+def s_sma_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window's SMA, upserted in update mode as it changes."""
+    trades = m3_trades(spark, sf_dir)
+    base = land_in_time_order(spark, trades, "execution_time", "s-upsert")
+    q = run_window_upserts(
+        _stream(spark, base, schemas.TRADE, files_per_batch=2), f"{base}/table", f"{base}/checkpoint", "sma", M3_WINDOW, M3_SLIDE,
+        # slices hold a quarter of the time range each: nothing in this replay is late
+        watermark="3650 days", compact_every=2, trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    return dec6(ntz(window_table(spark, f"{base}/table").current(), "w_start_time", "w_end_time"), "sma_price")
+
+
+def s_profit_upsert_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best profit, ranked from the keyed table of an update-mode stream."""
+    trades = m3_trades(spark, sf_dir)
+    base = land_in_time_order(spark, trades, "execution_time", "s-upsert")
+    q = run_window_upserts(
+        _stream(spark, base, schemas.TRADE, files_per_batch=2), f"{base}/table", f"{base}/checkpoint", "profit", M3_WINDOW, M3_SLIDE,
+        watermark="3650 days", compact_every=2, trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    top = top_n(window_table(spark, f"{base}/table", "profit").current(), 10, "profit")
+    return dec6(ntz(top, "w_start_time", "w_end_time"), "profit", "closing_sma_price", "opening_sma_price")
+
+
+def _bulk_csv(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame, str]:
+    """M2's orders landed as bulk-order CSV files and read as a stream, its instruments, and the folder."""
+    base = scratch_path(prepare(spark), name)
+    orders = orders_from_lineitem(read_table(spark, sf_dir, "lineitem")).select(*[f.name for f in schemas.BULK_ORDER.fields])
+    orders.write.option("header", True).csv(f"{base}/in")
+    return bulk_order_stream(spark, f"{base}/in"), instruments_from_parts(read_table(spark, sf_dir, "part")), base
+
+
+def s_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation of a stream against a table beyond the broadcast bound (forced to one row): reasons and accepted rows."""
+    orders, listed, base = _bulk_csv(spark, sf_dir, "s-validate")
+    for name, part in zip(("accepted", "rejected"), validate(orders, listed, M2_AS_OF, broadcast_max_rows=1), strict=True):
+        reason = part if name == "rejected" else part.withColumn("reject_reason", F.lit(None).cast("string"))
+        rows = reason.select("order_id", "instrument", "buy_sell", "price", "volume", "reject_reason")
+        sink = rows.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint-{name}")
+        sink.trigger(availableNow=True).start(f"{base}/{name}").awaitTermination()
+    schema = "order_id string, instrument string, buy_sell string, price double, volume int, reject_reason string"
+    return spark.read.schema(schema).parquet(f"{base}/accepted", f"{base}/rejected")
+
+
+def s_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order entry end to end: CSV stream, validation (bound forced to one row), keyed messages, read back as a stream."""
+    orders, listed, base = _bulk_csv(spark, sf_dir, "s-ingest")
+    run_ingest(
+        orders, listed, f"{base}/out", f"{base}/checkpoint", as_of=M2_AS_OF, broadcast_max_rows=1, trigger={"availableNow": True}
+    ).awaitTermination()
+    messages = message_dir_stream(spark, f"{base}/out/orders")
+    sink = messages.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint-read")
+    sink.trigger(availableNow=True).start(f"{base}/read").awaitTermination()
+    back = spark.read.schema("key string, value string").parquet(f"{base}/read")
+    rows = back.select("key", F.from_json("value", schemas.ORDER).alias("o")).select("key", "o.*")
+    return ntz(rows, "expiry", "order_time", "initial_order_time")
+
+
+def s_match_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades and rejects of one query: how many rows of each, per instrument."""
+    base = scratch_path(prepare(spark), "s-one")
+    run = _matcher_run(spark, sf_dir, rejects=f"{base}/rejected")
+    trades = spark.read.parquet(f"{run}/out/trades").groupBy("instrument").agg(F.count(F.lit(1)).alias("trades"))
+    rejected = spark.read.parquet(f"{base}/rejected").groupBy("instrument", "reject_reason").agg(F.count(F.lit(1)).alias("rejected"))
+    return rejected.join(trades, "instrument", "full").select("instrument", "reject_reason", "rejected", "trades")
+
+
+def s_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leftovers fed back until nothing is left: the trades of every round."""
+    base = land_in_time_order(spark, m1_orders(spark, sf_dir), "order_time", "s-feedback")
+    rounds = run_feedback(
+        _stream(spark, base, schemas.ORDER), f"{base}/out", f"{base}/checkpoint", window=M1_WINDOW, slide=M1_SLIDE, watermark="3650 days"
+    )
+    return ntz(feedback_trades(spark, f"{base}/out", rounds), "w_start", "w_end", "execution_time")
+
+
+class _Fault(Exception):
+    pass
+
+
+def _fail_once():
+    """Raises the first time it is called: the batch's outputs are there, its commit is not."""
+    calls = []
+
+    def fault(batch_id: int) -> None:
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise _Fault(f"stopped before the commit of batch {batch_id}")
+
+    return fault
+
+
+def _recovered(spark: SparkSession, sf_dir: str, emit: str, files_per_batch: int) -> str:
+    orders = m1_orders(spark, sf_dir)
+    base = land_in_time_order(spark, orders, "order_time", "s-recovered")
+    _end_of_stream(spark, base, orders)
+    first = _run_match(spark, base, emit, files_per_batch, before_commit=_fail_once())
+    try:
+        first.awaitTermination()
+    except Exception:  # noqa: BLE001  checked below
+        pass
+    if first.exception() is None:
+        raise RuntimeError("the first run was to fail before its first commit")
+    _run_match(spark, base, emit, files_per_batch).awaitTermination()
+    return base
+
+
+def s_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A matcher that fails between a batch's outputs and its commit, started again."""
+    base = _recovered(spark, sf_dir, "on_close", 16)
+    return ntz(spark.read.parquet(f"{base}/out/trades").drop("batch_id"), "w_start", "w_end", "execution_time")
+
+
+def s_recovered_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in update mode: the order table holds each order once."""
+    base = _recovered(spark, sf_dir, "on_update", 2)
+    return ntz(last_emission(spark, f"{base}/out"), "w_start", "w_end", "execution_time")
 
 
 def s_sma_closed_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,6 +380,14 @@ STREAM_QUERIES = {
     "s_sma_complete": s_sma_complete,
     "s_sma_closed_top": s_sma_closed_top,
     "s_profit_complete": s_profit_complete,
+    "s_sma_upsert": s_sma_upsert,
+    "s_profit_upsert_top": s_profit_upsert_top,
+    "s_validate": s_validate,
+    "s_ingest": s_ingest,
+    "s_match_one_read": s_match_one_read,
+    "s_feedback": s_feedback,
+    "s_recovered": s_recovered,
+    "s_recovered_update": s_recovered_update,
 }
 
 
@@ -244,7 +399,28 @@ def _stream_oracle() -> dict[str, str]:
     seconds = "date_trunc('second', ts)"
     wire = oracle.M1_ORDERS.replace("ts + to_hours", f"{seconds} + to_hours").replace(
         "ts AS order_time", f"{seconds} AS order_time").replace("ts AS initial_order_time", f"{seconds} AS initial_order_time")
+    m1 = oracle._with(*oracle.MATCH_CTES)
+    profit = oracle._profit_sql("t3", "15 DAY", "30 DAY")
+    # the oldest of the four slices, by whose good orders the late rows are counted
+    late = """SELECT *, (SELECT CAST(2 * count(*) AS BIGINT) FROM good, (SELECT min(order_time) AS lo, max(order_time) AS hi FROM m1)
+  WHERE order_time < lo + (hi - lo) / 4) AS late_rows FROM trades"""
     return {
+        "s_sma_upsert": m3 + oracle._sma_sql("t3", "15 DAY", "30 DAY"),
+        "s_profit_upsert_top": m3 + f"""{profit} ORDER BY w_start_time DESC,
+AVG(per_volume_buy_price) - AVG(per_volume_sell_price) DESC NULLS LAST, instrument LIMIT 10""",
+        "s_validate": oracle._with(oracle.M2_ORDERS) + "SELECT order_id, instrument, buy_sell, price, volume, reject_reason FROM v2",
+        "s_ingest": oracle._with(oracle.M2_ORDERS) + """
+SELECT order_id, instrument, buy_sell, price, volume, expiry, TIMESTAMP '1995-06-17 00:00:00' AS order_time,
+  TIMESTAMP '1995-06-17 00:00:00' AS initial_order_time, order_id || '_803347200' AS key
+FROM v2 WHERE reject_reason IS NULL""",
+        "s_match_one_read": m1 + """
+SELECT coalesce(x.instrument, t.instrument) AS instrument, reject_reason, rejected, trades
+FROM (SELECT instrument, CASE WHEN volume IS NULL THEN 'missing_volume' ELSE 'non_positive_volume' END AS reject_reason, count(*) AS rejected
+  FROM m1 WHERE volume IS NULL OR volume <= 0 GROUP BY ALL) x
+FULL JOIN (SELECT instrument, count(*) AS trades FROM trades GROUP BY ALL) t ON x.instrument = t.instrument""",
+        "s_feedback": oracle.feedback_rounds(4),
+        "s_recovered": q["q_match_trades"],
+        "s_recovered_update": q["q_match_trades"],
         "s_rejects": q["q_quarantine"],
         "s_wire_match": oracle._with(wire, oracle.M1_GOOD, oracle.M1_WINDOWED, oracle.M1_MATCH) + "SELECT * FROM trades",
         "s_sma_messages": m3 + f"""SELECT {key}, * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
@@ -254,7 +430,7 @@ ORDER BY w_start_time DESC, profit DESC NULLS LAST, instrument LIMIT 1""",
         "s_match_append": q["q_match_trades"],
         "s_remaining_append": q["q_remaining"],
         "s_match_update": q["q_match_trades"],
-        "s_late_drop": q["q_match_trades"],
+        "s_late_drop": m1 + late,
         "s_sma_complete": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})
 ORDER BY w_start_time DESC, sma_price DESC NULLS LAST, instrument LIMIT 4""",
         "s_sma_closed_top": m3 + f"""SELECT * FROM ({oracle._sma_sql('t3', '15 DAY', '30 DAY')})

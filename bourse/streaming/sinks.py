@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from bourse.streaming.snapshots import SnapshotTable
+
 
 def start(
     df: DataFrame,
@@ -23,8 +25,9 @@ def start(
 
     ``fmt``: ``console`` | ``memory`` | ``kafka`` (``df`` must hold ``key``/``value``;
     pass ``topic`` and the ``kafka.*`` options) | ``parquet`` / ``json`` (append
-    only) | ``snapshot`` (each micro-batch overwrites ``path``; for complete
-    mode results) | ``foreach_batch`` (call ``foreach_batch(df, batch_id)``).
+    only) | ``snapshot`` (each micro-batch becomes the table at ``path``; for complete
+    mode results; read it with ``snapshots.read_snapshot``, which always sees one whole
+    version) | ``foreach_batch`` (call ``foreach_batch(df, batch_id)``).
     ``trigger``: e.g. ``{"availableNow": True}`` or ``{"processingTime": "5 seconds"}``.
     """
     w = df.writeStream.outputMode(output_mode)
@@ -37,12 +40,10 @@ def start(
     if fmt == "foreach_batch":
         w = w.foreachBatch(foreach_batch)
     elif fmt == "snapshot":
-        target = path
-
-        def overwrite(batch: DataFrame, _batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(target)
-
-        w = w.foreachBatch(overwrite)
+        table = SnapshotTable(df.sparkSession, path, df.schema)
+        if checkpoint:
+            table.must_belong_to(checkpoint)
+        w = w.foreachBatch(table.replace)
     else:
         w = w.format(fmt)
         if fmt == "console":
@@ -59,16 +60,21 @@ def write_kafka(envelope: DataFrame, topic: str, options: dict[str, str]) -> Non
     envelope.write.format("kafka").options(**options).option("topic", topic).save()
 
 
-def publish_orders(accepted: DataFrame, path: str | None = None, kafka: dict | None = None) -> None:
+def publish_orders(
+    accepted: DataFrame, path: str | None = None, kafka: dict | None = None, messages: str | None = None
+) -> None:
     """Order ingest: validated orders as key/value order messages.
 
-    ``path``: JSON-lines files (one message per line) for a file-stream
-    landing folder; ``kafka={"options": {...}, "topic": ...}``: a Kafka topic.
+    ``path``: JSON-lines files (one message per line, no keys) for a file-stream
+    landing folder; ``messages``: parquet files of ``key`` and ``value`` (see
+    ``sources.message_dir_stream``); ``kafka={"options": {...}, "topic": ...}``: a Kafka topic.
     """
     from bourse.functions.codec import encode_wire_orders
 
     env = encode_wire_orders(accepted)
     if path:
         env.select("value").write.mode("append").text(path)
+    if messages:
+        env.write.mode("append").parquet(messages)
     if kafka:
         write_kafka(env, kafka["topic"], kafka["options"])
