@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from bourse.llm.common import write_blobs
 
 SPLIT_BYTES = 8 << 20
+MOST_TASKS = 100_000  # of one read; beyond, a task reads several ranges
 FILES = "{part-*,*.warc.gz}"  # written by Spark, or ordinary archives
 LEAST_PAYLOAD = 1000
 MAGIC = b"\x1f\x8b\x08"
@@ -212,7 +213,8 @@ def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, fi
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
     ranges = found.select("path", "length", F.explode(starts).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + split_bytes, F.col("length")).alias("end"))
-    placed = ranges.repartition("path", "start")
+    # a task per range; a stated number is not merged at run time, however few bytes the range rows have
+    placed = ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)), "path", "start")
     return placed.mapInArrow(
         run,
         "file string, offset long, record_type string, page_id long, url string, payload_digest string, "

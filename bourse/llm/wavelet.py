@@ -24,6 +24,7 @@ from collections import OrderedDict
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,14 @@ CACHED_CHUNKS = 256
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
 MARKS = frozenset([b".", b",", b";", b":", b"!", b"?", b")"])
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# What a tokenizer file must say for the splitting above to be its own.
+NORMALIZES = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+SPLITS = {
+    "type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True
+}
 
 
 def byte_letters() -> dict[int, str]:
@@ -71,13 +80,17 @@ class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, with words looked up once.
 
     The word tokenizer never merges over white space, so a text's ids are its
-    words' ids one after the other.
+    words' ids one after the other.  A tokenizer file with other rules than ``NORMALIZES`` and
+    ``SPLITS`` encodes whole texts instead.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        rules = json.loads(self.whole.to_str())
+        splits = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [None])[0]
+        self.by_words = rules["normalizer"] == NORMALIZES and splits == SPLITS and rules["model"]["type"] == "BPE"
         model, letters = self.whole.model, byte_letters()
 
         four = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
@@ -105,6 +118,9 @@ class WordEncoder:
         self.words = _Kept(of_word)
 
     def encode(self, text: bytes) -> bytes:
+        if not self.by_words:
+            ids = self.whole.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
         # The tokenizer lower-cases too; doing it here makes fewer different words.  Not where capitals
         # keep a special token's name from being one, or carry a combining mark (U+0300 to U+036F).
         if b"<" not in text and b"\xcc" not in text and b"\xcd" not in text:
@@ -268,8 +284,9 @@ def write_shards(
 ) -> None:
     """Write every text's ids and the end id, in ascending id order, one file per shard.
 
-    Rows are dealt by ranges of (id, text hash), so rows without an id (they
-    come first) and repeated ids spread like all others.  A shard closes at
+    Rows are dealt by ranges of (id, text hash, row number), so rows without an id (they
+    come first), repeated ids and repeated rows spread like all others.  A shard is named by its
+    partition and its number there, which is the order of the documents.  It closes at
     ``shard_tokens`` ids; a longer document has one of its own.  Null and empty
     texts have the end id alone; an empty table writes no shard.
     """
@@ -281,21 +298,22 @@ def write_shards(
         parts: list[bytes] = []
         doc_ids: list = []
         lengths: list[int] = []
-        first, held = "", 0
+        held, shards = 0, 0
+        partition = TaskContext.get().partitionId()
 
         def shard():
             ids = np.frombuffer(b"".join(parts), "<u4")
-            return pa.RecordBatch.from_arrays([pa.array([build(ids, doc_ids, np.array(lengths), first, bits)], pa.binary())], ["blob"])
+            name = f"{partition:09d}-{shards:09d}"
+            return pa.RecordBatch.from_arrays([pa.array([build(ids, doc_ids, np.array(lengths), name, bits)], pa.binary())], ["blob"])
 
         for b in batches:
-            columns = b.column("_id").to_pylist(), b.column("_text").cast(pa.binary()).to_pylist(), b.column("_order").to_pylist()
-            for i, text, order in zip(*columns, strict=True):
+            columns = b.column("_id").to_pylist(), b.column("_text").cast(pa.binary()).to_pylist()
+            for i, text in zip(*columns, strict=True):
                 data = enc.encode(text or b"") + end
                 if parts and held + len(data) // 4 > shard_tokens:
                     yield shard()
+                    shards += 1
                     parts, doc_ids, lengths, held = [], [], [], 0
-                if not parts:
-                    first = order
                 parts.append(data)
                 doc_ids.append(i)
                 lengths.append(len(data) // 4)
@@ -309,9 +327,9 @@ def write_shards(
         i < 0, F.concat(F.lit("1"), F.lpad((i - F.lit(-(1 << 63))).cast("string"), 19, "0"))
     ).otherwise(F.concat(F.lit("2"), F.lpad(i.cast("string"), 19, "0")))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    rows = rows.withColumn("_order", F.concat_ws(":", order, row_key("_id", "_text")))
-    placed = rows.repartitionByRange("_order").sortWithinPartitions("_order")
-    blobs = placed.mapInArrow(run, "blob binary")
+    rows = rows.withColumn("_order", F.concat_ws(":", order, row_key("_id", "_text"))).withColumn("_row", F.monotonically_increasing_id())
+    placed = rows.repartitionByRange("_order", "_row").sortWithinPartitions("_order", "_row")
+    blobs = placed.select("_id", "_text").mapInArrow(run, "blob binary")
     write_blobs(blobs, "blob", path, "\n", one_per_file=True)
 
 

@@ -85,3 +85,13 @@ def test_long_headers_and_ordinary_file_names(spark, tmp_path):
     (tmp_path / "crawl.warc.gz").write_bytes(b"".join(warc.record(i, u, h.encode(), None, False) for i, u, h in rows))
     (tmp_path / "notes.txt").write_bytes(b"no records")
     assert sorted(r.page_id for r in warc.read_warc(spark, str(tmp_path)).collect()) == [1, 2, 3]
+
+
+def test_a_read_has_a_task_per_range(spark):
+    pages = spark.range(3000).selectExpr("id as page_id", "concat('http://x/', id) as url", "repeat(md5(string(id)), 40) as html")
+    path = scratch_path(spark, "t-warc-tasks")
+    warc.write_warc(pages.repartition(4), path)
+    found = warc.read_warc(spark, path, split_bytes=1 << 14)
+    spread = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in spread) == 3000
+    assert len(spread) > 8 and max(r["count"] for r in spread) < 1000

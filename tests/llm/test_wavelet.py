@@ -63,3 +63,28 @@ def test_files_hold_the_documents_in_order(spark, make_docs):
 
 def test_empty_table(spark, make_docs):
     assert wavelet.token_table(make_docs([(1, "x")]).where("false"), PATH).count() == 0
+
+
+def test_repeated_rows_over_many_shards(spark, make_docs):
+    text = sentence(4, 60)
+    pairs = [(7, text)] * 40 + [(8, "end")] + [(None, None)] * 30 + [(None, text)] * 30
+    got = sorted(wavelet.token_table(make_docs(pairs), PATH, shard_tokens=100).collect(), key=lambda r: r.start)
+    start = 0
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens
+    assert len(got) == len(pairs) and [r.doc_id for r in got] == [None] * 60 + [7] * 40 + [8]
+
+
+def test_a_tokenizer_with_other_rules_encodes_whole_texts(tmp_path):
+    import json
+
+    rules = json.loads(open(PATH).read())
+    rules["normalizer"]["normalizers"] = rules["normalizer"]["normalizers"][:2]  # keeps capitals
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(rules))
+    enc, known = wavelet.WordEncoder(str(other)), wavelet.WordEncoder(PATH)
+    assert known.by_words and not enc.by_words
+    for t in ("The Word And THE word", "", "café <|endoftext|> x"):
+        assert np.frombuffer(enc.encode(t.encode()), "<u4").tolist() == enc.whole.encode(t, add_special_tokens=False).ids
+    assert enc.encode(b"The") != known.encode(b"The")
