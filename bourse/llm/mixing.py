@@ -1,22 +1,29 @@
 """Mixing sources to target weights by iterative proportional fitting, in DataFrame functions only.
 
-Documents fall into cells (source, language, topic).  Raking multiplies the
-token weight of every cell, one dimension after the other, by target total /
-current total of its value, until all three marginals meet their targets; targets
-that contradict each other are reported.  The
-factor of a cell, divided by the largest factor, is the probability with which
-each of its documents is sampled: expected tokens then have exactly the raked
-marginals, and no probability is cut at 1.
-
-The cells are a table, not a driver array: a sweep is one aggregation and one
-join per dimension, so the number of sources may grow with the corpus.
+Documents fall into cells (source, language, topic); each document of a cell is sampled with
+the cell's probability.  The sample is calibrated: it is to have ``keep`` of all tokens, shared out over the
+values of each dimension by target shares.
+
+A value cannot give more tokens than it has.  Values short of their share are taken
+whole and their missing tokens are dealt to the others, in proportion to their shares: the goal of a value is
+the lesser of its tokens and a level times its share, with the level at which the goals sum to the
+sample's size.  So a tiny new source is kept whole and moves nothing else.  ``mixture`` returns the goals, the
+shortfalls and what raking reached.
+
+Raking then multiplies the factor of every cell, one dimension after the other, until all marginals meet
+their goals within ``TOLERANCE``.  A cell's probability is its factor, or 1 if that is more; such a cell
+gives all it has, so a value's factors are multiplied by (goal - tokens of its whole cells) / (expected tokens
+of its other cells).  Goals that contradict each other are reported.
+
+The cells are a table.  Few cells (counted) are raked in one partition, eight sweeps a job and no
+shuffle; more than ``FEW_CELLS`` by an aggregation and a join per dimension.
 """
 
 from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.llm.common import broadcast_if_small
@@ -29,16 +36,18 @@ TOPICS = (
 )
 # Target shares are the present shares to these powers (then made to sum to 1): below 1 lifts what is rare.
 TEMPER = {"source": 0.7, "lang": 0.8, "topic": 0.9}
-SWEEPS = 8  # at least, then on until the largest relative error of a marginal is below TOLERANCE
-TOLERANCE = 1e-6
+KEEP = 0.9  # share of all tokens that the sample is to have
+SWEEPS = 8  # at a time, until the largest relative error of a marginal is below TOLERANCE
+TOLERANCE = 1e-9
 MOST_SWEEPS = 200
+FEW_CELLS = 20_000
 BROADCAST_ROWS = 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def topic_of(text: Column) -> Column:
+def topic_of(text: Column, topics: tuple[tuple[str, str], ...] = TOPICS) -> Column:
     found = F.lit("general")
-    for name, pattern in reversed(TOPICS):
+    for name, pattern in reversed(topics):
         found = F.when(text.rlike(pattern), name).otherwise(found)
     return found
 
@@ -54,78 +63,129 @@ def _value(c: Column) -> Column:
     return F.when(c.isNull(), "-").otherwise(F.concat(F.lit("="), c.cast("string")))
 
 
-def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame] | None, temper: dict[str, float], sweeps: int | None) -> DataFrame:
-    """``cells`` (one row per combination of ``dims``, column ``t`` tokens) with the raked factor ``f``.
+def goals(cells: DataFrame, dim: str, targets: DataFrame | None, power: float, size: float) -> DataFrame:
+    """``<dim>, has, share, goal``: tokens of every value, its target share, and its part of ``size`` tokens.
 
-    ``targets[d]`` has columns d, share; a value that it lacks gets weight 0.
-    Dimensions without one are tempered.  ``sweeps`` None goes on until the targets are met.
+    ``targets`` has columns ``dim``, share; a value that it lacks gets nothing.  Without it
+    shares are the present ones to ``power``.
     """
+    values = cells.groupBy(dim).agg(F.sum("t").alias("has"))
+    if targets is not None:
+        want = targets.select(_value(F.col(dim)).alias(dim), F.col("share").cast("double").alias("w"))
+        values = values.join(want, dim, "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+    else:
+        values = values.withColumn("w", F.when(F.col("has") > 0, F.pow(F.col("has").cast("double"), power)).otherwise(0.0))
+    # filled up in the order in which values run out: the level with the first k values taken whole, at its largest
+    wanted = F.col("w") > 0
+    runs_out = Window.orderBy(F.when(wanted, F.col("has") / F.col("w")).asc_nulls_last(), F.col(dim))  # one row per value
+    before = F.coalesce(F.sum(F.when(wanted, F.col("has"))).over(runs_out.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    still = F.sum(F.when(wanted, F.col("w"))).over(runs_out.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    level = F.max(F.when(wanted, (F.lit(size) - before) / F.col("still"))).over(Window.partitionBy(F.lit(1)))
+    filled = values.withColumn("still", still).withColumn("level", level)
+    total = F.sum("w").over(Window.partitionBy(F.lit(1)))
+    return filled.select(
+        dim, "has", F.when(total > 0, F.col("w") / total).otherwise(0.0).alias("share"),
+        F.when(wanted, F.least(F.col("has").cast("double"), F.col("level") * F.col("w"))).otherwise(0.0).alias("goal"),
+    )
+
+
+def rake(
+    cells: DataFrame,
+    dims: list[str],
+    targets: dict[str, DataFrame] | None,
+    temper: dict[str, float],
+    keep: float = KEEP,
+    few_cells: int = FEW_CELLS,
+) -> DataFrame:
+    """``cells`` (one row per combination of ``dims``, column ``t`` tokens) with the goals ``g_<dim>`` and the probability ``p``."""
     total = float(cells.agg(F.sum("t")).first()[0] or 0)
-    for d in dims:
-        if targets and d in targets:
-            want = targets[d].select(_value(F.col(d)).alias(d), F.col("share").cast("double").alias("want"))
-        else:
-            want = cells.groupBy(d).agg(F.sum("t").alias("n"))
-            want = want.select(d, F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), temper.get(d, 1.0))).otherwise(0.0).alias("want"))
-        all_ = want.agg(F.sum("want")).first()[0] or 0.0
-        want = want.select(d, (F.col("want") / all_ * total if all_ > 0 else F.lit(0.0)).alias("g_" + d))
-        cells = cells.join(want, d, "left").withColumn("g_" + d, F.coalesce("g_" + d, F.lit(0.0)))
-    cells = cells.withColumn("f", F.lit(1.0)).checkpoint()
-    return _sweep(cells, dims, sweeps)
-
-
-def _sweep(cells: DataFrame, dims: list[str], sweeps: int | None) -> DataFrame:
-    """``cells`` with ``f`` raked to the totals g_<dimension>."""
+
+    def all_goals(size: float) -> dict[str, DataFrame]:
+        return {d: goals(cells, d, (targets or {}).get(d), temper.get(d, 1.0), size) for d in dims}
+
+    size = keep * total
+    # values without a share give nothing: the sample is no larger than what the others have
+    reach = [r.agg(F.sum(F.when(F.col("share") > 0, F.col("has")))).first()[0] or 0 for r in all_goals(size).values()]
+    size = min([size, *map(float, reach)])
+    out = cells
+    for d, g in all_goals(size).items():
+        out = out.join(g.select(d, F.col("goal").alias("g_" + d)), d)
+    out = out.withColumn("f", F.lit(size / total if total > 0 else 1.0)).checkpoint()
+    few = out.count() <= few_cells
+    if few:
+        out = out.coalesce(1)
     errors: list[float] = []
-    for done in range(1, (MOST_SWEEPS if sweeps is None else sweeps) + 1):
-        for d in dims:
-            now = cells.groupBy(d).agg(F.sum(F.col("t") * F.col("f")).alias("now"))
-            cells = cells.join(now, d).withColumn(
-                "f", F.when(F.col("now") > 0, F.col("f") * F.col("g_" + d) / F.col("now")).otherwise(F.col("f"))
-            ).drop("now")
-        cells = cells.checkpoint()
-        if sweeps is None and done >= SWEEPS:
-            errors.append(_largest_error(cells, dims))
-            if errors[-1] <= TOLERANCE:
-                return cells
-            if len(errors) > 10 and errors[-1] > 0.99 * errors[-11]:
-                break  # the error no longer falls
-    if errors:
-        warnings.warn(f"raking: a marginal misses its target by {errors[-1]:.2g} of it after {done} sweeps; the targets contradict", stacklevel=2)
-    return cells
+    for done in range(SWEEPS, MOST_SWEEPS + 1, SWEEPS):
+        for _ in range(SWEEPS):
+            for d in dims:
+                out = _fit(out, d, few)
+                if not few:  # each join reads its table twice
+                    out = out.checkpoint()
+        out = out.checkpoint() if few else out
+        errors.append(_largest_error(out, dims))
+        if errors[-1] <= TOLERANCE:
+            return out.withColumn("p", F.least("f", F.lit(1.0)))
+        out = out.coalesce(1) if few else out
+    missed = max(0.0, errors[-1])
+    warnings.warn(f"raking: a marginal misses its goal by {missed:.2g} of it after {done} sweeps; the targets contradict", stacklevel=2)
+    return out.withColumn("p", F.least("f", F.lit(1.0)))
+
+
+def _fit(cells: DataFrame, d: str, few: bool) -> DataFrame:
+    """One dimension's marginal brought to its goal by what is not taken whole yet."""
+    whole = F.sum(F.when(F.col("f") >= 1, F.col("t")).otherwise(0))
+    open_ = F.sum(F.when(F.col("f") < 1, F.col("t") * F.col("f")).otherwise(0.0))
+    if few:  # all cells lie in one partition: no shuffle
+        by = Window.partitionBy(d)
+        cells = cells.withColumns({"whole": whole.over(by), "open": open_.over(by)})
+    else:
+        cells = cells.join(cells.groupBy(d).agg(whole.alias("whole"), open_.alias("open")), d)
+    goal, now = F.col("g_" + d), F.col("whole") + F.col("open")
+    times = F.when((F.col("open") > 0) & (goal > F.col("whole")), (goal - F.col("whole")) / F.col("open")).when(now > 0, goal / now).otherwise(1.0)
+    return cells.withColumn("f", F.col("f") * times).drop("whole", "open")
 
 
 def _largest_error(cells: DataFrame, dims: list[str]) -> float:
-    """The largest error of a marginal, relative to its target."""
-    parts = [cells.groupBy(d).agg(F.sum(F.col("t") * F.col("f")).alias("now"), F.max("g_" + d).alias("want")).drop(d) for d in dims]
+    """The largest error of a marginal, relative to its goal."""
+    p = F.least(F.col("f"), F.lit(1.0))
+    parts = [cells.groupBy(d).agg(F.sum(F.col("t") * p).alias("now"), F.max("g_" + d).alias("want")).drop(d) for d in dims]
     both = parts[0]
     for x in parts[1:]:
         both = both.unionByName(x)
     return both.where("want > 0").agg(F.max(F.abs(F.col("now") - F.col("want")) / F.col("want"))).first()[0] or 0.0
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as make it new among ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _with_probability(
-    docs: DataFrame, text_col: str, dims: dict[str, Column], targets, temper, sweeps: int | None, broadcast_rows: int
-) -> DataFrame:
-    """``docs`` with columns _topic, _tokens, _f, _p added."""
-    names = list(dims)
+    docs: DataFrame, text_col: str, source_col: str, lang_col: str, topic_col: str | None, targets, temper, keep, broadcast_rows, few_cells
+):
+    """``docs`` with its topic, its number of tokens and its probability in columns of new names, and those names."""
+    names = fresh(docs.columns, "_topic", "_tokens", "_p", "_source_key", "_lang_key", "_topic_key")
+    topic, tokens, p, *keys = names
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.withColumns(
         {
-            "_topic": topic_of(F.coalesce(F.col(text_col), F.lit(""))),
-            "_tokens": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"),
+            topic: F.col(topic_col).cast("string") if topic_col else topic_of(text),
+            tokens: F.regexp_count(text, F.lit(WORD)).cast("long"),
         }
-    ).withColumns({"_dim_" + d: _value(c) for d, c in dims.items()})
-    cells = rows.groupBy(*("_dim_" + d for d in names)).agg(F.sum("_tokens").alias("t")).withColumnsRenamed({"_dim_" + d: d for d in names})
-    raked = rake(cells.checkpoint(), names, targets, temper, sweeps)
-    top = raked.where("t > 0").agg(F.max("f")).first()[0] or 0.0
-    raked = raked.withColumn("p", F.least(F.col("f") / top, F.lit(1.0)) if top > 0 else F.lit(0.0))
-    factors = raked.select(*(F.col(d).alias("_dim_" + d) for d in names), F.col("f").alias("_f"), F.col("p").alias("_p"))
-    joined = rows.join(broadcast_if_small(factors, broadcast_rows), ["_dim_" + d for d in names])
-    return joined.drop(*("_dim_" + d for d in names))
-
-
-def _dims(source_col: str, lang_col: str) -> dict[str, Column]:
-    return {"source": F.col(source_col), "lang": F.col(lang_col), "topic": F.col("_topic")}
+    )
+    rows = rows.withColumns({k: _value(F.col(c)) for k, c in zip(keys, (source_col, lang_col, topic), strict=True)})
+    dims = ["source", "lang", "topic"]
+    cells = rows.groupBy(*keys).agg(F.sum(tokens).alias("t"))
+    cells = cells.select(*(F.col(k).alias(d) for k, d in zip(keys, dims, strict=True)), "t").checkpoint()
+    raked = rake(cells, dims, targets, temper, keep, few_cells)
+    factors = raked.select(*(F.col(d).alias(k) for d, k in zip(dims, keys, strict=True)), F.col("p").alias(p)).checkpoint()
+    return rows.join(broadcast_if_small(factors, broadcast_rows), keys).drop(*keys), raked, topic, tokens, p
 
 
 def mix(
@@ -134,32 +194,35 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     lang_col: str = "lang",
+    topic_col: str | None = None,
     targets: dict[str, DataFrame] | None = None,
     temper: dict[str, float] = TEMPER,
-    sweeps: int | None = None,
+    keep: float = KEEP,
     seed: str = "mix",
     broadcast_rows: int = BROADCAST_ROWS,
+    few_cells: int = FEW_CELLS,
 ) -> DataFrame:
     """``doc_id, source, lang, topic, n_tokens, weight, probability, sampled`` per row of ``docs``.
 
-    Null source, language or text is a value of its own (null text has no
-    tokens); rows without tokens carry their cell's factor and do not move the
-    marginals; repeated ids are drawn alike; with no tokens at all every
-    probability is that of factor 1 or 0.  Other columns are not read.
+    ``weight`` is the probability over ``keep``: above 1 for what the mixture lifts.  A topic is the value of
+    ``topic_col``, or the first of ``TOPICS`` that the text contains.  Null source, language, topic or text is a value
+    of its own (null text has no tokens); rows without tokens carry their cell's probability and do not move
+    the marginals; repeated ids are drawn alike; an empty table gives no rows.  Other columns, whatever their names, are not read.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), F.col(lang_col).alias("lang")
+    columns = {"doc_id": id_col, "text": text_col, "source": source_col, "lang": lang_col}
+    rows = docs.select(*(F.col(c).alias(n) for n, c in columns.items()), *([F.col(topic_col).alias("topic")] if topic_col else []))
+    drawn, _, topic, tokens, p = _with_probability(
+        rows, "text", "source", "lang", "topic" if topic_col else None, targets, temper, keep, broadcast_rows, few_cells
     )
-    p = _with_probability(rows, "text", _dims("source", "lang"), targets, temper, sweeps, broadcast_rows)
-    return p.select(
+    return drawn.select(
         "doc_id",
         "source",
         "lang",
-        F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("n_tokens"),
-        F.round("_f", 6).alias("weight"),
-        F.round("_p", 6).alias("probability"),
-        (uniform(F.col("doc_id"), seed) < F.col("_p")).alias("sampled"),
+        F.col(topic).alias("topic"),
+        F.col(tokens).alias("n_tokens"),
+        F.round(F.col(p) / keep, 6).alias("weight"),
+        F.round(p, 6).alias("probability"),
+        (uniform(F.col("doc_id"), seed) < F.col(p)).alias("sampled"),
     )
 
 
@@ -169,47 +232,86 @@ def mixed_documents(
     text_col: str = "text",
     source_col: str = "source",
     lang_col: str = "lang",
+    topic_col: str | None = None,
     targets: dict[str, DataFrame] | None = None,
     temper: dict[str, float] = TEMPER,
-    sweeps: int | None = None,
+    keep: float = KEEP,
     seed: str = "mix",
     broadcast_rows: int = BROADCAST_ROWS,
+    few_cells: int = FEW_CELLS,
 ) -> DataFrame:
-    """The sampled rows of ``docs``, all columns unchanged."""
-    p = _with_probability(docs, text_col, _dims(source_col, lang_col), targets, temper, sweeps, broadcast_rows)
-    return p.where(uniform(F.col(id_col), seed) < F.col("_p")).select(*docs.columns)
+    """The sampled rows of ``docs``, all columns unchanged, whatever their names.
+
+    Nulls, ties, repeated ids and empty tables are treated as ``mix`` does.
+    """
+    drawn, _, _, _, p = _with_probability(docs, text_col, source_col, lang_col, topic_col, targets, temper, keep, broadcast_rows, few_cells)
+    return drawn.where(uniform(F.col(id_col), seed) < F.col(p)).select(*docs.columns)
 
 
-def oracle(sweeps: int = SWEEPS, temper: dict[str, float] = TEMPER, seed: str = "mix") -> str:
-    """The result of ``mix`` as DuckDB SQL over ``documents``: the sweeps unrolled as windows over the cells."""
+def mixture(
+    docs: DataFrame,
+    text_col: str = "text",
+    source_col: str = "source",
+    lang_col: str = "lang",
+    topic_col: str | None = None,
+    targets: dict[str, DataFrame] | None = None,
+    temper: dict[str, float] = TEMPER,
+    keep: float = KEEP,
+) -> DataFrame:
+    """``dimension, value, has, share, goal, short, expected``: tokens of each value, its target share, its goal,
+    how many tokens it is short of its share of the sample, and what the raked probabilities give it."""
+    _, raked, *_ = _with_probability(docs, text_col, source_col, lang_col, topic_col, targets, temper, keep, BROADCAST_ROWS, FEW_CELLS)
+    raked = raked.select("source", "lang", "topic", "t", "p").checkpoint()
+    size = keep * float(raked.agg(F.sum("t")).first()[0] or 0)
+    parts = []
+    for d in ("source", "lang", "topic"):
+        g = goals(raked, d, (targets or {}).get(d), temper.get(d, 1.0), size)
+        got = raked.groupBy(d).agg(F.sum(F.col("t") * F.col("p")).alias("expected"))
+        parts.append(
+            g.join(got, d).select(
+                F.lit(d).alias("dimension"), F.when(F.col(d) != "-", F.substring(d, 2, 1 << 30)).alias("value"), "has", "share", "goal",
+                F.greatest(F.col("share") * size - F.col("goal"), F.lit(0.0)).alias("short"), "expected",
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def oracle(temper: dict[str, float] = TEMPER, keep: float = KEEP, seed: str = "mix") -> str:
+    """The result of ``mix`` as DuckDB SQL over ``documents``: sweeps over the cells as a recursive query, with the same stop."""
     dims = ["source", "lang", "topic"]
     cases = " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in TOPICS)
-    steps, last = [], "c0"
-    for s in range(sweeps):
-        for d in dims:
-            name = f"c{s}_{d}"
-            steps.append(
-                f"{name} AS (SELECT source, lang, topic, t, g_source, g_lang, g_topic, "
-                f"CASE WHEN sum(t * f) OVER w > 0 THEN f * g_{d} / sum(t * f) OVER w ELSE f END AS f "
-                f"FROM {last} WINDOW w AS (PARTITION BY {d}))"
-            )
-            last = name
     wants = ",\n".join(
-        f"t_{d} AS (SELECT {d}, CASE WHEN sum(t) > 0 THEN pow(CAST(sum(t) AS DOUBLE), {temper[d]}) ELSE 0 END AS want "
-        f"FROM cells GROUP BY {d})" for d in dims
-    )
-    goal = ", ".join(
-        f"(SELECT t_{d}.want / (SELECT sum(want) FROM t_{d}) * (SELECT sum(t) FROM cells) FROM t_{d} "
-        f"WHERE t_{d}.{d} IS NOT DISTINCT FROM cells.{d}) AS g_{d}" for d in dims
+        f"v_{d} AS (SELECT {d}, sum(t) AS has, CASE WHEN sum(t) > 0 THEN pow(CAST(sum(t) AS DOUBLE), {temper[d]}) ELSE 0 END AS w "
+        f"FROM cells GROUP BY {d}),\n"
+        f"k_{d} AS (SELECT *, coalesce(sum(has) FILTER (w > 0) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, "
+        f"sum(w) FILTER (w > 0) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS still "
+        f"FROM v_{d} WINDOW o AS (ORDER BY CASE WHEN w > 0 THEN has / w END NULLS LAST, {d} NULLS FIRST)),\n"
+        f"t_{d} AS (SELECT {d}, CASE WHEN w > 0 THEN least(CAST(has AS DOUBLE), "
+        f"max(CASE WHEN w > 0 THEN ({keep} * (SELECT sum(t) FROM cells) - before) / still END) OVER () * w) ELSE 0 END AS goal FROM k_{d})"
+        for d in dims
     )
+    joins = " ".join(f"JOIN t_{d} ON t_{d}.{d} IS NOT DISTINCT FROM cells.{d}" for d in dims)
+    goal = ", ".join(f"t_{d}.goal AS g_{d}" for d in dims)
+    last = f"(SELECT * FROM sw WHERE n < {MOST_SWEEPS} AND NOT (n > 0 AND n % {SWEEPS} = 0 AND miss <= {TOLERANCE}))"
+    for d in dims:
+        last = (
+            f"(SELECT * EXCLUDE (whole, rest) REPLACE (f * CASE WHEN rest > 0 AND g_{d} > whole THEN (g_{d} - whole) / rest "
+            f"WHEN whole + rest > 0 THEN g_{d} / (whole + rest) ELSE 1 END AS f) "
+            f"FROM (SELECT *, sum(CASE WHEN f >= 1 THEN t ELSE 0 END) OVER (PARTITION BY {d}) AS whole, "
+            f"sum(CASE WHEN f < 1 THEN t * f ELSE 0 END) OVER (PARTITION BY {d}) AS rest FROM {last}))"
+        )
+    errors = ", ".join(f"abs(sum(t * least(f, 1)) OVER (PARTITION BY {d}) - g_{d}) / nullif(g_{d}, 0)" for d in dims)
     return f"""
-WITH r AS (SELECT doc_id, source, lang, CASE {cases} ELSE 'general' END AS topic,
+WITH RECURSIVE r AS (SELECT doc_id, source, lang, CASE {cases} ELSE 'general' END AS topic,
   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
-cells AS (SELECT source, lang, topic, sum(n_tokens) AS t FROM r GROUP BY ALL),
+cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(n_tokens) AS BIGINT) AS t FROM r GROUP BY ALL),
 {wants},
-c0 AS (SELECT *, {goal}, CAST(1 AS DOUBLE) AS f FROM cells),
-{",".join(steps)},
-fin AS (SELECT source, lang, topic, f, (SELECT max(f) FROM {last} WHERE t > 0) AS top FROM {last})
-SELECT doc_id, r.source, r.lang, r.topic, n_tokens, round(f, 6) AS weight, round(least(f / top, 1), 6) AS probability,
-  CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':{seed}'), 1, 13)) AS BIGINT) / pow(16, 13) < least(f / top, 1) AS sampled
+sw AS (
+  SELECT cells.source, cells.lang, cells.topic, t, {goal}, CAST({keep} AS DOUBLE) AS f, 0 AS n, CAST(1 AS DOUBLE) AS miss FROM cells {joins}
+  UNION ALL
+  SELECT source, lang, topic, t, g_source, g_lang, g_topic, f, n, max(miss) OVER () AS miss
+  FROM (SELECT source, lang, topic, t, g_source, g_lang, g_topic, f, n + 1 AS n, coalesce(greatest({errors}), 0) AS miss FROM {last})),
+fin AS (SELECT *, least(f, 1) AS p FROM sw WHERE n = (SELECT max(n) FROM sw))
+SELECT doc_id, r.source, r.lang, r.topic, n_tokens, round(p / {keep}, 6) AS weight, round(p, 6) AS probability,
+  CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':{seed}'), 1, 13)) AS BIGINT) / pow(16, 13) < p AS sampled
 FROM r JOIN fin ON r.source IS NOT DISTINCT FROM fin.source AND r.lang IS NOT DISTINCT FROM fin.lang AND r.topic = fin.topic"""

@@ -17,40 +17,83 @@ def _docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, topic string, f double")
 
 
-def test_marginals_meet_their_targets(spark):
+def level_goals(has, share, size):
+    """Goals by halving: the lesser of what a value has and a level times its share."""
+    lo, hi = 0.0, 1e15
+    for _ in range(300):
+        level = (lo + hi) / 2
+        lo, hi = (level, hi) if sum(min(has[k], level * share[k]) for k in has) < size else (lo, level)
+    return {k: min(has[k], hi * share[k]) for k in has}
+
+
+def test_marginals_meet_their_goals(spark):
     docs = _docs(spark)
-    rows = mixing.mix(docs, sweeps=40).collect()
+    rows = mixing.mix(docs).collect()
     assert len(rows) == 300
+    size = mixing.KEEP * sum(r.n_tokens for r in rows)
+    said = {(r.dimension, r.value): r for r in mixing.mixture(docs).collect()}
     for dim in ("source", "lang", "topic"):
-        now, raked = collections.Counter(), collections.Counter()
+        has, drawn = collections.Counter(), collections.Counter()
         for r in rows:
-            now[r[dim]] += r.n_tokens
-            raked[r[dim]] += r.n_tokens * r.weight
-        want = {k: (n / sum(now.values())) ** mixing.TEMPER[dim] for k, n in now.items()}
-        for k in want:
-            assert raked[k] / sum(raked.values()) == pytest.approx(want[k] / sum(want.values()), rel=1e-3)
-    assert max(r.probability for r in rows) == pytest.approx(1, abs=1e-6) and min(r.probability for r in rows) > 0
-    kept = mixing.mixed_documents(docs, sweeps=40)
+            has[r[dim]] += r.n_tokens
+            drawn[r[dim]] += r.n_tokens * r.probability
+        want = level_goals(has, {k: n ** mixing.TEMPER[dim] for k, n in has.items()}, size)
+        assert drawn == pytest.approx(want, rel=1e-4)
+        for k, n in has.items():
+            x = said[dim, k]
+            assert (x.has, x.goal, x.expected) == (n, pytest.approx(want[k]), pytest.approx(want[k]))
+            assert (x.short > 1e-6) == (x.share * size > n + 1e-6)
+    assert all(0 < r.probability <= 1 for r in rows)
+    kept = mixing.mixed_documents(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rows if r.sampled)
 
 
-def test_equal_to_plain_raking(spark):
-    cells = {("a", "x"): 10.0, ("a", "y"): 30.0, ("b", "x"): 50.0, ("b", "y"): 10.0}
+@pytest.mark.parametrize("few", [0, 100])
+def test_equal_to_plain_raking(spark, few):
+    cells = {("a", "x"): 10.0, ("a", "y"): 30.0, ("b", "x"): 50.0, ("b", "y"): 10.0, ("c", "x"): 2.0}
     df = spark.createDataFrame([(f"={s}", f"={t}", int(n)) for (s, t), n in cells.items()], "s string, t2 string, t long")
-    targets = {
-        "s": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "s string, share double"),
-        "t2": spark.createDataFrame([("x", 0.2), ("y", 0.8)], "t2 string, share double"),
-    }
-    got = {(r.s[1:], r.t2[1:]): r.f for r in mixing.rake(df, ["s", "t2"], targets, {}, 5).collect()}
-    w = dict(cells)
-    for _ in range(5):
-        for at, want in ((0, {"a": 0.5, "b": 0.5}), (1, {"x": 0.2, "y": 0.8})):
-            total = collections.Counter()
-            for k, v in w.items():
-                total[k[at]] += v
-            w = {k: v * want[k[at]] * 100 / total[k[at]] for k, v in w.items()}
-    assert got == pytest.approx({k: w[k] / cells[k] for k in cells})
+    shares = {"s": {"a": 0.3, "b": 0.5, "c": 0.2}, "t2": {"x": 0.6, "y": 0.4}}
+    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, share double") for d, v in shares.items()}
+    got = {(r.s[1:], r.t2[1:]): r.p for r in mixing.rake(df, ["s", "t2"], targets, {}, 0.5, few).collect()}
+    f = dict.fromkeys(cells, 0.5)
+    for _ in range(200):
+        for at, d in enumerate(("s", "t2")):
+            has = collections.Counter()
+            for k, n in cells.items():
+                has[k[at]] += n
+            goal = level_goals(has, shares[d], 51)
+            for v in has:
+                mine = [k for k in cells if k[at] == v]
+                whole, rest = sum(cells[k] for k in mine if f[k] >= 1), sum(cells[k] * f[k] for k in mine if f[k] < 1)
+                times = (goal[v] - whole) / rest if rest and goal[v] > whole else goal[v] / (whole + rest)
+                f |= {k: f[k] * times for k in mine}
+    assert got == pytest.approx({k: min(1, x) for k, x in f.items()}, abs=1e-6)
+    assert got["c", "x"] == pytest.approx(1)  # has less than its share: taken whole
+
+
+def test_a_tiny_new_source_moves_nothing(spark):
+    docs = _docs(spark)
+    before = mixing.mixed_documents(docs).count()
+    new = spark.createDataFrame([(9000, "one two three four", "en", "new", 0, "clash", 1.0)], docs.schema)
+    rows = mixing.mix(docs.unionByName(new)).collect()
+    assert abs(sum(r.sampled for r in rows) - before) <= 0.01 * 300 + 1
+    assert [r.probability for r in rows if r.source == "new"] == [1.0]
+
+
+def test_columns_with_the_names_used_inside_come_back_unchanged(spark):
+    names = ["_topic", "_tokens", "_p", "_f", "_source_key", "_lang_key", "_TOPIC_key", "p", "f", "t", "whole", "__topic"]
+    docs = _docs(spark).drop("f", "topic").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    kept = mixing.mixed_documents(docs)
+    assert kept.columns == docs.columns
+    for r in kept.collect():
+        assert all(r[c] == f"{c}{r.doc_id}" for c in names)
+    assert kept.count() == mixing.mixed_documents(_docs(spark)).count()
+
+
+def test_a_topic_column_may_be_named(spark):
+    rows = mixing.mix(_docs(spark), topic_col="topic").collect()
+    assert {r.topic for r in rows} == {"clash"}
 
 
 def test_edges(spark, make_docs):
@@ -64,16 +107,18 @@ def test_edges(spark, make_docs):
     assert abs(got[0] - 0.5) < 0.01 and abs(got[1] - 0.5) < 0.01 and abs(got[2]) < 0.02 and got[3] >= 0 and got[4] < 1
 
 
-def test_sweeps_go_on_until_the_targets_are_met(spark):
+def test_sweeps_go_on_until_the_goals_are_met(spark):
     # 20 sources tied to languages but for 2 % strays, one hot
     cells = [(f"=s{i}", f"=l{j}", (100_000 if i == 0 else 1000 + 37 * i) * (196 if i % 5 == j else 1)) for i in range(20) for j in range(5)]
     df = spark.createDataFrame(cells, "source string, lang string, t long")
-    rows = mixing.rake(df, ["source", "lang"], None, mixing.TEMPER, None).collect()
+    rows = mixing.rake(df, ["source", "lang"], None, mixing.TEMPER, 0.1).collect()
     for d in ("source", "lang"):
         now = collections.Counter()
         for r in rows:
-            now[r["g_" + d], r[d]] += r.t * r.f
-        assert all(n == pytest.approx(g, rel=1e-5) for (g, _), n in now.items())
+            now[r["g_" + d], r[d]] += r.t * r.p
+        assert all(n == pytest.approx(g, rel=1e-6) for (g, _), n in now.items())
     bad = spark.createDataFrame([("=a", "=x", 10), ("=b", "=y", 90)], "source string, lang string, t long")
+    targets = {"source": spark.createDataFrame([("a", 0.1), ("b", 0.9)], "source string, share double"),
+               "lang": spark.createDataFrame([("x", 0.01), ("y", 0.99)], "lang string, share double")}
     with pytest.warns(UserWarning, match="contradict"):
-        mixing.rake(bad, ["source", "lang"], None, mixing.TEMPER, None)
+        mixing.rake(bad, ["source", "lang"], targets, mixing.TEMPER, 0.5)
