@@ -111,7 +111,7 @@ def test_sweeps_go_on_until_the_goals_are_met(spark):
     # 20 sources tied to languages but for 2 % strays, one hot
     cells = [(f"=s{i}", f"=l{j}", (100_000 if i == 0 else 1000 + 37 * i) * (196 if i % 5 == j else 1)) for i in range(20) for j in range(5)]
     df = spark.createDataFrame(cells, "source string, lang string, t long")
-    rows = mixing.rake(df, ["source", "lang"], None, mixing.TEMPER, 0.1).collect()
+    rows = mixing.rake(df, ["source", "lang"], None, {"source": 0.95, "lang": 0.97}, 0.01).collect()
     for d in ("source", "lang"):
         now = collections.Counter()
         for r in rows:
