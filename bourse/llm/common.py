@@ -56,3 +56,14 @@ def let(value: Column, body) -> Column:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """A checkpointed table, marked for broadcast only if it was counted to hold at most ``max_rows`` rows."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as make it new among ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import ascii_lower, broadcast_if_small, let, row_key
+from bourse.llm.common import ascii_lower, broadcast_if_small, fresh, let, row_key
 
 # Everything in ASCII that is not a digit or a lower-case letter separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -139,11 +139,14 @@ def decontaminate(
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs``, all columns, without a benchmark window."""
-    bad = decontaminate(docs, benchmark, id_col, text_col, **how).where("contaminated").select(F.col("key").alias("_row_key"))
+    """The rows of ``docs``, all columns unchanged whatever their names, without a benchmark window.
+
+    Null and empty texts are clean and stay; repeated rows stay or go together; with no benchmark items all rows stay.
+    """
+    (key,) = fresh(docs.columns, "_row_key")
+    bad = decontaminate(docs, benchmark, id_col, text_col, **how).where("contaminated").select(F.col("key").alias(key))
     bad = broadcast_if_small(bad.distinct().checkpoint(), how.get("broadcast_rows", BROADCAST_ROWS))
-    keyed = docs.withColumn("_row_key", row_key(id_col, text_col))
-    return keyed.join(bad, "_row_key", "left_anti").drop("_row_key")
+    return docs.withColumn(key, row_key(id_col, text_col)).join(bad, key, "left_anti").drop(key).select(*docs.columns)
 
 
 def oracle(window: int = 10) -> str:

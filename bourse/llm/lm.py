@@ -20,32 +20,41 @@ drawn from the classes' unigram distribution and shared by the minibatch; noise
 per case within its class.  Only touched rows are updated.
 All tasks start from the same parameters; the changes are
 averaged by token counts on the executors, and the next round starts from the average.
-What reaches the driver is one model and the table of the commonest words.
+So a score depends on how the input is cut into tasks, within what averaging leaves of it.
 
-Scoring.  Common words are looked up in a table that goes with the
-tasks.  The other words of a text are joined to the full counts; as the
+The table of the commonest words and the averaged changes are files in the shared folder, which each
+Python worker reads once; the driver sees totals and a histogram of counts.  ``MOST_IDS`` bounds what a worker
+holds; words beyond it are counted like all others and share the one id.
+
+Scoring.  Common words are looked up in that table.  The other words of a text are joined to the full counts; as the
 commonest are not among them, no key of that join is hot.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+import sys
+import types
+from collections import OrderedDict, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
 import xxhash
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.common import text_bytes
+from bourse.session import scratch_path
 
-COVER = 0.9  # share of the training tokens whose words have ids of their own
+COVER = 0.75  # share of the training tokens whose words have ids of their own
 COMMON_WORDS = 1 << 17  # looked up without a join
+MOST_IDS = 1 << 20  # words with ids of their own, at most: 100 MB of parameters a worker
 WIDTH = 24
-ROUNDS = 2
-NOISE = 128  # noise classes of a minibatch
-NOISE_WITHIN = 2  # noise ids of a case within its class
+ROUNDS = 1
+NOISE = 64  # noise classes of a minibatch
+NOISE_WITHIN = 1  # noise ids of a case within its class
 MINIBATCH = 4096  # tokens
 HEAVIEST = MINIBATCH // 16  # a merged case stands for at most so many tokens
 RATE = 0.02
@@ -216,11 +225,13 @@ class LogBilinear:
         """Normalised log10 probabilities of ids after their contexts: of the class, then of the id within it."""
         n = len(self.b)
         pair, at = np.unique(one * (n + 1) + two, return_inverse=True)
+        case, back = np.unique(at * n + token, return_inverse=True)  # equal cases have equal scores
+        at, token = np.divmod(case, n)
         near, far = self.r @ self.c1, self.r @ self.c2
         ctx = near[pair // (n + 1)] + far[pair % (n + 1)]
         norm = np.empty(len(pair), dtype=np.float64)
-        for low in range(0, len(pair), 8192):
-            norm[low : low + 8192] = _log_sum(ctx[low : low + 8192] @ self.q.T + self.a)
+        for low in range(0, len(pair), 4096):
+            norm[low : low + 4096] = _log_sum(ctx[low : low + 4096] @ self.q.T + self.a)
         kind = self.of_class[token]
         score = np.empty(len(token), dtype=np.float64)
         for low in range(0, len(token), 1 << 17):
@@ -231,16 +242,20 @@ class LogBilinear:
         for k, (low, high) in enumerate(zip(self.bounds[:-1], self.bounds[1:], strict=True)):
             if high - low > 1:
                 out, bias = self.r[low:high].T.copy(), self.b[low:high]
-                for x in range(cuts[k], cuts[k + 1], 8192):
-                    rows = order[x : min(x + 8192, cuts[k + 1])]
+                for x in range(cuts[k], cuts[k + 1], 4096):
+                    rows = order[x : min(x + 4096, cuts[k + 1])]
                     s = ctx[at[rows]] @ out + bias
-                    score[rows] += s[np.arange(len(rows)), token[rows] - low] - _log_sum(s)
-        return score / np.log(10)
+                    own = s[np.arange(len(rows)), token[rows] - low].astype(np.float64)
+                    score[rows] += own - _log_sum(s)
+        return score[back] / np.log(10)
 
 
 def _log_sum(s: np.ndarray) -> np.ndarray:
+    """Log of the sum of exponentials per row; ``s`` is used up."""
     top = s.max(axis=1, keepdims=True)
-    return top[:, 0] + np.log(np.exp(s - top).sum(axis=1))
+    s -= top
+    np.exp(s, out=s)
+    return top[:, 0] + np.log(s.sum(axis=1, dtype=np.float64))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -333,20 +348,69 @@ class Trainer:
         return (self.rate * (a / (1 - 0.9**self.steps)) / (np.sqrt(s / (1 - 0.99**self.steps)) + 1e-6)).astype(np.float32)
 
 
-def train(rows: DataFrame, table: Table, width: int = WIDTH, rounds: int = ROUNDS, rate: float = RATE) -> LogBilinear:
-    """The model after ``rounds`` passes over all of ``rows`` (column t), averaged over the tasks after each."""
-    n = len(table.unigram)
-    model = LogBilinear.first(table, width)
+# --- what the workers read -----------------------------------------------------------------------
+
+
+def _read(path: str, columns: list[str]) -> pa.Table:
+    system, place = fs.FileSystem.from_uri(path)
+    return pads.dataset(place, filesystem=system, format="parquet").to_table(columns=columns)
+
+
+class Shared:
+    """What a Python worker needs and reads once: the table of common words and the model, from their folders."""
+
+    def __init__(self, words: str, totals: tuple[int, int, int, int], width: int):
+        self.words, self.totals, self.width = words, totals, width
+        self.rounds: tuple[str, ...] = ()
+
+    def _kept(self, key, make):
+        held = sys.modules.setdefault("_lm_kept", types.ModuleType("_lm_kept")).__dict__.setdefault("kept", OrderedDict())
+        if key not in held:
+            held[key] = make()
+            if len(held) > 3:
+                held.popitem(last=False)
+        return held[key]
+
+    def table(self) -> Table:
+        def make():
+            rows = _read(self.words, ["h", "c"])
+            return Table(rows.column("h").to_numpy(), rows.column("c").to_numpy(), *self.totals)
+
+        return self._kept(self.words, make)
+
+    def model(self) -> LogBilinear:
+        """The first parameters and, for each round, the changes of all tasks, averaged by their tokens."""
+
+        def make():
+            table, names = self.table(), [f"x{j}" for j in range(self.width + 1)]
+            flat = LogBilinear.first(table, self.width).flat().astype(np.float64)
+            for path in self.rounds:
+                rows = _read(path, ["i", *names])
+                at = rows.column("i").to_numpy()
+                tokens = rows.column("x0").to_numpy()[at < 0].sum()
+                mine = at >= 0
+                for j, x in enumerate(names):
+                    flat[at[mine], j] += rows.column(x).to_numpy()[mine] / tokens
+            return LogBilinear.of(flat, len(table.unigram), self.width)
+
+        return self._kept((self.words, self.rounds), make)
+
+
+def train(rows: DataFrame, shared: Shared, rounds: int = ROUNDS, rate: float = RATE) -> None:
+    """``rounds`` passes over all of ``rows`` (column t); the tasks' changes, averaged after each, go into ``shared``."""
+    width = shared.width
     names = [f"x{j}" for j in range(width + 1)]
     for turn in range(rounds):
-        start, turn_rate = model.flat(), rate / (1 + turn)
+        turn_rate = rate / (1 + turn)
 
-        def run(batches, start=start, turn_rate=turn_rate, turn=turn):
+        def run(batches, shared=shared, turn_rate=turn_rate, turn=turn):
             trainer, seen = None, 0
             for b in batches:
                 for _, words in _chunks(text_bytes(b, "t")):
+                    table = shared.table()
                     if trainer is None:
-                        trainer = Trainer(LogBilinear.of(start, n, width), table.unigram, turn, turn_rate)
+                        start = shared.model().flat()
+                        trainer = Trainer(LogBilinear.of(start, len(table.unigram), width), table.unigram, turn, turn_rate)
                     token, one, two, _ = sequences(table, *_number(words))
                     trainer.cases(token, one, two)
                     seen += len(token)
@@ -359,14 +423,9 @@ def train(rows: DataFrame, table: Table, width: int = WIDTH, rounds: int = ROUND
                 yield pa.RecordBatch.from_arrays([at, *x], ["i", *names])
 
         parts = rows.select("t").mapInArrow(run, "i int, " + ", ".join(f"{x} float" for x in names))
-        sums = parts.groupBy("i").agg(*(F.sum(F.col(x).cast("double")).alias(x) for x in names)).toPandas()  # as many rows as the model
-        if not len(sums):
-            break
-        at, x = sums["i"].to_numpy(), sums[names].to_numpy(np.float64)
-        flat = start.astype(np.float64)
-        flat[at[at >= 0]] += x[at >= 0] / x[at < 0, 0].sum()
-        model = LogBilinear.of(flat, n, width)
-    return model
+        path = scratch_path(rows.sparkSession, "lm-round")
+        parts.groupBy("i").agg(*(F.sum(F.col(x).cast("double")).alias(x) for x in names)).write.parquet(path)
+        shared.rounds = (*shared.rounds, path)
 
 
 # --- scores --------------------------------------------------------------------------------------
@@ -400,17 +459,19 @@ def score_texts(
     total = counts.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).first()
     texts = training.count()
     least, covering = least_common(counts, common_words, cover if vocabulary is None else 0.0)
-    common = counts.where(F.col("c") >= least).toPandas()  # at most common_words rows, or those with ids
-    vocabulary = covering if vocabulary is None else vocabulary
-    table = Table(
-        common["h"].to_numpy(np.int64), common["c"].to_numpy(np.int64), texts, (total["c"] or 0) + texts, total["v"] + bool(texts), vocabulary
-    )
-    model = train(training, table, width, rounds)
+    vocabulary = min(covering, MOST_IDS) if vocabulary is None else vocabulary
+    words = scratch_path(docs.sparkSession, "lm-words")
+    counts.where(F.col("c") >= least).coalesce(16).write.parquet(words)  # at most common_words rows, or those with ids
+    tokens, kinds = (total["c"] or 0) + texts, total["v"] + bool(texts)
+    shared = Shared(words, (texts, tokens, kinds, vocabulary), width)
+    if texts:
+        train(training, shared, rounds)
     names = ["doc_id", "held_out", "th", "n_tokens", "n_known", "base_score", "score", "h", "tf"]
 
     def run(batches):
         for b in batches:
             for first, words in _chunks(text_bytes(b, "t")):
+                table, model = shared.table(), shared.model()
                 at, hashes, lengths = _number(words)
                 there, c, _ = table.look_up(hashes)
                 token, one, two, starts = sequences(table, at, hashes, lengths)
@@ -446,8 +507,11 @@ def score_texts(
     rare = found.select("doc_id", "held_out", "th", F.explode(F.arrays_zip("h", "tf")).alias("w"))
     rare = rare.select("doc_id", "held_out", "th", F.col("w.h").alias("h"), F.col("w.tf").alias("tf"))
     c = F.coalesce("c", F.lit(0))
-    base_all = table.tokens + SMOOTH * (table.kinds + 1)
-    other_all = table.other_tokens + SMOOTH * (table.other_kinds + 1)
+    base_all = tokens + SMOOTH * (kinds + 1)
+    # what the words with ids leave to the shared one, as in Table
+    with_id = docs.sparkSession.read.schema("h long, c long").parquet(words).orderBy(F.desc("c"), "h").limit(vocabulary)
+    own = with_id.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first()
+    other_all = tokens - own["c"] - texts + SMOOTH * (max(0, kinds - own["n"] - (1 if texts else 0)) + 1)
     added = rare.join(counts, "h", "left").select(
         "doc_id", "held_out", "th", F.lit(0).alias("copies"), F.lit(0).cast("long").alias("n_tokens"),
         F.when(c > 0, F.col("tf")).otherwise(F.lit(0)).alias("n_known"),
@@ -463,6 +527,6 @@ def score_texts(
     return each.select(
         "doc_id", "held_out",
         *((F.col(x) / F.col("copies")).cast("long").alias(x) for x in ("n_tokens", "n_known")),
-        F.lit(table.tokens).cast("long").alias("train_tokens"),
+        F.lit(tokens).cast("long").alias("train_tokens"),
         *((F.col(x) / F.col("copies")).alias(x) for x in ("base_score", "score")),
     )

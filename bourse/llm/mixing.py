@@ -26,7 +26,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bourse.llm.common import broadcast_if_small
+from bourse.llm.common import broadcast_if_small, fresh
 
 # Topic of a text: the first of these patterns that it contains, else "general".
 TOPICS = (
@@ -155,17 +155,6 @@ def _largest_error(cells: DataFrame, dims: list[str]) -> float:
     return both.where("want > 0").agg(F.max(F.abs(F.col("now") - F.col("want")) / F.col("want"))).first()[0] or 0.0
 
 
-def fresh(columns: list[str], *names: str) -> list[str]:
-    """``names``, each with as many underscores before it as make it new among ``columns`` (in any case)."""
-    taken, out = {c.lower() for c in columns}, []
-    for name in names:
-        while name.lower() in taken:
-            name = "_" + name
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def _with_probability(
     docs: DataFrame, text_col: str, source_col: str, lang_col: str, topic_col: str | None, targets, temper, keep, broadcast_rows, few_cells
 ):

@@ -193,8 +193,10 @@ def quality_rules(
 def kept_documents(docs: DataFrame, text_col: str = "text", **rules) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose text passes the rules.
 
-    The verdict is computed beside the row in one pass, so nothing is joined back.
+    The verdict is computed beside the row in one pass, so nothing is joined back.  Null and empty texts have too
+    few words and go; repeated rows stay or go together; an empty table stays empty.
     """
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
     min_words = rules.get("min_words", 5)
     pct, top_pct, top_least = (
         rules.get(k, v) for k, v in (("max_covered_pct", 30), ("max_longest_pct", 20), ("longest_at_least", 50))
@@ -202,7 +204,7 @@ def kept_documents(docs: DataFrame, text_col: str = "text", **rules) -> DataFram
 
     def run(batches):
         for b in batches:
-            texts = [t or b"" for t in b.column(b.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()]
+            texts = [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
             if not texts:
                 continue
             m = measure(texts, min_words)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import row_key, text_bytes
+from bourse.llm.common import fresh, row_key, text_bytes
 from bourse.llm.components import components
 
 SEED = 42
@@ -262,13 +262,14 @@ def simhash_components(
 def one_per_group(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, max_bits: int = 4, blocks: int = 3
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: of each component the row with the smallest id.
+    """The rows of ``docs``, all columns unchanged whatever their names, that stay: of each component the row with the smallest id.
 
     Rows without an id come last, ties go to the smaller text hash, and of
-    repeated rows one stays.
+    repeated rows one stays.  Null and wordless texts form a component like any other; an empty table stays empty.
     """
     found = simhash_components(docs, id_col, text_col, k, max_bits, blocks)
     first = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
-    keep = first.select(F.col("m.key").alias("_row_key"))
-    keyed = docs.withColumn("_row_key", row_key(id_col, text_col))
-    return keyed.join(keep, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    (key,) = fresh(docs.columns, "_row_key")
+    keep = first.select(F.col("m.key").alias(key))
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
