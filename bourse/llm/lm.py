@@ -51,15 +51,15 @@ from bourse.session import scratch_path
 COVER = 0.75  # share of the training tokens whose words have ids of their own
 COMMON_WORDS = 1 << 17  # looked up without a join
 MOST_IDS = 1 << 20  # words with ids of their own, at most: 100 MB of parameters a worker
-WIDTH = 24
+WIDTH = 16
 ROUNDS = 1
-NOISE = 64  # noise classes of a minibatch
+NOISE = 32  # noise classes of a minibatch
 NOISE_WITHIN = 1  # noise ids of a case within its class
-MINIBATCH = 4096  # tokens
+MINIBATCH = 8192  # tokens
 HEAVIEST = MINIBATCH // 16  # a merged case stands for at most so many tokens
 RATE = 0.02
 SMOOTH = 0.1
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 19
 
 
 def held_out(row_id: Column) -> Column:
