@@ -88,9 +88,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        rules = json.loads(self.whole.to_str())
-        splits = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [None])[0]
-        self.by_words = rules["normalizer"] == NORMALIZES and splits == SPLITS and rules["model"]["type"] == "BPE"
+        # the parts' own state: the whole file as JSON would hold every word once more
+        normalizes, splits = (json.loads(p.__getstate__()) if p else None for p in (self.whole.normalizer, self.whole.pre_tokenizer))
+        first = ((splits or {}).get("pretokenizers") or [None])[0]
+        self.by_words = normalizes == NORMALIZES and first == SPLITS and type(self.whole.model).__name__ == "BPE"
         model, letters = self.whole.model, byte_letters()
 
         four = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
