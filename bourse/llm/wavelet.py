@@ -34,7 +34,7 @@ from bourse.session import scratch_path
 MAGIC = b"WVLTMTX1"
 CHUNK_BITS = 1 << 18
 SHARD_TOKENS = 1 << 21
-CACHED_WORDS = 600_000
+CACHED_WORDS, CACHED_PIECES = 300_000, 100_000  # a worker keeps them between tasks
 CACHED_CHUNKS = 256
 
 
@@ -65,12 +65,12 @@ def byte_letters() -> dict[int, str]:
 class _Kept(dict):
     """A dict that computes what it lacks and starts anew when it is full."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
 
     def __missing__(self, key):
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= self.most:
             self.clear()
         value = self[key] = self.compute(key)
         return value
@@ -103,7 +103,7 @@ class WordEncoder:
             shown = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
             return packed([t.id for t in model.tokenize(shown)])
 
-        pieces = _Kept(of_piece)
+        pieces = _Kept(of_piece, CACHED_PIECES)
 
         def of_word(word: bytes) -> bytes:
             # most words are ASCII letters, maybe with one mark behind: no pattern needed
@@ -116,7 +116,7 @@ class WordEncoder:
                 return b"".join(map(pieces.__getitem__, PIECES.findall(text.lower())))
             return packed(self.whole.encode(text, add_special_tokens=False).ids)
 
-        self.words = _Kept(of_word)
+        self.words = _Kept(of_word, CACHED_WORDS)
 
     def encode(self, text: bytes) -> bytes:
         if not self.by_words:
