@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 def test_queries_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
     assert all(q in names for q in entry.oracle_sql())
