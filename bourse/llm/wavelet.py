@@ -34,7 +34,7 @@ from bourse.session import scratch_path
 MAGIC = b"WVLTMTX1"
 CHUNK_BITS = 1 << 18
 SHARD_TOKENS = 1 << 21
-CACHED_WORDS, CACHED_PIECES = 300_000, 100_000  # a worker keeps them between tasks
+CACHED_WORDS, CACHED_PIECES = 360_000, 60_000  # a worker keeps them between tasks
 CACHED_CHUNKS = 256
 
 
