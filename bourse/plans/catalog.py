@@ -308,6 +308,14 @@ def q_profit_lineitem_top(spark, sf_dir):
     return _shown(top_n(profit(m3_trades(spark, sf_dir), M3_WINDOW, M3_SLIDE), 10, "profit"))
 
 
+def q_sma_nulls_last(spark, sf_dir):
+    """A ranking in which most averages are null: within a window they come last."""
+    t = m3_trades(spark, sf_dir)
+    priced = F.when(F.expr("cast(substring(instrument, 5) as int) % 5 = 1"), F.col("per_volume_buy_price"))
+    s = sma(t.withColumn("per_volume_buy_price", priced), M3_WINDOW, M3_SLIDE)
+    return _shown(top_n(s, 12, "sma_price"))
+
+
 BATCH_QUERIES = {
     "q_decode_orders": q_decode_orders,
     "q_quarantine": q_quarantine,
@@ -340,4 +348,5 @@ BATCH_QUERIES = {
     "q_profit_top": q_profit_top,
     "q_sma_lineitem": q_sma_lineitem,
     "q_profit_lineitem_top": q_profit_lineitem_top,
+    "q_sma_nulls_last": q_sma_nulls_last,
 }

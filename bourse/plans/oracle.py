@@ -309,6 +309,9 @@ SELECT order_id, instrument, buy_sell, price, volume, expiry, order_time, initia
     q["q_sma_lineitem"] = _with(M3_TRADES) + _sma_sql("t3", "15 DAY", "30 DAY")
     p3 = _profit_sql("t3", "15 DAY", "30 DAY")
     q["q_profit_lineitem_top"] = _with(M3_TRADES) + f"{p3} {by_profit} LIMIT 10"
+    few = "(SELECT * REPLACE (CASE WHEN CAST(substr(instrument, 5) AS INTEGER) % 5 = 1 THEN per_volume_buy_price END AS per_volume_buy_price) FROM t3)"
+    q["q_sma_nulls_last"] = _with(M3_TRADES) + _sma_sql(few, "15 DAY", "30 DAY") + """
+ORDER BY w_start_time DESC, AVG(per_volume_buy_price) DESC NULLS LAST, instrument LIMIT 12"""
     # every tier of the matcher gives the trades of the plain rule
     q["q_match_ladder"] = q["q_match_trades"]
     q["q_match_salted"] = q["q_match_trades"]
