@@ -107,39 +107,44 @@ class Page:
         self.tag, self.parent, self.aside = ["#root"], [-1], [0]
         self.span = [[0, 0]]  # the node's events
         self.events: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block starts or ends
+        self.places: dict[str, list[int]] = {}  # per tag, where its open elements stand in the stack
         self._read(html)
 
     def _open(self, tag: str, attributes: str, stack: list[int]) -> int:
         if tag in ENDS_P:
-            self._end("p", stack, {"td", "th", "table", "button", "object"})
+            self._end({"p"}, stack, {"td", "th", "table", "button", "object"})
         if tag in CLOSES:
             closed, limits = CLOSES[tag]
-            while any(self.tag[i] in closed for i in self._within(stack, limits)):
-                self._end(next(self.tag[i] for i in self._within(stack, limits) if self.tag[i] in closed), stack, limits)
+            while self._end(closed, stack, limits):
+                pass
         node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(stack[-1])
-        header = tag == "header" and not any(self.tag[i] in ("article", "main") for i in stack)
+        header = tag == "header" and self._innermost(("article", "main")) < 0
         self.aside.append(BY_TAG if header else _aside(tag, attributes))
         if tag in BLOCK:
             self.events.append((node, None))
         self.span.append([len(self.events), len(self.events)])
         return node
 
-    def _within(self, stack: list[int], limits):
-        """Open nodes from the innermost outward, before one of the limits."""
-        for i in reversed(stack):
-            if self.tag[i] in limits:
-                return
-            yield i
-
-    def _end(self, tag: str, stack: list[int], limits=frozenset()) -> None:
-        if any(self.tag[i] == tag for i in self._within(stack, limits)):
-            while True:
-                node = stack.pop()
-                self._close(node)
-                if self.tag[node] == tag:
-                    return
+    def _innermost(self, tags) -> int:
+        """The place in the stack of the innermost open element of these tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def _push(self, node: int, stack: list[int]) -> None:
+        self.places.setdefault(self.tag[node], []).append(len(stack))
+        stack.append(node)
+
+    def _end(self, tags, stack: list[int], limits=frozenset()) -> bool:
+        """End the innermost open element of these tags and all inside it, if no limit stands between."""
+        place = self._innermost(tags)
+        if place < 0 or place < self._innermost(limits):
+            return False
+        while len(stack) > place:
+            node = stack.pop()
+            self.places[self.tag[node]].pop()
+            self._close(node)
+        return True
 
     def _close(self, node: int) -> None:
         self.span[node][1] = len(self.events)
@@ -183,7 +188,7 @@ class Page:
             tag = tag.lower()
             if slash:
                 if tag not in VOID:
-                    self._end(tag, stack)
+                    self._end((tag,), stack)
                 continue
             node = self._open(tag, attributes, stack)
             if tag in VOID:
@@ -193,9 +198,9 @@ class Page:
             elif tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(html, at)
                 at = text_from = end.start() if end else n
-                stack.append(node)
+                self._push(node, stack)
             else:
-                stack.append(node)
+                self._push(node, stack)
         for node in reversed(stack):
             self._close(node)
 
@@ -294,11 +299,13 @@ class Page:
         home = inside["article"][centre]
         if home >= 0:
             return [i for i in articles if i == home or dense[i] >= threshold] or [home]
-        below = [i for i in articles if centre == 0 or self._is_below(i, centre)]
+        under = self._under(centre)
+        below = [i for i in articles if under[i]]
         if below and sum(plain[i] for i in below) >= ARTICLES_SHARE * plain[centre]:
             return below
         on_path = set(path)
-        return [i for i in within if i == centre or i not in on_path and up[i] in on_path - {centre} and dense[i] >= threshold]
+        above = on_path - {centre}
+        return [i for i in within if i == centre or i not in on_path and up[i] in above and dense[i] >= threshold]
 
     def _outermost(self, name: str) -> list[int]:
         """Per node the outermost element of that name around it or itself, else -1."""
@@ -308,10 +315,13 @@ class Page:
             out[i] = above if above >= 0 else i if self.tag[i] == name else -1
         return out
 
-    def _is_below(self, node: int, top: int) -> bool:
-        while node > top:
-            node = self.parent[node]
-        return node == top
+    def _under(self, top: int) -> list[bool]:
+        """Per node whether it is ``top`` or lies in it."""
+        out = [False] * len(self.tag)
+        out[top] = True
+        for i in range(top + 1, len(out)):
+            out[i] = out[self.parent[i]]
+        return out
 
     def _render(self, roots: list[int], out: list[bool]) -> str:
         lines: list[str] = []

@@ -146,32 +146,65 @@ def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame, lis
 # --- spans ---------------------------------------------------------------------------------------
 
 
+def running_sums(numbers: Column) -> Column:
+    """Per element the sum of an integer array up to and including it.
+
+    A list that grows by one element is copied at every step, so the array is cut into pieces of about the
+    square root of its size, summed piece by piece, and each piece is raised by the sum of those before it.
+    """
+
+    def grow(sums: Column, v: Column) -> Column:
+        return F.concat(sums, F.array(F.element_at(sums, -1) + v))
+
+    def summed(x: Column) -> Column:
+        return F.aggregate(x, F.array(F.lit(0)), grow)  # a zero first
+
+    def cut(x: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(x))).cast("int")
+        return F.when(
+            F.size(x) > 0,
+            let(size, lambda n: F.transform(F.sequence(F.lit(1), F.size(x), n), lambda at: summed(F.slice(x, at, n)))),
+        ).otherwise(F.array().cast("array<array<int>>"))
+
+    def raised(pieces: Column) -> Column:
+        before = summed(F.transform(pieces, lambda p: F.element_at(p, -1)))
+        whole = let(
+            before,
+            lambda b: F.transform(pieces, lambda p, i: F.transform(F.slice(p, 2, F.size(p) - 1), lambda v: v + F.get(b, i))),
+        )
+        return F.flatten(whole)
+
+    return let(let(numbers, cut), raised)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """The counted matches of a rule as structs (start, order, end) in code points.
 
     Matches and the pieces between them alternate, so places are running sums of lengths.
     """
     pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    values = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    pieces = F.split(text, rule.pattern, -1)
 
     def lengths(strings: Column) -> Column:
         return F.transform(strings, lambda s: F.length(s))
 
     def place(x: Column) -> Column:
-        def upto(name: str, n: Column) -> Column:
-            return F.aggregate(F.slice(x[name], 1, n), F.lit(0), lambda a, v: a + v)
+        steps = F.transform(
+            x["matches"],
+            lambda m, i: F.get(x["pieces"], i) + F.when(i > 0, F.get(x["matches"], i - 1)).otherwise(F.lit(0)),
+        )
 
-        def one(m: Column, i: Column) -> Column:
-            start = upto("pieces", i + 1) + upto("matches", i)
-            return F.struct(start.alias("start"), F.lit(order).alias("order"), (start + m).alias("end"), F.get(x["values"], i).alias("size"))
+        def one(start: Column, i: Column) -> Column:
+            m = F.get(x["matches"], i)
+            size = F.get(x["values"], i) if rule.group else m
+            return F.struct(start.alias("start"), F.lit(order).alias("order"), (start + m).alias("end"), size.alias("size"))
 
-        kept = F.filter(F.transform(x["matches"], one), lambda s: s["size"] >= rule.least)
+        kept = F.filter(F.transform(running_sums(steps), one), lambda s: s["size"] >= rule.least)
         return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end")))
 
-    parts = F.struct(lengths(matches).alias("matches"), lengths(values).alias("values"), lengths(pieces).alias("pieces"))
-    return let(parts, place)
+    parts = [lengths(F.regexp_extract_all(text, pattern, F.lit(0))).alias("matches"), lengths(F.split(text, rule.pattern, -1)).alias("pieces")]
+    if rule.group:
+        parts.append(lengths(F.regexp_extract_all(text, pattern, F.lit(rule.group))).alias("values"))
+    return let(F.struct(*parts), place)
 
 
 NO_SPANS = "array<struct<start:int,order:int,end:int>>"

@@ -1,4 +1,8 @@
-from bourse.llm.html_text import extract_text, main_text
+import math
+import random
+import time
+
+from bourse.llm.html_text import BLOCK, Page, extract_text, main_text
 
 LONG = "This paragraph has quite a number of words in it, as articles do, and no links at all. " * 3
 
@@ -71,3 +75,97 @@ def test_names_are_believed_only_if_the_text_agrees():
         assert main_text(page(f'<div class="{name}">{story}{side}</div>')) == want
     for name in ("notice", "related-work"):
         assert main_text(page(f'<article>{story}<div class="{name}"><p>{LONG}</p><p>{LONG}</p></div>{side}</article>')) == "\n".join([want, *[LONG.strip()] * 2])
+
+
+PIECES = "p div li ul td tr table tbody th dl dt dd article main b i a button section h2 option select".split()
+
+
+def soup(seed, names=PIECES, n=80):
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(rnd.randint(1, n)):
+        kind = rnd.random()
+        if kind < 0.7:
+            out.append(f"<{'/' if kind > 0.45 else ''}{rnd.choice(names)}>")
+        else:
+            out.append(" ".join(rnd.choice(["word", "longer words", "x, y"]) for _ in range(rnd.randint(1, 40))))
+    return "".join(out)
+
+
+class WalkedPage(Page):
+    """Open elements found by walking the whole stack from the innermost outward."""
+
+    def _read(self, html):
+        self.stack = []
+        super()._read(html)
+
+    def _push(self, node, stack):
+        self.stack = stack
+        super()._push(node, stack)
+
+    def _innermost(self, tags):
+        for place in range(len(self.stack) - 1, 0, -1):
+            if self.tag[self.stack[place]] in tags:
+                return place
+        return -1
+
+
+def test_open_elements_equal_a_walk_of_the_stack():
+    for seed in range(600):
+        a, b = Page(soup(seed)), WalkedPage(soup(seed))
+        assert (a.tag, a.parent, a.events, a.span) == (b.tag, b.parent, b.events, b.span)
+
+
+def brute_content(page):
+    """The content nodes of a page without asides, articles and mains: every density computed anew from the node's own subtree."""
+    count = len(page.tag)
+
+    def chain(i):
+        while i >= 0:
+            yield i
+            i = page.parent[i]
+
+    subtree = [[j for j in range(count) if i in chain(j)] for i in range(count)]
+    linked = [any(page.tag[j] == "a" for j in chain(i)) for i in range(count)]
+
+    def density(i):
+        own = set(subtree[i])
+        sizes = [(n, len("".join(t.split()))) for n, t in page.events if t is not None]
+        c, lc = sum(s for n, s in sizes if n in own), sum(s for n, s in sizes if n in own and linked[n])
+        body, body_link = sum(s for _, s in sizes), sum(s for n, s in sizes if linked[n])
+        t = max(1, sum(j > 0 for j in own) - 1)
+        lt = max(1, sum(page.tag[j] == "a" for j in own))
+        if not c:
+            return 0.0
+        base = math.log(math.log(c / max(1, c - lc) * lc + body_link / body * c + math.e + 1))
+        return c / t * max(0.0, math.log(c / max(1, lc) * t / lt)) / base
+
+    blocks = [i for i in range(count) if i == 0 or page.tag[i] in BLOCK]
+    dense = {i: density(i) for i in blocks}
+    up = {i: next(j for j in chain(page.parent[i]) if j in dense) for i in blocks if i}
+    kids = {i: [j for j in blocks if j and up[j] == i] for i in blocks}
+    sums = {i: sum(dense[j] for j in kids[i]) if kids[i] else dense[i] for i in blocks}
+    centre = max(blocks, key=lambda i: (sums[i], -i))
+    path = [i for i in chain(centre) if i in dense]
+    threshold = max(min([dense[i] for i in path if i] or [dense[0]]), 1e-9)
+    beside = {j for i in path if i != centre for j in kids[i] if j not in path and dense[j] >= threshold}
+    return sorted({centre} | beside)
+
+
+def test_content_equals_brute_force():
+    several = 0
+    for seed in range(500):
+        page = Page(soup(seed, "p div li ul section a b i h2 td tr table".split(), 60))
+        roots = brute_content(page)
+        several += len(roots) > 1
+        assert page.main_text() == page._render(roots, [False] * len(page.tag)), seed
+    assert several > 20
+
+
+def test_deep_and_wide_pages_take_linear_time():
+    n = 50_000
+    pages = ["<b>" * n + "</i>" * n, "<div>" * n + "x", "<div>" * n + "<article>w x</article>" * n, "<table>" + "<tr><td>x" * n, "<div><p>ab cd</p>" * n]
+    start = time.monotonic()
+    sizes = [len(main_text(p)) for p in pages]
+    assert time.monotonic() - start < 60  # minutes each if open elements were walked for every tag
+    assert sizes[0] == 0 and sizes[1] == 1 and sizes[3] == 2 * n - 1
