@@ -8,8 +8,10 @@ classifier over word features minimises the class-prior-corrected risk
 
 with the logistic loss l; the second term estimates the risk on negatives and
 is kept from going negative (when it does, the step lowers its size instead).
-Features are the distinct words of a text and their beginnings of 3 to 6
-letters, so unseen forms of a known root are recognised.
+Features are the distinct words of a text, their beginnings of 3 to 6 letters,
+so unseen forms of a known root are recognised, and the beginnings that several
+different words share: a clean text may hold one word that begins like a slur,
+seldom several.
 
 The classifier is fitted in numpy on a sample of at most ``max_positive`` and
 ``max_unlabelled`` texts; every whole text is scored.
@@ -42,7 +44,16 @@ def word_features(word: str) -> list[str]:
 
 def features(text: str) -> set[str]:
     """The distinct features of a whole text."""
-    return {f for w in set(WORD.findall(text.lower())) for f in word_features(w)}
+    own: set[str] = set()
+    for w in set(WORD.findall(text.lower())):
+        add_word(own, word_features(w))
+    return own
+
+
+def add_word(own: set[str], found) -> None:
+    """Add a further word's features to a text's; one that is there already also stands for several words."""
+    for f in found:
+        own.add(f + "*" if f in own else f)
 
 
 def near_key(own: set[str]) -> str:
@@ -65,7 +76,7 @@ def select_features(positive: list[set[str]], unlabelled: list[set[str]], prior:
     return sorted(gain, key=lambda f: (-gain[f], f))[:most]
 
 
-def fit_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = STEPS, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def fit_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = STEPS, rate: float = 0.1, l2: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear classifier that minimises the non-negative risk (Adam, whole batches)."""
     prior = min(max(prior, 1e-4), 0.999)
     w = np.zeros(x_p.shape[1] + 1)
@@ -105,10 +116,10 @@ class Model:
                 if found is None:
                     if len(known) >= CACHED_WORDS:
                         known.clear()
-                    found = known[w] = tuple(f for f in word_features(w) if f in weights)
+                    found = known[w] = tuple(f for f in word_features(w) if f in weights or f + "*" in weights)
                 if found:
-                    hit.update(found)
-            z = bias + sum(weights[f] for f in sorted(hit))
+                    add_word(hit, found)
+            z = bias + sum(weights.get(f, 0.0) for f in sorted(hit))
             return float(1 / (1 + np.exp(-min(max(z, -40), 40))))
 
         return score
