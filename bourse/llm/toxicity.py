@@ -33,6 +33,7 @@ from bourse.llm.common import broadcast_if_small
 MAX_POSITIVE = 2000  # bounds of the fitting sample, in texts
 MAX_UNLABELLED = 6000
 MAX_FEATURES = 2048
+LEAST_POSITIVE = 3  # positives that must have a feature
 STEPS = 600
 CACHED_WORDS = 400_000
 WORD = re.compile(r"[^\W\d_]{2,}")
@@ -65,7 +66,7 @@ def select_features(positive: list[set[str]], unlabelled: list[set[str]], prior:
     """Features that, by the class prior, point at positives in most texts that have them."""
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     in_p = Counter(f for s in positive for f in s)
-    in_p = {f: n for f, n in in_p.items() if n >= 3}
+    in_p = {f: n for f, n in in_p.items() if n >= LEAST_POSITIVE}
     in_u = Counter(f for s in unlabelled for f in s if f in in_p)
     gain = {}
     for f, n in in_p.items():
@@ -185,12 +186,17 @@ def train(
             yield pa.RecordBatch.from_arrays([b.column("i"), b.column("positive"), texts, keys], ["i", "positive", "f", "near"])
 
     kind = dict(texts.dtypes)["i"]
-    sets: dict[bool, list[set[str]]] = {True: [], False: []}
-    seen = set()
+    seen, held = set(), []
     for r in sorted(texts.mapInArrow(run, f"i {kind}, positive boolean, f string, near string").collect(), key=lambda r: (r["i"], r["f"])):
         if (r["positive"], r["near"]) not in seen:
             seen.add((r["positive"], r["near"]))
-            sets[r["positive"]].append(set(r["f"].split("\x00")) - {""})
+            held.append((r["positive"], r["f"]))
+    # only features that could be selected are kept apart per text, each as one string
+    often = Counter(f for positive, own in held if positive for f in own.split("\x00") if f)
+    known = {f: f for f, n in often.items() if n >= LEAST_POSITIVE}
+    sets: dict[bool, list[set[str]]] = {True: [], False: []}
+    for positive, own in held:
+        sets[positive].append({known[f] for f in own.split("\x00") if f in known})
     names = select_features(sets[True], sets[False], prior, max_features)
     w, b = fit_nnpu(_matrix(sets[True], names), _matrix(sets[False], names), prior)
     return Model(dict(zip(names, w.tolist(), strict=True)), b)
