@@ -35,7 +35,9 @@ def lookup_join(
     The lookup side is computed once (checkpointed) and counted; it is broadcast
     if it is small, otherwise a salted shuffle join spreads a hot key of ``big``.
     A stream cannot be counted for its hot keys, so there every key is spread over
-    ``STREAM_SALTS`` tasks and every lookup row is copied that often.
+    ``STREAM_SALTS`` tasks and every lookup row is copied that often.  Beyond the bound the
+    join is asked for as a sort-merge join: the planner judges the copies by a size from before
+    they were made and would send them all through the driver.
     """
     from bourse.plans.skew import salted_join
     from bourse.session import shared_dir
@@ -48,5 +50,5 @@ def lookup_join(
         # a seeded draw: a stream has no row ids, and equal rows must spread too
         big_s = big.withColumn("_salt", F.floor(F.rand(seed=7) * STREAM_SALTS).cast("int"))
         small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
-        return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
+        return big_s.join(small_s.hint("merge"), [*keys, "_salt"], how).drop("_salt")
     return salted_join(big, small, keys, spread, how=how)

@@ -46,7 +46,8 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
         .drop("_salts")
     )
-    return big_s.join(small_s, keys + ["_salt"], how).drop("_salt")
+    # the copies are judged by the size of the rows they come from: never let them be broadcast for that
+    return big_s.join(small_s.hint("merge"), keys + ["_salt"], how).drop("_salt")
 
 
 def ranked_within_groups(

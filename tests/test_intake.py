@@ -132,3 +132,21 @@ def test_nan_price_is_rejected(spark):
     bulk = spark.createDataFrame([("n", "A", float("nan"), 1, T0, "Buy")], schemas.BULK_ORDER)
     _, rej = validate(bulk, inst, T0 - dt.timedelta(hours=1))
     assert rej.first().reject_reason == "malformed"
+
+
+def test_copies_of_a_large_lookup_table_are_not_broadcast(spark, tmp_path, capsys):
+    orders = spark.createDataFrame([("o1", "A", 10.0, 1, T0, "Buy")], schemas.BULK_ORDER)
+    orders.write.parquet(str(tmp_path / "in"))
+    listed = spark.createDataFrame([("A", 1.0, 1, None), ("B", 1.0, 1, None)], schemas.INSTRUMENT)
+    stream = spark.readStream.schema(schemas.BULK_ORDER).parquet(str(tmp_path / "in"))
+    accepted, _ = validate(stream, listed, T0, broadcast_max_rows=1)
+    q = accepted.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt"))
+    q = q.trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    batch, _ = validate(orders, listed, T0, broadcast_max_rows=1)
+    assert "SortMergeJoin [instrument" in batch._jdf.queryExecution().executedPlan().toString()
