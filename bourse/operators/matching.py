@@ -41,6 +41,7 @@ instead of ``buys * sells`` per book; a large buy costs what it needs itself.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,6 +65,9 @@ BOOK_ROWS_PER_TASK = 50_000
 # Books with more orders than this also rank their price ladder by range
 # partitioning instead of one window task per book.
 LADDER_ROWS_PER_TASK = 1_000_000
+# A sell is listed once per level of its book before the first cut, some ten times.  Tasks are dealt by
+# this many orders there: by their shuffled bytes AQE would take them for small.
+ORDERS_PER_TASK = 50_000
 
 
 class Match(NamedTuple):
@@ -133,14 +137,25 @@ def _price_ladder_ranks(buys: DataFrame, sells: DataFrame, distributed: bool, pa
     )
 
 
-def _ranks_in_one_pass(o: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Price ladder ranks for books that fit one task: a single window over each book's orders.
+def _volume_class(volume: str) -> Column:
+    """The smallest j with volume <= 2^j."""
+    return F.when(F.col(volume) <= 1, 0).otherwise(F.length(F.bin(F.col(volume) - 1))).cast("int")
+
+
+def _class_bit(volume: str) -> Column:
+    """2^j of the volume class j: the classes of a book are the bits of one number."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), _volume_class(volume))
+
+
+def _ranks_in_one_pass(o: DataFrame, tasks: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Price ladder ranks for books that fit one task: a single window over each book's orders, dealt to ``tasks`` tasks if given.
 
     Orders sorted by (price, sells first); a sell whose price differs from the
     previous row's starts a new sell price level; the running count of level
     starts is ``d + 1`` on a sell row and ``c`` on a buy row.
     """
     is_sell = (F.col("buy_sell") == SELL).cast("int")
+    o = o.repartition(tasks, *GROUP) if tasks else o
     by_price = Window.partitionBy(*GROUP).orderBy(F.col("price"), F.col("_is_sell").desc(), F.col("uid"))
     prev_price = F.lag("price").over(by_price)
     starts = (F.col("_is_sell") == 1) & (prev_price.isNull() | (prev_price != F.col("price")))
@@ -149,9 +164,10 @@ def _ranks_in_one_pass(o: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("_start", starts.cast("int"))
         .withColumn("_n", F.sum("_start").over(by_price.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("n_sell_levels", F.sum("_start").over(Window.partitionBy(*GROUP)))
+        .withColumn("classes", F.bit_or(F.when(F.col("_is_sell") == 0, _class_bit("volume"))).over(Window.partitionBy(*GROUP)))
     )
     sells = ranked.where(F.col("_is_sell") == 1).select(
-        *GROUP, *[F.col(c).alias("s_" + c) for c in ORDER_BODY], (F.col("_n") - 1).alias("d"), "n_sell_levels"
+        *GROUP, *[F.col(c).alias("s_" + c) for c in ORDER_BODY], (F.col("_n") - 1).alias("d"), "n_sell_levels", "classes"
     )
     buys = ranked.where(F.col("_is_sell") == 0).select(
         *GROUP, *[F.col(c).alias("b_" + c) for c in ORDER_BODY], F.col("_n").alias("c"), "n_sell_levels"
@@ -159,11 +175,6 @@ def _ranks_in_one_pass(o: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sells, buys
 
 
-def _volume_class(volume: str) -> Column:
-    """The smallest j with volume <= 2^j."""
-    return F.when(F.col(volume) <= 1, 0).otherwise(F.length(F.bin(F.col(volume) - 1))).cast("int")
-
-
 def _levels(n_sell_levels: Column) -> Column:
     # number of dyadic levels = bit length of the number of sell price levels
     return F.sequence(F.lit(0), F.length(F.bin(n_sell_levels)) - 1)
@@ -242,12 +253,17 @@ def match_prepared(
     stats = (
         o.groupBy(*GROUP)
         .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("buy_sell") == BUY, F.col("volume"))).alias("k"))
-        .agg(F.max("n").alias("n"), F.max("k").alias("k"))
+        .agg(F.max("n").alias("n"), F.max("k").alias("k"), F.sum("n").alias("rows"))
         .first()
     )
     k = stats.k or 0
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     biggest_book = stats.n or 0
+    tasks = math.ceil((stats.rows or 0) / ORDERS_PER_TASK)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks)
+    # a few tasks are dealt well by AQE, which goes by the cores
+    tasks = tasks if tasks > spark.sparkContext.defaultParallelism else 0
+    # rows that are sorted across tasks are written out whole: beyond one task per ladder, orders are numbers there
+    numbered = biggest_book > ladder_rows
 
     def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str) -> DataFrame:
         # every join key lies inside one book, so no key can be hot unless a book is
@@ -263,42 +279,61 @@ def match_prepared(
         buy_levels = ladder.where("is_sell = 0").select(
             *GROUP, F.col("price").alias("b_price"), F.col("n_at_or_below").alias("c"), "n_sell_levels"
         )
-        sells_d = join(sells, sell_levels, GROUP + ["s_price"], "s_uid")
+        placed = sells
+        if numbered:
+            # a sell's place in its book stands for its arrival
+            ranked = ranked_within_groups(sells.withColumn("_one", F.lit(1)), GROUP, [F.col("s_" + c) for c in ARRIVAL], "_one", parts)
+            placed = ranked.select(*GROUP, "s_uid", "s_price", "s_volume", F.col("run_sum").alias("s_place"))
+        sells_d = join(placed, sell_levels, GROUP + ["s_price"], "s_uid")
         buys_c = join(buys, buy_levels, GROUP + ["b_price"], "b_uid")
     else:
-        sells_d, buys_c = _ranks_in_one_pass(o)
+        sells_d, buys_c = _ranks_in_one_pass(o, 0 if numbered else tasks)
+        if numbered:
+            in_book = Window.partitionBy(*GROUP).orderBy(*[F.col("s_" + c) for c in ARRIVAL])
+            sells_d = sells_d.withColumn("s_place", F.row_number().over(in_book))
 
     # a buy of volume V has class j, the smallest with V <= 2^j.  Only block entries with fewer than
     # 2^j units before them can matter to it, so it is joined to those alone; what large buys need
     # is paid for by large buys
-    classes = buys.groupBy(*GROUP).agg(F.collect_set(_volume_class("b_volume")).alias("classes"))
-
-    s_arrival = [F.col("s_" + c) for c in ARRIVAL]
+    if biggest_book > book_rows:
+        classes = buys.groupBy(*GROUP).agg(F.bit_or(_class_bit("b_volume")).alias("classes"))
+        sells_d = join(sells_d, classes, GROUP, "s_uid")
+    else:
+        sells_d = sells_d.where(F.col("classes").isNotNull())
+    if numbered:
+        s_arrival, b_body = [F.col("s_place")], [F.col("b_uid"), F.col("b_volume")]
+        sells_d = sells_d.select(*GROUP, "s_uid", "s_volume", "s_place", "d", "n_sell_levels", "classes")
+    else:
+        s_arrival, b_body = [F.col("s_" + c) for c in ARRIVAL], [F.col("b_" + c) for c in ORDER_BODY]
+    if tasks and biggest_book > book_rows:
+        # neighbours in price share blocks, so the cut below finds much of a block in one task
+        part_of_level = F.expr(f"pmod(s_uid, {math.ceil(biggest_book / ROWS_PER_TASK)})")
+        sells_d = sells_d.repartition(tasks, *[F.col(c) for c in GROUP], F.expr("shiftright(d, 8)"), part_of_level)
     sell_nodes = (
-        join(sells_d, classes, GROUP, "s_uid")
+        sells_d
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .withColumn("node", F.expr("shiftright(d, lvl)"))
         .where(F.col("node") < F.expr("shiftright(n_sell_levels, lvl)"))
         .drop("d", "n_sell_levels")
     )
     block = GROUP + ["lvl", "node"]
-    if biggest_book > ladder_rows:
+    in_block = Window.partitionBy(*block).orderBy(*s_arrival)
+    cut = sell_nodes
+    if k <= int(spark.conf.get(WINDOW_GROUP_LIMIT_CONF, "1000")):
+        # a rank cut that is planned as a partial limit before the shuffle: each sell brings a unit at least
+        cut = cut.withColumn("rk", F.row_number().over(in_block)).where(F.col("rk") <= F.lit(k)).drop("rk")
+    if numbered:
         # the top block of a huge book is summed across tasks
-        ranked = ranked_within_groups(sell_nodes, block, s_arrival, "s_volume", parts)
+        ranked = ranked_within_groups(cut, block, s_arrival, "s_volume", parts)
         block_sums = ranked.withColumn("block_prev", F.col("run_sum") - F.col("s_volume")).drop("run_sum", "group_sum")
     else:
-        in_block = Window.partitionBy(*block).orderBy(*s_arrival)
-        cut = sell_nodes
-        if k <= int(spark.conf.get(WINDOW_GROUP_LIMIT_CONF, "1000")):
-            # a rank cut that is planned as a partial limit before the shuffle: each sell brings a unit at least
-            cut = cut.withColumn("rk", F.row_number().over(in_block)).where(F.col("rk") <= F.lit(k)).drop("rk")
         block_sums = cut.withColumn(
             "block_prev",
             F.coalesce(F.sum("s_volume").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         )
     # at most 2^j entries of a block are in class j
     block_top = block_sums.withColumn(
-        "cls", F.explode(F.expr("filter(classes, j -> shiftleft(1L, j) > block_prev)"))
+        "cls", F.explode(F.expr("filter(sequence(0, 31), j -> (classes & shiftleft(1L, j)) != 0 AND shiftleft(1L, j) > block_prev)"))
     ).drop("classes")
 
     buy_nodes = (
@@ -307,7 +342,7 @@ def match_prepared(
         .withColumn("lvl", F.explode(_levels(F.col("n_sell_levels"))))
         .where(F.expr("shiftright(c, lvl) & 1") == 1)
         .withColumn("node", F.expr("shiftright(c, lvl) - 1"))
-        .select(*GROUP, "lvl", "node", _volume_class("b_volume").alias("cls"), *[F.col("b_" + c) for c in ORDER_BODY])
+        .select(*GROUP, "lvl", "node", _volume_class("b_volume").alias("cls"), *b_body)
     )
 
     # a block near the top of a big book is wanted by many buys: salted join
@@ -331,6 +366,11 @@ def match_prepared(
     hits = cand.where(F.col("prev") < F.col("b_volume")).withColumn(
         "want", (F.col("b_volume") - F.col("prev")).cast("int")
     ).withColumn("trade_volume", F.least(F.col("s_volume"), F.col("want")))
+    if numbered:
+        # what trades is settled: the orders' fields come back
+        hits = hits.select("b_uid", "s_uid", "want", "trade_volume", "is_last").checkpoint(eager=True)
+        hits = join(hits, buys, ["b_uid"], "s_uid")
+        hits = join(hits, sells.drop(*GROUP), ["s_uid"], "b_uid")
     if materialize:
         hits = hits.checkpoint(eager=True)
 

@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from bourse.operators import assign_windows, match_orders
+from bourse.operators import assign_windows, match_orders, matching
 from tests.helpers import T0, arrival_key, brute_match, frame, order
 
 
@@ -188,3 +188,34 @@ def test_large_buy_volume_above_group_limit_threshold(spark):
     got_t, got_r, _ = _run(spark, orders)
     assert len(got_t) == 84 and sum(t[4] for t in got_t) == 5000
     assert _close(got_t, want_t) and _close(got_r, want_r)
+
+
+def test_orders_not_shuffled_bytes_deal_the_tasks(spark, monkeypatch):
+    """The rows that a task lists once per price level follow ORDERS_PER_TASK, whatever AQE makes of their bytes."""
+    rows = [order(f"{s}{i}", s, 10 + i % 7, 1 + i % 5, i, instrument=f"I{i % 40}") for i in range(800) for s in ("Buy", "Sell")]
+    books = assign_windows(frame(spark, rows), "order_time", "1 hour", "1 hour")
+    want = sorted(tuple(r) for r in match_orders(books).trades.collect())
+    monkeypatch.setattr(matching, "ORDERS_PER_TASK", 50)
+    m = match_orders(books)
+    assert sorted(tuple(r) for r in m.trades.collect()) == want
+    assert "REPARTITION_BY_NUM" in m.trades._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_sorted_across_tasks_are_numbers(spark, monkeypatch):
+    """Beyond one task per ladder, what is summed across tasks holds no order texts, and small buys cut it first."""
+    seen = []
+    whole = matching.ranked_within_groups
+
+    def watched(df, group, *how):
+        seen.append((group, df.columns, df.count()))
+        return whole(df, group, *how)
+
+    monkeypatch.setattr(matching, "ranked_within_groups", watched)
+    rows = [order(f"s{i}", "Sell", 10, 1, i) for i in range(400)] + [order(f"b{i}", "Buy", 11, 3, 500 + i) for i in range(5)]
+    books = assign_windows(frame(spark, rows), "order_time", "1 hour", "1 hour")
+    want = sorted(tuple(r) for r in match_orders(books).trades.collect())
+    assert sorted(tuple(r) for r in match_orders(books, book_rows=0, ladder_rows=0, hot_rows=2).trades.collect()) == want
+    levels, blocks, sums = [x for x in seen if "price" in x[1]], [x for x in seen if "lvl" in x[0]], [x for x in seen if "b_uid" in x[0]]
+    assert levels and blocks and sums
+    assert all("s_order_id" not in x[1] and "b_order_id" not in x[1] for x in blocks + sums)
+    assert all(x[2] <= 3 for x in blocks)  # one price: one block, of which three sells can trade
