@@ -16,7 +16,7 @@ from bourse.plans import oracle
 from bourse.plans.catalog import M2_AS_OF, dec6, m1_orders, m3_trades, ntz
 from bourse.functions.codec import encode_wire_orders
 from bourse.operators.orders import validate
-from bourse.session import prepare, scratch_path
+from bourse.session import folder_names, prepare, scratch_path
 from bourse.sources.files import bulk_order_stream, json_dir_stream, message_dir_stream
 from bourse.sources.tables import (
     M1_SLIDE,
@@ -52,8 +52,12 @@ SLICES = 4
 
 
 def land_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, name: str, slices: int = SLICES) -> str:
-    """Write ``df`` as ``slices`` consecutive time ranges, oldest first, so file arrival follows event time."""
+    """Write ``df`` as ``slices`` consecutive time ranges, oldest first, so file arrival follows event time.
+
+    A slice has as many files as ``df`` has partitions, see ``_stream``.
+    """
     base = scratch_path(spark, name)
+    files = df.rdd.getNumPartitions()
     lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
     step = (hi - lo) / slices
     for i in range(slices):
@@ -61,10 +65,22 @@ def land_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, name:
         cond = (F.col(time_col) >= F.lit(start)) & (
             (F.col(time_col) < F.lit(end)) if i < slices - 1 else F.col(time_col) <= F.lit(hi)
         )
-        df.where(cond).write.parquet(f"{base}/in/s{i:03d}")
+        _land(df.where(cond), f"{base}/in/s{i:03d}", files)
     return base
 
 
+def _files(spark: SparkSession, folder: str) -> int:
+    return sum(n.endswith(".parquet") for n in folder_names(spark, folder))
+
+
+def _land(rows: DataFrame, folder: str, files: int) -> None:
+    """Write ``rows`` as exactly ``files`` files, empty ones at the end if need be."""
+    spark = rows.sparkSession
+    (rows.repartition(files) if files > 1 else rows).write.parquet(folder)
+    for _ in range(files - _files(spark, folder)):
+        spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
+
+
 def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame, name: str = "zz-end", days: int = 200) -> None:
     """One marker order far past the last event: it moves the watermark so every real window closes.
 
@@ -81,11 +97,18 @@ def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame, name: str
         (F.col("t") + F.expr(f"INTERVAL {days} DAYS")).alias("order_time"),
         (F.col("t") + F.expr(f"INTERVAL {days} DAYS")).alias("initial_order_time"),
     )
-    marker.write.parquet(f"{base}/in/{name}")
+    _land(marker, f"{base}/in/{name}", _files(spark, f"{base}/in/s000"))
 
 
 def _stream(spark: SparkSession, base: str, schema, files_per_batch: int = 16) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{base}/in/*")
+    """The landed slices as a stream: about ``files_per_batch`` files in a micro-batch, but whole slices.
+
+    However large the table, the number of micro-batches is that of the slices at most, and no slice's rows come
+    after its own last time has moved the watermark.
+    """
+    slice_files = max(1, _files(spark, f"{base}/in/s000"))
+    batch = slice_files * max(1, files_per_batch // slice_files)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", batch).parquet(f"{base}/in/*")
 
 
 def _matcher_run(spark: SparkSession, sf_dir: str, emit: str = "on_close", files_per_batch: int = 16, **how) -> str:
@@ -122,7 +145,8 @@ def s_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     _end_of_stream(spark, base, orders)
     _end_of_stream(spark, base, orders, name="zz-end-2", days=201)
     first = spark.read.parquet(f"{base}/in/s000")
-    first.withColumn("order_id", F.concat(F.lit("late-"), "order_id")).write.parquet(f"{base}/in/zzz-late")
+    late = first.withColumn("order_id", F.concat(F.lit("late-"), "order_id"))
+    _land(late, f"{base}/in/zzz-late", _files(spark, f"{base}/in/s000"))
     name = f"late-{base.rsplit('-', 1)[-1]}"
     log = log_progress(spark, f"{base}/metrics", name)
     q = run_matcher(
@@ -350,7 +374,7 @@ def s_sma_closed_top(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.TRADE.fields if f.name != "execution_time"],
         (F.col("t") + F.expr("INTERVAL 400 DAYS")).alias("execution_time"),
     ).select(*schemas.TRADE_COLS)
-    last.write.parquet(f"{base}/in/zz-end")  # end-of-stream marker: closes every real window
+    _land(last, f"{base}/in/zz-end", _files(spark, f"{base}/in/s000"))  # end-of-stream marker: closes every real window
     agg = closed_window_averages(_stream(spark, base, schemas.TRADE), "sma", M3_WINDOW, M3_SLIDE, "1 day")
     q = run_closed_windows(agg, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()

@@ -163,3 +163,19 @@ def test_feedback_loop_reenters_leftovers(spark):
     assert [(r.buy_order_id, r.trade_volume, r.per_volume_buy_price) for r in trades] == [("b1", 1, 5.0)]
     rest = spark.read.parquet(f"{base}/out/remaining").where("order_id = 'b1' AND volume = 1").collect()
     assert len(rest) == 1 and rest[0].initial_order_time == T0
+
+
+def test_micro_batches_are_whole_slices(spark, tmp_path):
+    """However many files a table's partitions make, a slice is never split over micro-batches."""
+    from bourse.streaming import registered
+
+    orders = frame(spark, [order(f"o{i}", "Buy", 10, 1, 60 * i) for i in range(40)]).repartition(3)
+    base = registered.land_in_time_order(spark, orders, "order_time", "t-slices")
+    registered._end_of_stream(spark, base, orders)
+    names = [f"s{i:03d}" for i in range(registered.SLICES)] + ["zz-end"]
+    assert [registered._files(spark, f"{base}/in/{n}") for n in names] == [3] * 5
+    seen = []
+    stream = registered._stream(spark, base, schemas.ORDER, files_per_batch=2)
+    q = stream.writeStream.foreachBatch(lambda b, i: seen.append(sorted(int(r[0][1:]) for r in b.select("order_id").collect() if r[0] != "end-of-stream")))
+    q.option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [list(range(10 * i, 10 * i + 10)) for i in range(4)] + [[]]
