@@ -268,7 +268,7 @@ def match_prepared(
     def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str) -> DataFrame:
         # every join key lies inside one book, so no key can be hot unless a book is
         if biggest_book > hot_rows:
-            return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows)
+            return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows, merge=True)
         return big.join(small, keys)
 
     if biggest_book > book_rows:

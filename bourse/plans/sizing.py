@@ -51,4 +51,4 @@ def lookup_join(
         big_s = big.withColumn("_salt", F.floor(F.rand(seed=7) * STREAM_SALTS).cast("int"))
         small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
         return big_s.join(small_s.hint("merge"), [*keys, "_salt"], how).drop("_salt")
-    return salted_join(big, small, keys, spread, how=how)
+    return salted_join(big, small, keys, spread, how=how, merge=True)

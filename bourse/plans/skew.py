@@ -19,6 +19,7 @@ def salted_join(
     spread: Column,
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    merge: bool = False,
 ) -> DataFrame:
     """Equi-join where ``small`` has few rows per key and ``big`` may have very many.
 
@@ -27,6 +28,7 @@ def salted_join(
     per-row value such as a row id), and their small rows are copied once per
     salt.  Other keys join unchanged.  The hot-key table, at most
     ``rows(big) / rows_per_task`` rows, is broadcast only after its rows were counted.
+    ``merge``: never broadcast the copies, which the planner judges by the rows they come from.
     """
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > rows_per_task).select(
@@ -46,8 +48,7 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
         .drop("_salts")
     )
-    # the copies are judged by the size of the rows they come from: never let them be broadcast for that
-    return big_s.join(small_s.hint("merge"), keys + ["_salt"], how).drop("_salt")
+    return big_s.join(small_s.hint("merge") if merge else small_s, keys + ["_salt"], how).drop("_salt")
 
 
 def ranked_within_groups(
