@@ -68,6 +68,8 @@ LADDER_ROWS_PER_TASK = 1_000_000
 # A sell is listed once per level of its book before the first cut, some ten times.  Tasks are dealt by
 # this many orders there: by their shuffled bytes AQE would take them for small.
 ORDERS_PER_TASK = 50_000
+# Candidates (a buy with a sell that it may reach) that one task sorts, by the estimate in ``_reach``.
+CANDIDATES_PER_TASK = 1 << 19
 
 
 class Match(NamedTuple):
@@ -175,6 +177,13 @@ def _ranks_in_one_pass(o: DataFrame, tasks: int = 0) -> tuple[DataFrame, DataFra
     return sells, buys
 
 
+def _reach() -> Column:
+    """About how many candidates a book has, from its buys, sells and their volumes: a buy lists, in each of its blocks,
+    as many sells of mean volume as fill it and one more; all pairs at most."""
+    full = F.col("buy_volume") * F.col("sells") / F.greatest(F.col("sell_volume"), F.lit(1))
+    return F.least((F.col("buys") + full) * F.log2(F.col("sells") + 1), F.col("buys").cast("double") * F.col("sells"))
+
+
 def _levels(n_sell_levels: Column) -> Column:
     # number of dyadic levels = bit length of the number of sell price levels
     return F.sequence(F.lit(0), F.length(F.bin(n_sell_levels)) - 1)
@@ -249,26 +258,35 @@ def match_prepared(
     buys = _prefixed(o.where(F.col("buy_sell") == BUY), "b_")
     sells = _prefixed(o.where(F.col("buy_sell") == SELL), "s_")
 
-    # one small job: the largest buy volume and the largest book (picks the ladder strategy)
+    # one small job: the largest buy volume and the largest book (picks the ladder strategy), orders and candidates
+    buy_volume, sell_volume = (F.when(F.col("buy_sell") == side, F.col("volume").cast("double")) for side in (BUY, SELL))
     stats = (
         o.groupBy(*GROUP)
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("buy_sell") == BUY, F.col("volume"))).alias("k"))
-        .agg(F.max("n").alias("n"), F.max("k").alias("k"), F.sum("n").alias("rows"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("buy_sell") == BUY, F.col("volume"))).alias("k"),
+            F.count(buy_volume).alias("buys"), F.sum(buy_volume).alias("buy_volume"),
+            F.count(sell_volume).alias("sells"), F.sum(sell_volume).alias("sell_volume"),
+        )
+        .agg(F.max("n").alias("n"), F.max("k").alias("k"), F.sum("n").alias("rows"), F.sum(_reach()).alias("reach"))
         .first()
-    )
+    )
     k = stats.k or 0
     biggest_book = stats.n or 0
     tasks = math.ceil((stats.rows or 0) / ORDERS_PER_TASK)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks)
     # a few tasks are dealt well by AQE, which goes by the cores
     tasks = tasks if tasks > spark.sparkContext.defaultParallelism else 0
+    pairing = max(tasks, math.ceil((stats.reach or 0) / CANDIDATES_PER_TASK))
+    pairing = pairing if pairing > spark.sparkContext.defaultParallelism else 0
     # rows that are sorted across tasks are written out whole: beyond one task per ladder, orders are numbers there
     numbered = biggest_book > ladder_rows
 
-    def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str) -> DataFrame:
+    def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str, tasks: int = 0) -> DataFrame:
         # every join key lies inside one book, so no key can be hot unless a book is
         if biggest_book > hot_rows:
             return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows, merge=True)
+        if tasks:
+            big, small = big.repartition(tasks, *keys), small.repartition(tasks, *keys)
         return big.join(small, keys)
 
     if biggest_book > book_rows:
@@ -284,8 +302,8 @@ def match_prepared(
             # a sell's place in its book stands for its arrival
             ranked = ranked_within_groups(sells.withColumn("_one", F.lit(1)), GROUP, [F.col("s_" + c) for c in ARRIVAL], "_one", parts)
             placed = ranked.select(*GROUP, "s_uid", "s_price", "s_volume", F.col("run_sum").alias("s_place"))
-        sells_d = join(placed, sell_levels, GROUP + ["s_price"], "s_uid")
-        buys_c = join(buys, buy_levels, GROUP + ["b_price"], "b_uid")
+        sells_d = join(placed, sell_levels, GROUP + ["s_price"], "s_uid", tasks)
+        buys_c = join(buys, buy_levels, GROUP + ["b_price"], "b_uid", tasks)
     else:
         sells_d, buys_c = _ranks_in_one_pass(o, 0 if numbered else tasks)
         if numbered:
@@ -347,10 +365,11 @@ def match_prepared(
 
     # a block near the top of a big book is wanted by many buys: salted join
     # only sells whose earlier block mates bring less than the buy's volume can be reached
-    cand = join(buy_nodes, block_top, block + ["cls"], "b_uid").where(F.col("block_prev") < F.col("b_volume"))
+    cand = join(buy_nodes, block_top, block + ["cls"], "b_uid", pairing).where(F.col("block_prev") < F.col("b_volume"))
     per_buy = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival)
 
     def in_one_task(c: DataFrame) -> DataFrame:
+        c = c.repartition(pairing, *GROUP, "b_uid") if pairing else c
         return c.withColumn(
             "prev", F.coalesce(F.sum("s_volume").over(per_buy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         ).withColumn("is_last", F.lead(F.lit(1)).over(per_buy).isNull())

@@ -201,6 +201,18 @@ def test_orders_not_shuffled_bytes_deal_the_tasks(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" in m.trades._jdf.queryExecution().executedPlan().toString()
 
 
+def test_candidates_deal_the_tasks_of_their_sums(spark, monkeypatch):
+    """Few orders may have many candidates: the tasks that sort them are as many as these ask for, in both tiers."""
+    rows = [order(f"{s}{i}", s, 10 + i % 7, 1 + i % 5, i, instrument=f"I{i % 40}") for i in range(800) for s in ("Buy", "Sell")]
+    books = assign_windows(frame(spark, rows), "order_time", "1 hour", "1 hour")
+    want = sorted(tuple(r) for r in match_orders(books).trades.collect())
+    monkeypatch.setattr(matching, "CANDIDATES_PER_TASK", 100)
+    for tier in ({}, {"book_rows": 0}):
+        m = match_orders(books, **tier)
+        assert sorted(tuple(r) for r in m.trades.collect()) == want
+        assert m.trades.rdd.getNumPartitions() > 40  # 1,600 orders are one task
+
+
 def test_rows_sorted_across_tasks_are_numbers(spark, monkeypatch):
     """Beyond one task per ladder, what is summed across tasks holds no order texts, and small buys cut it first."""
     seen = []
