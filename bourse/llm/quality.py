@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from bourse.llm.common import text_bytes
 
 # Texts whose words are sorted together; a longer text is sorted alone.
-WORDS_PER_SORT = 1 << 20
+WORDS_PER_SORT = 1 << 17
 SYMBOLS = b"#*$%&|<>"
 
 
@@ -125,8 +126,7 @@ def measure(texts: list[bytes], min_words: int = 5, window: int = 8) -> dict[str
     """The measures of whole texts (UTF-8 bytes), in their order."""
     out: dict[str, list] = defaultdict(list)
     for first, words in _chunks(texts):
-        number: defaultdict = defaultdict()
-        number.default_factory = number.__len__
+        number: defaultdict = defaultdict(count().__next__)  # its own length as the source would keep it alive
         lens = np.array([len(w) for w in words], dtype=np.int64)
         ids = np.fromiter((number[x] for w in words for x in w), dtype=np.int64, count=int(lens.sum()))
         doc = np.repeat(np.arange(len(words)), lens)

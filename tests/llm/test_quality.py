@@ -1,3 +1,4 @@
+import gc
 from collections import Counter
 import random
 
@@ -54,3 +55,16 @@ def test_verdicts_and_edges(spark, make_docs):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "1", "None", "7", "8"])
     assert quality_rules(docs.where("false")).count() == 0 and kept_documents(docs.where("false")).count() == 0
+
+
+def test_words_are_let_go_without_the_cycle_collector():
+    """The words of a chunk must not wait for the collector: a task's chunks would add up."""
+    texts = [sentence(i, 50).encode() for i in range(20)]
+    measure(texts, 5)
+    gc.collect()
+    gc.disable()
+    try:
+        measure(texts, 5)
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
