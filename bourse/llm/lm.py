@@ -36,6 +36,7 @@ import math
 import sys
 import types
 from collections import OrderedDict, defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -83,14 +84,34 @@ def _chunks(texts: list[bytes]):
 
 def _number(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word its number among the different words, those words' hashes, and the texts' lengths."""
-    number: defaultdict = defaultdict()
-    number.default_factory = number.__len__
+    number: defaultdict = defaultdict(count().__next__)  # its own length as the source would keep it alive
     lengths = np.array([len(w) for w in words], dtype=np.int64)
-    at = np.fromiter((number[x] for w in words for x in w), np.int64, int(lengths.sum()))
+    at = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number)).view(np.int64)
     return at, hashes, lengths
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0 on.  Key and place in one number sort far faster than places by key."""
+    bits = max(1, len(keys) - 1).bit_length()
+    if not len(keys) or int(keys.max()).bit_length() + bits > 63:
+        return np.argsort(keys, kind="stable")
+    both = (keys.astype(np.int64) << bits) | np.arange(len(keys))
+    both.sort()
+    return both & ((1 << bits) - 1)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``np.unique``: the different keys, where each is first, the number of each key's, and their counts."""
+    order = _order(keys)
+    sorted_keys = keys[order]
+    fresh = np.r_[True, sorted_keys[1:] != sorted_keys[:-1]][: len(keys)]
+    starts = np.flatnonzero(fresh)
+    number = np.empty(len(keys), dtype=np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return sorted_keys[starts], order[starts], number, np.diff(np.r_[starts, len(keys)])
+
+
 # --- counts --------------------------------------------------------------------------------------
 
 
@@ -224,27 +245,30 @@ class LogBilinear:
     def log10(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of ids after their contexts: of the class, then of the id within it."""
         n = len(self.b)
-        pair, at = np.unique(one * (n + 1) + two, return_inverse=True)
-        case, back = np.unique(at * n + token, return_inverse=True)  # equal cases have equal scores
+        pair, _, at, _ = _distinct(one * (n + 1) + two)
+        case, _, back, _ = _distinct(at * n + token)  # equal cases have equal scores
         at, token = np.divmod(case, n)
         near, far = self.r @ self.c1, self.r @ self.c2
         ctx = near[pair // (n + 1)] + far[pair % (n + 1)]
         norm = np.empty(len(pair), dtype=np.float64)
         for low in range(0, len(pair), 4096):
-            norm[low : low + 4096] = _log_sum(ctx[low : low + 4096] @ self.q.T + self.a)
+            s = ctx[low : low + 4096] @ self.q.T
+            s += self.a
+            norm[low : low + 4096] = _log_sum(s)
         kind = self.of_class[token]
         score = np.empty(len(token), dtype=np.float64)
         for low in range(0, len(token), 1 << 17):
             part = slice(low, low + (1 << 17))
-            score[part] = np.einsum("ij,ij->i", ctx[at[part]], self.q[kind[part]]) + self.a[kind[part]] - norm[at[part]]
-        order = np.argsort(kind, kind="stable")
+            score[part] = np.einsum("ij,ij->i", ctx.take(at[part], axis=0), self.q.take(kind[part], axis=0)) + self.a[kind[part]] - norm[at[part]]
+        order = _order(kind)
         cuts = np.searchsorted(kind[order], np.arange(len(self.a) + 1))
         for k, (low, high) in enumerate(zip(self.bounds[:-1], self.bounds[1:], strict=True)):
             if high - low > 1:
                 out, bias = self.r[low:high].T.copy(), self.b[low:high]
                 for x in range(cuts[k], cuts[k + 1], 4096):
                     rows = order[x : min(x + 4096, cuts[k + 1])]
-                    s = ctx[at[rows]] @ out + bias
+                    s = ctx.take(at[rows], axis=0) @ out
+                    s += bias
                     own = s[np.arange(len(rows)), token[rows] - low].astype(np.float64)
                     score[rows] += own - _log_sum(s)
         return score[back] / np.log(10)
@@ -280,9 +304,9 @@ class Trainer:
     def cases(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """Train on all given tokens, each with the same weight; equal cases are merged, but no further than ``HEAVIEST``."""
         n = len(self.m.b) + 1
-        case, where, count = np.unique(one * n + two, return_inverse=True, return_counts=True)
+        _, _, where, _ = _distinct(one * n + two)
         # (pair, token) numbered by pair first: three ids of a large vocabulary would not fit 63 bits
-        case, first, count = np.unique(where * n + token, return_index=True, return_counts=True)
+        case, first, _, count = _distinct(where * n + token)
         pieces = -(-count // HEAVIEST)
         piece = np.repeat(np.arange(len(case)), pieces)
         nth = np.arange(len(piece)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -297,12 +321,12 @@ class Trainer:
 
     def step(self, token, one, two, weight) -> None:
         m = self.m
-        r1, r2 = m.r[one], m.r[two]
+        r1, r2 = m.r.take(one, axis=0), m.r.take(two, axis=0)
         ctx = r1 @ m.c1 + r2 @ m.c2
         # the class
         kind = m.of_class[token]
         noise = np.minimum(np.searchsorted(self.class_cum, self.rng.random(NOISE)), len(m.a) - 1)
-        q, q_noise = m.q[kind], m.q[noise]
+        q, q_noise = m.q.take(kind, axis=0), m.q[noise]
         d = -weight * _sigmoid(self.log_class_noise[kind] - np.einsum("ij,ij->i", ctx, q) - m.a[kind])  # derivative by the data score
         e = weight[:, None] * _sigmoid(ctx @ q_noise.T + (m.a[noise] - self.log_class_noise[noise]))
         d_ctx = d[:, None] * q + e @ q_noise
@@ -316,10 +340,10 @@ class Trainer:
         drawn = self.below[kind][:, None] + self.rng.random((len(token), NOISE_WITHIN)) * self.mass[kind][:, None]
         other = np.clip(np.searchsorted(self.cum, drawn, side="right"), low, high - 1)
         several = (high - low > 1)[:, 0]
-        r, r_other = m.r[token], m.r[other]
+        r, r_other = m.r.take(token, axis=0), m.r.take(other, axis=0)
         d = -weight * several * _sigmoid(self.log_noise[token] - np.einsum("ij,ij->i", ctx, r) - m.b[token])
-        e = (weight * several)[:, None] * _sigmoid(np.matmul(r_other, ctx[:, :, None])[:, :, 0] + m.b[other] - self.log_noise[other])
-        d_ctx += d[:, None] * r + np.matmul(e[:, None, :], r_other)[:, 0]
+        e = (weight * several)[:, None] * _sigmoid(np.einsum("ikj,ij->ik", r_other, ctx) + m.b[other] - self.log_noise[other])
+        d_ctx += d[:, None] * r + np.einsum("ik,ikj->ij", e, r_other)
         width = ctx.shape[1]
         ids = np.concatenate([token, other.ravel(), one, two])
         g = np.zeros((len(ids), width + 1), np.float32)
@@ -327,12 +351,12 @@ class Trainer:
         g[:t, :width], g[:t, width] = d[:, None] * ctx, d
         g[t:o, :width], g[t:o, width] = (e[:, :, None] * ctx[:, None, :]).reshape(-1, width), e.ravel()
         g[o : o + t, :width], g[o + t :, :width] = d_ctx @ m.c1.T, d_ctx @ m.c2.T
-        order = np.argsort(ids, kind="stable")
+        order = _order(ids)
         ids = ids[order]
         starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        ids, g = ids[starts], np.add.reduceat(g[order], starts, axis=0)
+        ids, g = ids[starts], np.add.reduceat(g.take(order, axis=0), starts, axis=0)
         self.steps += 1
-        a, s = self.row_mean[ids], self.row_square[ids]
+        a, s = self.row_mean.take(ids, axis=0), self.row_square.take(ids, axis=0)
         step = self._adam(a, s, g)
         self.row_mean[ids], self.row_square[ids] = a, s
         m.r[ids] -= step[:, :width]

@@ -1,3 +1,4 @@
+import gc
 import math
 import zlib
 from collections import Counter
@@ -123,3 +124,26 @@ def test_every_token_has_the_same_weight():
             trained[case] += x * lm.MINIBATCH
     assert trained == pytest.approx(Counter(zip(token.tolist(), one.tolist(), two.tolist(), strict=True)))
     assert sum((table.other,) * 3 in cases for cases, _ in steps) > len(steps) // 2
+
+
+def test_numbering_lets_its_words_go():
+    words = [[b"a", b"b"], [b"b"]]
+    lm._number(words)
+    gc.collect()
+    gc.disable()
+    try:
+        at, hashes, lengths = lm._number(words)
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+    assert at.tolist() == [0, 1, 1] and len(hashes) == 2 and lengths.tolist() == [2, 1]
+
+
+@pytest.mark.parametrize("top", [1, 1000, 1 << 62])
+def test_distinct_keys_are_those_of_numpy(top):
+    rng = np.random.default_rng(top % 97)
+    for n in (0, 1, 500):
+        keys = rng.integers(0, top, n)
+        want = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(lm._distinct(keys), want, strict=True))
+        assert (lm._order(keys) == np.argsort(keys, kind="stable")).all()
