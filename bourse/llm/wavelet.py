@@ -23,6 +23,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -34,7 +35,8 @@ from bourse.session import scratch_path
 MAGIC = b"WVLTMTX1"
 CHUNK_BITS = 1 << 18
 SHARD_TOKENS = 1 << 21
-CACHED_WORDS, CACHED_PIECES = 300_000, 100_000  # a worker keeps them between tasks
+CACHED_PIECES = 150_000  # a worker keeps up to twice as many between tasks
+SLICE_BYTES, SLICE_WORDS = 8 << 20, 1 << 19  # texts whose words are looked up at once; words whose ids are laid out at once
 CACHED_CHUNKS = 256
 
 
@@ -43,8 +45,9 @@ CACHED_CHUNKS = 256
 # Words made of these characters only are split here as the tokenizer splits them; all others go
 # through the whole tokenizer.  Composed Latin-1 letters stay as they are under its normalisation.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
-MARKS = frozenset([b".", b",", b";", b":", b"!", b"?", b")"])
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+OTHER = re.compile(r"[^ !-;=-~À-ÖØ-öø-ÿ]")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-zß-öø-ÿ0-9]+| ")  # of words with single spaces between
+GAP = 0xFFFFFFFF  # ends a word's ids; no id is that large
 # What a tokenizer file must say for the splitting above to be its own.
 NORMALIZES = {
     "type": "Sequence",
@@ -63,25 +66,27 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Kept(dict):
-    """A dict that computes what it lacks and starts anew when it is full."""
+    """A dict that computes what it lacks; when it is full, only what is used again before it next fills stays."""
 
     def __init__(self, compute, most: int):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.old = compute, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.old.get(key)
+        value = self[key] = self.compute(key) if value is None else value
         return value
 
 
 class WordEncoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes, with words looked up once.
+    """Ids of whole texts, as little-endian unsigned 32-bit numbers, with words looked up once.
 
     The word tokenizer never merges over white space, so a text's ids are its
-    words' ids one after the other.  A tokenizer file with other rules than ``NORMALIZES`` and
-    ``SPLITS`` encodes whole texts instead.
+    words' ids one after the other.  The different words of many texts are encoded together.  A
+    tokenizer file with other rules than ``NORMALIZES`` and ``SPLITS`` encodes whole texts instead.
     """
 
     def __init__(self, path: str):
@@ -95,38 +100,67 @@ class WordEncoder:
         model, letters = self.whole.model, byte_letters()
 
         four = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
-
-        def packed(ids: list[int]) -> bytes:
-            return b"".join([four[i] for i in ids])
+        gap = GAP.to_bytes(4, "little")
 
         def of_piece(piece: str) -> bytes:
+            """A space is the gap between words; what is not plain is a whole word."""
+            if piece == " ":
+                return gap
+            if not (piece.isascii() and piece.isalpha()) and not PLAIN.fullmatch(piece):
+                return b"".join([four[i] for i in self.whole.encode(piece, add_special_tokens=False).ids])
             shown = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
-            return packed([t.id for t in model.tokenize(shown)])
-
-        pieces = _Kept(of_piece, CACHED_PIECES)
-
-        def of_word(word: bytes) -> bytes:
-            # most words are ASCII letters, maybe with one mark behind: no pattern needed
-            if word.isalpha():
-                return pieces[word.decode("ascii").lower()]
-            if word[:-1].isalpha() and word[-1:] in MARKS:
-                return pieces[word[:-1].decode("ascii").lower()] + pieces[word[-1:].decode("ascii")]
-            text = word.decode("utf-8", "replace")
-            if PLAIN.fullmatch(text):
-                return b"".join(map(pieces.__getitem__, PIECES.findall(text.lower())))
-            return packed(self.whole.encode(text, add_special_tokens=False).ids)
+            return b"".join([four[t.id] for t in model.tokenize(shown)])
 
-        self.words = _Kept(of_word, CACHED_WORDS)
+        self.pieces = _Kept(of_piece, CACHED_PIECES)
 
     def encode(self, text: bytes) -> bytes:
+        return self.encode_all([text])[0].tobytes()
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and every text's number of ids."""
         if not self.by_words:
-            ids = self.whole.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
+            rows = [np.array(self.whole.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4") for t in texts]
+            return np.concatenate([np.empty(0, "<u4"), *rows]), np.array([len(r) for r in rows], np.int64)
         # The tokenizer lower-cases too; doing it here makes fewer different words.  Not where capitals
         # keep a special token's name from being one, or carry a combining mark (U+0300 to U+036F).
-        if b"<" not in text and b"\xcc" not in text and b"\xcd" not in text:
-            text = text.lower()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        lowered = [t if b"<" in t or b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(lowered, pa.binary()).view(pa.string()))
+        words = split.values.dictionary_encode()
+        if not len(words):
+            return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
+        flat, starts, lengths = self._of_words(words.dictionary.view(pa.binary()))
+        codes = words.indices.to_numpy()
+        before = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(lengths[codes], out=before[1:])
+        ids = np.empty(before[-1], "<u4")
+        for lo in range(0, len(codes), SLICE_WORDS):
+            some = codes[lo : lo + SLICE_WORDS]
+            a, b = before[lo], before[lo + len(some)]
+            at = np.repeat(starts[some] - before[lo : lo + len(some)], lengths[some])
+            at += np.arange(a, b)
+            ids[a:b] = flat.take(at)
+        return ids, np.diff(before[split.offsets.to_numpy()])
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each word's begin in them and how many they are."""
+        whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        text, rest, order = pc.binary_join(whole, b" ")[0].as_py().decode("utf-8", "replace"), [], None
+        if OTHER.search(text):
+            shown = text.split(" ")
+            plain = [PLAIN.fullmatch(w) is not None for w in shown]
+            text = " ".join([w for w, p in zip(shown, plain, strict=True) if p])
+            rest = [w for w, p in zip(shown, plain, strict=True) if not p]
+            order = np.argsort(~np.array(plain), kind="stable")
+        pieces = PIECES.findall(text.lower() + " ") if len(rest) < len(words) else []
+        for w in rest:
+            pieces += [w, " "]
+        flat = np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), "<u4")
+        ends = np.flatnonzero(flat == GAP)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        if order is not None:
+            back = np.argsort(order)
+            starts, ends = starts[back], ends[back]
+        return flat, starts, ends - starts
 
 
 def tokenizer_file(name: str) -> str:
@@ -173,7 +207,7 @@ def build(ids: np.ndarray, doc_ids: list, lengths: np.ndarray, order: str, bits:
             ones.append(ones[-1] + int(np.bitwise_count(part).sum(dtype=np.int64)))
             chunks.append(put(part.tobytes()))
         header["planes"].append({"bit": k, "ones": ones, "chunks": chunks})
-        a = np.concatenate([a[~one], a[one]])
+        a = np.concatenate([a.take(np.flatnonzero(~one)), a.take(np.flatnonzero(one))])
     head = json.dumps(header).encode()
     return b"".join([MAGIC, struct.pack("<I", len(head)), head, *sections, b"\n"])
 
@@ -264,8 +298,8 @@ class WaveletShard:
             raw = [self._section(c) for c in self.planes[p]["chunks"]]  # every chunk but the last is whole bytes
             one = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8), bitorder="little", count=self.n).view(bool)
             up = np.empty_like(value)
-            up[~one] = value[: self.zeros[p]]
-            up[one] = value[self.zeros[p] :] | kind(1 << (self.bits - 1 - p))
+            up[np.flatnonzero(~one)] = value[: self.zeros[p]]  # places are faster than a mask
+            up[np.flatnonzero(one)] = value[self.zeros[p] :] | kind(1 << (self.bits - 1 - p))
             value = up
         return value
 
@@ -273,6 +307,16 @@ class WaveletShard:
 # --- the jobs ----------------------------------------------------------------------------------
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int):
+    """A batch's rows in order, in parts whose texts begin in the same ``size`` bytes of the column."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(lengths) - lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        if lo < hi:
+            yield batch.slice(lo, hi - lo)
+
+
 def write_shards(
     docs: DataFrame,
     path: str,
@@ -295,30 +339,32 @@ def write_shards(
 
     def run(batches):
         enc = encoder(tokenizer_path)
-        end = struct.pack("<I", end_id)
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         doc_ids: list = []
         lengths: list[int] = []
         held, shards = 0, 0
         partition = TaskContext.get().partitionId()
 
         def shard():
-            ids = np.frombuffer(b"".join(parts), "<u4")
             name = f"{partition:09d}-{shards:09d}"
-            return pa.RecordBatch.from_arrays([pa.array([build(ids, doc_ids, np.array(lengths), name, bits)], pa.binary())], ["blob"])
+            blob = build(np.concatenate(parts), doc_ids, np.array(lengths), name, bits)
+            return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["blob"])
 
         for b in batches:
-            columns = b.column("_id").to_pylist(), b.column("_text").cast(pa.binary()).to_pylist()
-            for i, text in zip(*columns, strict=True):
-                data = enc.encode(text or b"") + end
-                if parts and held + len(data) // 4 > shard_tokens:
-                    yield shard()
-                    shards += 1
-                    parts, doc_ids, lengths, held = [], [], [], 0
-                parts.append(data)
-                doc_ids.append(i)
-                lengths.append(len(data) // 4)
-                held += len(data) // 4
+            for part in slices(b, "_text", SLICE_BYTES):
+                ids, sizes = enc.encode_all([t or b"" for t in part.column("_text").cast(pa.binary()).to_pylist()])
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                at = 0
+                for i, size in zip(part.column("_id").to_pylist(), (sizes + 1).tolist(), strict=True):
+                    if parts and held + size > shard_tokens:
+                        yield shard()
+                        shards += 1
+                        parts, doc_ids, lengths, held = [], [], [], 0
+                    parts.append(ids[at : at + size])
+                    doc_ids.append(i)
+                    lengths.append(size)
+                    at += size
+                    held += size
         if parts:
             yield shard()
 

@@ -88,3 +88,54 @@ def test_a_tokenizer_with_other_rules_encodes_whole_texts(tmp_path):
     for t in ("The Word And THE word", "", "café <|endoftext|> x"):
         assert np.frombuffer(enc.encode(t.encode()), "<u4").tolist() == enc.whole.encode(t, add_special_tokens=False).ids
     assert enc.encode(b"The") != known.encode(b"The")
+
+
+def test_what_is_in_use_is_not_computed_again():
+    asked = []
+    kept = wavelet._Kept(lambda k: asked.append(k) or k * 2, 10)
+    for i in range(200):
+        assert kept["often"] == "oftenoften" and kept[str(i)] == str(i) * 2
+        assert len(kept) <= 10 and len(kept.old) <= 10
+    assert asked.count("often") == 1 and len(asked) == 201
+
+
+def test_a_piece_is_tokenized_once_whatever_words_hold_it(monkeypatch):
+    enc = wavelet.WordEncoder(PATH)
+    asked = []
+    compute = enc.pieces.compute
+    enc.pieces.compute = lambda p: asked.append(p) or compute(p)
+    enc.encode_all([b"word Word, (word) word's word;", b"wOrd! \"word\" word..."])
+    enc.encode_all([b"word?"])
+    assert asked.count("word") == 1 and len(asked) == len(set(asked))
+
+
+def test_many_texts_encode_as_each_alone(monkeypatch):
+    monkeypatch.setattr(wavelet, "SLICE_WORDS", 7)
+    rnd = random.Random(5)
+    marks = ["", ".", ",", "'s", "###", "<|endoftext|>", "\u0301", "9a", "\u00e0", "\u0440\u0443", "\u65e5", "\u00a0", "\x1c", "\x85", "\ufeff", "\ufffd", " "]
+    space = [" ", "  ", "\n", "\t\r\n", "\x0b", "\x0c"]
+    texts = ["", " ", "\n\n", "\u65e5\u672c", " a", "a "]
+    texts += ["".join(rnd.choice(["the", "The", "\u00c9t\u00e9", "k"]) + rnd.choice(marks) + rnd.choice(space) for _ in range(rnd.randint(0, 30))) for _ in range(200)]
+    enc = wavelet.WordEncoder(PATH)
+    enc.pieces.most = 5
+    for some in (texts, texts[:3], texts[3:4], [], texts[::-1]):
+        ids, sizes = enc.encode_all([t.encode() for t in some])
+        want = [enc.whole.encode(t, add_special_tokens=False).ids for t in some]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    broken = [b"a\xc3 b", b"\xff", b"x\xe6\x97 \xe6\x97\xa5", b"end\xf0\x9f"]
+    ids, sizes = enc.encode_all(broken)
+    want = [enc.whole.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in broken]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_slices_hold_every_row_in_order():
+    import pyarrow as pa
+
+    texts = ["abc", None, "", "x" * 50, "y", None, "z" * 9, "\u65e5" * 4]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["i", "t"])
+    for size in (1, 5, 10, 1000):
+        parts = list(wavelet.slices(batch, "t", size))
+        assert [v for p in parts for v in p.column("i").to_pylist()] == list(range(len(texts)))
+        assert len(parts) == 1 or size < 1000
+        assert all(sum(len((t or "").encode()) for t in p.column("t").to_pylist()[:-1]) < size for p in parts)
+    assert list(wavelet.slices(batch.slice(0, 0), "t", 5)) == []
