@@ -36,7 +36,7 @@ MAGIC = b"WVLTMTX1"
 CHUNK_BITS = 1 << 18
 SHARD_TOKENS = 1 << 21
 CACHED_PIECES = 150_000  # a worker keeps up to twice as many between tasks
-SLICE_BYTES, SLICE_WORDS = 8 << 20, 1 << 19  # texts whose words are looked up at once; words whose ids are laid out at once
+SLICE_BYTES, SLICE_WORDS = 4 << 20, 1 << 16  # texts whose words are numbered at once; words that are looked up or laid out at once
 CACHED_CHUNKS = 256
 
 
@@ -114,21 +114,26 @@ class WordEncoder:
         self.pieces = _Kept(of_piece, CACHED_PIECES)
 
     def encode(self, text: bytes) -> bytes:
-        return self.encode_all([text])[0].tobytes()
+        return self.encode_all(pa.array([text], pa.binary()))[0].tobytes()
 
-    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and every text's number of ids."""
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (binary, no nulls) one after the other, and every text's number of ids."""
         if not self.by_words:
-            rows = [np.array(self.whole.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4") for t in texts]
+            rows = [np.array(self.whole.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4") for t in texts.to_pylist()]
             return np.concatenate([np.empty(0, "<u4"), *rows]), np.array([len(r) for r in rows], np.int64)
         # The tokenizer lower-cases too; doing it here makes fewer different words.  Not where capitals
         # keep a special token's name from being one, or carry a combining mark (U+0300 to U+036F).
-        lowered = [t if b"<" in t or b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts]
-        split = pc.ascii_split_whitespace(pa.array(lowered, pa.binary()).view(pa.string()))
-        words = split.values.dictionary_encode()
-        if not len(words):
+        as_is = pc.or_(pc.match_substring(texts, b"<"), pc.or_(pc.match_substring(texts, b"\xcc"), pc.match_substring(texts, b"\xcd")))
+        texts = texts.view(pa.string())
+        split = pc.ascii_split_whitespace(pc.if_else(as_is, texts, pc.ascii_lower(texts)))
+        words, offsets = split.values.dictionary_encode(), split.offsets.to_numpy()
+        del split
+        found = [self._of_words(words.dictionary.slice(lo, SLICE_WORDS)) for lo in range(0, len(words.dictionary), SLICE_WORDS)]
+        if not found:
             return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
-        flat, starts, lengths = self._of_words(words.dictionary.view(pa.binary()))
+        bases = np.cumsum([0] + [len(f) for f, _, _ in found])
+        flat, lengths = np.concatenate([f for f, _, _ in found]), np.concatenate([n for _, _, n in found])
+        starts = np.concatenate([at + base for (_, at, _), base in zip(found, bases, strict=False)])
         codes = words.indices.to_numpy()
         before = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(lengths[codes], out=before[1:])
@@ -139,12 +144,12 @@ class WordEncoder:
             at = np.repeat(starts[some] - before[lo : lo + len(some)], lengths[some])
             at += np.arange(a, b)
             ids[a:b] = flat.take(at)
-        return ids, np.diff(before[split.offsets.to_numpy()])
+        return ids, np.diff(before[offsets])
 
     def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where each word's begin in them and how many they are."""
         whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-        text, rest, order = pc.binary_join(whole, b" ")[0].as_py().decode("utf-8", "replace"), [], None
+        text, rest, order = pc.binary_join(whole, " ").view(pa.binary())[0].as_py().decode("utf-8", "replace"), [], None
         if OTHER.search(text):
             shown = text.split(" ")
             plain = [PLAIN.fullmatch(w) is not None for w in shown]
@@ -352,7 +357,7 @@ def write_shards(
 
         for b in batches:
             for part in slices(b, "_text", SLICE_BYTES):
-                ids, sizes = enc.encode_all([t or b"" for t in part.column("_text").cast(pa.binary()).to_pylist()])
+                ids, sizes = enc.encode_all(pc.fill_null(part.column("_text").cast(pa.binary()), b""))
                 ids = np.insert(ids, np.cumsum(sizes), end_id)
                 at = 0
                 for i, size in zip(part.column("_id").to_pylist(), (sizes + 1).tolist(), strict=True):

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from bourse.llm import wavelet
 from bourse.session import scratch_path
@@ -99,13 +100,13 @@ def test_what_is_in_use_is_not_computed_again():
     assert asked.count("often") == 1 and len(asked) == 201
 
 
-def test_a_piece_is_tokenized_once_whatever_words_hold_it(monkeypatch):
+def test_a_piece_is_tokenized_once_whatever_words_hold_it():
     enc = wavelet.WordEncoder(PATH)
     asked = []
     compute = enc.pieces.compute
     enc.pieces.compute = lambda p: asked.append(p) or compute(p)
-    enc.encode_all([b"word Word, (word) word's word;", b"wOrd! \"word\" word..."])
-    enc.encode_all([b"word?"])
+    enc.encode_all(pa.array([b"word Word, (word) word's word;", b"wOrd! \"word\" word..."]))
+    enc.encode_all(pa.array([b"word?"]))
     assert asked.count("word") == 1 and len(asked) == len(set(asked))
 
 
@@ -119,18 +120,16 @@ def test_many_texts_encode_as_each_alone(monkeypatch):
     enc = wavelet.WordEncoder(PATH)
     enc.pieces.most = 5
     for some in (texts, texts[:3], texts[3:4], [], texts[::-1]):
-        ids, sizes = enc.encode_all([t.encode() for t in some])
+        ids, sizes = enc.encode_all(pa.array([t.encode() for t in some], pa.binary()))
         want = [enc.whole.encode(t, add_special_tokens=False).ids for t in some]
         assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
     broken = [b"a\xc3 b", b"\xff", b"x\xe6\x97 \xe6\x97\xa5", b"end\xf0\x9f"]
-    ids, sizes = enc.encode_all(broken)
+    ids, sizes = enc.encode_all(pa.array(broken))
     want = [enc.whole.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in broken]
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 def test_slices_hold_every_row_in_order():
-    import pyarrow as pa
-
     texts = ["abc", None, "", "x" * 50, "y", None, "z" * 9, "\u65e5" * 4]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["i", "t"])
     for size in (1, 5, 10, 1000):
