@@ -51,6 +51,7 @@ from bourse.functions.codec import reject_reason
 from bourse.functions.columns import BUY, SELL, time_literal_or_col
 from bourse.operators.depleting import match_depleting
 from bourse.plans.skew import ROWS_PER_TASK, ranked_within_groups, salted_join
+from bourse.session import drop_unused_files
 
 GROUP = ["w_start", "w_end", "instrument"]
 # arrival order inside a book; ``uid`` separates otherwise identical copies
@@ -281,10 +282,10 @@ def match_prepared(
     # rows that are sorted across tasks are written out whole: beyond one task per ladder, orders are numbers there
     numbered = biggest_book > ladder_rows
 
-    def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str, tasks: int = 0) -> DataFrame:
+    def join(big: DataFrame, small: DataFrame, keys: list[str], spread: str, tasks: int = 0, counted: DataFrame | None = None) -> DataFrame:
         # every join key lies inside one book, so no key can be hot unless a book is
         if biggest_book > hot_rows:
-            return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows, merge=True)
+            return salted_join(big, small, keys, F.col(spread), rows_per_task=hot_rows, merge=True, counted=counted)
         if tasks:
             big, small = big.repartition(tasks, *keys), small.repartition(tasks, *keys)
         return big.join(small, keys)
@@ -297,12 +298,18 @@ def match_prepared(
         buy_levels = ladder.where("is_sell = 0").select(
             *GROUP, F.col("price").alias("b_price"), F.col("n_at_or_below").alias("c"), "n_sell_levels"
         )
+        # the volume classes that a book's buys have (see below) come to its sells with their price level
+        classes = buys.groupBy(*GROUP).agg(F.bit_or(_class_bit("b_volume")).alias("classes"))
+        sell_levels = join(sell_levels, classes, GROUP, "s_price")
         placed = sells
         if numbered:
             # a sell's place in its book stands for its arrival
-            ranked = ranked_within_groups(sells.withColumn("_one", F.lit(1)), GROUP, [F.col("s_" + c) for c in ARRIVAL], "_one", parts)
-            placed = ranked.select(*GROUP, "s_uid", "s_price", "s_volume", F.col("run_sum").alias("s_place"))
-        sells_d = join(placed, sell_levels, GROUP + ["s_price"], "s_uid", tasks)
+            arrival = [F.col("s_" + c) for c in ARRIVAL]
+            ranked = ranked_within_groups(
+                sells.withColumn("_one", F.lit(1)), GROUP, arrival, "_one", parts, ["s_uid", "s_price", "s_volume"]
+            )
+            placed = ranked.withColumnRenamed("run_sum", "s_place")
+        sells_d = join(placed, sell_levels, GROUP + ["s_price"], "s_uid", tasks, sells)
         buys_c = join(buys, buy_levels, GROUP + ["b_price"], "b_uid", tasks)
     else:
         sells_d, buys_c = _ranks_in_one_pass(o, 0 if numbered else tasks)
@@ -313,10 +320,7 @@ def match_prepared(
     # a buy of volume V has class j, the smallest with V <= 2^j.  Only block entries with fewer than
     # 2^j units before them can matter to it, so it is joined to those alone; what large buys need
     # is paid for by large buys
-    if biggest_book > book_rows:
-        classes = buys.groupBy(*GROUP).agg(F.bit_or(_class_bit("b_volume")).alias("classes"))
-        sells_d = join(sells_d, classes, GROUP, "s_uid")
-    else:
+    if biggest_book <= book_rows:
         sells_d = sells_d.where(F.col("classes").isNotNull())
     if numbered:
         s_arrival, b_body = [F.col("s_place")], [F.col("b_uid"), F.col("b_volume")]
@@ -342,8 +346,8 @@ def match_prepared(
         cut = cut.withColumn("rk", F.row_number().over(in_block)).where(F.col("rk") <= F.lit(k)).drop("rk")
     if numbered:
         # the top block of a huge book is summed across tasks
-        ranked = ranked_within_groups(cut, block, s_arrival, "s_volume", parts)
-        block_sums = ranked.withColumn("block_prev", F.col("run_sum") - F.col("s_volume")).drop("run_sum", "group_sum")
+        ranked = ranked_within_groups(cut, block, s_arrival, "s_volume", parts, ["s_uid", "s_volume", "s_place", "classes"])
+        block_sums = ranked.withColumn("block_prev", F.col("run_sum") - F.col("s_volume")).drop("run_sum")
     else:
         block_sums = cut.withColumn(
             "block_prev",
@@ -363,33 +367,45 @@ def match_prepared(
         .select(*GROUP, "lvl", "node", _volume_class("b_volume").alias("cls"), *b_body)
     )
 
-    # a block near the top of a big book is wanted by many buys: salted join
-    # only sells whose earlier block mates bring less than the buy's volume can be reached
-    cand = join(buy_nodes, block_top, block + ["cls"], "b_uid", pairing).where(F.col("block_prev") < F.col("b_volume"))
-    per_buy = Window.partitionBy(*GROUP, "b_uid").orderBy(*s_arrival)
+    def candidates(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
+        # a block near the top of a big book is wanted by many buys: salted join
+        # only sells whose earlier block mates bring less than the buy's volume can be reached
+        return join(wanted, blocks, block + ["cls"], "b_uid", pairing).where(F.col("block_prev") < F.col("b_volume"))
+
+    # where orders are numbers, a buy's says its book too
+    buy = ["b_uid"] if numbered else GROUP + ["b_uid"]
+    per_buy = Window.partitionBy(*buy).orderBy(*s_arrival)
 
     def in_one_task(c: DataFrame) -> DataFrame:
-        c = c.repartition(pairing, *GROUP, "b_uid") if pairing else c
+        c = c.repartition(pairing, *buy) if pairing else c
         return c.withColumn(
             "prev", F.coalesce(F.sum("s_volume").over(per_buy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         ).withColumn("is_last", F.lead(F.lit(1)).over(per_buy).isNull())
 
     if biggest_book > hot_rows and k > hot_rows:
-        # a buy that may take more than hot_rows sells is summed across tasks
-        large = ranked_within_groups(cand.where(F.col("b_volume") > hot_rows), GROUP + ["b_uid"], s_arrival, "s_volume", parts)
+        # a buy that may take more than hot_rows sells is summed across tasks; the classes on either side of
+        # hot_rows part the blocks' entries too
+        large = candidates(buy_nodes.where(F.col("b_volume") > hot_rows), block_top.where(F.col("cls") >= hot_rows.bit_length()))
+        spent = [*block, *buy, "cls", "block_prev", *["s_place"] * numbered]
+        fields = [c for c in large.columns if c not in spent]
+        large = ranked_within_groups(large, buy, s_arrival, "s_volume", parts, [*fields, "group_sum"])
         large = large.withColumn("prev", F.col("run_sum") - F.col("s_volume"))
         large = large.withColumn("is_last", F.col("run_sum") == F.col("group_sum")).drop("run_sum", "group_sum")
-        cand = in_one_task(cand.where(F.col("b_volume") <= hot_rows)).unionByName(large)
+        most = max(hot_rows - 1, 0).bit_length()
+        small = candidates(buy_nodes.where(F.col("b_volume") <= hot_rows), block_top.where(F.col("cls") <= most))
+        cand = in_one_task(small).select(*large.columns).unionByName(large)
     else:
-        cand = in_one_task(cand)
+        cand = in_one_task(candidates(buy_nodes, block_top))
     hits = cand.where(F.col("prev") < F.col("b_volume")).withColumn(
         "want", (F.col("b_volume") - F.col("prev")).cast("int")
     ).withColumn("trade_volume", F.least(F.col("s_volume"), F.col("want")))
     if numbered:
         # what trades is settled: the orders' fields come back
-        hits = hits.select("b_uid", "s_uid", "want", "trade_volume", "is_last").checkpoint(eager=True)
-        hits = join(hits, buys, ["b_uid"], "s_uid")
-        hits = join(hits, sells.drop(*GROUP), ["s_uid"], "b_uid")
+        found = hits.select("b_uid", "s_uid", "want", "trade_volume", "is_last").checkpoint(eager=True)
+        hits = cand = small = large = ranked = block_top = block_sums = cut = None  # nothing reads their files any more
+        drop_unused_files(spark)
+        hits = join(found, sells.drop(*GROUP), ["s_uid"], "b_uid", counted=found)
+        hits = join(hits, buys, ["b_uid"], "s_uid", counted=found)
     if materialize:
         hits = hits.checkpoint(eager=True)
 

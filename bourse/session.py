@@ -128,6 +128,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def drop_unused_files(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle and checkpoint files that no plan refers to any more.
+
+    Spark does so when the driver collects garbage, which it has no reason to do while executors fill their disks.
+    Steps that move much and end in a checkpoint call this.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, streaming: bool = False) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of order data.
 
