@@ -41,7 +41,7 @@ from bourse.operators.matching import match_prepared, prepare_book_orders
 from bourse.operators.orders import carry_forward, validate
 from bourse.plans.sizing import DEFAULT_BROADCAST_MAX_ROWS
 from bourse.session import path_exists, read_small_file, write_small_file
-from bourse.streaming.sinks import start, write_kafka
+from bourse.streaming.sinks import BOUNDED_STATE, start, write_kafka
 from bourse.streaming.snapshots import KeyedTable
 
 # Copies of one order are released as one state row with a count.  Counts up
@@ -296,6 +296,7 @@ def run_matcher(
         foreach_batch=write_batch,
         trigger=trigger,
         query_name=query_name,
+        state=BOUNDED_STATE,
     )
 
 

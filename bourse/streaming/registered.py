@@ -70,15 +70,22 @@ def land_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, name:
 
 
 def _files(spark: SparkSession, folder: str) -> int:
-    return sum(n.endswith(".parquet") for n in folder_names(spark, folder))
+    return sum(n.startswith("part-") for n in folder_names(spark, folder))
 
 
-def _land(rows: DataFrame, folder: str, files: int) -> None:
-    """Write ``rows`` as exactly ``files`` files, empty ones at the end if need be."""
+def _land(rows: DataFrame, folder: str, files: int, wire: bool = False) -> None:
+    """Write ``rows`` as exactly ``files`` files, empty ones at the end if need be; ``wire``: orders as JSON messages."""
     spark = rows.sparkSession
-    (rows.repartition(files) if files > 1 else rows).write.parquet(folder)
+
+    def write(part: DataFrame) -> None:
+        if wire:
+            encode_wire_orders(part).select("value").write.mode("append").option("compression", "gzip").text(folder)
+        else:
+            part.write.mode("append").parquet(folder)
+
+    write(rows.repartition(files) if files > 1 else rows.coalesce(1))
     for _ in range(files - _files(spark, folder)):
-        spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
+        write(spark.createDataFrame([], rows.schema).coalesce(1))
 
 
 def _end_of_stream(spark: SparkSession, base: str, orders: DataFrame, name: str = "zz-end", days: int = 200) -> None:
@@ -185,10 +192,11 @@ def s_wire_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = m1_orders(spark, sf_dir)
     base = land_in_time_order(spark, orders, "order_time", "s-wire")
     _end_of_stream(spark, base, orders)
+    files = _files(spark, f"{base}/in/s000")
     for part in [f"s{i:03d}" for i in range(SLICES)] + ["zz-end"]:
-        encode_wire_orders(spark.read.parquet(f"{base}/in/{part}")).select("value").write.text(f"{base}/wire/{part}")
+        _land(spark.read.parquet(f"{base}/in/{part}"), f"{base}/wire/{part}", files, wire=True)
     q = run_matcher(
-        json_dir_stream(spark, f"{base}/wire/*"),
+        json_dir_stream(spark, f"{base}/wire/*", max_files_per_trigger=files),  # a slice in a micro-batch
         out_dir=f"{base}/out",
         checkpoint=f"{base}/checkpoint",
         window=M1_WINDOW,

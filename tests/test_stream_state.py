@@ -1,0 +1,51 @@
+"""State that grows with the open windows: where it lies, and how much of a table a micro-batch takes."""
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from bourse.plans.catalog import q_match_trades
+from bourse.session import folder_names, read_small_file
+from bourse.streaming import registered
+from bourse.streaming.sinks import BOUNDED_STATE, HEAP_STORE, STATE_STORE, _set_for_now
+
+T0 = dt.datetime(2024, 1, 1)
+FIELDS = ["w_start", "w_end", "instrument", "buy_order_id", "sell_order_id", "trade_volume", "execution_time"]
+
+
+def _events(spark, path, n=200):
+    rows = [(i, T0 + dt.timedelta(minutes=30 * i), i // 2 % 3, "click", float(i % 9), json.dumps({"k": i % 6})) for i in range(n)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props"
+    ).repartition(3).write.parquet(f"{path}/events.parquet")
+
+
+def test_wire_orders_come_in_slices_and_wait_in_rocksdb(spark, tmp_path, monkeypatch):
+    _events(spark, tmp_path)
+    whole, seen = registered.run_matcher, []
+
+    def watched(*how, **named):
+        seen.append(named["checkpoint"])
+        return whole(*how, **named)
+
+    monkeypatch.setattr(registered, "run_matcher", watched)
+    before = [spark.conf.get(k, None) for k in BOUNDED_STATE]
+    got = sorted(map(str, registered.s_wire_match(spark, str(tmp_path)).select(*FIELDS).collect()))
+    assert [spark.conf.get(k, None) for k in BOUNDED_STATE] == before
+    assert got and got == sorted(map(str, q_match_trades(spark, str(tmp_path)).select(*FIELDS).collect()))
+    batches = [n for n in folder_names(spark, f"{seen[0]}/offsets") if n.isdigit()]
+    assert len(batches) >= registered.SLICES + 1
+    assert "RocksDBStateStoreProvider" in read_small_file(spark, f"{seen[0]}/offsets/0")
+
+
+def test_a_session_that_chose_a_store_keeps_it(spark):
+    with _set_for_now(spark, BOUNDED_STATE):
+        assert spark.conf.get(STATE_STORE) == BOUNDED_STATE[STATE_STORE]
+    assert spark.conf.get(STATE_STORE, None) in (None, HEAP_STORE)
+    spark.conf.set(STATE_STORE, "some.other.Store")
+    try:
+        with _set_for_now(spark, BOUNDED_STATE):
+            assert spark.conf.get(STATE_STORE) == "some.other.Store"
+    finally:
+        spark.conf.unset(STATE_STORE)
