@@ -19,6 +19,7 @@ change of a window into a keyed table as it happens.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,8 @@ def release_closed_books(
 
 # Windows of one micro-batch that are pruned one by one in update mode.
 MAX_WINDOW_KEYS = 1000
+# Rows of a file of the order table, so that its files follow the rows, not the state partitions times the windows.
+ORDERS_PER_FILE = 1 << 18
 
 
 def last_emission(spark: SparkSession, out_dir: str, output: str = "trades") -> DataFrame:
@@ -171,22 +174,32 @@ def _books_touched(batch: DataFrame, table: KeyedTable, batch_id: int) -> tuple[
         "copies",
         F.unix_seconds(F.col("window.start")).alias("w_key"),
     )
-    table.upsert(rows, batch_id, _latest_times)
+    files = max(1, math.ceil(batch.count() / ORDERS_PER_FILE))
+    table.upsert(rows.repartitionByRange(files, "w_key", "instrument", "order_id"), batch_id, _latest_times)
     new = table.read_versions([2 * batch_id])
     touched = new.select("w_start", "w_end", "instrument").distinct()
-    lo, hi = new.agg(F.min("w_key"), F.max("w_key")).first()
-    if lo is None:
-        return None, touched
     keys = [r.w_key for r in new.select("w_key").distinct().limit(MAX_WINDOW_KEYS + 1).collect()]
-    # partition pruning: exactly the windows this batch touched, or their range if they are very many
-    pruned = F.col("w_key").isin(keys) if len(keys) <= MAX_WINDOW_KEYS else F.col("w_key").between(lo, hi)
-    seen = (
-        table.read()
-        .where(pruned)
-        .join(touched, ["w_start", "w_end", "instrument"], "left_semi")
-        .groupBy("w_start", "w_end", *schemas.ORDER_COLS)
-        .agg(F.max("copies").alias("copies"))
-    )
+    if not keys:
+        return None, touched
+    if table.state()["versions"] == [2 * batch_id]:
+        # all that was seen is this batch, which has an order once
+        seen = new.select("w_start", "w_end", *schemas.ORDER_COLS, "copies")
+    else:
+        # partition pruning: exactly the windows this batch touched, or their range if they are very many
+        pruned = F.col("w_key").isin(keys)
+        if len(keys) > MAX_WINDOW_KEYS:
+            pruned = F.col("w_key").between(*new.agg(F.min("w_key"), F.max("w_key")).first())
+        seen = (
+            table.read()
+            .where(pruned)
+            .join(touched, ["w_start", "w_end", "instrument"], "left_semi")
+            .groupBy("w_start", "w_end", *schemas.ORDER_COLS)
+            .agg(F.max("copies").alias("copies"))
+        )
+    # as in match_released: without large counts the rows are gone over once
+    if table.read().where(F.col("copies") > COPY_CHUNK).isEmpty():
+        one_by_one = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_i")
+        return seen.select(*[c for c in seen.columns if c != "copies"], one_by_one).drop("_i"), touched
     return expand_copies(seen), touched
 
 

@@ -2,13 +2,18 @@
 
 import datetime as dt
 import json
+from collections import Counter
 
 from pyspark.sql import functions as F
 
+from bourse import schemas
+from bourse.operators import assign_windows, match_orders
 from bourse.plans.catalog import q_match_trades
 from bourse.session import folder_names, read_small_file
 from bourse.streaming import registered
+from bourse.streaming.jobs import last_emission, order_table, run_matcher
 from bourse.streaming.sinks import BOUNDED_STATE, HEAP_STORE, STATE_STORE, _set_for_now
+from tests.helpers import frame, order
 
 T0 = dt.datetime(2024, 1, 1)
 FIELDS = ["w_start", "w_end", "instrument", "buy_order_id", "sell_order_id", "trade_volume", "execution_time"]
@@ -49,3 +54,22 @@ def test_a_session_that_chose_a_store_keeps_it(spark):
             assert spark.conf.get(STATE_STORE) == "some.other.Store"
     finally:
         spark.conf.unset(STATE_STORE)
+
+
+def test_files_of_the_order_table_follow_its_rows(spark, tmp_path):
+    """Few orders of many windows are few files, however many state partitions there are; and what is read back is whole."""
+    base = str(tmp_path)
+    orders = [order(f"o{i}", "Buy" if i % 2 else "Sell", 5 + i % 2, 1, 1800 * i, expiry_h=99) for i in range(48)]
+    frame(spark, orders + orders[:5]).write.parquet(f"{base}/in")
+    q = run_matcher(
+        spark.readStream.schema(schemas.ORDER).parquet(f"{base}/in"), f"{base}/out", f"{base}/ckpt", window="1 hour", slide="1 hour",
+        emit="on_update", trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    table = order_table(spark, f"{base}/out")
+    windows = table.read().select("w_key").distinct().count()
+    files = table.read().select(F.input_file_name()).distinct().count()
+    assert windows == 24 and files == windows
+    got = last_emission(spark, f"{base}/out").select("w_start", "buy_order_id", "sell_order_id").collect()
+    want = match_orders(assign_windows(frame(spark, orders + orders[:5]), "order_time", "1 hour", "1 hour")).trades
+    assert Counter(got) == Counter(want.select("w_start", "buy_order_id", "sell_order_id").collect()) and got
