@@ -408,6 +408,9 @@ def match_prepared(
         hits = join(hits, buys, ["b_uid"], "s_uid", counted=found)
     if materialize:
         hits = hits.checkpoint(eager=True)
+        if tasks:
+            cand = small = large = ranked = block_top = block_sums = cut = None  # what they moved is done with
+            drop_unused_files(spark)
 
     if exec_time is None:
         exec_col = F.greatest(F.col("b_order_time"), F.col("s_order_time"))
